@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import chat
 from .sharding import op9_sharding
 
 QUERIES = {
+    "op7_chat_formatting": chat.op7_chat_formatting,
     "op9_sharding": op9_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_chat_formatting": chat.oracle_sql(),
+}
