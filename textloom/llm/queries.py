@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, neighbours
 from .sharding import op9_sharding
 
 QUERIES = {
+    "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_nearest_neighbours": neighbours.ORACLE_OP5,
     "op7_chat_formatting": chat.oracle_sql(),
 }
