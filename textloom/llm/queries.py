@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, neighbours
+from . import bpe, chat, neighbours
 from .sharding import op9_sharding
 
 QUERIES = {
     "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
     "op7_chat_formatting": chat.op7_chat_formatting,
+    "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_sharding": op9_sharding,
 }
 
