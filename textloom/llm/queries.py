@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, neighbours
+from . import bpe, chat, neighbours, tokencount
 from .sharding import op9_sharding
 
 QUERIES = {
+    "op4_token_counts": tokencount.op4_token_counts,
     "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_byte_bpe": bpe.op8_byte_bpe,
