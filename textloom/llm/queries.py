@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, neardup, neighbours, quality, tokencount
+from . import bpe, chat, decontaminate, neardup, neighbours, quality, tokencount
 from .sharding import op9_sharding
 
 QUERIES = {
     "op1_near_duplicates": neardup.op1_near_duplicates,
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_quality": quality.op3_quality,
     "op4_token_counts": tokencount.op4_token_counts,
     "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
