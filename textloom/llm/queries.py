@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, neardup, neighbours, quality, tokencount
+from . import bpe, chat, decontaminate, neardup, neighbours, quality, repeats, tokencount
 from .sharding import op9_sharding
 
 QUERIES = {
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_sharding": op9_sharding,
+    "op10_repeats": repeats.op10_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {
