@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_or_empty
+from .common import small_batches, table, text_or_empty
 
 STATS = ["log_bytes", "word_len", "upper", "digits", "marks", "bangs", "bars", "stops", "space", "other", "repeats", "distinct", "line_dups"]
 
@@ -153,6 +153,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Rul
     """Fits on at most `sample` labelled rows, the first by a hash of doc_id; never on held-out ones.
 
     Rows without a label or id are left out; of texts with one id and label, one counts."""
+    small_batches(docs.sparkSession)
     marked = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("quality").cast("int").alias("y"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", stats_udf("text").alias("s"))
@@ -160,13 +161,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Rul
     return fit_rules(rows[STATS].to_numpy(dtype=float), rows["y"].to_numpy())
 
 
-def score_documents(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Adds score (0 to 1, higher for better) to every row of docs, whose other columns stay.
+def score_documents(docs: DataFrame, rules: Rules, name: str = "score") -> DataFrame:
+    """Adds a score column (0 to 1, higher for better) to every row of docs, whose other columns stay.
 
     Null and empty texts are scored by the statistics of an empty text. Repeated rows are each
-    scored; equal texts get equal scores. Columns called _quality_stats or score are replaced.
+    scored; equal texts get equal scores. Columns called _quality_stats or like the score's name are replaced.
     """
-    return docs.withColumn("_quality_stats", stats_udf(text_or_empty())).withColumn("score", rules.column("_quality_stats")).drop("_quality_stats")
+    small_batches(docs.sparkSession)
+    return docs.withColumn("_quality_stats", stats_udf(text_or_empty())).withColumn(name, rules.column("_quality_stats")).drop("_quality_stats")
 
 
 def op3_quality(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, neardup, neighbours, quality, repeats, tokencount
+from . import bpe, chat, decontaminate, neardup, neighbours, pii, quality, repeats, tokencount
 from .sharding import op9_sharding
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_token_counts": tokencount.op4_token_counts,
     "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
+    "op6_pii": pii.op6_pii,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_sharding": op9_sharding,
