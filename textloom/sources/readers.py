@@ -1,0 +1,176 @@
+"""Reading records, documents, tables and trees of files.
+
+Order in a file is data: readers of lines give path, line (from 1) and ord. Error policies: strict
+(any bad row fails), lenient (rows as they are, bad ones marked), whole (a bad row empties the table).
+"""
+
+from __future__ import annotations
+
+import codecs
+import json
+from pathlib import Path
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BOM = "﻿"
+
+
+class SourceError(ValueError):
+    """Input that a strict reader doesn't take."""
+
+
+@F.pandas_udf(T.StringType())
+def decoded(contents: pd.Series, encoding: pd.Series) -> pd.Series:
+    """Bytes as text by the named codec; without a name by a UTF-16 mark, else as UTF-8 with or without one."""
+
+    def one(raw, name):
+        if name:
+            return raw.decode(name)
+        if raw[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+            return raw.decode("utf-16")
+        return raw.decode("utf-8-sig")
+
+    return pd.Series([one(c, e) for c, e in zip(contents, encoding, strict=True)])
+
+
+def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """path, content of all files below path."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path).select("path", "length", "modificationTime", "content")
+
+
+def text_lines(spark: SparkSession, path: str, pattern: str | None = None, encoding: str | None = None, unicode_ends: bool = False) -> DataFrame:
+    """path, line, value of every line of every file, blank ones too, byte-order mark removed.
+
+    unicode_ends also ends lines at the other line separators that Unicode has.
+    """
+    ends = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]" if unicode_ends else r"\r\n|\n|\r"
+    whole = files(spark, path, pattern).select("path", decoded("content", F.lit(encoding)).alias("text"))
+    lines = F.split(F.regexp_replace("text", r"(?:\r\n|\n|\r)\z", ""), ends, -1)
+    return whole.select("path", F.posexplode(lines).alias("line", "value")).withColumn("line", F.col("line") + 1)
+
+
+def file_order(df: DataFrame) -> DataFrame:
+    """Adds ord: files by their path without case, then lines; files are numbered in a table of files only."""
+    from pyspark.sql import Window
+
+    paths = df.select("path").distinct().withColumn("_file", F.row_number().over(Window.orderBy(F.lower("path"), "path")))
+    return df.join(F.broadcast(paths), "path").withColumn("ord", F.col("_file").cast("long") * F.lit(1 << 32) + F.col("line")).drop("_file")
+
+
+def jsonl(spark: SparkSession, path: str, schema: str, pattern: str | None = None, encoding: str | None = None, unicode_ends: bool = False) -> DataFrame:
+    """Lenient: path, line, ord, raw, _bad and the schema's columns of every line that isn't blank."""
+    lines = file_order(text_lines(spark, path, pattern, encoding, unicode_ends)).filter(F.trim("value", F.lit(" \t\r\n")) != "")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+    rows = lines.withColumn("_r", parsed)
+    return rows.select("path", "line", "ord", F.col("value").alias("raw"), (F.col("_r._corrupt").isNotNull() | ~F.ltrim("value").startswith("{")).alias("_bad"), *(f"_r.{f.name}" for f in T._parse_datatype_string(schema).fields if f.name != "ord"))
+
+
+def jsonl_strict(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ("id", "text"), unique: str = "id", **options) -> DataFrame:
+    """Fails with the first bad line: not an object, a required field that is blank (text: null), a repeated id."""
+    rows = jsonl(spark, path, schema, **options)
+    blank = F.lit(False)
+    for name in required:
+        blank = blank | (F.col(name).isNull() if name == "text" else F.coalesce(F.col(name), F.lit("")) == "")
+    if bad := rows.filter(F.col("_bad") | blank).orderBy("ord").first():
+        raise SourceError(f"{bad['path']}:{bad['line']}: invalid record")
+    if again := rows.groupBy(unique).agg(F.count("*").alias("n"), F.max("line").alias("line")).filter("n > 1").first():
+        raise SourceError(f"line {again['line']}: repeated {unique} {again[unique]}")
+    return rows.drop("_bad")
+
+
+def jsonl_or_nothing(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
+    """All rows, or none if any is bad."""
+    rows = jsonl(spark, path, schema, **options)
+    spoiled = F.broadcast(rows.agg(F.max("_bad").alias("_any")))
+    return rows.join(spoiled).filter(~F.coalesce("_any", F.lit(False))).drop("_bad", "_any")
+
+
+def json_document(spark: SparkSession, path: str, default=None, must: bool = False):
+    """A JSON file as a value; what is missing or broken gives the default, or an error if it must be there."""
+    try:
+        raw = files(spark, path).select(decoded("content", F.lit(None).cast("string")).alias("t")).first()
+        return json.loads(raw["t"])
+    except Exception as e:
+        if must:
+            raise SourceError(f"{path}: {type(e).__name__}") from e
+        return default
+
+
+def tsv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """A table with a header; quoted cells may hold tabs and line ends, short rows end in nulls."""
+    df = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path)
+    df = df.toDF(*(c.removeprefix(BOM) for c in df.columns))
+    if lacking := [c for c in required if c not in df.columns]:
+        raise SourceError(f"{path}: no column {', '.join(lacking)}")
+    return df
+
+
+def whole_text(spark: SparkSession, path: str) -> DataFrame:
+    return files(spark, path).select("path", decoded("content", F.lit(None).cast("string")).alias("text"))
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """path below root, size, sha256 of every file, links left out on local trees."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/")
+    below = F.regexp_replace("path", rf"^.*?\Q{base}\E/", "")
+    rows = files(spark, root).select(below.alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    if Path(root).is_dir():
+        links = [str(p.relative_to(root)) for p in Path(root).rglob("*") if p.is_symlink()]
+        if links:
+            rows = rows.filter(~F.col("path").isin(links))
+    return rows
+
+
+def manifest_totals(rows: DataFrame) -> DataFrame:
+    """file_count, total_bytes, entries_sha256 over path, size and content digest in order of the path without case."""
+    entry = F.struct(F.lower("path").alias("k"), F.concat_ws("\0", "path", F.col("size").cast("string"), "sha256").alias("e"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]), "\n")
+    return rows.agg(F.count("*").alias("file_count"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"), F.sha2(whole.cast("binary"), 256).alias("entries_sha256"))
+
+
+def nearest_config(path: str, name: str = "project.json") -> dict:
+    """The first such file in the folder or above it; {} where there is none or it is broken."""
+    for folder in [Path(path).resolve(), *Path(path).resolve().parents]:
+        if (folder / name).is_file():
+            try:
+                value = json.loads((folder / name).read_text(encoding="utf-8-sig"))
+                return value if isinstance(value, dict) else {}
+            except (OSError, ValueError):
+                return {}
+    return {}
+
+
+def walk_json(value, fields: set[str], tokens_by_id: dict, location: str = "$", record_id=None, tokens=()):
+    """(location, id, text, tokens) of selected fields anywhere in a JSON value; id and tokens are inherited."""
+    if isinstance(value, list):
+        for i, item in enumerate(value):
+            yield from walk_json(item, fields, tokens_by_id, f"{location}[{i}]", record_id, tokens)
+    elif isinstance(value, dict):
+        record_id = value["id"] if isinstance(value.get("id"), str) else record_id
+        own = value.get("protected_tokens")
+        tokens = own if isinstance(own, list) and all(isinstance(t, str) for t in own) else tokens_by_id.get(record_id, tokens)
+        here = f"{location}#{record_id}" if record_id else location
+        for key, child in value.items():
+            if key in fields:
+                texts = [("", child)] if isinstance(child, str) else [(f"[{i}]", c) for i, c in enumerate(child)] if isinstance(child, list) else []
+                yield from ((f"{here}.{key}{suffix}", record_id, t, list(tokens)) for suffix, t in texts if isinstance(t, str))
+            if isinstance(child, (dict, list)):
+                yield from walk_json(child, fields, tokens_by_id, f"{here}.{key}", record_id, tokens)
+
+
+def selected_fields(documents: DataFrame, fields: set[str], tokens_by_id: dict | None = None) -> DataFrame:
+    """path, location, id, text, protected_tokens of JSON documents (path, text), one task for each batch of them."""
+    listed = dict(tokens_by_id or {})
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(p, *found) for p, t in zip(pdf["path"], pdf["text"], strict=True) for found in walk_json(json.loads(t), fields, listed)]
+            yield pd.DataFrame(rows, columns=["path", "location", "id", "text", "protected_tokens"])
+
+    return documents.select("path", "text").mapInPandas(run, "path string, location string, id string, text string, protected_tokens array<string>")
