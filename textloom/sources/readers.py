@@ -7,6 +7,7 @@ Order in a file is data: readers of lines give path, line (from 1) and ord. Erro
 from __future__ import annotations
 
 import codecs
+import hashlib
 import json
 from pathlib import Path
 
@@ -116,10 +117,22 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """path below root, size, sha256 of every file, links left out on local trees."""
+    """path below root, size, sha256 of every file, links left out on local trees.
+
+    Scans pass over empty files, so those are listed from the file system.
+    """
     base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/")
     below = F.regexp_replace("path", rf"^.*?\Q{base}\E/", "")
     rows = files(spark, root).select(below.alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listing = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    empty = []
+    while listing.hasNext():
+        entry = listing.next()
+        if entry.getLen() == 0:
+            empty.append((entry.getPath().toUri().getPath().removeprefix(base + "/"), 0, hashlib.sha256().hexdigest()))
+    if empty:
+        rows = rows.unionAll(spark.createDataFrame(empty, "path string, size long, sha256 string"))
     if Path(root).is_dir():
         links = [str(p.relative_to(root)) for p in Path(root).rglob("*") if p.is_symlink()]
         if links:
