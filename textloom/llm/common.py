@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +46,42 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Lowers the session's rows in an Arrow batch to what whole texts need to stay small in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
+def release_memory() -> None:
+    """Gives a worker's freed memory back to the system, as workers outlive their tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not the GNU C library
+
+
+def tidy(run):
+    """A function over a task's batches that releases its memory at the end and now and then."""
+
+    @wraps(run)
+    def tidied(batches, *args):
+        try:
+            for i, out in enumerate(run(batches, *args)):
+                yield out
+                if i % 64 == 63:
+                    release_memory()
+        finally:
+            release_memory()
+
+    return tidied

@@ -14,7 +14,6 @@ their distinct contents cost.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -22,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, shuffle_parts, table, text_or_empty, written
+from .common import cut, shared_dir, shuffle_parts, small_batches, table, text_or_empty, tidy, written
 from .shingles import U, mix, powers
 
 GRAM = 32
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 POSITION = U((1 << 22) - 1)
 
 
@@ -89,7 +88,7 @@ def text_anchors(texts: list[bytes], length: int):
     return home, place, lo, hi, np.concatenate([a[4] for _, a in parts]), np.arange(len(home)) - first[home]
 
 
-def byte_portions(texts: list[bytes], most: int = 1 << 21):
+def byte_portions(texts: list[bytes], most: int = 1 << 19):
     start, held = 0, 0
     for i, t in enumerate(texts):
         if held and held + len(t) > most:
@@ -107,6 +106,7 @@ def ints(*arrays) -> bytes:
 def repeated_anchors(texts: DataFrame, length: int, parts: int) -> DataFrame:
     """rid, ordinals (int32 bytes): the anchors whose gram another anchor also has."""
 
+    @tidy
     def scan(batches):
         for batch in batches:
             rids, raws = batch.column(0).to_numpy(), batch.column(1).to_pylist()
@@ -130,6 +130,7 @@ def repeated_anchors(texts: DataFrame, length: int, parts: int) -> DataFrame:
                     names=["part", "entries", "hashes", "known"],
                 )
 
+    @tidy
     def meet(batches):
         rids, marks, hashes = [], [], []
 
@@ -334,15 +335,16 @@ def spans_table(spans: list):
     return pa.RecordBatch.from_arrays([pa.array(a[at, 0], pa.int64()), pa.array(blobs, pa.binary())], names=["rid", "spans"])
 
 
-def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int, sample: int = 2000, entries: int = 100_000) -> DataFrame:
+def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int, sample: int = 2000, entries: int = 50_000) -> DataFrame:
     """rid, spans (list of int64 bytes) to be removed from texts (rid, doc, raw)."""
     n = picked.count()
-    rows = attached(texts, picked, n, "inner").select("rid", "doc", "raw", "ordinals")
+    rows = attached(texts, picked, "ordinals", "inner").select("rid", "doc", "raw", "ordinals")
 
     def unpack(batch):
         picks = [np.unique(np.concatenate([np.frombuffer(b, dtype=np.int32) for b in p])).astype(np.int64) for p in batch.column(3).to_pylist()]
         return batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), picks
 
+    @tidy
     def keys(batches):
         for batch in batches:
             rids, docs, raws, picks = unpack(batch)
@@ -354,6 +356,7 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
     seen = sorted(r[0] for r in few.mapInArrow(keys, "key binary").collect())
     splitters = sorted({bytes(seen[len(seen) * i // parts]) for i in range(1, parts)}) if seen else []
 
+    @tidy
     def runs(batches):
         from bisect import bisect_left
 
@@ -385,6 +388,7 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
         if held:
             yield flush()
 
+    @tidy
     def merge(batches):
         parts_of_runs = []
         for batch in batches:
@@ -416,9 +420,11 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
     return dealt.mapInArrow(merge, "rid long, spans binary").groupBy("rid").agg(F.collect_list("spans").alias("spans"))
 
 
-def attached(texts: DataFrame, side: DataFrame, n: int, how: str, broadcast_rows: int = 200_000) -> DataFrame:
-    """texts joined with a row's data by rid; broadcast only if there are few rows."""
-    return texts.join(F.broadcast(side) if n <= broadcast_rows else side, "rid", how)
+def attached(texts: DataFrame, side: DataFrame, blobs: str, how: str, broadcast_bytes: int = 8 << 20) -> DataFrame:
+    """texts joined with a row's data by rid; broadcast only if it is small, each row counted with its overhead."""
+    held = F.aggregate(blobs, F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 64)
+    total = side.agg(F.sum(held + 128)).first()[0] or 0
+    return texts.join(F.broadcast(side) if total <= broadcast_bytes else side, "rid", how)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column], Column] = lambda kept: kept) -> DataFrame:
@@ -432,6 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     the gram size 32 and at most 255. kept_as makes what is given as kept of the remaining bytes, before
     rows are put together, so that a digest of them doesn't shuffle the bytes.
     """
+    small_batches(docs.sparkSession)
     parts = max(2, shuffle_parts(docs.sparkSession))
     raw = text_or_empty().cast("binary")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw).alias("k1"), F.xxhash64(F.lit(1), F.octet_length(raw), raw).alias("k2"), raw.alias("raw"))
@@ -444,6 +451,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     picked = written(repeated_anchors(long, length, parts))
     spans = cut(repeated_spans(long, picked, length, parts))
 
+    @tidy
     def apply(batches):
         for batch in batches:
             removed, n_spans, kept = [], [], []
@@ -463,7 +471,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
                 kept.append(np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())], names=["k1", "k2", "n_removed", "n_spans", "kept"])
 
-    done = attached(texts, spans, spans.count(), "left").select("k1", "k2", "raw", "spans").mapInArrow(apply, "k1 long, k2 long, n_removed long, n_spans long, kept binary")
+    done = attached(texts, spans, "spans", "left").select("k1", "k2", "raw", "spans").mapInArrow(apply, "k1 long, k2 long, n_removed long, n_spans long, kept binary")
     done = done.withColumn("kept", kept_as(F.col("kept")))
     sizes = texts.select("k1", "k2", "doc", F.octet_length("raw").cast("long").alias("n_bytes"))
     done = done.join(sizes, ["k1", "k2"])
@@ -480,18 +488,3 @@ def op10_repeats(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents"), kept_as=lambda kept: F.sha2(kept, 256))
     return out.withColumnRenamed("kept", "kept_sha256")
 
-
-def brute_force(rows: list[tuple[int, str | None]], length: int = 100) -> list[tuple]:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) in order of doc_id; for small inputs."""
-    seen, out = set(), []
-    for doc_id, text in sorted(rows, key=lambda r: r[0]):
-        raw = (text or "").encode()
-        gone = bytearray(len(raw))
-        for i in range(len(raw) - length + 1):
-            s = raw[i : i + length]
-            if s in seen:
-                gone[i : i + length] = b"\1" * length
-            seen.add(s)
-        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
-        out.append((doc_id, len(raw), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)), hashlib.sha256(kept).hexdigest()))
-    return out
