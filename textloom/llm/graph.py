@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
     """node, component (the least node reachable) for every node of edges (a, b: long).
 
     Rounds of taking the least label among neighbours and then the label's own label, until no label
     changes; the number of rounds grows with the logarithm of the longest path. Loops and repeated
-    edges do no harm; no edges give no rows.
+    edges do no harm; no edges give no rows. Tables are kept in parts of about rows_per_part rows, so
+    that a small graph's rounds are cheap.
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
+    parts = min(both.rdd.getNumPartitions(), 1 + both.count() // rows_per_part)
+    both = cut(both.coalesce(parts))
+    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")).coalesce(parts))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
         lower = labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("was"), F.least("component", "m").alias("component"))
-        lower = cut(lower)
+        lower = cut(lower.coalesce(parts))
         jump = lower.select(F.col("node").alias("at"), F.col("component").alias("next"))
-        labels = cut(lower.join(jump, lower["component"] == jump["at"]).select("node", "was", F.least("component", "next").alias("component")))
+        labels = cut(lower.join(jump, lower["component"] == jump["at"]).select("node", "was", F.least("component", "next").alias("component")).coalesce(parts))
         changed = labels.filter("component <> was").limit(1).count()
         labels = labels.select("node", "component")
         if not changed:

@@ -2,11 +2,11 @@
 
 Each tree is a sorted order of all distinct shingle sets by the tree's own min-hash values. Sets
 whose longest common prefix with their neighbour has at least `base` values form a region. In a
-small region all pairs are candidates; in a larger one a set is paired with its neighbour and with
-the first set of its run at each greater depth, so that the depth adapts to the region. What large
-regions leave open is settled exactly afterwards: sets that haven't joined the region's largest
-component are compared with all others of the region by their whole signatures, in tiles of bounded
-size. Candidates are confirmed on full shingle sets; classes are connected components.
+small region all pairs are candidates; in a larger one each set is paired with its neighbour, with
+which it shares the longest prefix, so that the depth adapts to the region. What larger regions
+leave open is settled exactly afterwards: sets of different components are compared in blocks, and
+what hasn't joined a large region's largest component then with the whole region, in tiles of
+bounded size. All links are confirmed on full shingle sets; classes are connected components.
 
 With J >= 0.85, base 5 and 24 trees a linked pair misses every region with a chance below 1e-6.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import portions
-from .common import cut, table, text_or_empty, written
+from .common import cut, release_memory, small_batches, table, text_or_empty, tidy, written
 from .graph import components
 from .shingles import U, mix, set_key, shingle_sets
 
@@ -47,10 +47,11 @@ def signatures(sets: list[np.ndarray], n: int = TREES * DEPTH) -> np.ndarray:
 def sketches(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n_shingles, cls (the set's key; null if empty), sig (null if empty)."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for start, stop in portions(texts):
+            for start, stop in portions(texts, 1 << 18):
                 sets = shingle_sets(texts[start:stop], k)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows = iter(signatures([sets[i] for i in full]) if full else ())
@@ -68,29 +69,26 @@ def alike(a, b, percent: int):
     return np.minimum(a, b) * 100 >= np.maximum(a, b) * percent
 
 
-def run_pairs(cls: np.ndarray, n: np.ndarray, lcp: np.ndarray, percent: int, whole: int):
-    """Candidates of one region in its sorted order; lcp[i] is that of i and i - 1."""
+def run_pairs(cls: np.ndarray, n: np.ndarray, percent: int, whole: int):
+    """Candidates of one region in its sorted order: all pairs, or beyond `whole` sets neighbours."""
     m = len(cls)
     if m <= whole:
         i, j = np.triu_indices(m, 1)
     else:
-        at = np.arange(1, m)
-        lefts = [at - 1, np.zeros(m - 1, dtype=np.int64)]
-        for depth in range(BASE_DEPTH + 1, DEPTH + 1):
-            heads = np.maximum.accumulate(np.where(lcp >= depth, 0, np.arange(m)))
-            lefts.append(heads[1:])
-        i, j = np.concatenate(lefts), np.tile(at, len(lefts))
+        j = np.arange(1, m)
+        i = j - 1
     ok = (cls[i] != cls[j]) & alike(n[i], n[j], percent)
     return np.minimum(cls[i[ok]], cls[j[ok]]), np.maximum(cls[i[ok]], cls[j[ok]])
 
 
-def forest(classes: DataFrame, percent: int, whole: int = 64, most: int = 50_000) -> DataFrame:
+def forest(classes: DataFrame, percent: int, whole: int = 4, most: int = 50_000) -> DataFrame:
     """kind 0: a candidate pair (a, b). kind 1: set a is in region b, which run_pairs hasn't settled."""
     trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * WIDTH + 1, F.lit(WIDTH)).alias("key")))
     rows = classes.select(F.explode(trees).alias("t"), "cls", "n").select("t.tree", "t.key", "cls", "n")
     parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartitionByRange(parts, "tree", "key", "cls").sortWithinPartitions("tree", "key", "cls")
 
+    @tidy
     def run(batches):
         held, first = None, True
 
@@ -109,7 +107,7 @@ def forest(classes: DataFrame, percent: int, whole: int = 64, most: int = 50_000
             for r in np.flatnonzero((sizes > 1) | (starts == 0) & first | (ends == len(cls)) & open_at_end).tolist():
                 s, e = starts[r], ends[r]
                 if e - s > 1:
-                    lo, hi = run_pairs(cls[s:e], n[s:e], lcp[s:e], percent, whole)
+                    lo, hi = run_pairs(cls[s:e], n[s:e], percent, whole)
                     lows.append(lo)
                     highs.append(hi)
                 if e - s > whole or first and s == 0 or open_at_end and e == len(cls):
@@ -117,7 +115,7 @@ def forest(classes: DataFrame, percent: int, whole: int = 64, most: int = 50_000
                     for c in range(BASE_DEPTH):
                         h = mix(h * U(31) + key[s, c].astype(U))
                     members.append(cls[s:e])
-                    regions.append(np.full(e - s, h.view(np.int64)[0]))
+                    regions.append(np.full(e - s, (int(h.view(np.int64)[0]) >> 5 << 5) + int(tree[s])))  # the tree is in the low bits
             first = False
             if lows and len(lo := np.concatenate(lows)):
                 pair = np.unique(np.stack([lo, np.concatenate(highs)], axis=1), axis=0)
@@ -150,72 +148,105 @@ def forest(classes: DataFrame, percent: int, whole: int = 64, most: int = 50_000
     return rows.mapInArrow(run, "kind int, a long, b long")
 
 
-def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, k: int, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have 100 * intersection >= percent * union."""
-    pairs = cut(pairs.distinct())
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    ids = cut(needed.join(classes, "cls").select("cls", F.col("rep").alias("doc_id")))
+def set_table(docs: DataFrame, ids: DataFrame, k: int, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """cls, members (its sorted hashes) for the classes of ids (cls, doc_id of one of its texts)."""
     only = ids.select("doc_id").distinct()
     only = F.broadcast(only) if ids.count() <= broadcast_ids else only
 
+    @tidy
     def run(batches):
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for start, stop in portions(texts):
+            for start, stop in portions(texts, 1 << 18):
                 sets = shingle_sets(texts[start:stop], k)
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "members"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(only, "doc_id", "left_semi").select("text")
     sets = texts.mapInArrow(run, "cls long, members binary").join(ids.select("cls"), "cls", "left_semi")
-    sets = written(sets.groupBy("cls").agg(F.first("members").alias("members")))
+    return written(sets.groupBy("cls").agg(F.first("members").alias("members")))
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    at = np.searchsorted(x, y)
+    at[at == len(x)] = 0
+    common = int((x[at] == y).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs (a, b) of classes that are linked."""
+    pairs = cut(pairs.distinct())
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = set_table(docs, cut(needed.join(classes, "cls").select("cls", F.col("rep").alias("doc_id"))), k)
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb")
 
+    @tidy
     def confirm(batches):
         for batch in batches:
-            keep = []
-            for sa, sb in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=U) for s in (sa, sb))
-                z = np.concatenate((x, y))
-                z.sort()
-                common = int((z[1:] == z[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            keep = [linked(*(np.frombuffer(s.as_buffer(), dtype=U) for s in p), percent) for p in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return cut(both.mapInArrow(confirm, "a long, b long"))
 
 
-def rest_pairs(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, block: int = 2048) -> DataFrame:
-    """Candidates (a, b) between components within regions, by estimates from whole signatures.
+def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, k: int, within: bool, block: int = 512) -> DataFrame:
+    """Links (a, b) between components inside regions; for a set, one to each other component.
+
+    within: all pairs inside blocks of about `block` sets of a region, which costs in proportion to
+    the region and is all of a small one. Otherwise, for regions of more than one block: every set
+    outside the region's largest component against the whole region, in tiles.
 
-    An estimate from 144 values has a standard deviation of 0.03 at 0.85, so a pair is let go only
-    0.2 below the threshold.
+    Pairs are passed over whose 144 values agree 0.2 below the threshold (the estimate's standard
+    deviation is 0.03 there); the rest are compared by their full sets, each pair in the first tree
+    that brings it together. No candidates leave a tile, only links.
     """
     inside = members.select(F.col("b").alias("region"), F.col("a").alias("cls")).distinct()
     inside = inside.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     counts = inside.groupBy("region", "component").agg(F.count("*").alias("c"))
     regions = counts.groupBy("region").agg(F.sum("c").alias("m"), F.max("c").alias("top"), F.max_by("component", F.struct("c", "component")).alias("largest"), F.count("*").alias("comps")).filter("comps > 1")
-    inside = cut(inside.join(regions.drop("comps"), "region").join(classes.select("cls", "n", "sig"), "cls"))
+    if not within:
+        regions = regions.filter(F.col("m") > block)
+    inside = cut(inside.join(regions.drop("comps"), "region"))
+    if not inside.limit(1).count():
+        return inside.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+    ids = cut(inside.select("cls").distinct().join(classes, "cls").select("cls", F.col("rep").alias("doc_id")))
+    known = set_table(docs, ids, k).join(classes.select("cls", "n", "sig"), "cls")
     lbs, rbs = F.ceil((F.col("m") - F.col("top")) / block).cast("int"), F.ceil(F.col("m") / block).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("cls", "region"), n).cast("int")
-    left = inside.filter("component <> largest").select("region", spot(lbs).alias("lb"), F.explode(F.sequence(F.lit(0), rbs - 1)).alias("rb"), "cls", "component", "n", "sig")
-    right = inside.select("region", F.explode(F.sequence(F.lit(0), lbs - 1)).alias("lb"), spot(rbs).alias("rb"), "cls", "component", "n", "sig")
-    left = left.select(*(F.col(c).alias(f"x_{c}") for c in left.columns))
-
     def tile(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(x) and len(y):
-            sy = np.frombuffer(b"".join(y["sig"]), dtype=np.uint32).reshape(len(y), -1)
-            sx = np.frombuffer(b"".join(x["x_sig"]), dtype=np.uint32).reshape(len(x), -1)
+            tree = int(y["region"].iloc[0]) & 31
+            sy = np.frombuffer(b"".join(y["sig"]), dtype=np.uint32).reshape(len(y), TREES, DEPTH)
+            sx = np.frombuffer(b"".join(x["x_sig"]), dtype=np.uint32).reshape(len(x), TREES, DEPTH)
             cy, ny, ky = y["cls"].to_numpy(), y["n"].to_numpy(), y["component"].to_numpy()
-            least = (percent / 100 - 0.2) * sy.shape[1]
-            for i, (cx, nx, kx) in enumerate(zip(x["x_cls"], x["x_n"], x["x_component"], strict=True)):
-                near = np.flatnonzero((ky != kx) & alike(nx, ny, percent))
-                near = near[(sy[near] == sx[i]).sum(axis=1) >= least]
-                out += [(min(cx, c), max(cx, c)) for c in cy[near].tolist()]
+            sets = [np.frombuffer(m, dtype=U) for m in y["members"]]
+            least = (percent / 100 - 0.2) * TREES * DEPTH
+            for i, (cx, nx, kx, mx) in enumerate(zip(x["x_cls"], x["x_n"], x["x_component"], x["x_members"], strict=True)):
+                near = np.flatnonzero((ky != kx) & alike(nx, ny, percent) & ((cy > cx) if within else True))
+                same = sy[near] == sx[i]
+                near = near[(same.sum(axis=(1, 2)) >= least) & (same[:, :, :BASE_DEPTH].all(axis=2).argmax(axis=1) == tree)]
+                met, mine = set(), np.frombuffer(mx, dtype=U)
+                for j in near.tolist():
+                    if ky[j] not in met and linked(mine, sets[j], percent):
+                        met.add(ky[j])
+                        out.append((min(cx, cy[j]), max(cx, cy[j])))
+        if len(x) + len(y) > block // 4:
+            release_memory()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return left.groupBy("x_region", "x_lb", "x_rb").cogroup(right.groupBy("region", "lb", "rb")).applyInPandas(tile, "a long, b long").distinct()
+    cols = ["cls", "component"]
+    if within:
+        blocks = inside.select("region", spot(rbs).alias("lb"), *cols).join(known, "cls")
+        found = blocks.groupBy("region", "lb").applyInPandas(lambda x: tile(x.add_prefix("x_"), x), "a long, b long")
+        return cut(found.distinct())
+    left = inside.filter("component <> largest").select("region", spot(lbs).alias("lb"), F.explode(F.sequence(F.lit(0), rbs - 1)).alias("rb"), *cols).join(known, "cls")
+    right = inside.select("region", F.explode(F.sequence(F.lit(0), lbs - 1)).alias("lb"), spot(rbs).alias("rb"), *cols).join(known, "cls")
+    left = left.select(*(F.col(c).alias(f"x_{c}") for c in left.columns))
+
+    return cut(left.groupBy("x_region", "x_lb", "x_rb").cogroup(right.groupBy("region", "lb", "rb")).applyInPandas(tile, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
@@ -224,27 +255,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     Documents are linked if 100 * intersection >= percent * union of their distinct k-word shingles
     (A-Z lower-cased, words parted by ASCII white space; with fewer words, all of them as one).
     component_id is the smallest doc_id reachable over links, kept whether it is the row's own;
-    n_links counts the other distinct shingle sets that a confirmed candidate joins to the row's.
+    n_links counts the other distinct shingle sets that confirmed links join to the row's; links
+    inside a component that is already joined aren't all looked for.
     Null, empty and blank texts have no shingles and link with nothing: they keep their own id.
     Repeated rows fall in one class and share an outcome; a null doc_id never names a class with
     other ids. Other columns are ignored; an empty table gives an empty one. Sets are compared by
     64-bit hashes of their shingles.
     """
+    small_batches(docs.sparkSession)
     known = written(sketches(docs, k))
     full = known.filter(F.col("cls").isNotNull())
     classes = written(full.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     found = cut(forest(classes, percent).distinct())
     edges = similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k)
     comps = components(edges)
-    rest = cut(rest_pairs(found.filter("kind = 1"), classes, comps, percent))
-    if rest.limit(1).count():
-        more = similar(docs, classes, rest, percent, k)
-        edges = cut(edges.union(more).distinct())
-        comps = components(edges)
+    for within in (True, False):
+        more = rest_links(docs, found.filter("kind = 1"), classes, comps, percent, k, within)
+        if more.limit(1).count():
+            edges = cut(edges.union(more).distinct())
+            comps = components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
-    linked = classes.select("cls", "rep").join(comps.withColumnRenamed("node", "cls"), "cls")
-    least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
-    placed = cut(linked.join(least, "component").join(degree, "cls").select("cls", "component_id", "n_links"))
+    joined = classes.select("cls", "rep").join(comps.withColumnRenamed("node", "cls"), "cls")
+    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
+    placed = cut(joined.join(least, "component").join(degree, "cls").select("cls", "component_id", "n_links"))
     whole = classes.select("cls", "rep").join(placed, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = known.select("doc_id", "n_shingles", "cls").join(whole, "cls", "left")
     own = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
