@@ -209,6 +209,8 @@ def test_digests():
     a, b = D.snapshot_digest("x.json", '{"b": 1, "a": 2}'), D.snapshot_digest("x.json", '{"a":2,"b":1}')
     assert a == b and D.snapshot_digest("x.txt", "a\r\n") == D.snapshot_digest("x.txt", "a")
     assert D.prefix_text([("t", "text", "x")])[1] == D.prefix_text([("t", "text", "x\n")])[1]
+    assert D.canonical_tsv('a\t"b"\r\nc\td\n\n') == "a\tb\nc\td\n"
+    assert (D.relative_name("/p/x/y", "/p"), D.relative_name("/q/y", "/p"), D.relative_name("/q/y", "/p", name_only=True)) == ("x/y", "/q/y", "y")
     assert D.compact_json({"__l": 1, "a": "é"}, drop_internal=True) == '{"a":"é"}'
 
 

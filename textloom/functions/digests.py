@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
+import io
 import json
+from pathlib import PurePath
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,6 +68,20 @@ def canonical_text(c: Column) -> Column:
     return F.concat(F.regexp_replace(F.regexp_replace(c, "\r\n?", "\n"), r"\n+\z", ""), F.lit("\n"))
 
 
+def canonical_tsv(content: str) -> str:
+    """Cells of a tab-separated table put together again without quotes, LF line ends, one at the end."""
+    rows = csv.reader(io.StringIO(content.removeprefix("\ufeff")), delimiter="\t")
+    return "\n".join("\t".join(r) for r in rows).rstrip("\n") + "\n"
+
+
+def relative_name(path: str, root: str, name_only: bool = False) -> str:
+    """path below root with slashes; a path elsewhere by its name only, or as it is."""
+    p, r = PurePath(path), PurePath(root)
+    if p.is_relative_to(r):
+        return p.relative_to(r).as_posix()
+    return p.name if name_only else p.as_posix()
+
+
 def snapshot_digest(name: str, content: str) -> str:
     """Of a decision file: canonical JSON, canonical JSON lines or LF-normalised text, by its suffix."""
     if name.endswith(".json"):
