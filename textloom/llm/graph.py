@@ -17,7 +17,7 @@ def components(edges: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
     that a small graph's rounds are cheap.
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    parts = min(both.rdd.getNumPartitions(), 1 + both.count() // rows_per_part)
+    parts = max(1, min(both.rdd.getNumPartitions(), 1 + both.count() // rows_per_part))
     both = cut(both.coalesce(parts))
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")).coalesce(parts))
     while True:
