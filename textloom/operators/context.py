@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,15 +49,23 @@ def scene_of(entries: DataFrame) -> DataFrame:
     return rows.select("job_id", F.array_join(F.transform("rs", lambda r: r["text"]), "\n").alias("scene_text"), speakers.alias("speakers"), F.col("rs")[0]["route"].alias("route"))
 
 
-def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column, block: int = 2000) -> DataFrame:
-    """job_id, key: items of which a name is a speaker or stands in the scene's text.
+def blocks(items: DataFrame, column: Column, block: int = 2000) -> list[DataFrame]:
+    """The items' values in tables of one row with an array of at most `block` of them.
 
-    Items go along as one array in blocks of at most `block`, tested in each row.
+    For parts of a bible, which fit on the driver; each table is small enough to go along with a task.
     """
-    rows = items.select(F.struct(F.col(key).alias("key"), F.filter(names, lambda n: F.coalesce(n, F.lit("")) != "").alias("names")).alias("item"))
-    blocks = rows.withColumn("b", F.floor((F.row_number().over(Window.orderBy(F.col("item.key"))) - 1) / block)).groupBy("b").agg(F.collect_list("item").alias("items"))
+    values = items.select(column.alias("v"))
+    rows = [(r["v"],) for r in values.collect()]
+    kind = values.schema["v"].dataType.simpleString()
+    return [items.sparkSession.createDataFrame([([r[0] for r in rows[at : at + block]],)], f"items array<{kind}>") for at in range(0, max(1, len(rows)), block)]
+
+
+def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column) -> DataFrame:
+    """job_id, key: items of which a name is a speaker or stands in the scene's text, tested in each row."""
+    entry = F.struct(F.col(key).alias("key"), F.filter(names, lambda n: F.coalesce(n, F.lit("")) != "").alias("names"))
     met = lambda i: F.exists(i["names"], lambda n: F.array_contains(F.col("speakers"), n) | F.contains(F.col("scene_text"), n))
-    return scenes.join(F.broadcast(blocks)).select("job_id", F.explode(F.filter("items", met)).alias("i")).select("job_id", F.col("i.key").alias(key))
+    parts = [scenes.join(F.broadcast(one)).select("job_id", F.explode(F.filter("items", met)).alias("i")).select("job_id", F.col("i.key").alias(key)) for one in blocks(items, entry)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def select_characters(scenes: DataFrame, characters: DataFrame) -> DataFrame:
@@ -90,6 +100,8 @@ def select_calibration(scenes: DataFrame, terms: DataFrame, examples: DataFrame,
     rows = examples.select("ord", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("speaker", F.lit("")).alias("speaker"))
     by_speaker = scenes.select("job_id", F.explode("speakers").alias("speaker")).join(rows, "speaker").select("job_id", "ord")
     own = terms.groupBy("job_id").agg(F.collect_set("source").alias("terms"))
-    by_term = own.join(F.broadcast(rows)).filter(F.exists("terms", lambda t: F.contains(F.col("source"), t))).select("job_id", "ord")
+    met = lambda e: F.exists("terms", lambda t: F.contains(e["source"], t))
+    parts = [own.join(F.broadcast(one)).select("job_id", F.explode(F.filter("items", met)).alias("e")).select("job_id", "e.ord") for one in blocks(rows, F.struct("ord", "source"))]
+    by_term = reduce(DataFrame.unionAll, parts)
     w = Window.partitionBy("job_id").orderBy("ord")
     return by_speaker.unionAll(by_term).distinct().withColumn("n", F.row_number().over(w)).filter(F.col("n") <= limit).drop("n")

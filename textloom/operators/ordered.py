@@ -23,7 +23,7 @@ def with_group_numbers(df: DataFrame, key: Column, order: str = "ord", bucket: i
     ends = ends.withColumn("_joins", joins)
     base = F.sum(F.col("_joins")).over(across) + F.coalesce(F.sum("n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ends = ends.select("_bucket", base.alias("_base"))
-    out = rows.join(F.broadcast(ends) if bucket >= 10_000 else ends, "_bucket")
+    out = rows.join(ends, "_bucket")  # rows are dealt by bucket already
     return out.withColumn(name, (F.col("_base") + F.sum("_change").over(inside)).cast("long")).drop("_key", "_break", "_bucket", "_change", "_base")
 
 

@@ -61,7 +61,7 @@ def file_order(df: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     paths = df.select("path").distinct().withColumn("_file", F.row_number().over(Window.orderBy(F.lower("path"), "path")))
-    return df.join(F.broadcast(paths), "path").withColumn("ord", F.col("_file").cast("long") * F.lit(1 << 32) + F.col("line")).drop("_file")
+    return df.join(paths, "path").withColumn("ord", F.col("_file").cast("long") * F.lit(1 << 32) + F.col("line")).drop("_file")
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, pattern: str | None = None, encoding: str | None = None, unicode_ends: bool = False) -> DataFrame:
