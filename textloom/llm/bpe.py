@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import small_batches, table, text_or_empty, tidy
 
 NONE = np.int64(1) << 40
 
@@ -34,7 +34,7 @@ def read_ranks(path: str) -> list[bytes]:
 class Encoder:
     """Encodes pieces of text; keeps the ids of up to max_known pieces, then forgets them all."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, max_known: int = 400_000):
+    def __init__(self, tokens: list[bytes], pattern: str, max_known: int = 150_000):
         import regex
 
         self.tokens, self.split, self.max_known = tokens, regex.compile(pattern).findall, max_known
@@ -185,7 +185,7 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def portions(texts: list[str], most: int = 1 << 20):
+def portions(texts: list[str], most: int = 1 << 19):
     """Slices of a list whose texts have about `most` characters together, longer texts alone."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -205,6 +205,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     table gives an empty one. A piece that is a token itself is taken whole; no special tokens.
     """
 
+    @tidy
     def run(batches):
         coder = _encoder(path, pattern)
         for batch in batches:
@@ -214,13 +215,16 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=ends[-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
+        coder.known.clear()  # an idle worker shall hold little
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     """Adds decoded (binary): the bytes of the ids, put together. Null ids decode to nothing."""
 
+    @tidy
     def run(batches):
         tokens = pa.array(_tokens(path), type=pa.binary())
         for batch in batches:

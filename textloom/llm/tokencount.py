@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import portions
-from .common import table, text_or_empty
+from .common import small_batches, table, text_or_empty, tidy
 
 FINAL = 256  # added to a word's last byte, which carries the word's end
 
@@ -200,11 +200,13 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk: int = 1 <
     an empty one. A text of more than `chunk` code points is read in chunks by several tasks, whose
     state maps are composed in order.
     """
+    small_batches(docs.sparkSession)
     text = text_or_empty()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     long = F.col("n_bytes") > chunk
     pieces = F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / F.lit(chunk)).cast("int")), lambda i: F.substr("text", i * chunk + 1, F.lit(chunk)))
 
+    @tidy
     def maps(batches):
         counter = _counter(path)
         for batch in batches:
@@ -222,6 +224,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk: int = 1 <
     mapped = parts.mapInArrow(maps, "row long, doc_id long, n_bytes long, no int, head string, count long, tail string, reset boolean")
     each = mapped.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("no", "head", "count", "tail", "reset"))).alias("maps"))
 
+    @tidy
     def scans(batches):
         counter = _counter(path)
         for batch in batches:
