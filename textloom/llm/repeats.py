@@ -14,6 +14,7 @@ their distinct contents cost.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -338,7 +339,7 @@ def spans_table(spans: list):
 def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int, sample: int = 2000, entries: int = 50_000) -> DataFrame:
     """rid, spans (list of int64 bytes) to be removed from texts (rid, doc, raw)."""
     n = picked.count()
-    rows = attached(texts, picked, "ordinals", "inner").select("rid", "doc", "raw", "ordinals")
+    rows = attached(texts, picked, "inner").select("rid", "doc", "raw", "ordinals")
 
     def unpack(batch):
         picks = [np.unique(np.concatenate([np.frombuffer(b, dtype=np.int32) for b in p])).astype(np.int64) for p in batch.column(3).to_pylist()]
@@ -420,11 +421,19 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
     return dealt.mapInArrow(merge, "rid long, spans binary").groupBy("rid").agg(F.collect_list("spans").alias("spans"))
 
 
-def attached(texts: DataFrame, side: DataFrame, blobs: str, how: str, broadcast_bytes: int = 8 << 20) -> DataFrame:
-    """texts joined with a row's data by rid; broadcast only if it is small, each row counted with its overhead."""
-    held = F.aggregate(blobs, F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 64)
-    total = side.agg(F.sum(held + 128)).first()[0] or 0
-    return texts.join(F.broadcast(side) if total <= broadcast_bytes else side, "rid", how)
+def attached(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
+    """texts joined with a row's data (rid, ...) at their buckets, so that texts aren't shuffled."""
+    keyed = side.join(texts.select("rid", "k1", "k2"), "rid").drop("rid")
+    return texts.join(keyed.hint("shuffle_hash"), ["k1", "k2"], how)
+
+
+def bucketed(texts: DataFrame, parts: int) -> DataFrame:
+    """texts with rid, from a table in the shared folder in buckets of (k1, k2)."""
+    spark = texts.sparkSession
+    name = f"textloom_{uuid.uuid4().hex}"
+    rows = texts.withColumn("rid", F.monotonically_increasing_id())
+    rows.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").bucketBy(parts, "k1", "k2").saveAsTable(name)
+    return spark.table(name)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column], Column] = lambda kept: kept) -> DataFrame:
@@ -444,18 +453,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw).alias("k1"), F.xxhash64(F.lit(1), F.octet_length(raw), raw).alias("k2"), raw.alias("raw"))
     least = F.lit(-(1 << 63)).cast("long")
     texts = keyed.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", least)).alias("doc"), F.first("raw").alias("raw"))
-    path = f"{shared_dir(docs.sparkSession)}/texts-{docs.sparkSession.sparkContext.applicationId}-{id(texts)}"
-    texts.withColumn("rid", F.monotonically_increasing_id()).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    texts = docs.sparkSession.read.parquet(path)
-    long = texts.filter(F.octet_length("raw") >= length)
-    picked = written(repeated_anchors(long, length, parts))
-    spans = cut(repeated_spans(long, picked, length, parts))
+    texts = bucketed(texts, parts)
+    picked = written(repeated_anchors(texts, length, parts))
+    spans = cut(repeated_spans(texts, picked, length, parts))
 
     @tidy
     def apply(batches):
         for batch in batches:
-            removed, n_spans, kept = [], [], []
-            for raw, blobs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            sizes, removed, n_spans, kept = [], [], [], []
+            for raw, blobs in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                sizes.append(len(raw))
                 if not blobs:
                     removed.append(0)
                     n_spans.append(0)
@@ -469,12 +476,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
                 removed.append(int(gone.sum()))
                 n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 kept.append(np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())], names=["k1", "k2", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(x, pa.int64()) for x in (sizes, removed, n_spans)), pa.array(kept, pa.binary())], names=["k1", "k2", "doc", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    done = attached(texts, spans, "spans", "left").select("k1", "k2", "raw", "spans").mapInArrow(apply, "k1 long, k2 long, n_removed long, n_spans long, kept binary")
+    done = attached(texts, spans, "left").select("k1", "k2", "doc", "raw", "spans").mapInArrow(apply, "k1 long, k2 long, doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     done = done.withColumn("kept", kept_as(F.col("kept")))
-    sizes = texts.select("k1", "k2", "doc", F.octet_length("raw").cast("long").alias("n_bytes"))
-    done = done.join(sizes, ["k1", "k2"])
     rows = keyed.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("n"))
     rows = rows.select("doc_id", "k1", "k2", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")).join(done, ["k1", "k2"])
     whole = ((F.col("copy") > 1) | (F.coalesce("doc_id", least) != F.col("doc"))) & (F.col("n_bytes") >= length)
@@ -488,3 +493,26 @@ def op10_repeats(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents"), kept_as=lambda kept: F.sha2(kept, 256))
     return out.withColumnRenamed("kept", "kept_sha256")
 
+
+ORACLE_OP10 = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+    SELECT doc_id, i, md5(substr(h, 2 * i - 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 98)) AS i FROM d WHERE length(h) >= 200)
+), f AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1
+), g AS (
+    SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS c FROM f
+), spans AS (
+    SELECT doc_id, min(i) AS a, max(i) + 99 AS b FROM (SELECT doc_id, i, sum(c) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY doc_id, k
+), kept AS (
+    SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS lo, a - 1 AS hi FROM spans
+    UNION ALL SELECT d.doc_id, coalesce(max(b), 0) + 1, any_value(length(h) // 2) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+), t AS (
+    SELECT k.doc_id, string_agg(substr(h, 2 * lo - 1, 2 * (hi - lo + 1)), '' ORDER BY lo) AS kept FROM kept k JOIN d USING (doc_id) WHERE hi >= lo GROUP BY k.doc_id
+), c AS (
+    SELECT doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(t.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
