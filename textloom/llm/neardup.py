@@ -285,4 +285,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
 
 
 def op1_near_duplicates(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("n_links")
+
+
+ORACLE_OP1 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w
+), f AS (
+    SELECT doc_id, unnest(sh) AS g FROM s
+), n AS (
+    SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM f a JOIN f b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), e AS (
+    SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+    SELECT doc_id, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id
+)
+SELECT doc_id, any_value(n.n) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept FROM r JOIN n USING (doc_id) GROUP BY doc_id
+"""

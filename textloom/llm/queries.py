@@ -19,6 +19,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_duplicates": neardup.ORACLE_OP1,
     "op5_nearest_neighbours": neighbours.ORACLE_OP5,
     "op7_chat_formatting": chat.oracle_sql(),
+    "op10_repeats": repeats.ORACLE_OP10,
 }
