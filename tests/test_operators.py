@@ -231,3 +231,45 @@ def test_streamed_statuses(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [tuple(r) for r in spark.table("latest").collect()] == [("j1", "assigned", 2)] == [tuple(r) for r in latest_statuses(df).collect()]
+
+
+def test_gates_across_artifacts(spark):
+    jobs = spark.createDataFrame([("a", "assigned", "d1", 1, ["x", "y"]), ("b", "reviewed", "d2", 1, ["z"]), ("c", "pending", "d3", 1, ["w"])], "job_id string, status string, source_digest string, bible_version long, entry_ids array<string>")
+    bundles = spark.createDataFrame([("a", True, "d1", 1, "p", "s", True), ("b", True, "old", 2, "q", "t", False)], "job_id string, valid boolean, source_digest string, bible_version long, shared_prefix_id string, shared_prefix_sha256 string, coverage_valid boolean")
+    found = {(r["item"], r["problem"]) for r in stages.translation_problems(jobs, bundles, "p", "s").collect()}
+    assert found == {("b", p) for p in ("stale source_digest", "stale bible_version", "another shared prefix", "stale shared prefix", "invalid coverage")}
+    assert {r["problem"] for r in stages.translation_problems(jobs.filter("job_id = 'c'"), bundles, "p", "s").collect()} == {"no active job"}
+    drafts = spark.createDataFrame([("b", 1, "z", "Z")], "job_id string, ord long, id string, translation string")
+    digest = review.translation_digest(drafts, ["job_id"]).first()["digest"]
+    reports = spark.createDataFrame([("b", True, "all-entries", "d2", 1, digest)], "job_id string, passed boolean, coverage string, reviewed_source_digest string, reviewed_entry_count int, reviewed_draft_digest string")
+    found = {(r["item"], r["problem"]) for r in stages.review_problems(jobs, reports, drafts).collect()}
+    assert found == {("a", "not reviewed"), ("c", "not reviewed"), ("a", "no valid review report"), ("c", "no valid review report")}
+
+
+def test_documents_sections_and_extraction(spark):
+    docs = spark.createDataFrame([("world", "# World\n\nA long enough description."), ("honorifics", "# Only a heading\n```\n")], "name string, content string")
+    assert {r["item"] for r in stages.document_problems(docs, ["world", "honorifics", "language-profile"]).collect()} == {"honorifics", "language-profile"}
+    _, _, sections = D.prefix_text([("world", "text", "x\r\n"), ("terms", "tsv", "a\tb")])
+    recorded = spark.createDataFrame(list(sections.items()), "name string, digest string")
+    now = spark.createDataFrame([("world", "changed")], "name string, content string")
+    assert {(r["name"], r["issue"]) for r in D.integrity_issues(recorded, now).collect()} == {("world", "digest mismatch"), ("terms", "missing")}
+    assert D.integrity_issues(recorded, spark.createDataFrame([("world", "x"), ("terms", "a\tb\n")], "name string, content string")).count() == 0
+    source = spark.createDataFrame([(1, "a", "t", "sha256:0", "f", None), (None, "a", None, "sha256:" + "a" * 64, "", ["x"])], "ord long, id string, text string, source_hash string, file string, protected_tokens array<string>")
+    found = {r["problem"] for r in stages.extraction_problems(source, spark.createDataFrame([], "id string")).collect()}
+    assert found == {"id not unique", "invalid source_hash", "no text", "no file", "no order", "protected_tokens must be strings", "no scene nodes"}
+
+
+def test_record_digest_and_views(spark):
+    raw = spark.createDataFrame([(1, '{"b": 1, "a": "é", "__line__": 3}'), (2, '{"a": 2}')], "ord long, raw string").withColumn("k", F.lit(0))
+    other = spark.createDataFrame([(5, '{"a":"é","b":1}'), (9, '{"a": 2, "__line__": 9}')], "ord long, raw string").withColumn("k", F.lit(0))
+    assert D.record_digest(raw, ["k"]).first()["digest"] == D.record_digest(other, ["k"]).first()["digest"]
+    rows = spark.createDataFrame([(1, "a", None, "line", None)], "ord long, id string, kind string, type string, __line__ int")
+    assert context.model_view(rows).first()["kind"] == "line" and context.without_internal(rows).columns == ["ord", "id", "kind", "type"]
+
+
+def test_spaces_case_and_words(spark):
+    df = spark.createDataFrame([("　 x \u001f",), ("ß",), ("",)], "t string")
+    assert [r[0] for r in df.select(X.strip(F.col("t"))).collect()] == ["x", "ß", ""]
+    assert [r[0] for r in df.select(X.casefolded("t")).collect()][1] == "ss"
+    assert [r[0] for r in df.select(X.slug(F.col("t"))).collect()] == ["x", "ß", "scene"]
+    assert codepoints.usage_problems(spark.createDataFrame([(1, 2, 0, 1), (2, 1, 0, 1), (1, 0, 0, 0)], "input_tokens long, cached_input_tokens long, output_tokens long, calls long")).count() == 2
