@@ -410,10 +410,10 @@ def cache_probe(spark, sf_dir):
     return codepoints.cache_verdicts(usage).select("event_id", "minimum_cached_tokens", "noncached_input_tokens", "cache_rate", "verdict")
 
 
-@query("""WITH s AS (SELECT doc_id, substr(trim(regexp_replace(substr(text, 1, 90), '[^\\p{L}\\p{N}_.-]+', '-', 'g'), '-._'), 1, 60) AS slug, length(text) AS n FROM documents)
+@query("""WITH s AS (SELECT doc_id, substr(trim(regexp_replace(text, '[^\\p{L}\\p{N}_.-]+', '-', 'g'), '-._'), 1, 60) AS slug, length(text) AS n FROM documents)
 SELECT doc_id, CASE WHEN slug = '' THEN 'scene' ELSE slug END AS slug, CAST(ceil(CAST(n AS DOUBLE) * CAST(1.15 AS DOUBLE)) AS BIGINT) AS tokens FROM s""")
 def slugs_and_tokens(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select("doc_id", X.slug(F.substring("text", 1, 90)).alias("slug"), X.estimated_tokens(F.length("text")).alias("tokens"))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", X.slug(F.col("text")).alias("slug"), X.estimated_tokens(F.length("text")).alias("tokens"))
 
 
 @query(f"WITH {fx.UNITS} SELECT ord, id, '' AS kind, speaker, text FROM u")
