@@ -65,6 +65,7 @@ def test_components_equal_brute_force(spark, whole, monkeypatch):
     sets, want = plain_components(rows, 85)
     monkeypatch.setattr(neardup.forest, "__defaults__", (whole, 40))
     monkeypatch.setattr(neardup.rest_links, "__defaults__", (8,))
+    monkeypatch.setattr(neardup.set_table, "__defaults__", (1_000_000 if whole > 1 else 0,))
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, component_id int, cls string").repartition(3)
     got = {r["doc_id"]: r for r in neardup.near_duplicates(df, percent=85).collect()}
     assert {i: r["component_id"] for i, r in got.items()} == want
