@@ -69,8 +69,8 @@ def distinct_in_order(rows: Column, value) -> Column:
 def plan_jobs(source: DataFrame, most: int, least: int = 1500, version: int = 1, per_char: float = 1.15) -> DataFrame:
     """A job for each part of each scene group, in order, with ids, counts, digest and review reasons.
 
-    A part's suffix counts the earlier jobs with equal scenes, in groups that were split. Job numbers
-    are ranks over jobs, of which there are far fewer than records.
+    A part's suffix counts the earlier jobs with equal scenes, in groups that were split. Jobs are
+    numbered along the order in buckets, like groups.
     """
     grouped = scene_islands(source)
     parts = greedy_parts(grouped, most)
@@ -84,10 +84,10 @@ def plan_jobs(source: DataFrame, most: int, least: int = 1500, version: int = 1,
         "grp", "part", "forced", F.col("rs")[0]["route"].alias("route"), distinct_in_order(F.col("rs"), lambda r: r["scene"]).alias("scene_ids"), distinct_in_order(F.col("rs"), lambda r: r["file"]).alias("source_files"),
         F.transform("rs", lambda r: r["id"]).alias("entry_ids"), F.array_sort(F.array_distinct(F.filter(F.transform("rs", lambda r: r["speaker"]), lambda x: x != ""))).alias("speakers"),
         F.aggregate("rs", F.lit(0).cast("long"), lambda n, r: n + r["n"]).alias("source_char_count"), F.exists("rs", lambda r: r["no_scene"]).alias("no_scene"),
-        sha256_of(F.array_join(F.transform("rs", lambda r: r["line"]), "")).alias("source_digest"),
+        sha256_of(F.array_join(F.transform("rs", lambda r: r["line"]), "")).alias("source_digest"), F.col("rs")[0]["ord"].alias("first_ord"),
     )
-    order = Window.orderBy("grp", "part")
-    jobs = jobs.withColumn("n_parts", F.count("*").over(Window.partitionBy("grp"))).withColumn("number", F.row_number().over(order)).withColumn("nth", F.row_number().over(Window.partitionBy("scene_ids").orderBy("grp", "part")))
+    jobs = with_group_numbers(jobs, F.struct("grp", "part"), "first_ord", name="before")  # every job is a run of its own
+    jobs = jobs.withColumn("number", F.col("before") + 1).withColumn("n_parts", F.count("*").over(Window.partitionBy("grp"))).withColumn("nth", F.row_number().over(Window.partitionBy("scene_ids").orderBy("grp", "part")))
     small = F.col("source_char_count") < least
     reasons = F.filter(F.array(F.when(F.col("forced"), "size split was not at an explicit boundary"), F.when(F.col("no_scene"), "one or more records lack scene_id"), F.when(small, "scene is small; consider merging")), lambda r: r.isNotNull())
     suffix = F.when(F.col("n_parts") > 1, F.concat(F.lit("-p"), F.col("nth"))).otherwise("")
