@@ -10,6 +10,7 @@ matrix as each piece's tree; long ones have a tree of their own.
 from __future__ import annotations
 
 import base64
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,13 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes pieces of text; keeps the ids of up to max_known pieces, then forgets them all."""
+    """Encodes pieces of text.
 
-    def __init__(self, tokens: list[bytes], pattern: str, max_known: int = 150_000):
+    Keeps the ids of up to max_known pieces; when there are more they become the old ones, from which
+    pieces that come up again are taken, and the old ones before them are forgotten.
+    """
+
+    def __init__(self, tokens: list[bytes], pattern: str, max_known: int = 160_000):
         import regex
 
         self.tokens, self.split, self.max_known = tokens, regex.compile(pattern).findall, max_known
@@ -52,6 +57,7 @@ class Encoder:
         self.pair = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
         self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 24 | b
@@ -169,11 +175,13 @@ class Encoder:
         wanted = set().union(*map(set, split)) if split else set()
         new = wanted - self.known.keys()
         if len(self.known) + len(new) > self.max_known and self.known:
-            self.known.clear()
+            self.old, self.known = self.known, {}
             new = wanted
-        self.learn(new)
+        again = new & self.old.keys()
+        self.known.update((p, self.old[p]) for p in again)
+        self.learn(new - again)
         get = self.known.__getitem__
-        return [[i for p in pieces for i in get(p)] for pieces in split]
+        return [list(chain.from_iterable(map(get, pieces))) for pieces in split]
 
 
 _encoders: dict = {}
@@ -213,9 +221,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for start, stop in portions(texts):
                 lists = coder.encode_batch(texts[start:stop])
                 ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-                flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=ends[-1])
+                flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=ends[-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
-        coder.known.clear()  # an idle worker shall hold little
+        coder.old = {}  # an idle worker shall hold little
 
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
