@@ -402,12 +402,12 @@ def codepoint_locations(spark, sf_dir):
 USAGE = "SELECT event_id, CAST(event_id % 900 AS BIGINT) AS input_tokens, CAST(event_id % 900 * 3 // 4 AS BIGINT) AS cached_input_tokens, CAST(CASE WHEN event_id % 5 > 0 THEN 700 END AS BIGINT) AS expected_prefix_tokens FROM events"
 
 
-@query(f"""WITH g AS ({USAGE}) SELECT event_id, expected_prefix_tokens - 256 AS minimum_cached_tokens, input_tokens - cached_input_tokens AS noncached_input_tokens, CASE WHEN input_tokens > 0 THEN CAST(cached_input_tokens AS DOUBLE) / input_tokens END AS cache_rate,
+@query(f"""WITH g AS ({USAGE}) SELECT event_id, coalesce(expected_prefix_tokens - 256, -1) AS minimum_cached_tokens, input_tokens - cached_input_tokens AS noncached_input_tokens, CASE WHEN input_tokens > 0 THEN CAST(cached_input_tokens AS DOUBLE) / input_tokens END AS cache_rate,
 CASE WHEN expected_prefix_tokens IS NULL THEN 'observed-only' WHEN cached_input_tokens >= expected_prefix_tokens - 256 THEN 'pass' ELSE 'fail' END AS verdict FROM g""")
 def cache_probe(spark, sf_dir):
     e = F.col("event_id")
     usage = fx.table(spark, sf_dir, "events").select("event_id", (e % 900).alias("input_tokens"), F.floor((e % 900) * 3 / 4).alias("cached_input_tokens"), F.when(e % 5 > 0, F.lit(700).cast("long")).alias("expected_prefix_tokens"))
-    return codepoints.cache_verdicts(usage).select("event_id", "minimum_cached_tokens", "noncached_input_tokens", "cache_rate", "verdict")
+    return codepoints.cache_verdicts(usage).select("event_id", F.coalesce("minimum_cached_tokens", F.lit(-1)).cast("long").alias("minimum_cached_tokens"), "noncached_input_tokens", "cache_rate", "verdict")
 
 
 @query("""WITH s AS (SELECT doc_id, substr(trim(regexp_replace(text, '[^\\p{L}\\p{N}_.-]+', '-', 'g'), '-._'), 1, 60) AS slug, length(text) AS n FROM documents)
