@@ -73,6 +73,53 @@ def test_decontamination_recall(spark, passages, rate, least):
     assert decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string, x string"), bench.limit(0)).filter("size(matches) > 0").count() == 0
 
 
+def test_decontamination_recall_at_the_tolerance(spark, passages):
+    """Passages at the accepting distance itself, where few word pairs are left unchanged."""
+    rng, words, items = passages
+    docs, truth = [], {}
+    while len(docs) < 600:
+        i, t = rng.choice(items)
+        passage = " ".join(edited(rng, t, 0.1).split())
+        masks: dict = {}
+        for at, c in enumerate(t):
+            masks[c] = masks.get(c, 0) | 1 << at
+        text = " ".join(rng.choice(words) for _ in range(20))
+        if decontaminate.edit_distance(masks, len(t), passage, len(t))[0] <= int(0.1 * len(t)):
+            truth[len(docs)] = i
+            docs.append((len(docs), f"{text} {passage} {text}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    found = {r["doc_id"]: [m["item_id"] for m in r["matches"]] for r in got.collect()}
+    assert sum(truth[d] in found[d] for d in truth) >= 0.99 * len(truth)
+
+
+@pytest.mark.parametrize("tolerance", [0.1, 0.25])
+def test_decontamination_windows_are_whole(tolerance):
+    """Every word from which the item stands within the tolerance starts a window."""
+    rng = random.Random(2)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    items = [(i, text(n, letters)) for i, n in enumerate([4, 7, 9, 12, 15, 20, 30, 31, 60, 90]) for letters in ("a b", "é🎉bcdef ")]
+    known = decontaminate.Items(items, tolerance, repeats=2, bits=2)
+    assert len(known.ids) > 10
+    texts = ["", " ", "x"]
+    for t in known.texts:
+        texts += [text(rng.randint(0, 30), "ab é\n") + " " + edited(rng, t, tolerance).upper() + text(rng.randint(0, 9), " a") for _ in range(40)] + [""]
+    chars, begins, bounds = decontaminate.normal(texts)
+    got = set(zip(*(x.tolist() for x in known.candidates(chars, begins, bounds)), strict=True))
+    n = 0
+    for d, t in enumerate(texts):
+        low = [w.translate(decontaminate.FOLD) for w in decontaminate.WORD.findall(t)]
+        assert len(low) == bounds[d + 1] - bounds[d]
+        for w in range(len(low)):
+            rest = " ".join(low[w:])
+            for i, item in enumerate(known.texts):
+                if decontaminate.edit_distance(known.masks[i], len(item), rest[: len(item) + known.most[i]], known.most[i])[0] <= known.most[i]:
+                    n += 1
+                    assert (i, bounds[d] + w) in got
+    assert n > 200
+    assert all(len(decontaminate.grams(chars[:k], q)) == max(0, k - q + 1) for k in range(20) for q in range(1, 9))
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=6).astype("float32").tolist()) for i in range(300)] + [(400 + i, [1.0] * 6) for i in range(30)]

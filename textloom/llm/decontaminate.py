@@ -1,10 +1,11 @@
 """Benchmark decontamination by CGK embeddings and bit sampling.
 
-Item-sized windows start at every word that begins enough of an item's word pairs. A window and the
-item are embedded by the same random walks (a character is written and, by a random bit of step and
-character, passed or written again), which turns few edits into few unequal positions; windows that
-agree with the item in the sampled positions of any of the repeats are candidates. Candidates are
-confirmed by their exact edit distance, computed bit-parallel.
+Item-sized windows start at every word where as many of the item's character grams stand near their
+places as its edits must leave unchanged, so that no passage within the tolerance is passed over. A
+window and the item are embedded by the same random walks (a character is written and, by a random
+bit of step and character, passed or written again), which turns few edits into few unequal
+positions; windows that agree with the item in the sampled positions of any of the repeats are
+candidates. Candidates are confirmed by their exact edit distance, computed bit-parallel.
 """
 
 from __future__ import annotations
@@ -20,15 +21,45 @@ from pyspark.sql import types as T
 
 from .bpe import portions
 from .common import small_batches, table, tidy
-from .shingles import U, mix, word_hashes
+from .shingles import IS_SPACE, U
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 MATCHES = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
 
 
-def pair_hashes(words: np.ndarray) -> np.ndarray:
-    return mix(words[:-1] * U(0xD6E8FEB86659FD93) + words[1:])
+def normal(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of all texts' characters in one row, A-Z lower-cased and one space around each word; the
+    places of the words and one past the last; the texts' first words and one past the last."""
+    raw = np.frombuffer(" ".join(["", *texts, ""]).encode("utf-32-le"), dtype=np.uint32)
+    starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    space = (raw < 256) & IS_SPACE[raw & 255]
+    first = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    bounds = np.searchsorted(first, starts)
+    kept = np.ones(len(raw), dtype=bool)
+    kept[1:] = ~(space[1:] & space[:-1])
+    chars = np.where(space, np.uint32(32), raw + ((raw >= 65) & (raw <= 90)) * np.uint32(32))[kept]
+    chars = (chars % 255 + 1).astype(np.uint8)
+    begins = np.cumsum(kept)[first] - 1
+    return chars, np.append(begins, len(chars)), bounds
+
+
+def grams(chars: np.ndarray, q: int) -> np.ndarray:
+    """The q <= 8 codes from each place on as one number; none of fewer codes."""
+    out, width = chars[: len(chars) if len(chars) >= q else 0].astype(U), 1
+    while width < q:
+        step = min(width, q - width)
+        out = out[:-step] | out[step:] << U(8 * step)
+        width += step
+    return out
+
+
+def unchanged(n: int, most: int) -> tuple[int, int]:
+    """The longest grams of which some of a text's n - q + 1 outlast so many edits, and how many do.
+
+    An edit changes the q grams over its place and no others.
+    """
+    return next(((q, n - q + 1 - most * q) for q in range(8, 1, -1) if n - q + 1 > most * q), (1, max(1, n - most)))
 
 
 def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int, int]:
@@ -59,59 +90,65 @@ def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int
 
 
 class Items:
-    """A block of benchmark items, indexed by word pairs, with their embeddings."""
+    """A block of benchmark items, indexed by character grams, with their embeddings."""
 
-    def __init__(self, items: list[tuple[int, str]], tolerance: float, share: float, repeats: int, bits: int, seed: int = 11):
-        self.tolerance, self.repeats, self.bits = tolerance, repeats, bits
+    def __init__(self, items: list[tuple[int, str]], tolerance: float, repeats: int, bits: int, seed: int = 11):
+        self.repeats = repeats
         rng = np.random.default_rng(seed)
         rows = []
         for item_id, text in items:
             words = WORD.findall((text or "").translate(FOLD))
             if len(words) >= 2:
-                rows.append((item_id, " ".join(words), len(words)))
+                rows.append((item_id, " ".join(words)))
         self.ids = [r[0] for r in rows]
         self.texts = [r[1] for r in rows]
-        self.n_words = [r[2] for r in rows]
         self.most = [int(tolerance * len(t)) for t in self.texts]
-        self.least = [max(1, math.ceil(share * (m - 1))) for m in self.n_words]
-        self.distinct = [max(1, math.ceil(share * len(np.unique(pair_hashes(word_hashes([t])[0]))))) for t in self.texts]
-        self.least = [min(a, b) for a, b in zip(self.least, self.distinct, strict=True)]
         self.masks = []
         for t in self.texts:
             bits_of: dict[str, int] = {}
             for i, c in enumerate(t):
                 bits_of[c] = bits_of.get(c, 0) | 1 << i
             self.masks.append(bits_of)
-        longest = max(map(len, self.texts), default=0)
+        self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
+        longest = int(self.sizes.max(initial=0))
         self.walk = rng.integers(0, 2, size=(longest + 1, repeats, 256), dtype=np.int64)
         self.walk[:, :, 0] = 0
         self.walk = self.walk.reshape(len(self.walk), -1)
-        self.spots = [rng.integers(0, len(t), size=(repeats, bits)) for t in self.texts]
-        self.marks = [self.embedded(np.repeat(codes(t)[None, :], repeats, axis=0).ravel(), np.arange(repeats) * len(t), np.full(repeats, len(t)), np.arange(repeats)) for t in self.texts]
-        self.marks = [np.take_along_axis(m, s, axis=1) for m, s in zip(self.marks, self.spots, strict=True)]
-        groups: dict[tuple[int, int], list[int]] = {}
-        for i, (m, least) in enumerate(zip(self.n_words, self.least, strict=True)):
-            groups.setdefault((m, least), []).append(i)
-        self.groups = []
-        for (m, least), members in sorted(groups.items()):
-            keys, owners = [], []
-            for i in members:
-                h = np.unique(pair_hashes(word_hashes([self.texts[i]])[0]))
-                keys.append(h)
-                owners.append(np.full(len(h), i))
-            keys, owners = np.concatenate(keys), np.concatenate(owners)
+        spots = [rng.integers(0, len(t), size=(repeats, bits)) for t in self.texts]
+        marks = [self.embedded(np.repeat(codes(t)[None, :], repeats, axis=0).ravel(), np.arange(repeats) * len(t), np.full(repeats, len(t)), np.arange(repeats), len(t)) for t in self.texts]
+        self.spots = np.array(spots, dtype=np.int64).reshape(-1, repeats, bits)
+        self.marks = np.array([np.take_along_axis(m, s, axis=1) for m, s in zip(marks, spots, strict=True)], dtype=np.uint8).reshape(-1, repeats, bits)
+        # a gram's place in its item is kept to a block of as many characters as there may be edits
+        self.edits = np.array(self.most, dtype=np.int64)
+        self.block = np.maximum(1, self.edits)
+        outlast = [unchanged(len(t), k) for t, k in zip(self.texts, self.most, strict=True)]
+        self.least = np.array([least for _, least in outlast], dtype=np.int64)
+        self.gap = longest + 3 * int(self.block.max(initial=0)) + 2
+        self.index = []
+        for q in sorted({q for q, _ in outlast}):
+            keys, owners, places = [], [], []
+            for i in (i for i, o in enumerate(outlast) if o[0] == q):
+                g = grams(codes(self.texts[i]), q)
+                at = np.arange(len(g)) // self.block[i] * self.block[i]
+                order = np.lexsort((at, g))
+                g, at = g[order], at[order]
+                new = np.append(True, (g[1:] != g[:-1]) | (at[1:] != at[:-1]))
+                keys.append(g[new])
+                places.append(at[new])
+                owners.append(np.full(int(new.sum()), i))
+            keys, owners, places = np.concatenate(keys), np.concatenate(owners), np.concatenate(places)
             order = np.argsort(keys, kind="stable")
-            self.groups.append((m, least, keys[order], owners[order]))
-        self.keys = np.unique(np.concatenate([g[2] for g in self.groups])) if self.groups else np.zeros(0, dtype=U)
-        self.filter = np.zeros(1 << 20, dtype=bool)
-        self.filter[(self.keys >> U(44)).astype(np.int64)] = True
+            known, first = np.unique(keys[order], return_index=True)
+            shift = U(64 - min(26, max(20, 4 + len(known).bit_length())))
+            seen = np.zeros(1 << (64 - int(shift)), dtype=bool)
+            seen[spread(known, shift)] = True
+            self.index.append((q, known, np.append(first, len(keys)), owners[order], places[order], shift, seen))
 
-    def embedded(self, chars: np.ndarray, start: np.ndarray, size: np.ndarray, repeat: np.ndarray) -> np.ndarray:
+    def embedded(self, chars: np.ndarray, start: np.ndarray, size: np.ndarray, repeat: np.ndarray, steps: int) -> np.ndarray:
         """Walks for rows chars[start : start + size], each under its repeat's bits; 0 past the end.
 
         As many steps as characters: they pass about half of a row, in which the edits are no more.
         """
-        steps = int(size.max())
         out = np.zeros((steps, len(start)), dtype=np.uint8)
         at, end, own = start.astype(np.int64), start + size, repeat * 256
         for t in range(steps):
@@ -120,91 +157,80 @@ class Items:
             at += self.walk[t].take(own + c)
         return out.T
 
-    def candidates(self, words: np.ndarray, bounds: np.ndarray):
-        """(text, item, first words of windows) where enough of the item's pairs stand close enough."""
-        if len(words) < 2 or not len(self.keys):
-            return
-        pairs = pair_hashes(words)
-        hit = np.flatnonzero(self.filter[(pairs >> U(44)).astype(np.int64)])
-        hit = hit[self.keys[np.minimum(np.searchsorted(self.keys, pairs[hit]), len(self.keys) - 1)] == pairs[hit]]
-        home = np.searchsorted(bounds, hit, side="right") - 1
-        inside = hit + 1 < bounds[home + 1]
-        hit, home = hit[inside], home[inside]
-        for m, least, keys, owners in self.groups:
-            if len(hit) < least:
-                continue
-            near = hit[least - 1 :] - hit[: len(hit) - least + 1] <= m - 2
-            if not near.any():
-                continue
-            marks = np.zeros(len(hit) + 1, dtype=np.int64)
-            at = np.flatnonzero(near)
-            np.add.at(marks, at, 1)
-            np.add.at(marks, at + least, -1)
-            some = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-            lo, hi = np.searchsorted(keys, pairs[hit[some]]), np.searchsorted(keys, pairs[hit[some]], side="right")
-            n = hi - lo
-            pos = np.repeat(some, n)
-            owner = owners[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            doc = home[pos]
-            order = np.lexsort((hit[pos], owner, doc))
-            pos, owner, doc = hit[pos[order]], owner[order], doc[order]
-            if len(pos) < least:
-                continue
-            j = np.arange(len(pos) - least + 1)
-            e = j + least - 1
-            ok = j[(doc[j] == doc[e]) & (owner[j] == owner[e]) & (pos[e] - pos[j] <= m - 2)]
-            if not len(ok):
-                continue
-            cuts = np.flatnonzero((np.diff(doc[ok]) != 0) | (np.diff(owner[ok]) != 0)) + 1
-            for part in np.split(ok, cuts):
-                d = int(doc[part[0]])
-                low, high = np.maximum(pos[part + least - 1] - (m - 2), bounds[d]), pos[part]
-                starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(low.tolist(), high.tolist(), strict=True)]))
-                # of a repeated pair the last one in the window counts
-                span = slice(int(part[0]), int(part[-1]) + least)
-                p, again = pos[span], np.full(span.stop - span.start, 1 << 60)
-                same = np.lexsort((p, pairs[p]))
-                twin = pairs[p[same[1:]]] == pairs[p[same[:-1]]]
-                again[same[:-1][twin]] = p[same[1:][twin]]
-                stop = starts[:, None] + (m - 2)
-                distinct = ((p >= starts[:, None]) & (p <= stop) & (again > stop)).sum(axis=1)
-                starts = starts[distinct >= self.distinct[int(owner[part[0]])]]
-                if len(starts):
-                    yield d, int(owner[part[0]]), starts - bounds[d]
+    def candidates(self, chars: np.ndarray, begins: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Item and first word of the windows in which enough of the item's grams stand near their places.
+
+        An unchanged gram is moved by no more than the edits, so its place less its place in the item
+        is within them of the window's start. Texts are held apart, so that no count spans two.
+        """
+        home = begins[bounds]
+        places = begins[:-1] + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) * self.gap + self.gap
+        row = len(chars) + (len(bounds) + 1) * self.gap + self.gap
+        items, words = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for q, known, first, owners, offsets, shift, seen in self.index:
+            found = [np.zeros(0, dtype=np.int64)]
+            for a in range(0, len(chars), 1 << 18):
+                g = grams(chars[a : a + (1 << 18) + q - 1], q)
+                hit = np.flatnonzero(seen[spread(g, shift)])
+                which = np.minimum(np.searchsorted(known, g[hit]), len(known) - 1)
+                true = known[which] == g[hit]
+                hit, which = hit[true] + a, which[true]
+                n = first[which + 1] - first[which]
+                entry = np.repeat(first[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                place = hit + (np.searchsorted(home, hit, side="right") - 1) * self.gap + self.gap
+                found.append(owners[entry] * row + np.repeat(place, n) - offsets[entry])
+            found = np.sort(np.concatenate(found))
+            owner = found // row
+            last = np.arange(len(found)) + self.least[owner] - 1
+            inside = np.minimum(last, len(found) - 1)
+            k, b = self.edits[owner], self.block[owner]
+            ok = np.flatnonzero((last < len(found)) & (found[inside] - found <= 2 * k + b - 1))
+            owner, k, b = owner[ok], k[ok], b[ok]
+            low = np.searchsorted(places, found[inside[ok]] - owner * row - k - b + 1)
+            high = np.searchsorted(places, found[ok] - owner * row + k, side="right")
+            same = owner[1:] == owner[:-1]
+            low[1:] = np.where(same, np.maximum(low[1:], high[:-1]), low[1:])
+            n = np.maximum(0, high - low)
+            items.append(np.repeat(owner, n))
+            words.append(np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum()))
+        return np.concatenate(items), np.concatenate(words)
+
+    def agreements(self, chars: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """In how many repeats each window agrees with its item."""
+        out = np.zeros(len(item), dtype=np.int64)
+        size = np.minimum(self.sizes[item], end - start)
+        most = max(1, min(2000, (1 << 25) // (self.repeats * int(self.sizes[item].max(initial=1)))))
+        for a in range(0, len(item), most):
+            i, n = item[a : a + most], len(item[a : a + most])
+            every = np.repeat(np.arange(self.repeats), n)
+            walked = self.embedded(chars, np.tile(start[a : a + most], self.repeats), np.tile(size[a : a + most], self.repeats), every, int(self.sizes[i].max()))
+            rows = np.arange(self.repeats)[None, :] * n + np.arange(n)[:, None]
+            out[a : a + most] = (walked[rows[:, :, None], self.spots[i]] == self.marks[i]).all(axis=2).sum(axis=1)
+        return out
 
     def matches(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        words, bounds, _, _ = word_hashes(texts)
-        found = list(self.candidates(words, bounds))
+        chars, begins, bounds = normal(texts)
         out: list[list] = [[] for _ in texts]
-        if not found:
+        item, word = self.candidates(chars, begins, bounds)
+        if not len(item):
             return out
-        spans, plain, base, chars = {}, {}, {}, []
-        total = 0
-        for d in sorted({f[0] for f in found}):
-            spans[d] = [m.span() for m in WORD.finditer(texts[d])]
-            low = [texts[d][a:b].translate(FOLD) for a, b in spans[d]]
-            plain[d] = (" ".join(low), np.cumsum([0, *(len(w) + 1 for w in low)]))
-            base[d] = total
-            chars.append(codes(plain[d][0]))
-            total += len(chars[-1])
-        chars = np.concatenate(chars)
-        for first in range(0, len(found), 100):
-            group = found[first : first + 100]
-            start = np.concatenate([base[d] + plain[d][1][s] for d, _, s in group])
-            size = np.concatenate([np.minimum(len(self.texts[i]), len(plain[d][0]) - plain[d][1][s]) for d, i, s in group])
-            agrees = np.zeros(len(start), dtype=np.int64)
-            ends = np.cumsum([0, *(len(w) for _, _, w in group)])
-            every = np.repeat(np.arange(self.repeats), len(start))
-            walked = self.embedded(chars, np.tile(start, self.repeats), np.tile(size, self.repeats), every)
-            for (_, i, _), a, b in zip(group, ends[:-1], ends[1:], strict=True):
-                for r in range(self.repeats):
-                    spots = np.minimum(self.spots[i][r], walked.shape[1] - 1)
-                    agrees[a:b] += (walked[r * len(start) + a : r * len(start) + b, spots] == self.marks[i][r]).all(axis=1)
-            for (d, i, starts), a, b in zip(group, ends[:-1], ends[1:], strict=True):
-                self.confirm(out[d], d, i, starts, agrees[a:b], plain[d], spans[d])
+        doc = np.searchsorted(bounds, word, side="right") - 1
+        agrees = self.agreements(chars, item, begins[word], begins[bounds[doc + 1]] - 1)
+        some = np.flatnonzero(agrees)
+        some = some[np.lexsort((word[some], item[some], doc[some]))]
+        now = -1
+        for part in np.split(some, np.flatnonzero((np.diff(doc[some]) != 0) | (np.diff(item[some]) != 0)) + 1):
+            if not len(part):
+                continue
+            d = int(doc[part[0]])
+            if d != now:
+                now, spans = d, [m.span() for m in WORD.finditer(texts[d])]
+                low = [texts[d][a:b].translate(FOLD) for a, b in spans]
+                plain = (" ".join(low), np.cumsum([0, *(len(w) + 1 for w in low)]))
+            self.confirm(out[d], int(item[part[0]]), word[part] - bounds[d], agrees[part], plain, spans)
         return [sorted(set(m)) for m in out]
 
-    def confirm(self, out, d, i, starts, agrees, plain, spans) -> None:
+    def confirm(self, out, i, starts, agrees, plain, spans) -> None:
         """The best of overlapping windows, by distance and then place."""
         text, offsets = plain
         n, most = len(self.texts[i]), self.most[i]
@@ -212,7 +238,7 @@ class Items:
         hits = []
         for w in sorted(range(len(starts)), key=lambda w: (-agrees[w], starts[w])):
             s = int(offsets[starts[w]])
-            if agrees[w] == 0 or any(a <= s < b for a, b in taken):
+            if any(a <= s < b for a, b in taken):
                 continue
             part = n // 4
             if part > most and edit_distance(self.masks[i], part, text[s : s + part + most], most)[0] > most:
@@ -232,7 +258,12 @@ class Items:
 
 def codes(text: str) -> np.ndarray:
     """Characters folded to 1 to 255."""
-    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64) % 255 + 1
+    return (np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) % 255 + 1).astype(np.uint8)
+
+
+def spread(keys: np.ndarray, shift: np.uint64) -> np.ndarray:
+    """Places of grams in a table of 2 ** (64 - shift)."""
+    return (keys * U(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
 
 
 def repeats_for(recall: float, bits: int, unequal: float) -> int:
@@ -240,15 +271,14 @@ def repeats_for(recall: float, bits: int, unequal: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - (1 - unequal) ** bits)))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, tolerance: float = 0.1, share: float = 0.25, recall: float = 0.99, bits: int = 2, unequal: float = 0.5, block_bytes: int = 16 << 20) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, tolerance: float = 0.1, recall: float = 0.99, bits: int = 2, unequal: float = 0.5, block_bytes: int = 16 << 20) -> DataFrame:
     """docs with a column matches: for each row the benchmark passages in its whole text.
 
     An item matches where a word of the text starts a passage within an edit distance of tolerance
-    times the item's length (both with A-Z lower-cased and white space runs as one space) and at
-    least that share of its word pairs stands unchanged in the item-sized window. `repeats_for`
-    gives the number of walks from recall, the bits sampled in each and the share of unequal
-    positions up to which that recall shall hold. Of overlapping passages of one item the nearest
-    is given: item_id, start and end in code points of the text, distance.
+    times the item's length (both with A-Z lower-cased and white space runs as one space).
+    `repeats_for` gives the number of walks from recall, the bits sampled in each and the share of
+    unequal positions up to which that recall shall hold. Of overlapping passages of one item the
+    nearest is given: item_id, start and end in code points of the text, distance.
 
     Null and empty texts match nothing, as do items of fewer than two words and null items. Repeated
     rows and items are each reported. Other columns stay; a column called matches is replaced; an
@@ -271,7 +301,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, tolerance: float =
 
         @tidy
         def run(batches, sent=sent):
-            found = Items(sent.value, tolerance, share, repeats, bits)
+            found = Items(sent.value, tolerance, repeats, bits)
             for batch in batches:
                 texts = [t or "" for t in batch.column(column).to_pylist()]
                 before = batch.column(len(batch.columns) - 1).to_pylist()
