@@ -69,6 +69,52 @@ def test_shards(spark):
     assert sharding.shard_documents(spark.createDataFrame([], "doc_id long, text string"), n_shards=4).count() == 0
 
 
+def loads(packing, hist):
+    out: dict = {}
+    for s, n in hist:
+        for rank in range(n):
+            b = sharding.shard_of(packing, s, rank)
+            out[b] = out.get(b, 0) + s
+    return out
+
+
+def test_large_groups_leave_the_other_bins_equal():
+    rng = random.Random(4)
+    small = {s: rng.randint(1, 5) for s in range(1, 60)}
+    total = sum(s * n for s, n in small.items())
+    for large in ([total // 2], [total // 9], [total, total // 2, total // 2], [total // 9] * 5):
+        hist = sorted({**small, **{s: large.count(s) for s in large}}.items())
+        got = loads(sharding.pack_into(hist, 16), hist)
+        rest = sorted(got.values(), reverse=True)[len(large) :]
+        assert sorted(got) == list(range(16)) and sorted(got.values(), reverse=True)[: len(large)] == sorted(large, reverse=True)
+        assert max(rest) - min(rest) <= 0.05 * max(rest)
+    assert sorted(loads(sharding.pack_into([(10, 17)], 16), [(10, 17)]).values()) == [10] * 15 + [20]
+    mixed = [(500, 17), (1, 1500)]
+    got = sorted(loads(sharding.pack_into(mixed, 16), mixed).values())
+    assert len(got) == 16 and got[-1] == 1000 and got[-2] - got[0] <= 0.05 * got[-2]
+    assert sharding.pack_into([(5, 1), (3, 1)], 16).bins == 2 and sharding.pack_into([], 16).bins == 0
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=60), st.integers(1, 12))
+def test_packing_places_every_group_once(sizes, n_bins):
+    hist = [(s, sizes.count(s)) for s in set(sizes)]
+    packing = sharding.pack_into(hist, n_bins)
+    got = loads(packing, hist)
+    assert sorted(got) == list(range(packing.bins)) and packing.bins <= n_bins and sum(got.values()) == sum(sizes)
+
+
+def test_shards_with_a_third_in_one_group(spark):
+    rng = random.Random(1)
+    rows = [(i, "y" * rng.randint(20, 300) + str(i)) for i in range(1500)]
+    third = sum(len(t) + 1 for _, t in rows) // 2
+    rows += [(5000 + i, "copy" * 30) for i in range(third // 121)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), n_shards=16)
+    totals = sorted(r["b"] for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect())
+    assert got.count() == len(rows) and len(totals) == 16 and totals[-1] == third // 121 * 121
+    assert totals[-2] - totals[0] < 0.05 * totals[-2]
+
+
 def test_chat_windows(spark):
     rng = random.Random(3)
     alphabet = ["</s>", "<s>", "[INST]", "[/ROLE]", "\\", " ", "\n", "a", "🎉", "[ROLE] user [/ROLE] x </s>", "word "]

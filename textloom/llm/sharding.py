@@ -136,7 +136,7 @@ def best_fit_decreasing(histogram: list[tuple[int, int]], capacity: int, max_bin
     return Packing(capacity, bins, runs)
 
 
-def pack_into(histogram: list[tuple[int, int]], n_bins: int) -> Packing:
+def least_capacity(histogram: list[tuple[int, int]], n_bins: int) -> Packing:
     """The least capacity found by bisection for which best fit decreasing needs at most n_bins."""
     total = sum(s * n for s, n in histogram)
     low = max([-(-total // n_bins), *(s for s, _ in histogram)], default=1) or 1
@@ -158,10 +158,49 @@ def pack_into(histogram: list[tuple[int, int]], n_bins: int) -> Packing:
     return best
 
 
+def pack_into(histogram: list[tuple[int, int]], n_bins: int) -> Packing:
+    """At most n_bins bins, as near equal as the groups allow.
+
+    A group above the mean of what is left is a bin by itself. The others are packed at the least
+    capacity; while that still has to be above the mean, the fullest bin stands and what the other
+    bins hold is packed anew for itself, which never takes more than they held.
+    """
+    left = dict(sorted(histogram, reverse=True))
+    rest, bins, kept = sum(s * n for s, n in left.items()), 0, []
+    for size in left:
+        while left[size] and size * (n_bins - bins) > rest:
+            kept.append((size, 1, bins))
+            left[size], rest, bins = left[size] - 1, rest - size, bins + 1
+        if left[size]:
+            break
+    capacity = max((s for s, _, _ in kept), default=1)
+    while rest:
+        best = least_capacity([(s, n) for s, n in left.items() if n], n_bins - bins)
+        held: list[dict[int, int]] = [{} for _ in range(best.bins)]
+        end = dict(left)
+        for size, rank, b in reversed(best.runs):
+            held[b][size] = held[b].get(size, 0) + end[size] - rank
+            end[size] = rank
+        held.sort(key=lambda h: -sum(s * n for s, n in h.items()))
+        even = sum(s * n for s, n in held[0].items()) * (n_bins - bins) * 100 <= 101 * rest
+        for h in held if even else held[:1]:
+            for size, n in h.items():
+                kept.append((size, n, bins))
+                left[size], rest = left[size] - n, rest - size * n
+            bins += 1
+        capacity = max(capacity, best.capacity)
+    runs, rank = [], dict.fromkeys(left, 0)
+    for size, n, b in kept:
+        runs.append((size, rank[size], b))
+        rank[size] += n
+    return Packing(capacity, bins, runs)
+
+
 def shard_documents(docs: DataFrame, n_shards: int | None = 16, capacity: int | None = None, cells: int = 64, rows_per_cell: int = 50_000) -> DataFrame:
     """Adds size, text_crc32, shard and slot to doc_id; groups of equal texts stay together.
 
-    Give n_shards for that many shards of near equal bytes, or capacity for the fewest shards of at
+    Give n_shards for that many shards of near equal bytes (a group above the mean is a shard alone
+    and the others are equal among themselves), or capacity for the fewest shards of at
     most so many bytes (a larger group gets a shard alone). Null texts count as empty ones (size 1,
     crc 0) and form one group with them; repeated rows are placed like any others; an empty table
     gives an empty one; other columns are dropped. Ties: groups of one size are ordered by their
