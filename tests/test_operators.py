@@ -259,6 +259,40 @@ def test_documents_sections_and_extraction(spark):
     assert found == {"id not unique", "invalid source_hash", "no text", "no file", "no order", "protected_tokens must be strings", "no scene nodes"}
 
 
+def test_early_gates(spark):
+    good = {"game_name": "g", "source_locale": "ja", "target_locale": "en"}
+    assert stages.initialization_problems(good) == [] and stages.initialization_problems({"game_name": "g"}, 2) == []
+    assert stages.initialization_problems({**good, "game_name": ""}) == stages.initialization_problems(None) == ["initialized: game_name is missing"]
+    assert stages.initialization_problems({"game_name": "g", "source_locale": ""}) == ["initialized: source_locale is missing", "initialized: target_locale is missing"]
+    assert stages.initialization_problems({**good, "target_locale": "JA"}) == ["initialized: source_locale and target_locale must be different"]
+    docs = spark.createDataFrame([("unpack-notes", "Unpacked with the usual tool.")], "name string, content string")
+    rows = [(lane, "t", lane, ["c"]) for lane in stages.REQUIRED_LANES]
+    sources = spark.createDataFrame(rows, "url string, title string, lane string, claims array<string>")
+    assert stages.research_gate({"file_count": 3}, sources, docs, 1) == []
+    assert stages.research_gate({"file_count": 0}, sources.filter("lane <> 'canon'"), docs.limit(0), 1) == ["researched: manifest describes no file", "researched: canon: missing lane", "researched: unpack-notes: no meaningful content"]
+    assert stages.research_gate(None, None, docs) == ["researched: manifest describes no file", "researched: sources are invalid"]
+    assert stages.roundtrip_problems({"passed": True}, {"input": 1, "unpacked": 2, "repacked": 1}) == []
+    assert stages.roundtrip_problems({"passed": 1}, {"input": 1, "repacked": 0}) == ["roundtrip-proven: report must have passed", "roundtrip-proven: folder unpacked is empty", "roundtrip-proven: folder repacked is empty"]
+    assert stages.inventory_problems({"engines": ["kirikiri"]}) == [] and all(stages.inventory_problems(x) == ["extracted: no engine inventory"] for x in (None, {}, {"engines": []}, {"engines": "x"}))
+
+
+def test_bible_gate(spark):
+    docs = spark.createDataFrame([(n, "A long enough description.") for n in ("world", "honorifics", "language-profile")], "name string, content string")
+    examples = spark.createDataFrame([("s",)], "source string")
+    terms = spark.createDataFrame([("x",) * 8], ", ".join(f"{f} string" for f in stages.GLOSSARY_FIELDS))
+    good = [{"frozen": True, "version": 1}, docs, {"characters": [{"id": "a"}]}, {"narrator": {"tone": "dry"}}, {}, examples, terms]
+    assert stages.bible_problems(*good) == []
+    bad = [
+        (0, {"frozen": True, "version": 0}, "must be frozen at version >= 1"), (0, {"version": 2}, "must be frozen at version >= 1"), (0, None, "must be frozen at version >= 1"),
+        (1, docs.filter("name <> 'language-profile'"), "language-profile: no meaningful content"), (2, {"characters": []}, "no characters"), (2, {"characters": ["a"]}, "no characters"), (2, None, "no characters"),
+        (3, {}, "no voice definitions"), (3, {"narrator": "dry"}, "no voice definitions"), (4, {"routes": []}, "route knowledge is invalid"), (4, None, "route knowledge is invalid"),
+        (5, examples.limit(0), "no approved calibration examples"), (5, None, "no approved calibration examples"), (6, terms.limit(0), "no terminology rows"), (6, terms.drop("notes"), "glossary lacks required columns"),
+    ]
+    for at, value, text in bad:
+        assert stages.bible_problems(*good[:at], value, *good[at + 1 :]) == [f"bible-frozen: {text}"]
+    assert stages.bible_problems(None, docs.limit(0), None, None, None, None, None, 2)[-2:] == ["bible-frozen: honorifics: no meaningful content", "bible-frozen: world: no meaningful content"]
+
+
 def test_record_digest_and_views(spark):
     raw = spark.createDataFrame([(1, '{"b": 1, "a": "é", "__line__": 3}'), (2, '{"a": 2}')], "ord long, raw string").withColumn("k", F.lit(0))
     other = spark.createDataFrame([(5, '{"a":"é","b":1}'), (9, '{"a": 2, "__line__": 9}')], "ord long, raw string").withColumn("k", F.lit(0))

@@ -90,6 +90,63 @@ def research_problems(sources: DataFrame, rich: bool = True) -> DataFrame:
     return problems(*parts)
 
 
+def initialization_problems(project: dict | None, schema_version: int = 3) -> list[str]:
+    """Problems of the project's own record."""
+    if not isinstance(project, dict) or not project.get("game_name"):
+        return ["initialized: game_name is missing"]
+    if schema_version < 3:
+        return []
+    given = [project.get(k) for k in ("source_locale", "target_locale")]
+    out = [f"initialized: {k} is missing" for k, v in zip(("source_locale", "target_locale"), given, strict=True) if not isinstance(v, str) or not v]
+    if all(isinstance(v, str) for v in given) and given[0].casefold() == given[1].casefold():
+        out.append("initialized: source_locale and target_locale must be different")
+    return out
+
+
+def research_gate(manifest: dict | None, sources: DataFrame | None, documents: DataFrame, schema_version: int = 3) -> list[str]:
+    """Problems of the researched gate: manifest totals, sources (None where they don't parse) and unpack notes."""
+    out = [] if isinstance(manifest, dict) and manifest.get("file_count") else ["researched: manifest describes no file"]
+    rows = document_problems(documents, ["unpack-notes"], "researched")
+    if sources is None:
+        out.append("researched: sources are invalid")
+    else:
+        rows = problems(research_problems(sources, schema_version >= 2), rows)
+    return out + [f"{r['gate']}: {r['item']}: {r['problem']}" for r in rows.distinct().orderBy("problem", "item").collect()]
+
+
+def roundtrip_problems(report: dict | None, files: dict[str, int]) -> list[str]:
+    """Problems of the proof of a round trip: its report and the numbers of files in its three folders."""
+    out = [] if isinstance(report, dict) and report.get("passed") is True else ["roundtrip-proven: report must have passed"]
+    return out + [f"roundtrip-proven: folder {f} is empty" for f in ("input", "unpacked", "repacked") if not files.get(f)]
+
+
+def inventory_problems(token_report: dict | None) -> list[str]:
+    """Problem of the extracted gate besides extraction_problems: the control tokens' engines."""
+    engines = token_report.get("engines") if isinstance(token_report, dict) else None
+    return [] if isinstance(engines, list) and engines else ["extracted: no engine inventory"]
+
+
+def bible_problems(
+    version: dict | None, documents: DataFrame, characters: dict | None, voice: dict | None, route_knowledge: dict | None, calibration: DataFrame | None, glossary: DataFrame | None, schema_version: int = 3,
+) -> list[str]:
+    """Problems of the bible-frozen gate; None for a part that is missing or doesn't parse."""
+    record = lambda x, *fields: isinstance(x, dict) and all(isinstance(x.get(f, {}), dict) for f in fields)
+    number = version.get("version") if isinstance(version, dict) else None
+    people = characters.get("characters") if isinstance(characters, dict) else None
+    holds = {
+        "must be frozen at version >= 1": isinstance(version, dict) and version.get("frozen") is True and isinstance(number, int) and number >= 1,
+        "no characters": isinstance(people, list) and bool(people) and all(isinstance(x, dict) for x in people),
+        "no voice definitions": record(voice, "characters", "narrator") and bool(voice.get("characters") or voice.get("narrator")),
+        "route knowledge is invalid": record(route_knowledge, "global", "routes"),
+        "no approved calibration examples": calibration is not None and not calibration.isEmpty(),
+        "no terminology rows": glossary is not None and not glossary.isEmpty(),
+        "glossary lacks required columns": glossary is not None and set(GLOSSARY_FIELDS) <= set(glossary.columns),
+    }
+    names = ["world", "honorifics", *(["language-profile"] if schema_version >= 3 else [])]
+    empty = sorted(r["item"] for r in document_problems(documents, names).collect())
+    return [f"bible-frozen: {text}" for text, good in holds.items() if not good] + [f"bible-frozen: {n}: no meaningful content" for n in empty]
+
+
 def extraction_problems(source: DataFrame, nodes: DataFrame) -> DataFrame:
     gate = "extracted"
     dup = source.groupBy("id").count().filter("count > 1 and id is not null")
