@@ -1,5 +1,6 @@
 """Rules, folds, guards and gates on handmade rows, against plain restatements."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -158,6 +159,29 @@ def test_review_guards_and_overlay(spark):
         review.guard(review.delta_problems(source, draft, bad), "review")
 
 
+def test_review_report_digests(spark):
+    sha = lambda t: "sha256:" + hashlib.sha256(t.encode()).hexdigest()
+    source = spark.createDataFrame([(2, "b", "y", None, []), (1, "a", "x", "h1", [])], UNIT)
+    records = "ord long, id string, translation string, raw string"
+    draft = spark.createDataFrame([(2, "b", "B", '{"translation": "B", "id": "b", "__line": 2}'), (1, "a", "A", '{"id":"a","translation":"A"}')], records)
+    delta = spark.createDataFrame([(1, "b", "minor", '{"id":"b","severity":"minor"}')], "ord long, id string, severity string, raw string")
+    report = review.job_review_report("j", source, draft, delta)
+    got = report.first().asDict()
+    want = {
+        "schema_version": 2, "job_id": "j", "reviewed_source_digest": sha("a\0h1\nb\0\n"), "reviewed_draft_digest": sha('{"id":"a","translation":"A"}\n{"id":"b","translation":"B"}\n'),
+        "review_delta_digest": sha('{"id":"b","severity":"minor"}\n'), "reviewed_entry_count": 2, "coverage": "all-entries", "delta_count": 1, "major_count": 0, "minor_count": 1, "passed": True,
+    }
+    assert got == want and review.stale_fields({**want, "minor_count": 9}, report) == []
+    assert review.stale_fields({**want, "reviewed_draft_digest": "old", "delta_count": 2}, report) == ["reviewed_draft_digest", "delta_count"]
+    assert review.job_review_report("j", source, draft, delta.limit(0)).first()["review_delta_digest"] == sha("")
+
+
+def test_token_arrays_with_nulls(spark):
+    source = spark.createDataFrame([(1, "torn", "a <x> b", None, ["<x>", None]), (2, "none", "a", None, None)], UNIT)
+    target = spark.createDataFrame([(1, "torn", "c d", "high"), (2, "none", "b", "high")], "ord long, id string, translation string, confidence string")
+    assert codes(validate.validate(source, target, multilingual("ja", "en"))) == Counter([("protected-token-schema", "torn")])
+
+
 def test_stage_machine(spark):
     assert stages.may_advance("initialized", "researched", []) == [] and stages.may_advance("initialized", "extracted", []) and stages.may_advance("initialized", "researched", ["initialized"])
     h = spark.createDataFrame([("ok", 0, "initialized", ["e"]), ("ok", 1, "researched", ["e"]), ("gap", 0, "researched", ["e"]), ("bare", 0, "initialized", [])], "project string, n int, stage string, evidence array<string>")

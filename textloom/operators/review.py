@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.functions.digests import ordered_digest, record_line
+from textloom.functions.digests import ordered_digest, record_digest, record_line, source_digest
 from textloom.operators.validate import order_breaks
 
 SEVERITIES = ["minor", "major"]
 #: A delta has these fields and no others.
 DELTA_FIELDS = ["id", "reviewer_translation", "reason", "severity"]
+#: What a report that exists already must have in common with the one of now.
+FROZEN_FIELDS = ["job_id", "reviewed_source_digest", "reviewed_draft_digest", "review_delta_digest", "reviewed_entry_count", "coverage", "delta_count"]
 
 
 class GuardError(ValueError):
@@ -71,6 +73,20 @@ def review_report(delta: DataFrame, draft: DataFrame) -> DataFrame:
     return draft.agg(F.count("*").alias("reviewed_entry_count")).join(counts).withColumn("coverage", F.lit("all-entries")).withColumn("passed", F.lit(True))
 
 
+def job_review_report(job_id: str, source: DataFrame, draft: DataFrame, delta: DataFrame) -> DataFrame:
+    """One row: a job's report with the digests of what was reviewed. draft and delta have their records in raw (JSON)."""
+    out = review_report(delta, draft).withColumn("schema_version", F.lit(2)).withColumn("job_id", F.lit(job_id))
+    for name, digest in (("reviewed_source_digest", source_digest(source, [], strict=False)), ("reviewed_draft_digest", record_digest(draft, [])), ("review_delta_digest", record_digest(delta, []))):
+        out = out.crossJoin(digest.withColumnRenamed("digest", name))
+    return out
+
+
+def stale_fields(existing: dict, report: DataFrame) -> list[str]:
+    """Frozen fields in which an existing report differs from the one of now."""
+    now = report.first().asDict()
+    return [f for f in FROZEN_FIELDS if existing.get(f) != now[f]]
+
+
 def merge_problems(source: DataFrame, approved: DataFrame, allow_incomplete: bool = False) -> DataFrame:
     """guard, id: ids in two files (both named), unknown ids, empty texts, other hashes, untranslated ids."""
     twice = approved.groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("path")).alias("paths")).filter("n > 1")

@@ -85,10 +85,12 @@ def row_issues(pairs: DataFrame, policy: Policy) -> DataFrame:
     get = lambda side, name, kind: F.col(f"{side}.{name}") if has(side, name) else F.lit(None).cast(kind)
     rows = pairs.select(
         "id", "ord", F.coalesce(F.col("s.text"), F.lit("")).alias("src"), F.col("t.translation").alias("out"),
-        F.filter(F.coalesce(get("s", "protected_tokens", "array<string>"), F.array().cast("array<string>")), lambda x: x.isNotNull()).alias("tokens"),
+        F.coalesce(get("s", "protected_tokens", "array<string>"), F.array().cast("array<string>")).alias("given"),
         get("s", "source_hash", "string").alias("want_hash"), get("t", "source_hash", "string").alias("got_hash"), get("t", "confidence", "string").alias("confidence"),
         *(get("t", f"{f}_raw", "string").alias(f"{f}_raw") for f in ("issues", "term_proposals")),
     )
+    torn = F.exists("given", lambda x: x.isNull())  # such an array is an issue, and none of its tokens counts
+    rows = rows.withColumn("tokens", F.when(torn, F.array().cast("array<string>")).otherwise(F.col("given")))
     if policy.check_nfc:
         rows = rows.withColumn("nfc", X.is_nfc("out"))
     rows = rows.withColumn("src_seen", X.strip(X.without_all(F.col("src"), F.col("tokens")))).withColumn("out_seen", X.strip(X.without_all(F.col("out"), F.col("tokens"))))
@@ -97,6 +99,7 @@ def row_issues(pairs: DataFrame, policy: Policy) -> DataFrame:
     ratio = F.length("out_seen") / F.length("src_seen")
     checks: list[tuple[str, Column, Column]] = [
         ("source-hash", (F.coalesce("want_hash", F.lit("")) != "") & F.col("got_hash").isNotNull() & (F.col("got_hash") != F.col("want_hash")), F.lit("source_hash differs")),
+        ("protected-token-schema", torn, F.lit("protected_tokens must be strings")),
         ("protected-token-order", (F.size(tokens) > 0) & ~X.in_order(out, tokens), F.lit("tokens are missing or out of order")),
         ("newline-count", X.newlines(src) != X.newlines(out), F.concat(F.lit("expected "), X.newlines(src), F.lit(", found "), X.newlines(out))),
         ("invalid-character", X.has_invalid(out), F.lit("has U+FFFD or NUL")),
