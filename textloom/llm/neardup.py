@@ -3,7 +3,7 @@
 Each tree is a sorted order of all distinct shingle sets by the tree's own min-hash values. Sets
 whose longest common prefix with their neighbour has at least `base` values form a region. In a
 small region all pairs are candidates; in a larger one each set is paired with its neighbour, with
-which it shares the longest prefix, so that the depth adapts to the region. What larger regions
+which it shares the longest prefix: 5 values or all 6, so the depth hardly adapts. What larger regions
 leave open is settled exactly afterwards: sets of different components are compared in blocks, and
 what hasn't joined a large region's largest component then with the whole region, in tiles of
 bounded size. All links are confirmed on full shingle sets; classes are connected components.
