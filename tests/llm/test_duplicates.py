@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from textloom.llm import graph, neardup, repeats, shingles
+from textloom.llm import common, graph, neardup, repeats, shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -117,6 +117,42 @@ def test_repeats_equal_brute_force(spark, tmp_path):
     assert got == brute_force(rows)
 
 
+@pytest.mark.parametrize(("entries", "shares", "least"), [(50_000, 2.0, 20), (60, 0.5, 5), (60, 0.0, 1)])
+def test_many_contexts_of_one_passage(spark, tmp_path, monkeypatch, entries, shares, least):
+    """Hot grams: their windows are dealt out by digest, and nothing else changes."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(30, 60)))
+    passage = "".join(rng.choice("klmnop ") for _ in range(70))
+    contexts = [word() for _ in range(12)]
+    rows = [(i, rng.choice(contexts) + passage + rng.choice(contexts) + word()) for i in range(160)] + [(300 + i, passage * 3) for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", (2000, entries, shares, least))
+    monkeypatch.setattr(repeats, "HELD", 40)
+    got = sorted(tuple(r) for r in repeats.op10_repeats(spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert got == brute_force(rows)
+
+
+def test_spans_are_joined():
+    rng = random.Random(3)
+    spans = [(rng.randrange(4), a := rng.randrange(60), a + rng.randint(1, 9)) for _ in range(40)]
+    cover = {(r, i) for r, a, b in spans for i in range(a, b)}
+    rid, start, end = (x.tolist() for x in repeats.joined_spans(spans))
+    assert {(r, i) for r, a, b in zip(rid, start, end, strict=True) for i in range(a, b)} == cover
+    found = list(zip(rid, start, end, strict=True))
+    assert all(x[0] != y[0] or x[2] < y[1] for x, y in zip(found, found[1:], strict=False))
+    assert len(repeats.joined_spans([])[0]) == 0
+
+
+def test_a_very_long_text_and_a_heavy_key(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(1_200_000))
+    rows = [(1, long), (2, long[500_000:700_000] + "zz" + long[:150]), (3, long[-130:])] + [(10 + i, "m" * 50 + "copy " * 20) for i in range(40)]
+    monkeypatch.setattr(repeats, "heavy_keys", lambda counts, keys: common.heavy_keys(counts, keys, most=7))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in repeats.op10_repeats(spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert got == brute_force(rows)
+
+
 def test_segments_give_the_same_anchors(monkeypatch):
     rng = random.Random(4)
     long = "".join(rng.choice("abcd") for _ in range(2000)) + "a" * 400

@@ -9,25 +9,30 @@ splitters, and merged with loser trees that carry common prefix lengths and neve
 bytes again. In merged order entries that share a gram are neighbours; windows are compared there.
 
 Equal texts are one text; the runs keep one of equal entries; so copies, however many, cost what
-their distinct contents cost.
+their distinct contents cost. A gram that takes more than its share of a sample of entries doesn't go
+to one merge: the digests of its windows are dealt out, after each run has kept the earliest of equal
+ones. What a task has found goes to the texts' own tasks in one row for each, not in one for each text.
 """
 
 from __future__ import annotations
 
-import uuid
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, shuffle_parts, small_batches, table, text_or_empty, tidy, written
+from .common import cut, heavy_keys, join_heavy, shared_table, shuffle_parts, small_batches, table, text_or_empty, tidy, written
 from .shingles import U, mix, powers
 
 GRAM = 32
 CHUNK = 1 << 19
 POSITION = U((1 << 22) - 1)
+PREFIX = 24  # bytes of a key that splitters and hot grams are told by; less than a gram
 
 
 def anchors(segments: list[bytes], length: int):
@@ -104,8 +109,43 @@ def ints(*arrays) -> bytes:
     return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
 
+PACKED = "part int, entries binary"
+HELD = 1 << 20  # entries that a task keeps before it deals them out
+
+
+def packed(parts: int, rid: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Entries (rid and other whole numbers) in one row for each part that texts' rids fall in."""
+    to = rid % parts
+    order = np.argsort(to, kind="stable")
+    ends = np.searchsorted(to[order], np.arange(parts + 1))
+    full = np.flatnonzero(ends[1:] > ends[:-1])
+    rows = [ints(*(c[order[ends[p] : ends[p + 1]]].astype(np.int64) for c in (rid, *columns))) for p in full]
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(rows, pa.binary())], names=["part", "entries"])
+
+
+def by_text(dealt: DataFrame, parts: int, name: str, width: int) -> DataFrame:
+    """rid and, in a column of that name, the bytes of its int64 rows, from packed entries of width columns."""
+
+    @tidy
+    def gather(batches):
+        found = [np.frombuffer(e, dtype=np.int64).reshape(width, -1) for batch in batches for e in batch.column(1).to_pylist()]
+        if not found:
+            return
+        rows = np.concatenate(found, axis=1)
+        del found
+        rows = rows[:, np.lexsort(rows[::-1])]
+        at = np.flatnonzero(np.concatenate(([True], rows[0, 1:] != rows[0, :-1])))
+        ends = np.append(at[1:], rows.shape[1])
+        body = np.ascontiguousarray(rows[1:].T)
+        for a in range(0, len(at), 4096):
+            blobs = [body[x:y].tobytes() for x, y in zip(at[a : a + 4096].tolist(), ends[a : a + 4096].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0, at[a : a + 4096]], pa.int64()), pa.array(blobs, pa.binary())], names=["rid", name])
+
+    return dealt.repartition(parts, "part").mapInArrow(gather, f"rid long, {name} binary")
+
+
 def repeated_anchors(texts: DataFrame, length: int, parts: int) -> DataFrame:
-    """rid, ordinals (int32 bytes): the anchors whose gram another anchor also has."""
+    """rid, ordinals (int64 bytes): the anchors whose gram another anchor also has."""
 
     @tidy
     def scan(batches):
@@ -134,32 +174,31 @@ def repeated_anchors(texts: DataFrame, length: int, parts: int) -> DataFrame:
     @tidy
     def meet(batches):
         rids, marks, hashes = [], [], []
-
-        def given(rid, ordinal):
-            order = np.lexsort((ordinal, rid))
-            rid, ordinal = rid[order], ordinal[order]
-            at = np.flatnonzero(np.concatenate(([True], rid[1:] != rid[:-1]))) if len(rid) else np.zeros(0, dtype=int)
-            return pa.RecordBatch.from_arrays([pa.array(rid[at], pa.int64()), pa.array([x.tobytes() for x in np.split(ordinal, at[1:])] if len(at) else [], pa.binary())], names=["rid", "ordinals"])
-
+        given, held = [], 0
         for batch in batches:
             for entries, hashed, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 n = len(entries) // 12
                 rid, mark = np.frombuffer(entries, dtype=np.int64, count=n), np.frombuffer(entries, dtype=np.int32, offset=8 * n)
                 if known:
-                    yield given(rid, mark)
+                    given.append((rid, mark))
+                    held += n
                 else:
                     rids.append(rid)
                     marks.append(mark)
                     hashes.append(np.frombuffer(hashed, dtype=U))
+            if held > HELD:
+                yield packed(parts, *(np.concatenate(x) for x in zip(*given, strict=True)))
+                given, held = [], 0
         if hashes:
             _, inverse, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
             rid, mark = np.concatenate(rids), np.concatenate(marks)
             again = (n[inverse] > 1) & (mark >= 0)
-            yield given(rid[again], mark[again])
+            given.append((rid[again], mark[again]))
+        if given:
+            yield packed(parts, *(np.concatenate(x) for x in zip(*given, strict=True)))
 
     dealt = texts.select("rid", "raw").mapInArrow(scan, "part int, entries binary, hashes binary, known boolean").repartition(parts, "part")
-    found = dealt.mapInArrow(meet, "rid long, ordinals binary")
-    return found.groupBy("rid").agg(F.collect_list("ordinals").alias("ordinals"))
+    return by_text(dealt.mapInArrow(meet, PACKED), parts, "ordinals", 2)
 
 
 class Run:
@@ -193,8 +232,9 @@ class Run:
         return run
 
 
-def sorted_run(texts: list[bytes], picks, rids, docs, length: int):
-    """The run of the picked anchors of texts, and (rid, start, end) of entries equal to earlier ones."""
+def sorted_run(texts: list[bytes], picks, rids, docs, length: int, hot: frozenset = frozenset()):
+    """The run of the picked anchors of texts, (rid, start, end) of entries equal to earlier ones, and
+    the entries whose key begins with one of hot, which stay out of the run."""
     home, place, lo, hi, _, ordinal = text_anchors(texts, length)
     key = home << 32 | ordinal
     wanted = np.concatenate([np.full(len(p), i, dtype=np.int64) << 32 | p for i, p in enumerate(picks)])
@@ -204,19 +244,47 @@ def sorted_run(texts: list[bytes], picks, rids, docs, length: int):
         t = texts[h]
         rows.append((t[p : b + length] + t[a:p][::-1], b + length - p, docs[h], rids[h], p))
     rows.sort()
-    kept, gone = [], []
+    kept, gone, busy = [], [], []
+    last = None
     for r in rows:
-        if kept and kept[-1][0] == r[0] and kept[-1][1] == r[1]:
+        if last and last[0] == r[0] and last[1] == r[1]:
             gone.append((r[3], r[4] - (len(r[0]) - r[1]), r[4] + r[1]))
         else:
-            kept.append(r)
+            (busy if hot and r[0][:PREFIX] in hot else kept).append(r)
+            last = r
     run = Run()
     run.keys = [r[0] for r in kept]
     run.right = np.array([r[1] for r in kept], dtype=np.uint8)
     run.left = np.array([len(r[0]) - r[1] for r in kept], dtype=np.uint8)
     run.doc, run.rid, run.place = (np.array([r[i] for r in kept], dtype=np.int64) for i in (2, 3, 4))
     run.lcps = np.array([0, *map(common, run.keys[:-1], run.keys[1:])][: len(kept)], dtype=np.uint8)
-    return run, gone
+    return run, gone, busy
+
+
+def earliest_windows(entries: list, length: int):
+    """Digests of the windows of entries (key, right, doc, rid, place), each with its earliest
+    (doc, rid, start), and (rid, start, end) of the other windows."""
+    first: dict[bytes, tuple[int, int, int]] = {}
+    gone = []
+    for key, right, doc, rid, place in entries:
+        piece = key[right:][::-1] + key[:right]
+        start = place - (len(key) - right)
+        for i in range(len(piece) - length + 1):
+            digest = blake2b(piece[i : i + length], digest_size=16).digest()
+            own = (doc, rid, start + i)
+            known = first.setdefault(digest, own)
+            if known is not own:
+                first[digest], late = (own, known) if own < known else (known, own)
+                gone.append((late[1], late[2], late[2] + length))
+    return first, gone
+
+
+def later_windows(blobs: list[bytes], length: int) -> np.ndarray:
+    """(rid, start, end) of the windows that aren't the earliest of their digest."""
+    rows = np.concatenate([np.frombuffer(b, dtype=np.int64).reshape(5, -1) for b in blobs], axis=1)
+    rows = rows[:, np.lexsort(rows[::-1])]  # two halves of the digest, doc, rid, start
+    late = np.flatnonzero((rows[:2, 1:] == rows[:2, :-1]).all(axis=0)) + 1
+    return np.stack([rows[3, late], rows[4, late], rows[4, late] + length], axis=1)
 
 
 def common(a: bytes, b: bytes, start: int = 0) -> int:
@@ -328,21 +396,33 @@ def repeats_of(group: list, length: int, out: list) -> None:
             out.append((rid, place - last, place - first + length))
 
 
-def spans_table(spans: list):
-    """rid and the spans' bytes (int64 start, end), one row for each rid."""
-    a = np.array(sorted(spans), dtype=np.int64).reshape(-1, 3)
-    at = np.flatnonzero(np.concatenate(([True], a[1:, 0] != a[:-1, 0]))) if len(a) else np.zeros(0, dtype=int)
-    blobs = [np.ascontiguousarray(x).tobytes() for x in np.split(a[:, 1:], at[1:])] if len(at) else []
-    return pa.RecordBatch.from_arrays([pa.array(a[at, 0], pa.int64()), pa.array(blobs, pa.binary())], names=["rid", "spans"])
+def joined_spans(spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """rid, start and end of spans (rid, start, end), those that meet in one text joined."""
+    a = np.asarray(spans, dtype=np.int64).reshape(-1, 3)
+    a = a[np.lexsort((a[:, 2], a[:, 1], a[:, 0]))]
+    if not len(a):
+        return a[:, 0], a[:, 1], a[:, 2]
+    new_text = np.concatenate(([True], a[1:, 0] != a[:-1, 0]))
+    far = int(a[:, 2].max()) + 1
+    shift = (np.cumsum(new_text) - 1) * far
+    reach = np.maximum.accumulate(a[:, 2] + shift)
+    new = np.concatenate(([True], a[1:, 1] + shift[1:] > reach[:-1])) | new_text
+    at = np.flatnonzero(new)
+    ends = reach[np.append(at[1:], len(a)) - 1] - shift[at]
+    return a[at, 0], a[at, 1], ends
 
 
-def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int, sample: int = 2000, entries: int = 50_000) -> DataFrame:
-    """rid, spans (list of int64 bytes) to be removed from texts (rid, doc, raw)."""
+def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int, sample: int = 2000, entries: int = 50_000, shares: float = 2.0, least: int = 20) -> DataFrame:
+    """rid, spans (int64 bytes: start, end) to be removed from texts (rid, doc, raw).
+
+    The prefixes of grams that hold more than `shares` parts' worth of the sampled entries (and at
+    least `least` of them) are hot. There are at most parts / shares of them.
+    """
     n = picked.count()
     rows = attached(texts, picked, "inner").select("rid", "doc", "raw", "ordinals")
 
     def unpack(batch):
-        picks = [np.unique(np.concatenate([np.frombuffer(b, dtype=np.int32) for b in p])).astype(np.int64) for p in batch.column(3).to_pylist()]
+        picks = [np.unique(np.frombuffer(p, dtype=np.int64)) for p in batch.column(3).to_pylist()]
         return batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), picks
 
     @tidy
@@ -350,37 +430,41 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
         for batch in batches:
             rids, docs, raws, picks = unpack(batch)
             if len(rids):
-                run, _ = sorted_run(raws, picks, rids, docs, length)
-                yield pa.RecordBatch.from_arrays([pa.array([k[:24] for k in run.keys[:: max(1, len(run.keys) // 500)]], pa.binary())], names=["key"])
+                run, _, _ = sorted_run(raws, picks, rids, docs, length)
+                yield pa.RecordBatch.from_arrays([pa.array([k[:PREFIX] for k in run.keys[:: max(1, len(run.keys) // 500)]], pa.binary())], names=["key"])
 
     few = rows.filter(F.pmod(F.xxhash64("rid"), F.lit(max(1, n // sample))) == 0)
-    seen = sorted(r[0] for r in few.mapInArrow(keys, "key binary").collect())
-    splitters = sorted({bytes(seen[len(seen) * i // parts]) for i in range(1, parts)}) if seen else []
+    seen = sorted(bytes(r[0]) for r in few.mapInArrow(keys, "key binary").collect())
+    splitters = sorted({seen[len(seen) * i // parts] for i in range(1, parts)}) if seen else []
+    hot = frozenset(k for k, n in Counter(seen).items() if n >= least and n * parts > shares * len(seen))
 
     @tidy
     def runs(batches):
-        from bisect import bisect_left
-
         held: list = []
+        turn = 0
 
         def flush():
             rids, docs, raws, picks = (sum((h[i] for h in held), []) for i in range(4))
             held.clear()
-            run, gone = sorted_run(raws, picks, rids, docs, length)
+            run, gone, busy = sorted_run(raws, picks, rids, docs, length, hot)
             cuts = [0, *(bisect_left(run.keys, s) for s in splitters), len(run.keys)]
-            got = [(p, run.packed(a, b)) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            own = spans_table(gone)
-            got += [(int(r) % parts, None) for r in own.column(0).to_pylist()]
-            runs_n = len(got) - len(own)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in got], pa.int32()), pa.array([b for _, b in got], pa.binary()), pa.array([None] * runs_n + own.column(0).to_pylist(), pa.int64()), pa.array([None] * runs_n + own.column(1).to_pylist(), pa.binary())],
-                names=["part", "run", "rid", "spans"],
-            )
+            got = [(p, run.packed(a, b), None, None) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            if busy:
+                first, more = earliest_windows(busy, length)
+                gone += more
+                digests = np.frombuffer(b"".join(first), dtype=np.int64).reshape(-1, 2)
+                places = np.array(list(first.values()), dtype=np.int64)
+                to = digests[:, 0] % parts
+                got += [(int(p), None, ints(*digests[to == p].T, *places[to == p].T), None) for p in np.unique(to)]
+            if gone:
+                got.append((turn % parts, None, None, ints(*joined_spans(gone))))
+            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int32()), *(pa.array([g[i] for g in got], pa.binary()) for i in (1, 2, 3))], names=["part", "run", "windows", "spans"])
 
         size = 0
         for batch in batches:
             whole = unpack(batch)
             for start, stop in byte_portions(whole[2]):
+                turn += int(whole[0][start])
                 held.append(tuple(x[start:stop] for x in whole))
                 size += sum(map(len, whole[3][start:stop]))
                 if size >= entries:
@@ -391,20 +475,30 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
 
     @tidy
     def merge(batches):
-        parts_of_runs = []
-        for batch in batches:
-            own = batch.filter(pa.array([r is not None for r in batch.column(2).to_pylist()], pa.bool_()))
-            if len(own):
-                yield own.select([2, 3])
-            parts_of_runs += [(p, b) for p, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if b is not None]
         by_part: dict[int, list] = {}
-        for p, b in parts_of_runs:
-            by_part.setdefault(p, []).append(b)
-        del parts_of_runs
-        for blobs in by_part.values():
+        windows: list[bytes] = []
+        spans, held = [], 0
+        for batch in batches:
+            for p, run, w, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if run is not None:
+                    by_part.setdefault(p, []).append(run)
+                elif w is not None:
+                    windows.append(w)
+                else:
+                    spans.append(np.frombuffer(own, dtype=np.int64).reshape(3, -1).T)
+                    held += len(spans[-1])
+                    if held > HELD:
+                        yield packed(parts, *joined_spans(np.concatenate(spans)))
+                        spans, held = [], 0
+        if windows:
+            spans.append(later_windows(windows, length))
+        del windows
+        while by_part:
+            _, blobs = by_part.popitem()
             out: list = []
             group: list = []
             runs_in = [Run.unpacked(b) for b in blobs]
+            del blobs
             fields = [tuple(getattr(r, f).tolist() for f in ("right", "left", "doc", "rid", "place")) for r in runs_in]
             for key, lcp, r, i in merged(runs_in):
                 if lcp < GRAM:
@@ -415,10 +509,12 @@ def repeated_spans(texts: DataFrame, picked: DataFrame, length: int, parts: int,
             if len(group) > 1:
                 repeats_of(group, length, out)
             if out:
-                yield spans_table(out)
+                spans.append(np.array(out, dtype=np.int64))
+        if spans:
+            yield packed(parts, *joined_spans(np.concatenate(spans)))
 
-    dealt = rows.mapInArrow(runs, "part int, run binary, rid long, spans binary").repartition(parts, "part")
-    return dealt.mapInArrow(merge, "rid long, spans binary").groupBy("rid").agg(F.collect_list("spans").alias("spans"))
+    dealt = rows.mapInArrow(runs, "part int, run binary, windows binary, spans binary").repartition(parts, "part")
+    return by_text(dealt.mapInArrow(merge, PACKED), parts, "spans", 3)
 
 
 def attached(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
@@ -429,11 +525,7 @@ def attached(texts: DataFrame, side: DataFrame, how: str) -> DataFrame:
 
 def bucketed(texts: DataFrame, parts: int) -> DataFrame:
     """texts with rid, from a table in the shared folder in buckets of (k1, k2)."""
-    spark = texts.sparkSession
-    name = f"textloom_{uuid.uuid4().hex}"
-    rows = texts.withColumn("rid", F.monotonically_increasing_id())
-    rows.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").bucketBy(parts, "k1", "k2").saveAsTable(name)
-    return spark.table(name)
+    return shared_table(texts.withColumn("rid", F.monotonically_increasing_id()), parts, "k1", "k2")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column], Column] = lambda kept: kept) -> DataFrame:
@@ -452,7 +544,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     raw = text_or_empty().cast("binary")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw).alias("k1"), F.xxhash64(F.lit(1), F.octet_length(raw), raw).alias("k2"), raw.alias("raw"))
     least = F.lit(-(1 << 63)).cast("long")
-    texts = keyed.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", least)).alias("doc"), F.first("raw").alias("raw"))
+    texts = keyed.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", least)).alias("doc"), F.first("raw").alias("raw"), F.count("*").alias("n_rows"))
     texts = bucketed(texts, parts)
     picked = written(repeated_anchors(texts, length, parts))
     spans = cut(repeated_spans(texts, picked, length, parts))
@@ -468,7 +560,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
                     n_spans.append(0)
                     kept.append(raw)
                     continue
-                found = np.concatenate([np.frombuffer(b, dtype=np.int64).reshape(-1, 2) for b in blobs])
+                found = np.frombuffer(blobs, dtype=np.int64).reshape(-1, 2)
                 edge = np.zeros(len(raw) + 1, dtype=np.int32)
                 np.add.at(edge, found[:, 0], 1)
                 np.add.at(edge, found[:, 1], -1)
@@ -481,7 +573,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     done = attached(texts, spans, "left").select("k1", "k2", "doc", "raw", "spans").mapInArrow(apply, "k1 long, k2 long, doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     done = done.withColumn("kept", kept_as(F.col("kept")))
     rows = keyed.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("n"))
-    rows = rows.select("doc_id", "k1", "k2", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")).join(done, ["k1", "k2"])
+    rows = rows.select("doc_id", "k1", "k2", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    rows = join_heavy(rows, done, ["k1", "k2"], heavy_keys(texts.select("k1", "k2", F.col("n_rows").alias("n")), ["k1", "k2"]), ["doc_id", "copy"])
     whole = ((F.col("copy") > 1) | (F.coalesce("doc_id", least) != F.col("doc"))) & (F.col("n_bytes") >= length)
     return rows.select(
         "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"), F.when(whole, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
