@@ -32,6 +32,40 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+class CharClasses:
+    """Tells whether a character is a letter, a number, white space or none of them to tiktoken, whose
+    Unicode tables are of another version than those of the regex package.
+
+    A probing vocabulary joins "a", "1" or "!" with the first byte of what follows in the same piece.
+    """
+
+    KINDS = {"a": "\u00e9", "1": "\u0663", "!": "\u2603", "": "\u2003"}  # a character of each kind in all tables
+
+    def __init__(self):
+        import regex
+
+        self.known: dict[str, str | None] = {}
+        self.library = None
+        self.patterns = {"a": regex.compile(r"\p{L}"), "1": regex.compile(r"\p{N}"), "!": regex.compile(r"[^\s\p{L}\p{N}]"), "": regex.compile(r"\s")}
+
+    def kind(self, c: str) -> str:
+        if self.library is None:
+            import tiktoken
+
+            joined = [a + bytes([b]) for a in (b"a", b"1", b"!") for b in range(0xC2, 0xF5)]
+            ranks = {t: i for i, t in enumerate([bytes([b]) for b in range(256)] + joined)}
+            self.library = tiktoken.Encoding("classes", pat_str=r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+", mergeable_ranks=ranks, special_tokens={})
+        return next((a for a in ("a", "1", "!") if len(self.library.encode_ordinary(a + c)) == len(c.encode())), "")
+
+    def stand_ins(self, text: str) -> dict[int, str]:
+        """Characters of the text that the two tables put in different classes, each with one of the library's class."""
+        new = set(text).difference(self.known)
+        for c in new:
+            kind = self.kind(c) if c > "\u02ff" else None
+            self.known[c] = None if kind is None or self.patterns[kind].match(c) else self.KINDS[kind]
+        return {ord(c): s for c in set(text) if (s := self.known[c])}
+
+
 class Encoder:
     """Encodes pieces of text.
 
@@ -42,7 +76,11 @@ class Encoder:
     def __init__(self, tokens: list[bytes], pattern: str, max_known: int = 160_000):
         import regex
 
-        self.tokens, self.split, self.max_known = tokens, regex.compile(pattern).findall, max_known
+        self.tokens, self.max_known = tokens, max_known
+        pattern = regex.compile(pattern)
+        self.pieces, self.places = pattern.findall, pattern.finditer
+        self.plain = regex.compile("[^\\x00-\\u02ff]").search
+        self.classes = CharClasses()
         self.rank = {t: i for i, t in enumerate(tokens) if t}
         keys, ranks = [], []
         for t, r in self.rank.items():
@@ -59,6 +97,13 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, with the library's notion of letters, numbers and white space."""
+        if self.plain(text) is None:
+            return self.pieces(text)
+        odd = self.classes.stand_ins(text)
+        return [text[m.start() : m.end()] for m in self.places(text.translate(odd))] if odd else self.pieces(text)
+
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 24 | b
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
