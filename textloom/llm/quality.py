@@ -146,7 +146,8 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, par
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    """Whether a row's labels are kept from learning; a row without a doc_id has none and isn't held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Rules:
