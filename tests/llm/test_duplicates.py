@@ -80,6 +80,22 @@ def test_repeated_and_null_ids(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_without_ids_link_like_others(spark, monkeypatch):
+    """A chain of near copies holds where its middle has no doc_id, and heavy classes are dealt out."""
+    words = [f"w{i}" for i in range(60)]
+    text = lambda *changed: " ".join(f"x{i}" if i in changed else w for i, w in enumerate(words))
+    rows = [(1, text()), (None, text(59)), (2, text(59, 58)), (None, "alone " * 9), (None, None), (7, " ")] + [(20 + i, text()) for i in range(9)] + [(1, "quite another text of one doc_id")]
+    monkeypatch.setattr(neardup, "heavy_keys", lambda counts, keys: common.heavy_keys(counts, keys, most=2))
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row int").withColumnRenamed("row", "place")
+    got = {r["place"]: r for r in neardup.near_duplicates(df, percent=85, carried=["place"]).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["component_id"] == 1 for i in (0, 1, 2, *range(6, 15))) and got[0]["kept"] and not got[1]["kept"] and got[1]["n_links"] >= 1
+    assert (got[3]["component_id"], got[3]["kept"], got[3]["group"] is None) == (None, False, False)
+    assert (got[4]["component_id"], got[4]["kept"], got[4]["group"]) == (None, False, None)
+    assert (got[5]["component_id"], got[5]["kept"], got[5]["group"]) == (7, True, None)
+    assert got[15]["component_id"] == 1 and got[15]["group"] != got[0]["group"]
+
+
 def test_graph(spark):
     rng = random.Random(0)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(5, 5)]

@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -178,6 +179,22 @@ def test_expectation_maximisation_finds_the_good_labeler():
     assert right[0][0] > 0.9 and right[2][0] < 0.7
 
 
+def test_op3_equals_plain_rules(spark):
+    """The query's rows against the rules read one by one in plain Python, over texts of the whole table."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.fit_quality(docs, labels)
+    got = {r["doc_id"]: r for r in quality.op3_quality(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        stats = dict(zip(quality.STATS, quality.text_stats(r["text"] or ""), strict=True))
+        z = rules.intercept + sum(w for rule, w in zip(rules.rules, rules.weights, strict=True) if all(stats[n] > b if above else stats[n] <= b for n, above, b in rule))
+        want = 1 / (1 + np.exp(-z))
+        assert abs(got[r["doc_id"]]["score"] - want) < 1e-9 and got[r["doc_id"]]["predicted"] == int(want >= 0.3)
+        assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
 def test_quality(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
@@ -188,6 +205,12 @@ def test_quality(spark):
     df = spark.createDataFrame([(0, None, 1), (1, "Some plain text here.", 1), (2, "$$$ ### %%% &&&", 1), (3, "", 1)], "doc_id long, text string, score int")
     got = {r["doc_id"]: r["score"] for r in quality.score_documents(df, rules).collect()}
     assert np.allclose([got[0], got[1], got[2]], rules.score_rows(x)) and got[0] == got[3]
+    odd = spark.createDataFrame([(None, "x y", 5), (1, "x y", 5), (1, None, 5), (10, "long words " * 100_000, 5)], "doc_id long, text string, _quality_stats int")
+    kept = quality.score_documents(odd, rules).withColumn("h", quality.held_out()).collect()
+    assert len(kept) == 4 and all(r["h"] is not None and 0 <= r["score"] <= 1 for r in kept) and kept[0]["score"] == kept[1]["score"] and not kept[0]["h"]
+    torn = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (2, None)], "doc_id long, quality int")
+    assert 0 < quality.score_documents(odd, quality.fit_quality(odd, torn)).first()["score"] < 1
+    assert quality.score_documents(odd.limit(0), rules).count() == 0
     none = quality.fit_quality(docs, labels.limit(0))
     assert quality.score_documents(df, none).first()["score"] == 0.5
     assert quality.fit_quality(docs, labels.filter("quality = 1")).intercept > 0

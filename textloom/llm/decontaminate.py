@@ -62,6 +62,14 @@ def unchanged(n: int, most: int) -> tuple[int, int]:
     return next(((q, n - q + 1 - most * q) for q in range(8, 1, -1) if n - q + 1 > most * q), (1, max(1, n - most)))
 
 
+def bit_masks(text: str) -> dict[str, int]:
+    """For each character the bits of its places in a pattern."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
 def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int, int]:
     """The least edit distance of a pattern of n characters to a prefix of text, and its length.
 
@@ -103,12 +111,7 @@ class Items:
         self.ids = [r[0] for r in rows]
         self.texts = [r[1] for r in rows]
         self.most = [int(tolerance * len(t)) for t in self.texts]
-        self.masks = []
-        for t in self.texts:
-            bits_of: dict[str, int] = {}
-            for i, c in enumerate(t):
-                bits_of[c] = bits_of.get(c, 0) | 1 << i
-            self.masks.append(bits_of)
+        self.masks = [bit_masks(t) for t in self.texts]
         self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
         longest = int(self.sizes.max(initial=0))
         self.walk = rng.integers(0, 2, size=(longest + 1, repeats, 256), dtype=np.int64)

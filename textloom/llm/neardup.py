@@ -18,12 +18,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import portions
-from .common import cut, release_memory, small_batches, table, text_or_empty, tidy, written
+from .common import cut, heavy_keys, join_heavy, release_memory, small_batches, table, text_or_empty, tidy, written
 from .graph import components
 from .shingles import U, mix, set_key, shingle_sets
 
+SOME_WORD = r"[^\x20\x09-\x0D]"
 TREES, DEPTH, BASE_DEPTH = 24, 6, 5
 WIDTH = DEPTH * 4
 
@@ -44,24 +46,34 @@ def signatures(sets: list[np.ndarray], n: int = TREES * DEPTH) -> np.ndarray:
     return out
 
 
-def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, cls (the set's key; null if empty), sig (null if empty)."""
+def row_key():
+    """A hash of a row's doc_id and text, by which a text of a class is found again; ids may be null or repeated."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_or_empty())
+
+
+def sketches(docs: DataFrame, k: int, carried: list[str]) -> DataFrame:
+    """doc_id, row (row_key), n_shingles, cls (the set's key; null if empty), sig (null if empty), and the carried columns."""
 
     @tidy
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for start, stop in portions(texts, 1 << 18):
                 sets = shingle_sets(texts[start:stop], k)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 rows = iter(signatures([sets[i] for i in full]) if full else ())
                 sig = [next(rows).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, stop - start), pa.array(map(len, sets), pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n_shingles", "cls", "sig"],
+                    [*(c.slice(start, stop - start) for c in batch.columns[1:]), pa.array(map(len, sets), pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array(sig, pa.binary())],
+                    names=names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n_shingles long, cls long, sig binary")
+    rows = docs.select(text_or_empty().alias("text"), F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), *carried)
+    own = rows.drop("text").schema
+    names = [*own.names, "n_shingles", "cls", "sig"]
+    for name, kind in (("n_shingles", T.LongType()), ("cls", T.LongType()), ("sig", T.BinaryType())):
+        own = own.add(name, kind)
+    return rows.mapInArrow(run, own)
 
 
 def alike(a, b, percent: int):
@@ -149,8 +161,8 @@ def forest(classes: DataFrame, percent: int, whole: int = 4, most: int = 50_000)
 
 
 def set_table(docs: DataFrame, ids: DataFrame, k: int, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """cls, members (its sorted hashes) for the classes of ids (cls, doc_id of one of its texts)."""
-    only = ids.select("doc_id").distinct()
+    """cls, members (its sorted hashes) for the classes of ids (cls, row: the key of one of its rows)."""
+    only = ids.select("row").distinct()
     only = F.broadcast(only) if ids.count() <= broadcast_ids else only
 
     @tidy
@@ -161,7 +173,7 @@ def set_table(docs: DataFrame, ids: DataFrame, k: int, broadcast_ids: int = 1_00
                 sets = shingle_sets(texts[start:stop], k)
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "members"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(only, "doc_id", "left_semi").select("text")
+    texts = docs.select(row_key().alias("row"), text_or_empty().alias("text")).join(only, "row", "left_semi").select("text")
     sets = texts.mapInArrow(run, "cls long, members binary").join(ids.select("cls"), "cls", "left_semi")
     return written(sets.groupBy("cls").agg(F.first("members").alias("members")))
 
@@ -178,7 +190,7 @@ def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
     """The pairs (a, b) of classes that are linked."""
     pairs = cut(pairs.distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = set_table(docs, cut(needed.join(classes, "cls").select("cls", F.col("rep").alias("doc_id"))), k)
+    sets = set_table(docs, cut(needed.join(classes, "cls").select("cls", "row")), k)
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb")
 
@@ -211,7 +223,7 @@ def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: D
     inside = cut(inside.join(regions.drop("comps"), "region"))
     if not inside.limit(1).count():
         return inside.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
-    ids = cut(inside.select("cls").distinct().join(classes, "cls").select("cls", F.col("rep").alias("doc_id")))
+    ids = cut(inside.select("cls").distinct().join(classes, "cls").select("cls", "row"))
     known = set_table(docs, ids, k).join(classes.select("cls", "n", "sig"), "cls")
     lbs, rbs = F.ceil((F.col("m") - F.col("top")) / block).cast("int"), F.ceil(F.col("m") / block).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("cls", "region"), n).cast("int")
@@ -249,23 +261,26 @@ def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: D
     return cut(left.groupBy("x_region", "x_lb", "x_rb").cogroup(right.groupBy("region", "lb", "rb")).applyInPandas(tile, "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links for every row.
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, carried: list[str] | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, n_links, group for every row, and the carried columns of docs.
 
     Documents are linked if 100 * intersection >= percent * union of their distinct k-word shingles
     (A-Z lower-cased, words parted by ASCII white space; with fewer words, all of them as one).
     component_id is the smallest doc_id reachable over links, kept whether it is the row's own;
     n_links counts the other distinct shingle sets that confirmed links join to the row's; links
-    inside a component that is already joined aren't all looked for.
-    Null, empty and blank texts have no shingles and link with nothing: they keep their own id.
-    Repeated rows fall in one class and share an outcome; a null doc_id never names a class with
-    other ids. Other columns are ignored; an empty table gives an empty one. Sets are compared by
+    inside a component that is already joined aren't all looked for. group is a number that the rows
+    of one component have in common.
+    Null, empty and blank texts have no shingles, no group and no links: they keep their own id.
+    Repeated rows fall in one class and share an outcome. A null doc_id links like any other row and
+    never names a component; one without any other ids has a null component_id and isn't kept.
+    Columns that aren't carried are ignored; an empty table gives an empty one. Sets are compared by
     64-bit hashes of their shingles.
     """
     small_batches(docs.sparkSession)
-    known = written(sketches(docs, k))
+    carried = carried or []
+    known = written(sketches(docs, k, carried))
     full = known.filter(F.col("cls").isNotNull())
-    classes = written(full.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+    classes = written(full.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     found = cut(forest(classes, percent).distinct())
     edges = similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k)
     comps = components(edges)
@@ -276,16 +291,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
             comps = components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     joined = classes.select("cls", "rep").join(comps.withColumnRenamed("node", "cls"), "cls")
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    placed = cut(joined.join(least, "component").join(degree, "cls").select("cls", "component_id", "n_links"))
-    whole = classes.select("cls", "rep").join(placed, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = known.select("doc_id", "n_shingles", "cls").join(whole, "cls", "left")
-    own = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    least = cut(joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")))
+    joined = join_heavy(joined, least.drop("n"), ["component"], heavy_keys(least, ["component"]), ["cls"])
+    placed = cut(joined.join(degree, "cls").select("cls", "component_id", "n_links", "component"))
+    whole = classes.select("cls", "rep").join(placed, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "cls").alias("group"))
+    copies = heavy_keys(classes.select("cls", F.col("copies").alias("n")), ["cls"])
+    rows = join_heavy(full.drop("sig"), whole, ["cls"], copies, ["doc_id", "row"]).select("doc_id", "n_shingles", "component_id", "n_links", "group", *carried)
+    blank = known.filter(F.col("cls").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).alias("n_links"), F.lit(None).cast("long").alias("group"), *carried)
+    kept = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False))
+    return rows.unionByName(blank).select("doc_id", "n_shingles", "component_id", kept.alias("kept"), F.col("n_links").cast("long").alias("n_links"), "group", *carried)
 
 
 def op1_near_duplicates(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("n_links")
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("n_links", "group")
 
 
 ORACLE_OP1 = r"""
