@@ -1,7 +1,8 @@
 """A corpus cleaned in stages: quality, near duplicates, benchmark passages, personal data, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last
-return the columns of docs; rows with null or empty texts pass through, as do null doc_ids.
+return the columns of docs. Rows with null or empty texts pass through; so do null doc_ids, but for
+the near copies of another row.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import bpe, decontaminate, neardup, pii, quality
-from textloom.llm.common import table, written
+from textloom.llm.common import heavy_keys, table, text_or_empty, written
 
 KEEP_FROM = 0.3
 
@@ -22,13 +23,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of similar texts.
+    """Keeps one row of each group of similar texts: the one with the smallest doc_id.
 
-    Rows without a doc_id stay. Rows with one doc_id and text are one document.
+    Rows without a doc_id come after the others; ties go by a hash of all columns, and of rows that
+    are equal in all columns one stays. Rows of one doc_id and different texts are different documents.
+    Rows without words are in no group and stay.
     """
-    kept = neardup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    key = ["_k1", "_k2"]
+    marked = docs.select("*", F.xxhash64(*docs.columns).alias("_k1"), F.xxhash64(F.lit(1), *docs.columns).alias("_k2"))
+    grouped = neardup.near_duplicates(marked, carried=key).filter(F.col("group").isNotNull())
+    rows = grouped.groupBy("group", "doc_id", *key).agg(F.count("*").alias("n"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", *key, "n")).alias("first"))
+    chosen = written(first.select("first._k1", "first._k2", "first.n"))
+    stay = marked.join(chosen, key, "left_semi").dropDuplicates(key)
+    heavy = heavy_keys(chosen, key)
+    if heavy.limit(1).count():  # so many equal rows that tasks must drop them before they meet
+        few = F.broadcast(heavy)
+        light = marked.join(few, key, "left_anti").join(chosen, key, "left_semi").dropDuplicates(key)
+        stay = light.unionByName(marked.join(few, key, "left_semi").dropDuplicates(key))
+    return stay.select(*docs.columns).unionByName(docs.filter(~text_or_empty().rlike(neardup.SOME_WORD)))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
