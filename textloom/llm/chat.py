@@ -1,6 +1,7 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
-Prefix sums of turn tokens choose turn-aligned spans. Each window after the first repeats the system
+Prefix sums of turn tokens choose turn-aligned spans; a conversation comes in blocks of bounded
+size, in which windows are opened one after another. Each window after the first repeats the system
 turn and a limited history; repeated turns are outside its loss mask, so that every assistant text
 is a target once. A turn is written as
 
@@ -19,19 +20,21 @@ from .common import table
 
 CONTROLS = r"(</?s>|\[/?INST\]|\[/?ROLE\])"
 BEGIN, OPEN, CLOSE, END = "<s>", "[ROLE] ", " [/ROLE] ", " </s>"
+KNOWN = "array<struct<role:string,text:string,cost:bigint>>"
 TURN = r"(?s)\[ROLE\] (.*?) \[/ROLE\] (.*?) </s>"
 
 
 def escape(c: Column) -> Column:
-    return F.regexp_replace(c, CONTROLS, r"\\$1")
+    some = F.contains(c, F.lit("[")) | F.contains(c, F.lit("<"))  # most texts need no pattern
+    return F.when(some, F.regexp_replace(c, CONTROLS, r"\\$1")).otherwise(c)
 
 
 def unescape(c: Column) -> Column:
-    return F.regexp_replace(c, r"\\" + CONTROLS, "$1")
+    return F.when(F.contains(c, F.lit("\\")), F.regexp_replace(c, r"\\" + CONTROLS, "$1")).otherwise(c)
 
 
-def format_conversations(rows: DataFrame, budget: int = 2048, history_turns: int = 2, history_budget: int = 256, bytes_per_token: int = 4, turn_overhead: int = 8) -> DataFrame:
-    """One row per window: conv_id, window_no, n_repeated, n_new, formatted, loss_spans.
+def format_conversations(rows: DataFrame, budget: int = 2048, history_turns: int = 2, history_budget: int = 256, bytes_per_token: int = 4, turn_overhead: int = 8, block_windows: int = 64) -> DataFrame:
+    """One row per window: conv_id, first_turn, n_repeated, n_new, formatted, loss_spans.
 
     rows has conv_id, turn, role, text; other columns are ignored. Turns are ordered by turn, then
     role and text, so ties and repeated rows all stay, in one order. Null roles and texts are empty;
@@ -40,54 +43,81 @@ def format_conversations(rows: DataFrame, budget: int = 2048, history_turns: int
     in each window. New turns fill a window while they, the system turn and the room for history
     (history_budget, in windows after the first) stay within budget; a turn that is larger still gets
     a window alone and whole. History is the longest run of at most history_turns turns before the
-    window within history_budget. loss_spans are (start, end) in code points of formatted.
+    window within history_budget. first_turn is the place (from 0) of the first new turn in its
+    conversation; loss_spans are (start, end) in code points of formatted.
 
-    A conversation is put together in one row, as its text is one sequence; its window rows are
-    bounded by budget and its longest turn.
+    A conversation is cut into blocks of block_windows budgets by its prefix sums, where a window
+    always begins anew. Turns come together only in blocks, with the system turn and the history
+    before the block, so a row is bounded by these budgets and the longest turn; a conversation of any
+    length is numbered and summed by a sort that can spill.
     """
-    order = ["turn", "role", "text"]
     clean = rows.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     cost = F.ceil(F.octet_length("text") / F.lit(bytes_per_token)) + F.lit(turn_overhead)
-    upto = F.sum(cost.cast("long")).over(Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    piece_head = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(CLOSE))
-    turns = clean.withColumn("upto", upto).select("conv_id", F.struct("turn", "role", "text", "upto", piece_head.alias("head"), escape(F.col("text")).alias("body")).alias("t"))
-    conv = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    conv = conv.withColumn("n_sys", F.when(F.col("ts")[0]["role"] == "system", 1).otherwise(0)).withColumn("sys", F.when(F.col("n_sys") == 1, F.col("ts")[0]["upto"]).otherwise(F.lit(0)))
+    clean = clean.withColumn("cost", cost.cast("long"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    fields = ["role", "text", "cost"]
+    told = F.struct(*fields)
+    clean = clean.select(
+        "conv_id", *fields, (F.row_number().over(order) - 1).cast("long").alias("i"), F.sum("cost").over(upto).alias("upto"), F.lag("cost", 1, 0).over(order).alias("cost_before"),
+        F.first(F.when(F.col("role") == "system", told)).over(upto).alias("system"), F.array(*(F.lag(told, j).over(order) for j in range(history_turns, 0, -1))).cast(KNOWN).alias("before"),
+    )
+    # a system turn isn't counted, so that the turn after it is in the first block
+    n_sys = F.when(F.col("system").isNotNull(), 1).otherwise(0)
+    sys = F.coalesce(F.col("system.cost"), F.lit(0).cast("long"))
+    block = lambda start: F.floor(F.greatest(F.lit(0), start - sys) / F.lit(block_windows * budget))
+    start = F.col("upto") - F.col("cost")
+    clean = clean.withColumn("n_sys", n_sys).withColumn("sys", sys).withColumn("block", block(start))
+    opens = (F.col("i") == 0) | (F.col("block") != block(start - F.col("cost_before")))
+    known = F.slice("before", F.greatest(F.lit(1), history_turns + 1 - (F.col("i") - F.col("n_sys")).cast("int")), history_turns)
+    like = lambda t: F.struct(F.lit(-1).cast("long").alias("i"), F.lit(0).cast("long").alias("upto"), *(t[f].alias(f) for f in fields))  # noqa: E731  as turns are
+    known = F.transform(F.when(F.col("block") == 0, F.slice("before", 1, 0)).otherwise(known), like)
+    first = F.when(opens, F.struct(known.alias("before"), F.when(F.col("n_sys") == 1, like(F.col("system"))).alias("system"), "n_sys", "sys"))
+    turns = clean.select("conv_id", "block", F.struct("i", "upto", *fields).alias("t"), first.alias("first"))
+    conv = turns.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list("t")).alias("ts"), F.first("first", ignorenulls=True).alias("first"))
+    conv = conv.select("conv_id", "block", "ts", "first.*").withColumn("lead", F.when(F.col("block") == 0, F.col("n_sys")).otherwise(0))
 
     # The fold keeps the first turns of windows and the prefix sum before the open one.
     room = F.greatest(F.lit(0), F.lit(budget) - F.col("sys"))
-    start = F.struct(F.array(F.col("n_sys")).alias("starts"), F.col("sys").cast("long").alias("base"), room.cast("long").alias("room"))
+    later_room = F.greatest(F.lit(0), room - F.lit(history_budget)).cast("long")
+    base = F.col("ts")[0]["upto"] - F.when(F.col("lead") == 1, 0).otherwise(F.col("ts")[0]["cost"])
+    zero = F.struct(F.array(F.col("lead")).alias("starts"), base.cast("long").alias("base"), F.when(F.col("block") == 0, room.cast("long")).otherwise(later_room).alias("room"))
 
     def step(acc, i):
         # ts is 1-based in element_at: i + 1 is turn i, i is the turn before
         here = F.element_at(F.col("ts"), i + 1)["upto"]
         before = F.element_at(F.col("ts"), i)["upto"]
-        opens = (i > F.element_at(acc["starts"], -1)) & (here - acc["base"] > acc["room"])
+        opens = here - acc["base"] > acc["room"]
         return F.struct(
             F.when(opens, F.concat(acc["starts"], F.array(i))).otherwise(acc["starts"]).alias("starts"),
-            F.when(opens, before).otherwise(acc["base"]).alias("base"),
-            F.when(opens, F.greatest(F.lit(0), room - F.lit(history_budget)).cast("long")).otherwise(acc["room"]).alias("room"),
+            F.when(opens, before).otherwise(acc["base"]).alias("base"), F.when(opens, later_room).otherwise(acc["room"]).alias("room"),
         )
 
-    later = F.when(F.size("ts") > F.col("n_sys") + 1, F.sequence(F.col("n_sys") + 1, F.size("ts") - 1)).otherwise(F.array().cast("array<int>"))
-    conv = conv.withColumn("starts", F.aggregate(later, start, step)["starts"])
+    later = F.when(F.size("ts") > F.col("lead") + 1, F.sequence(F.col("lead") + 1, F.size("ts") - 1)).otherwise(F.array().cast("array<int>"))
+    conv = conv.withColumn("starts", F.aggregate(later, zero, step)["starts"])
 
     def window(s, k):
         stop = F.coalesce(F.try_element_at(F.col("starts"), k + 2), F.size("ts"))
-        least = F.greatest(F.col("n_sys"), s - F.lit(history_turns))
-        near = F.when((k > 0) & (least < s), F.sequence(least, s - 1)).otherwise(F.array().cast("array<int>"))
-        tokens_from = lambda j: F.element_at(F.col("ts"), s)["upto"] - F.when(j == 0, F.lit(0)).otherwise(F.element_at(F.col("ts"), F.greatest(j, F.lit(1)))["upto"])
-        first = F.coalesce(F.array_min(F.filter(near, lambda j: tokens_from(j) <= history_budget)), s)
-        kept_sys = F.when((k > 0) & (F.col("n_sys") == 1), F.slice("ts", 1, 1)).otherwise(F.slice("ts", 1, 0))
-        first_new = F.when(k == 0, F.lit(0)).otherwise(s)
-        history = F.slice("ts", first + 1, s - first)
+        again = (k > 0) | (F.col("block") > 0)
+        own = F.least(F.lit(history_turns), s - F.col("lead"))  # no transform here, as it would copy texts
+        behind = F.concat("before", F.slice("ts", s - own + 1, own))
+        near = F.slice(behind, F.greatest(F.lit(1), F.size(behind) - history_turns + 1), history_turns)
+        places = F.when(F.size(near) > 0, F.sequence(F.lit(1), F.size(near))).otherwise(F.array().cast("array<int>"))
+        tokens_from = lambda j: F.aggregate(F.slice(near, j, F.size(near)), F.lit(0).cast("long"), lambda n, t: n + t["cost"])
+        from_here = F.coalesce(F.array_min(F.filter(places, lambda j: tokens_from(j) <= history_budget)), F.size(near) + 1)
+        history = F.slice(near, from_here, F.size(near) + 1 - from_here)
+        kept_sys = F.when(again & (F.col("n_sys") == 1), F.array("system")).otherwise(F.slice(F.array("system"), 1, 0))
+        first_new = F.when(again, s).otherwise(F.lit(0))
+        repeated = F.when(again, F.concat(kept_sys, history)).otherwise(kept_sys)
         return F.struct(
-            k.alias("window_no"), (F.size(kept_sys) + F.size(history)).alias("n_repeated"), F.concat(kept_sys, history, F.slice("ts", first_new + 1, stop - first_new)).alias("turns"),
+            F.element_at("ts", first_new + 1)["i"].alias("first_turn"), F.size(repeated).alias("n_repeated"), F.concat(repeated, F.slice("ts", first_new + 1, stop - first_new)).alias("turns"),
         )
 
     wins = conv.select("conv_id", F.explode(F.transform("starts", window)).alias("w")).select("conv_id", "w.*")
+    head = lambda t: F.concat(F.lit(OPEN), escape(t["role"]), F.lit(CLOSE))
+    wins = wins.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), head(t).alias("head"), escape(t["text"]).alias("body"))))
     size_of = lambda t: F.length(t["head"]) + F.length(t["body"]) + len(END)
 
     def place(acc, t):
@@ -100,23 +130,18 @@ def format_conversations(rows: DataFrame, budget: int = 2048, history_turns: int
     zero = F.struct(F.lit(0).alias("i"), F.lit(len(BEGIN)).alias("at"), none.alias("spans"))
     body = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")
     return wins.select(
-        "conv_id", "window_no", "n_repeated", (F.size("turns") - F.col("n_repeated")).alias("n_new"), F.concat(F.lit(BEGIN), body).alias("formatted"), F.aggregate("turns", zero, place)["spans"].alias("loss_spans"),
+        "conv_id", "first_turn", "n_repeated", (F.size("turns") - F.col("n_repeated")).alias("n_new"), F.concat(F.lit(BEGIN), body).alias("formatted"), F.aggregate("turns", zero, place)["spans"].alias("loss_spans"),
     )
 
 
-def read_back(windows: DataFrame) -> DataFrame:
-    """From formatted windows: conv_id, turns (role, text; each once, in order), targets, formatted_chars."""
+def read_windows(windows: DataFrame) -> DataFrame:
+    """From formatted windows: conv_id, first_turn, turns (role, text; the new ones), targets, formatted_chars."""
     roles, texts = (F.regexp_extract_all("formatted", F.lit(TURN), F.lit(g)) for g in (1, 2))
     turns = F.arrays_zip(roles.alias("role"), texts.alias("text"))
     new = F.slice(turns, F.col("n_repeated") + 1, F.greatest(F.size(turns) - F.col("n_repeated"), F.lit(0)))
     new = F.transform(new, lambda t: F.struct(unescape(t["role"]).alias("role"), unescape(t["text"]).alias("text")))
     targets = F.transform("loss_spans", lambda s: unescape(F.substr("formatted", s["start"] + 1, s["end"] - s["start"])))
-    each = windows.select("conv_id", F.struct("window_no", new.alias("turns"), targets.alias("targets"), F.length("formatted").cast("long").alias("chars")).alias("w"))
-    conv = each.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("ws"))
-    return conv.select(
-        "conv_id", F.flatten(F.transform("ws", lambda w: w["turns"])).alias("turns"), F.flatten(F.transform("ws", lambda w: w["targets"])).alias("targets"),
-        F.aggregate("ws", F.lit(0).cast("long"), lambda n, w: n + w["chars"]).alias("formatted_chars"),
-    )
+    return windows.select("conv_id", "first_turn", new.alias("turns"), targets.alias("targets"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def op7_chat_formatting(spark, sf_dir):
@@ -125,12 +150,17 @@ def op7_chat_formatting(spark, sf_dir):
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(sample).alias("text"))
     rows = rows.unionByName(extra)
-    got = read_back(format_conversations(rows))
+    got = read_windows(format_conversations(rows))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    targets = F.array_join("targets", "")
-    return got.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length(targets).cast("long").alias("loss_chars"),
-        F.sha2(targets.cast("binary"), 256).alias("loss_sha256"), "formatted_chars",
+    part = F.struct("first_turn", F.size("turns").cast("long").alias("n"), said.alias("said"), F.array_join("targets", "").alias("target"), "formatted_chars")
+    # a digest is of one sequence: this alone puts a conversation's texts together, each of them once
+    whole = got.groupBy("conv_id").agg(F.array_sort(F.collect_list(part)).alias("ws"))
+    total = lambda f: F.aggregate("ws", F.lit(0).cast("long"), lambda n, w: n + w[f])
+    joined = lambda f: F.array_join(F.transform("ws", lambda w: w[f]), "").cast("binary")
+    loss_chars = F.aggregate("ws", F.lit(0).cast("long"), lambda n, w: n + F.length(w["target"]))
+    return whole.select(
+        "conv_id", total("n").alias("n_turns"), F.sha2(joined("said"), 256).alias("turns_sha256"), loss_chars.alias("loss_chars"), F.sha2(joined("target"), 256).alias("loss_sha256"),
+        total("formatted_chars").alias("formatted_chars"),
     )
 
 
@@ -153,6 +183,8 @@ WITH t AS (
     FROM n GROUP BY conv_id
 ), s AS (
     SELECT *, CASE WHEN n_sys = 1 THEN ts[1].upto ELSE 0 END AS sys FROM c
+), b AS (
+    SELECT *, list_transform(ts, lambda x: greatest(0, x.upto - x.cost - sys) // 131072) AS blocks FROM s
 )
 """
 
@@ -162,13 +194,13 @@ def oracle_sql() -> str:
     return (
         ORACLE_OP7.replace("WITH t AS", "WITH RECURSIVE t AS").rstrip()
         + r""", f AS (
-    SELECT conv_id, n_sys AS i, n_sys AS first, CAST(sys AS BIGINT) AS base, CAST(greatest(0, 2048 - sys) AS BIGINT) AS room FROM s
+    SELECT conv_id, n_sys AS i, n_sys AS first, CAST(sys AS BIGINT) AS base, CAST(greatest(0, 2048 - sys) AS BIGINT) AS room FROM b
     UNION ALL
-    SELECT f.conv_id, f.i + 1,
-        CASE WHEN s.ts[f.i + 2].upto - f.base > f.room THEN f.i + 1 ELSE f.first END,
-        CAST(CASE WHEN s.ts[f.i + 2].upto - f.base > f.room THEN s.ts[f.i + 1].upto ELSE f.base END AS BIGINT),
-        CAST(CASE WHEN s.ts[f.i + 2].upto - f.base > f.room THEN greatest(0, greatest(0, 2048 - s.sys) - 256) ELSE f.room END AS BIGINT)
-    FROM f JOIN s USING (conv_id) WHERE f.i + 1 < len(s.ts)
+    SELECT conv_id, i + 1, CASE WHEN o THEN i + 1 ELSE first END, CAST(CASE WHEN o THEN before ELSE base END AS BIGINT), CAST(CASE WHEN o THEN later ELSE room END AS BIGINT)
+    FROM (
+        SELECT f.*, b.ts[f.i + 1].upto AS before, greatest(0, greatest(0, 2048 - b.sys) - 256) AS later, b.ts[f.i + 2].upto - f.base > f.room OR b.blocks[f.i + 2] <> b.blocks[f.i + 1] AS o
+        FROM f JOIN b USING (conv_id) WHERE f.i + 1 < len(b.ts)
+    )
 ), opened AS (
     SELECT DISTINCT f.conv_id, f.first, s.n_sys, s.ts FROM f JOIN s USING (conv_id)
 ), repeats AS (

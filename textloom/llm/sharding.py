@@ -3,8 +3,9 @@
 Indivisible groups (rows with equal texts) are packed, largest first, each into the bin with the
 tightest remaining capacity that still holds it. Best fit keeps choosing the same bin for items of
 one size until it is full, so the packer works on (size, number of groups of that size) and places
-whole runs: what the driver holds is bounded by the number of distinct sizes (at most
-sqrt(2 * total bytes), and in practice by the longest text), never by the number of rows.
+whole runs. Sizes are told apart to a grain of a 10^10th of all bytes, so that the driver holds at most
+2 * 10^5 of them: 10^5 multiples of the grain below a 10^5th of the bytes, and as many groups above it.
+Below 10 GB the grain is one byte.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, text_or_empty
+from .common import cut, heavy_keys, join_heavy, shuffle_parts, text_or_empty
 
 
 class _Node:
@@ -196,50 +197,74 @@ def pack_into(histogram: list[tuple[int, int]], n_bins: int) -> Packing:
     return Packing(capacity, bins, runs)
 
 
-def shard_documents(docs: DataFrame, n_shards: int | None = 16, capacity: int | None = None, cells: int = 64, rows_per_cell: int = 50_000) -> DataFrame:
+SIZES = 100_000  # of sizes below the split, and of groups above it, as a bound of the packer's list
+
+
+def grain_of(total: int, sizes: int = SIZES) -> tuple[int, int]:
+    """The grain of small sizes, and the least large size, for so many bytes in all."""
+    return max(1, -(-total // sizes**2)), max(1, -(-total // sizes))
+
+
+def shard_documents(docs: DataFrame, n_shards: int | None = 16, capacity: int | None = None, cells: int | None = None, rows_per_cell: int = 50_000, sizes: int = SIZES) -> DataFrame:
     """Adds size, text_crc32, shard and slot to doc_id; groups of equal texts stay together.
 
     Give n_shards for that many shards of near equal bytes (a group above the mean is a shard alone
-    and the others are equal among themselves), or capacity for the fewest shards of at
-    most so many bytes (a larger group gets a shard alone). Null texts count as empty ones (size 1,
-    crc 0) and form one group with them; repeated rows are placed like any others; an empty table
-    gives an empty one; other columns are dropped. Ties: groups of one size are ordered by their
-    text's hash, rows in a shard by doc_id.
+    and the others are equal among themselves; fewer groups than shards leave shards empty), or
+    capacity for the fewest shards of at most so many bytes (a larger group gets a shard alone).
+    Null texts count as empty ones (size 1, crc 0) and form one group with them; repeated rows are
+    placed like any others; null doc_ids come in any order; an empty table gives an empty one; other
+    columns are dropped. Ties: groups of one size are ordered by their text's hash, rows in a shard by
+    doc_id within cells.
 
     A text is hashed where it is read, so that texts aren't shuffled; sizes are summed before the
-    shuffle. Ranks and slots are counted in cells (by a hash; for slots as many as rows_per_cell asks for), then offset by
-    running totals of the cells' counts, so that no size and no shard is one task's work.
+    shuffle. Small groups are packed by the mean size of their grain (by the largest one with a
+    capacity, which then still holds). Ranks and slots are counted in cells (by a hash; for slots as
+    many as rows_per_cell asks for), then offset by running totals of the cells' counts, so that no
+    size and no shard is one task's work; rows of a heavy group are dealt out.
     """
     spark = docs.sparkSession
+    cells = cells or max(64, shuffle_parts(spark))
     text = text_or_empty()
     rows = docs.select(
         F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.sha2(text.cast("binary"), 256).alias("_group"),
     )
-    groups = rows.groupBy("_group").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_n"))
-    groups = cut(groups.withColumn("_cell", F.pmod(F.xxhash64("_group"), F.lit(cells)).cast("int")))
-    counts = groups.groupBy("_bytes", "_cell").agg(F.count("*").alias("_in_cell"))
-    offsets = cut(counts.select("_bytes", "_cell", "_in_cell", (F.sum("_in_cell").over(Window.partitionBy("_bytes").orderBy("_cell")) - F.col("_in_cell")).alias("_offset")))
-    histogram = [(int(r[0]), int(r[1])) for r in offsets.groupBy("_bytes").agg(F.sum("_in_cell")).collect()]
+    groups = cut(rows.groupBy("_group").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_n")).withColumn("_cell", F.pmod(F.xxhash64("_group"), F.lit(cells)).cast("int")))
+    grain, large = grain_of(groups.agg(F.sum("_bytes")).first()[0] or 0, sizes)
+    upper = F.when(F.col("_bytes") >= large, F.col("_bytes")).otherwise(F.least(F.lit(large).cast("long"), F.ceil(F.col("_bytes") / grain) * grain))
+    groups = groups.withColumn("_kind", F.when(F.col("_bytes") >= large, -F.col("_bytes")).otherwise(upper).cast("long"))
+    counts = groups.groupBy("_kind", "_cell").agg(F.count("*").alias("_in_cell"), F.sum("_bytes").alias("_sum"), F.max("_bytes").alias("_max"))
+    offsets = cut(counts.select("*", (F.sum("_in_cell").over(Window.partitionBy("_kind").orderBy("_cell")) - F.col("_in_cell")).alias("_offset")))
+    kinds = offsets.groupBy("_kind").agg(F.sum("_in_cell"), F.sum("_sum"), F.max("_max")).collect()
+    # distinct sizes, so that a run of the packing names its kind
+    sized: dict[int, tuple[int, int]] = {}
+    for kind, n, total, most in sorted(kinds, key=lambda r: (abs(r[0]), r[0])):
+        size = int(most) if capacity else max(1, round(int(total) / int(n)))
+        while size in sized and not capacity:
+            size += 1
+        sized[size] = (int(kind), int(n))
+    histogram = [(size, n) for size, (_, n) in sized.items()]
     packing = best_fit_decreasing(histogram, capacity) if capacity else pack_into(histogram, n_shards or 1)
 
-    schema = T.StructType([T.StructField("_bytes", T.LongType()), T.StructField("_starts", T.ArrayType(T.LongType())), T.StructField("_bins", T.ArrayType(T.IntegerType()))])
-    by_size: dict[int, tuple[list, list]] = {}
+    schema = T.StructType([T.StructField("_kind", T.LongType()), T.StructField("_starts", T.ArrayType(T.LongType())), T.StructField("_bins", T.ArrayType(T.IntegerType()))])
+    by_kind: dict[int, tuple[list, list]] = {}
     for size, rank, b in packing.runs:
-        starts, bins = by_size.setdefault(size, ([], []))
+        starts, bins = by_kind.setdefault(sized[size][0], ([], []))
         starts.append(rank)
         bins.append(b)
-    plan = spark.createDataFrame([(s, *x) for s, x in by_size.items()], schema)
+    plan = F.broadcast(spark.createDataFrame([(k, *x) for k, x in by_kind.items()], schema))  # of at most 2 * sizes kinds
 
-    rank = (F.col("_offset") + F.row_number().over(Window.partitionBy("_bytes", "_cell").orderBy("_group")) - 1).alias("_rank")
-    placed = groups.join(offsets.drop("_in_cell"), ["_bytes", "_cell"]).select("_group", "_bytes", "_n", rank).join(plan, "_bytes")
+    rank = (F.col("_offset") + F.row_number().over(Window.partitionBy("_kind", "_cell").orderBy("_group")) - 1).alias("_rank")
+    placed = groups.join(offsets.select("_kind", "_cell", "_offset"), ["_kind", "_cell"]).select("_group", "_kind", "_n", rank).join(plan, "_kind")
     before = F.size(F.filter("_starts", lambda s: s <= F.col("_rank")))
     placed = cut(placed.select("_group", "_n", F.element_at("_bins", before).alias("shard")))
 
     most = placed.groupBy("shard").agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
     n_cells = max(cells, -(-int(most) // rows_per_cell))
-    out = rows.join(placed.drop("_n"), "_group").withColumn("_slot_cell", F.pmod(F.xxhash64("doc_id"), F.lit(n_cells)).cast("int"))
-    out = cut(out.drop("_group"))
+    spread = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("doc_id"))
+    heavy = heavy_keys(placed.select("_group", F.col("_n").alias("n")), ["_group"])
+    out = join_heavy(rows.withColumn("_spread", spread), placed.drop("_n"), ["_group"], heavy, ["_spread"])
+    out = cut(out.withColumn("_slot_cell", F.pmod("_spread", F.lit(n_cells)).cast("int")).drop("_group", "_spread"))
     at = Window.partitionBy("shard").orderBy("_slot_cell")
     slots = out.groupBy("shard", "_slot_cell").agg(F.count("*").alias("_k")).select("shard", "_slot_cell", (F.sum("_k").over(at) - F.col("_k")).alias("_from"))
     order = Window.partitionBy("shard", "_slot_cell").orderBy("doc_id", "text_crc32", "size")
