@@ -138,6 +138,41 @@ def test_neighbours(spark):
     assert len(few) == 2 and neighbours.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def plain_nearest(rows, k=10):
+    """query_id: the k nearest (distance, id), each id once."""
+    good = [(i, np.array(v, dtype="float64")) for i, v in rows]
+    out: dict = {}
+    for q, v in good:
+        if q % 100 == 0:
+            big = lambda d: float(np.abs(d).max())
+            for c, w in good:
+                if c != q and len(v) == len(w):
+                    d = w - v
+                    score = float(np.sqrt((d**2).cumsum()[-1])) if not big(d) or 1e-100 < big(d) < 1e100 else big(d) * float(np.sqrt(((d / big(d)) ** 2).cumsum()[-1]))
+                    known = out.setdefault(q, {})
+                    known[c] = min(score, known.get(c, np.inf))
+    return {q: sorted((d, c) for c, d in found.items())[:k] for q, found in out.items()}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e200, 1e-200])
+def test_neighbours_of_repeated_and_huge_vectors(spark, scale):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.integers(-3, 4, size=5) * scale).tolist()) for i in range(400)]
+    rows = [(i, v) for i, v in rows if any(v)] + [(100, [scale] * 5), (100, [scale] * 5), (100, [2 * scale] * 5), (7, [scale, *[2 * scale] * 4])] + [(900 + i, [scale] * 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0, block=150).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    want = plain_nearest(rows)
+    assert set(got) == set(want) and {1000, 100} <= set(got)
+    for q, found in got.items():
+        found = sorted(found)
+        assert [r for r, _, _ in found] == list(range(1, 11)) and len({c for _, _, c in found}) == 10
+        assert np.allclose([s / scale for _, s, _ in found], [d / scale for d, _ in want[q]], rtol=1e-12)
+        if scale == 1.0:
+            assert [c for _, _, c in found] == [c for _, c in want[q]]
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

@@ -1,99 +1,178 @@
 """Nearest neighbours by a block matrix join of int8 tiles.
 
-Queries and candidates are cut into blocks of bounded size. For each pair of blocks one tile of int8
-products gives every distance with a bound on its quantisation error; pairs whose lower bound beats
-the k-th upper bound of their query are recomputed in double precision, and tiles' lists are merged
-by heaps. Results are exact, so recall against brute force is 1.
+Distinct vectors are quantised once to int8 codes with a scale and the norm of what was lost; only
+these are dealt out. For each pair of blocks one tile of int8 products gives every distance with a
+bound on its quantisation error. Pairs whose lower bound beats the k-th upper bound of their query
+survive, first in the tile and then, as heaps merge the tiles' bounds, in all; originals are fetched
+for survivors alone, whose distances are computed in double precision. Results are exact, so recall
+against brute force is 1.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import heavy_keys, join_heavy, shuffle_parts, table, tidy, written
 
-OUT = "query_id long, vec_id long, score double"
+KEY = ["h1", "h2"]
+BOUNDS = "q1 long, q2 long, c1 long, c2 long, id long, low double, high double"
 
 
 def quantised(x: np.ndarray):
-    """int8 codes with one scale a row, the decoded rows' norms and the norms of what was lost."""
+    """int8 codes with one scale a row, the decoded rows' norms, the norms of what was lost, and the rows' own norms squared."""
     scale = np.abs(x).max(axis=1) / 127.0
     scale[scale == 0] = 1.0
     codes = np.rint(x / scale[:, None]).astype(np.int8)
     back = codes * scale[:, None]
-    return codes, scale, np.sqrt((back**2).sum(axis=1)), np.sqrt(((x - back) ** 2).sum(axis=1))
+    return codes, scale, np.sqrt((back**2).sum(axis=1)), np.sqrt(((x - back) ** 2).sum(axis=1)), (x**2).sum(axis=1)
 
 
-def tile_top_k(qid, q, cid, c, k: int, strip: int = 256):
-    """For each query the k candidates that come first by (distance, id), itself apart."""
-    cq, sq, nq, eq = quantised(q)
-    cc, sc, nc, ec = quantised(c)
+def least_distinct(high: np.ndarray, ids: np.ndarray, need: int) -> float:
+    """The least bound below which rows of `need` distinct ids lie; infinite with fewer."""
+    order = np.argsort(high, kind="stable")
+    _, at = np.unique(ids[order], return_index=True)
+    return high[order[np.sort(at)[need - 1]]] if len(at) >= need else np.inf
+
+
+def tile_bounds(q: tuple, c: tuple, ids: np.ndarray, need: int, strip: int = 256):
+    """For each strip of queries: query and candidate places with lower and upper bounds of their
+    squared distances, of the pairs that may be among the nearest of `need` ids.
+
+    q and c are (codes, scale, norm, lost, size) of many rows.
+    """
+    (cq, sq, nq, eq, zq), (cc, sc, nc, ec, zc) = q, c
     # products of int8 codes summed over a row are whole numbers that float32 holds up to 2**24
-    kind = np.float32 if q.shape[1] * 127 * 127 < 2**24 else np.float64
-    cc, size_c, out = cc.astype(kind), (c**2).sum(axis=1), []
-    for at in range(0, len(qid), strip):
+    kind = np.float32 if cq.shape[1] * 127 * 127 < 2**24 else np.float64
+    cc, single = cc.astype(kind), len(np.unique(ids)) == len(ids)
+    for at in range(0, len(cq), strip):
         part = slice(at, at + strip)
         dots = (cq[part].astype(kind) @ cc.T).astype(np.float64) * sq[part, None] * sc[None, :]
         wrong = nq[part, None] * ec[None, :] + eq[part, None] * (nc + ec)[None, :]
-        near = (q[part] ** 2).sum(axis=1)[:, None] + size_c[None, :]
-        slack = 1e-9 * near
+        near = zq[part, None] + zc[None, :]
+        slack = 1e-9 * near + 1e-290
         low, high = near - 2 * dots - 2 * wrong - slack, near - 2 * dots + 2 * wrong + slack
-        own = qid[part, None] == cid[None, :]
-        high[own] = np.inf
-        for i in range(len(own)):
-            limit = np.partition(high[i], k - 1)[k - 1] if len(cid) > k else np.inf
-            left = np.flatnonzero((low[i] <= limit) & ~own[i])
-            d = np.sqrt(((c[left] - q[at + i]) ** 2).cumsum(axis=1)[:, -1])  # summed in order, as a plain loop would
-            first = np.lexsort((cid[left], d))[:k]
-            out.append((qid[at + i], cid[left[first]], d[first]))
-    return out
+        if not single:
+            limit = np.array([least_distinct(h, ids, need) for h in high])
+        elif len(ids) >= need:
+            limit = np.partition(high, need - 1, axis=1)[:, need - 1]
+        else:
+            limit = np.full(len(high), np.inf)
+        i, j = np.nonzero(low <= limit[:, None])
+        yield i + at, j, low[i, j], high[i, j]
 
 
-def block_counts(n_queries: int, n_rows: int, block: int) -> tuple[int, int]:
-    return max(1, -(-n_queries // block)), max(1, -(-n_rows // block))
+def block_counts(n_queries: int, n_rows: int, block: int, parts: int) -> tuple[int, int]:
+    """Blocks of queries and of candidates: no more rows than `block` in each, and tiles for all tasks."""
+    n_q, n_c = max(1, -(-n_queries // block)), max(1, -(-n_rows // block))
+    return n_q, max(n_c, min(-(-parts // n_q), -(-n_rows // 1024)))
 
 
-def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 4096) -> DataFrame:
+def distance(a: Column, b: Column) -> Column:
+    """Euclidean, summed in order as a plain loop would; scaled where squares would leave the range of doubles."""
+    diffs = F.zip_with(a, b, lambda x, y: x - y)
+    largest = F.array_max(F.transform(diffs, F.abs))
+    plain = F.sqrt(F.aggregate(diffs, F.lit(0.0), lambda s, x: s + x * x))
+    scaled = largest * F.sqrt(F.aggregate(diffs, F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest)))
+    return F.when(largest.between(1e-140, 1e140) | (largest == 0) | (largest == float("inf")), plain).otherwise(scaled)
+
+
+def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 65_536) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest by Euclidean distance.
 
-    queries is a boolean column that marks the query rows. Candidates are all rows but the query's
-    own id; ties go to the smaller id. Null ids and vectors that are null, empty, zero or hold null or
-    non-finite components take no part; a query meets candidates of its own length only. Repeated
-    ids each take part as candidates; a query id with several vectors gets the nearest to any of them. A query with fewer candidates than k returns all. Other columns
-    are ignored; an empty table gives no rows.
+    queries is a boolean column that marks the query rows. Candidates are all rows but those of the
+    query's own id; ties go to the smaller id. Null ids and vectors that are null, empty, zero or hold
+    null or non-finite components take no part; a query meets candidates of its own length only.
+    Repeated rows count once; an id with several vectors stands in a list once, by the nearest of
+    them, and as a query gets the nearest to any of them. A query with fewer candidates than k
+    returns all. Other columns are ignored; an empty table gives no rows.
 
-    Both sides are salted over blocks of about `block` rows by id (repeated ids spread by content),
-    so a tile is bounded however the data are skewed; only each tile's k best leave it.
+    Of equal vectors k + 1 ids are candidates, which is all that a list can hold, so copies, however
+    many, are one vector. Blocks of at most about `block` vectors are dealt out by a hash.
     """
+    spark, need = vectors.sparkSession, k + 1
     whole = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("is_q"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = whole.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).filter(~bad & F.exists("v", lambda x: x != 0))
-    sizes = whole.agg(F.count("*"), F.count_if("is_q")).first()
-    n_q, n_c = block_counts(sizes[1], sizes[0], block)
-    dims = F.size("v").alias("dim")
-    place = lambda n, *more: F.pmod(F.xxhash64("id", *more), F.lit(n)).cast("int")
-    qs = whole.filter("is_q").select(dims, place(n_q).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"), F.col("id").alias("qid"), F.col("v").alias("qv")).distinct()
-    cs = whole.select(dims, F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), place(n_c, "v").alias("cb"), F.col("id").alias("cid"), F.col("v").alias("cv"))
+    whole = whole.select("id", "is_q", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), F.col("v")).alias("h2"))
+    asked = written(whole.filter("is_q").select(F.col("id").alias("query_id"), *KEY).distinct())
+    rows = whole.groupBy("id", *KEY).agg(F.first("v").alias("v"))
+    few = rows.withColumn("n", F.row_number().over(Window.partitionBy(*KEY).orderBy("id"))).filter(F.col("n") <= need)
+    vecs = few.groupBy(*KEY).agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
+    vecs = written(vecs.join(asked.select(*KEY).distinct().withColumn("asked", F.lit(True)), KEY, "left").withColumn("asked", F.coalesce("asked", F.lit(False))))
+    largest, n_rows, n_asked = vecs.agg(F.max(F.array_max(F.transform("v", F.abs))), F.count("*"), F.count_if("asked")).first()
+    # a power of two that keeps squares in range; bounds are of scaled vectors
+    factor = 2.0 ** -math.frexp(largest)[1] if largest and not 1e-100 < largest < 1e100 else 1.0
+
+    @tidy
+    def code(batches):
+        for batch in batches:
+            sizes = batch.column(3).value_lengths().to_numpy()
+            flat, at = batch.column(3).flatten().to_numpy(), np.cumsum([0, *sizes])
+            for dim in np.unique(sizes):
+                own = np.flatnonzero(sizes == dim)
+                x = flat[at[own][:, None] + np.arange(dim)] * factor
+                codes, *rest = quantised(x)
+                some = batch.select([0, 1, 2, 4]).take(pa.array(own))
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(np.full(len(own), dim, dtype=np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), *(pa.array(r, pa.float64()) for r in rest)],
+                    names=[*KEY, "id", "asked", "dim", "code", "scale", "norm", "lost", "size"],
+                )
+
+    coded = vecs.select(*KEY, F.col("ids")[0].alias("id"), "v", "asked").mapInArrow(code, "h1 long, h2 long, id long, asked boolean, dim int, code binary, scale double, norm double, lost double, size double")
+    coded = written(coded)
+    n_q, n_c = block_counts(n_asked, n_rows, block, shuffle_parts(spark))
+    place = lambda n: F.pmod(F.col("h1"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sent = [*KEY, "id", "code", "scale", "norm", "lost", "size"]
+    named = lambda side: [F.col(c).alias(f"{side}_{c}") for c in sent]  # noqa: E731  both sides come from one table, so columns need names of their own
+    qs = coded.filter("asked").select(F.col("dim").alias("q_dim"), place(n_q).alias("q_qb"), every(n_c).alias("q_cb"), *named("q"))
+    cs = coded.select(F.col("dim").alias("c_dim"), every(n_q).alias("c_qb"), place(n_c).alias("c_cb"), *named("c"))
+
+    def arrays(side: pd.DataFrame, name: str) -> tuple:
+        codes = np.frombuffer(b"".join(side[f"{name}_code"]), dtype=np.int8).reshape(len(side), -1)
+        return codes, *(side[f"{name}_{c}"].to_numpy() for c in ("scale", "norm", "lost", "size"))
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = [c.split()[0] for c in BOUNDS.split(", ")]
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        found = tile_top_k(left["qid"].to_numpy(), np.stack(left["qv"].to_numpy()), right["cid"].to_numpy(), np.stack(right["cv"].to_numpy()), k)
-        return pd.DataFrame({"query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]), "vec_id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found])})
+            return pd.DataFrame({n: [] for n in names})
+        ids = right["c_id"].to_numpy()
+        found = [np.concatenate(x) for x in zip(*tile_bounds(arrays(left, "q"), arrays(right, "c"), ids, need), strict=True)]
+        i, j = found[:2]
+        columns = [left["q_h1"].to_numpy()[i], left["q_h2"].to_numpy()[i], right["c_h1"].to_numpy()[j], right["c_h2"].to_numpy()[j], ids[j], *found[2:]]
+        return pd.DataFrame(dict(zip(names, columns, strict=True)))
 
-    keys = lambda side, df: df.select(F.col("dim").alias(f"{side}_dim"), F.col("qb").alias(f"{side}_qb"), F.col("cb").alias(f"{side}_cb"), *df.columns[3:]).groupBy(f"{side}_dim", f"{side}_qb", f"{side}_cb")
-    tiles = keys("q", qs).cogroup(keys("c", cs)).applyInPandas(tile, OUT)
+    tiles = qs.groupBy("q_dim", "q_qb", "q_cb").cogroup(cs.groupBy("c_dim", "c_qb", "c_cb")).applyInPandas(tile, BOUNDS)
 
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip(rows["score"], rows["vec_id"], strict=True))
-        return pd.DataFrame({"query_id": rows["query_id"].iloc[0], "rank": range(1, len(best) + 1), "vec_id": [b[1] for b in best], "score": [b[0] for b in best]})
-
-    return tiles.groupBy("query_id").applyInPandas(merged, "query_id long, rank int, vec_id long, score double")
+        best: dict[int, float] = {}
+        for high, id_ in heapq.merge(*(sorted(zip(t["high"], t["id"], strict=True)) for _, t in rows.groupby(rows["c1"] % n_c))):
+            best.setdefault(id_, high)
+            if len(best) == need:
+                break
+        limit = max(best.values()) if len(best) == need else math.inf
+        return rows.loc[rows["low"] <= limit, ["q1", "q2", "c1", "c2"]]
+
+    pairs = tiles.groupBy("q1", "q2").applyInPandas(merged, "q1 long, q2 long, c1 long, c2 long")
+    side = lambda a, b, *more: vecs.select(F.col("h1").alias(a), F.col("h2").alias(b), *more)
+    pairs = pairs.join(side("c1", "c2", F.col("v").alias("cv"), "ids"), ["c1", "c2"]).join(side("q1", "q2", F.col("v").alias("qv")), ["q1", "q2"])
+    each = pairs.select(F.col("q1").alias("h1"), F.col("q2").alias("h2"), distance(F.col("cv"), F.col("qv")).alias("score"), F.explode("ids").alias("vec_id"))
+    by_score = ["score", "vec_id"]
+    each = each.groupBy(*KEY, "vec_id").agg(F.min("score").alias("score"))
+    each = each.withColumn("n", F.row_number().over(Window.partitionBy(*KEY).orderBy(*by_score))).filter(F.col("n") <= need)
+    lists = each.groupBy(*KEY).agg(F.collect_list(F.struct(*by_score)).alias("list"))
+    heavy = heavy_keys(asked.groupBy(*KEY).agg(F.count("*").alias("n")), KEY)
+    found = join_heavy(asked, lists, KEY, heavy, ["query_id"]).select("query_id", F.explode("list").alias("l")).select("query_id", "l.*").filter("query_id <> vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*by_score))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op5_nearest_neighbours(spark, sf_dir):
