@@ -99,13 +99,13 @@ def test_decontamination_windows_are_whole(tolerance):
     """Every word from which the item stands within the tolerance starts a window."""
     rng = random.Random(2)
     text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
-    items = [(i, text(n, letters)) for i, n in enumerate([4, 7, 9, 12, 15, 20, 30, 31, 60, 90]) for letters in ("a b", "é🎉bcdef ")]
+    items = [([i], text(n, letters)) for i, n in enumerate([4, 7, 9, 12, 15, 20, 30, 31, 60, 90]) for letters in ("a b", "é🎉bcdef ")]
     known = decontaminate.Items(items, tolerance, repeats=2, bits=2)
     assert len(known.ids) > 10
     texts = ["", " ", "x"]
     for t in known.texts:
         texts += [text(rng.randint(0, 30), "ab é\n") + " " + edited(rng, t, tolerance).upper() + text(rng.randint(0, 9), " a") for _ in range(40)] + [""]
-    chars, begins, bounds = decontaminate.normal(texts)
+    chars, begins, bounds, _ = decontaminate.normal(texts)
     got = set(zip(*(x.tolist() for x in known.candidates(chars, begins, bounds)), strict=True))
     n = 0
     for d, t in enumerate(texts):
@@ -121,6 +121,61 @@ def test_decontamination_windows_are_whole(tolerance):
     assert all(len(decontaminate.grams(chars[:k], q)) == max(0, k - q + 1) for k in range(20) for q in range(1, 9))
 
 
+def test_op2_equals_brute_force(spark, tmp_path):
+    """The query's rows on a small table against exhaustive edit distances from every start."""
+    rng = random.Random(21)
+    words = ["".join(rng.choice("aeioustrnl") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    han = [chr(c) for c in range(0x4E00, 0x4E60)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, say(rng.choice([2, 4, 8, 20]))) for i in range(12)] + [(20 + i, "".join(rng.choice(han) for _ in range(rng.choice([6, 24])))) for i in range(6)]
+    items += [(30, "photosynthesis"), (31, items[3][1]), (32, items[3][1]), (33, "\u65e5\u672c \u8a9e\u306e text"), (40, None), (41, " "), (None, "x")]
+    docs = []
+    for d in range(150):
+        parts = [say(rng.randint(0, 6)), "".join(rng.choice(han) for _ in range(rng.randint(0, 9)))]
+        for _ in range(rng.randint(0, 3)):
+            t = rng.choice([t for _, t in items if t and t.strip()])
+            parts.append(edited(rng, t, rng.choice([0, 0.05, 0.1])).upper())
+            parts.append(rng.choice(["", say(1), "photosynthesiss", "".join(rng.choice(han) for _ in range(3))]))
+        docs.append((d, rng.choice([" ", "\n ", ""]).join(parts)))
+    docs += [(200, None), (201, ""), (202, docs[5][1]), (202, docs[5][1]), (None, items[0][1]), (203, (say(20_000) + " " + items[2][1] + " ") * 2)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got: dict = {}
+    for r in decontaminate.op2_decontamination(spark, str(tmp_path)).collect():
+        got.setdefault((r["doc_id"], r["item_id"]), []).append((r["start"], r["end"], r["distance"]))
+    low = lambda t: " ".join(w.translate(decontaminate.FOLD) for w in decontaminate.WORD.findall(t or ""))
+    cjk = lambda c: "\u2e80" <= c <= "\u9fff"
+    want: dict = {}
+    for d, t in docs[:-1]:
+        text = low(t)
+        starts = [s for s in range(len(text)) if text[s] != " " and (s == 0 or text[s - 1] == " " or cjk(text[s]) or cjk(text[s - 1]))]
+        for i, item in items:
+            item = low(item)
+            if i is not None and item:
+                most, whole = int(0.1 * len(item)), " " not in item and not cjk(item[-1])
+                for s in starts:
+                    row = list(range(len(rest := text[s : s + len(item) + most]) + 1))
+                    for k, c in enumerate(item, 1):
+                        new = [k]
+                        for j, x in enumerate(rest, 1):
+                            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != x)))
+                        row = new
+                    ends = [j for j in range(1, len(rest) + 1) if not whole or s + j == len(text) or text[s + j] == " "]
+                    best = min((row[j] for j in ends), default=99)
+                    if best <= most:
+                        want[d, i] = min(best, want.get((d, i), 99))
+    assert {k for k in got if k[0] != 203} <= set(want) and len(set(want) & set(got)) >= 0.99 * len(want)
+    assert any(i in (30,) for _, i in got) and {i for _, i in got} >= {20, 21, 22, 31, 32, 33} and (203, 2) in got and len(got[203, 2]) >= 2
+    texts = dict(docs)
+    for (d, i), found in got.items():
+        item = low(dict(items)[i])
+        for s, e, distance in set(found):
+            assert decontaminate.edit_distance(decontaminate.bit_masks(item), len(item), low(texts[d][s:e]), 99)[0] <= distance <= int(0.1 * len(item))
+        if (d, i) in want:
+            assert min(x for _, _, x in found) >= want[d, i]
+    assert len(got[202, 1] if (202, 1) in got else [0, 0]) % 2 == 0
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=6).astype("float32").tolist()) for i in range(300)] + [(400 + i, [1.0] * 6) for i in range(30)]

@@ -1,8 +1,8 @@
 """Benchmark decontamination by CGK embeddings and bit sampling.
 
-Item-sized windows start at every word where as many of the item's character grams stand near their
-places as its edits must leave unchanged, so that no passage within the tolerance is passed over. A
-window and the item are embedded by the same random walks (a character is written and, by a random
+Item-sized windows start at every word (in scripts written without spaces at every character) where as
+many of the item's character grams stand near their places as its edits must leave unchanged, so that
+no passage within the tolerance is passed over. A window and the item are embedded by the same random walks (a character is written and, by a random
 bit of step and character, passed or written again), which turns few edits into few unequal
 positions; windows that agree with the item in the sampled positions of any of the repeats are
 candidates. Candidates are confirmed by their exact edit distance, computed bit-parallel.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import portions
-from .common import small_batches, table, tidy
+from .common import cut, small_batches, table, tidy
 from .shingles import IS_SPACE, U
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,20 +28,42 @@ FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 MATCHES = "array<struct<item_id:bigint,start:int,end:int,distance:int>>"
 
 
-def normal(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Blocks of scripts whose words aren't parted by spaces: from Thai to Tibetan, Burmese, Khmer, East Asian.
+UNSPACED = np.array([[0x0E00, 0x0FFF], [0x1000, 0x109F], [0x1780, 0x17FF], [0x1950, 0x19DF], [0x1A20, 0x1AAF], [0x2E80, 0xA4CF], [0xAA60, 0xAADF], [0xF900, 0xFAFF], [0xFE30, 0xFE4F], [0xFF00, 0xFFEF], [0x16F00, 0x18DFF], [0x1AFF0, 0x1B2FF], [0x1F200, 0x1F2FF], [0x20000, 0x3FFFF]], dtype=np.uint32)
+
+
+def unspaced(raw: np.ndarray) -> np.ndarray:
+    """Which code points are of a script written without spaces."""
+    out = np.zeros(len(raw), dtype=bool)
+    high = np.flatnonzero(raw >= UNSPACED[0, 0])
+    if len(high):
+        block = np.searchsorted(UNSPACED[:, 0], raw[high], side="right") - 1
+        out[high] = raw[high] <= UNSPACED[block, 1]
+    return out
+
+
+def normal(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all texts' characters in one row, A-Z lower-cased and one space around each word; the
-    places of the words and one past the last; the texts' first words and one past the last."""
+    places where windows may start and one past the last; the texts' first such places and one past
+    the last; for each character its place in the row of the texts as they are.
+
+    Windows start at words, and at and after each character of scripts without spaces.
+    """
     raw = np.frombuffer(" ".join(["", *texts, ""]).encode("utf-32-le"), dtype=np.uint32)
     starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
     space = (raw < 256) & IS_SPACE[raw & 255]
-    first = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    opens = space[:-1] & ~space[1:]
+    dense = unspaced(raw)
+    if dense.any():
+        opens |= (dense[:-1] | dense[1:]) & ~space[1:]
+    first = np.flatnonzero(opens) + 1
     bounds = np.searchsorted(first, starts)
     kept = np.ones(len(raw), dtype=bool)
     kept[1:] = ~(space[1:] & space[:-1])
     chars = np.where(space, np.uint32(32), raw + ((raw >= 65) & (raw <= 90)) * np.uint32(32))[kept]
     chars = (chars % 255 + 1).astype(np.uint8)
     begins = np.cumsum(kept)[first] - 1
-    return chars, np.append(begins, len(chars)), bounds
+    return chars, np.append(begins, len(chars)), bounds, np.flatnonzero(kept)
 
 
 def grams(chars: np.ndarray, q: int) -> np.ndarray:
@@ -70,10 +92,11 @@ def bit_masks(text: str) -> dict[str, int]:
     return out
 
 
-def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int, int]:
+def edit_distance(pattern_bits: dict, n: int, text: str, most: int, whole: bool = False) -> tuple[int, int]:
     """The least edit distance of a pattern of n characters to a prefix of text, and its length.
 
     Myers's bit vectors, one bit for each character of the pattern (its first n, if the masks have more).
+    whole: only prefixes that end before a space or with the text.
     """
     full = (1 << n) - 1
     top = 1 << (n - 1)
@@ -90,7 +113,7 @@ def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int
             score -= 1
         right, left = (right << 1 | 1) & full, (left << 1) & full
         up, down = left | (full & ~(x | right)), right & x
-        if score < best[0]:
+        if score < best[0] and not (whole and j < len(text) and text[j] != " "):
             best = (score, j)
         elif score - (len(text) - j) > min(most, best[0]):
             break
@@ -100,16 +123,18 @@ def edit_distance(pattern_bits: dict, n: int, text: str, most: int) -> tuple[int
 class Items:
     """A block of benchmark items, indexed by character grams, with their embeddings."""
 
-    def __init__(self, items: list[tuple[int, str]], tolerance: float, repeats: int, bits: int, seed: int = 11):
+    def __init__(self, items: list[tuple[list[int], str]], tolerance: float, repeats: int, bits: int, seed: int = 11):
         self.repeats = repeats
         rng = np.random.default_rng(seed)
         rows = []
-        for item_id, text in items:
+        for item_ids, text in items:
             words = WORD.findall((text or "").translate(FOLD))
-            if len(words) >= 2:
-                rows.append((item_id, " ".join(words)))
+            if words:
+                rows.append((item_ids, " ".join(words)))
         self.ids = [r[0] for r in rows]
         self.texts = [r[1] for r in rows]
+        # a single word must stand as a word, not at the head of a longer one
+        self.whole = [" " not in t and not unspaced(np.array([ord(t[-1])], dtype=np.uint32))[0] for t in self.texts]
         self.most = [int(tolerance * len(t)) for t in self.texts]
         self.masks = [bit_masks(t) for t in self.texts]
         self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
@@ -161,7 +186,7 @@ class Items:
         return out.T
 
     def candidates(self, chars: np.ndarray, begins: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Item and first word of the windows in which enough of the item's grams stand near their places.
+        """Item and place of the windows in which enough of the item's grams stand near their places.
 
         An unchanged gram is moved by no more than the edits, so its place less its place in the item
         is within them of the window's start. Texts are held apart, so that no count spans two.
@@ -212,51 +237,51 @@ class Items:
         return out
 
     def matches(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        chars, begins, bounds = normal(texts)
+        chars, begins, bounds, places = normal(texts)
         out: list[list] = [[] for _ in texts]
-        item, word = self.candidates(chars, begins, bounds)
+        item, at = self.candidates(chars, begins, bounds)
         if not len(item):
             return out
-        doc = np.searchsorted(bounds, word, side="right") - 1
-        agrees = self.agreements(chars, item, begins[word], begins[bounds[doc + 1]] - 1)
+        doc = np.searchsorted(bounds, at, side="right") - 1
+        agrees = self.agreements(chars, item, begins[at], begins[bounds[doc + 1]] - 1)
         some = np.flatnonzero(agrees)
-        some = some[np.lexsort((word[some], item[some], doc[some]))]
+        some = some[np.lexsort((at[some], item[some], doc[some]))]
+        offsets = np.cumsum([1, *(len(t) + 1 for t in texts)])
         now = -1
         for part in np.split(some, np.flatnonzero((np.diff(doc[some]) != 0) | (np.diff(item[some]) != 0)) + 1):
             if not len(part):
                 continue
             d = int(doc[part[0]])
             if d != now:
-                now, spans = d, [m.span() for m in WORD.finditer(texts[d])]
-                low = [texts[d][a:b].translate(FOLD) for a, b in spans]
-                plain = (" ".join(low), np.cumsum([0, *(len(w) + 1 for w in low)]))
-            self.confirm(out[d], int(item[part[0]]), word[part] - bounds[d], agrees[part], plain, spans)
+                now, home = d, begins[bounds[d]]
+                plain = " ".join(WORD.findall(texts[d].translate(FOLD)))
+            for ids, s, e, distance in self.confirm(int(item[part[0]]), begins[at[part]] - home, agrees[part], plain):
+                span = int(places[home + s] - offsets[d]), int(places[home + e - 1] - offsets[d]) + 1
+                out[d] += [(i, *span, distance) for i in ids]
         return [sorted(set(m)) for m in out]
 
-    def confirm(self, out, i, starts, agrees, plain, spans) -> None:
-        """The best of overlapping windows, by distance and then place."""
-        text, offsets = plain
-        n, most = len(self.texts[i]), self.most[i]
+    def confirm(self, i, starts, agrees, text):
+        """The best of overlapping windows, by distance and then place: item ids, start, end, distance."""
+        n, most, whole = len(self.texts[i]), self.most[i], self.whole[i]
         taken: list[tuple[int, int]] = []
         hits = []
         for w in sorted(range(len(starts)), key=lambda w: (-agrees[w], starts[w])):
-            s = int(offsets[starts[w]])
+            s = int(starts[w])
             if any(a <= s < b for a, b in taken):
                 continue
             part = n // 4
             if part > most and edit_distance(self.masks[i], part, text[s : s + part + most], most)[0] > most:
                 continue  # a prefix of the item is no nearer than the whole
-            distance, length = edit_distance(self.masks[i], n, text[s : s + n + most], most)
+            distance, length = edit_distance(self.masks[i], n, text[s : s + n + most + whole], most, whole)
             if distance <= most and length:
-                hits.append((distance, s, s + length, int(starts[w])))
+                hits.append((distance, s, s + length))
                 if distance == 0:
                     taken.append((s - n + 1, s + n))
         kept: list[tuple[int, int]] = []
-        for distance, s, e, w in sorted(hits):
+        for distance, s, e in sorted(hits):
             if not any(s < b and a < e for a, b in kept):
                 kept.append((s, e))
-                last = int(np.searchsorted(offsets, e - 1, side="right")) - 1
-                out.append((self.ids[i], spans[w][0], spans[last][1], distance))
+                yield self.ids[i], s, e, distance
 
 
 def codes(text: str) -> np.ndarray:
@@ -278,29 +303,32 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, tolerance: float =
     """docs with a column matches: for each row the benchmark passages in its whole text.
 
     An item matches where a word of the text starts a passage within an edit distance of tolerance
-    times the item's length (both with A-Z lower-cased and white space runs as one space).
-    `repeats_for` gives the number of walks from recall, the bits sampled in each and the share of
-    unequal positions up to which that recall shall hold. Of overlapping passages of one item the
-    nearest is given: item_id, start and end in code points of the text, distance.
-
-    Null and empty texts match nothing, as do items of fewer than two words and null items. Repeated
-    rows and items are each reported. Other columns stay; a column called matches is replaced; an
-    empty table on either side gives no matches. Items are shipped in blocks of at most block_bytes
-    (one longer item alone), each matched in a pass of its own.
+    times the item's length (both with A-Z lower-cased and white space runs as one space). In scripts
+    written without spaces a passage may start at any character; an item of a single word in other
+    scripts must end where a word ends. `repeats_for` gives the number of walks from recall, the bits
+    sampled in each and the share of unequal positions up to which that recall shall hold. Of
+    overlapping passages of one item the nearest is given: item_id, start and end in code points of
+    the text, distance.
+
+    Null, empty and blank texts match nothing, as do such items. Repeated rows and items are each
+    reported, items of equal texts after one comparison. Other columns stay; a column called matches
+    is replaced; an empty table on either side gives no matches. Items are shipped in blocks of at
+    most block_bytes (one longer item alone), each matched in a pass of its own.
     """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop("matches")
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    items = cut(items.groupBy("text").agg(F.sort_array(F.collect_list("item_id")).alias("ids")))
+    total = items.agg(F.sum(F.octet_length("text") + 8 * F.size("ids"))).first()[0] or 0
     n_blocks = max(1, -(-int(total) // block_bytes))
     repeats = repeats_for(recall, bits, unequal)
     column = docs.columns.index("text")
     out = docs.withColumn("matches", F.array().cast(MATCHES))
     schema = T.StructType([*docs.schema.fields, T.StructField("matches", out.schema["matches"].dataType)])
     for b in range(n_blocks):
-        block = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").collect()
-        sent = spark.sparkContext.broadcast([(r[0], r[1]) for r in block])
+        block = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == b).orderBy(F.col("ids")[0], "text").collect()
+        sent = spark.sparkContext.broadcast([(list(r["ids"]), r["text"]) for r in block])
 
         @tidy
         def run(batches, sent=sent):
