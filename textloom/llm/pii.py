@@ -3,9 +3,10 @@
 Regular expressions propose candidate spans. Labelers vote on each: its strict format, a gazetteer
 (top-level domains, issuer digits, country codes, network ranges, key names), the words before it and
 its shape. The votes' patterns are counted over the whole corpus; expectation-maximisation over this
-small table estimates each labeler's reliability, and a logistic span classifier is trained on its
-posteriors and compiled into a column expression. Spans of strict format always stay; candidates
-that the classifier accepts are added.
+small table estimates each labeler's reliability. A logistic span classifier is trained on its
+posteriors and compiled into a column expression; besides the votes it sees what no labeler looks at:
+the signs beside the span, the words before and after it, its length, and its place in the text. Spans
+of strict format always stay; candidates that the classifier accepts are added.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ import math
 from dataclasses import dataclass
 from functools import partial
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import cut, table, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
 LABELERS = ["format", "gazetteer", "context", "shape"]
+#: What the classifier sees besides the votes, and how many values each has.
+FEATURES = {"sign_before": 6, "sign_after": 6, "word_before": 9, "word_after": 9, "length": 4, "place": 3}
 
 # Matches are the plain patterns' leftmost ones. A match can begin only at the start of a run of its
 # first class or where the match before ended, which \G and the look-behind say; possessive loops
@@ -34,6 +38,7 @@ CANDIDATES = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "secret": r'(?<![A-Za-z0-9+/_-])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=(?i:token|password|passwd|secret|key)["]? {0,2}[=:] {0,2}["\']?)[A-Za-z0-9+/_-]{8,}+)',
 }
+PHONE_HEAD = r"^\+[0-9](?:[ ().-]*[0-9]){9,14}(?![0-9])"
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0-9]", "secret": r"AKIA|(?i:token|password|passwd|secret|key)[\"]? {0,2}[=:]"}
 CUES = {
     "email": "mail|contact|write|an:|de:|para:", "ip": "ip|host|server|addr|from", "card": "card|visa|carte|karte|tarjeta|credit|pay|iban", "phone": "phone|tel|call|fax|mobile|fon", "secret": "token|password|passwd|secret|key",
@@ -91,17 +96,55 @@ def votes(kind: str, m: Column, before: Column, good: Column) -> list[Column]:
     return [F.when(good, 1).otherwise(-1), gazetteer, vote(F.lower(before).rlike(CUES[kind]), never), shape]
 
 
-def candidate(no: int, kind: str, x: Column) -> Column:
-    """A candidate from its match m, the text before it since the last one p, and its place s."""
-    good = strict(kind, x["m"])
+def sign(c: Column) -> Column:
+    """0: the text's edge, 1: white space, 2: letter, 3: digit, 4: quote or bracket, 5: another sign."""
+    return (
+        F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike("[A-Za-z]|[^\\x00-\\x7f]"), 2).when(c.rlike("[0-9]"), 3).when(c.rlike("[\"'`()\\[\\]{}<>]"), 4).otherwise(5)
+    )
+
+
+def word(c: Column) -> Column:
+    """One of 8 numbers for a word, 8 for none."""
+    return F.when(c == "", 8).otherwise(F.pmod(F.xxhash64(F.lower(c)), F.lit(8))).cast("int")
+
+
+def candidate(no: int, kind: str, length: Column, x: Column) -> Column:
+    """A candidate from its match m, the texts around it (p up to the match before, a to the next one), and its place s."""
+    m = x["m"]
+    good = strict(kind, m)
+    if kind == "phone":  # a match that runs on into other numbers is weighed by what may be a number's digits
+        m = F.when(good, m).otherwise(F.coalesce(F.nullif(F.regexp_extract(m, PHONE_HEAD, 0), F.lit("")), m))
+    before, after, size = F.right(x["p"], F.lit(24)), F.left(x["a"], F.lit(24)), F.length(m)
+    features = [
+        sign(F.right(before, F.lit(1))), sign(F.left(after, F.lit(1))), word(F.regexp_extract(before, "([A-Za-z]+)[^A-Za-z]*$", 1)), word(F.regexp_extract(after, "^[^A-Za-z]*([A-Za-z]+)", 1)),
+        F.when(size < 8, 0).when(size < 16, 1).when(size < 32, 2).otherwise(3), F.when(x["s"] * 10 < length, 0).when((x["s"] + size) * 10 > length * 9, 2).otherwise(1),
+    ]
     return F.struct(
-        x["s"].alias("start"), F.lit(no).alias("kind_no"), (x["s"] + F.length(x["m"])).alias("end"), (good if kind != "secret" else F.lit(False)).alias("base"),
-        F.array(*votes(kind, x["m"], F.right(x["p"], F.lit(24)), good)).alias("votes"),
+        x["s"].alias("start"), F.lit(no).alias("kind_no"), (x["s"] + size).alias("end"), (good if kind != "secret" else F.lit(False)).alias("base"),
+        F.array(*votes(kind, m, before, strict(kind, m) if kind == "phone" else good)).alias("votes"), F.array(*features).alias("features"),
     )
 
 
+def match_starts(pairs: Column, step: int = 512) -> Column:
+    """Where matches begin, from pairs of the text before each and the match itself: sums, by blocks, as
+    an array grows by copying."""
+    none = F.array().cast("array<int>")
+
+    def within(acc, x):
+        at = acc["at"] + F.length(x["p"])
+        return F.struct((at + F.length(x["m"])).alias("at"), F.concat(acc["starts"], F.array(at)).alias("starts"))
+
+    def block(acc, b):
+        zero = F.struct(F.element_at(acc, -1)["at"].alias("at"), none.alias("starts"))
+        return F.concat(acc, F.array(F.aggregate(F.slice(pairs, b * step + 1, F.lit(step)), zero, within)))
+
+    first = F.array(F.struct(F.lit(0).alias("at"), none.alias("starts")))
+    blocks = F.aggregate(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / step).cast("int")), first, block)
+    return F.flatten(F.transform(blocks, lambda x: x["starts"]))
+
+
 def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds an array of candidates (start, kind_no, end, base, votes) in order of start and kind."""
+    """Adds an array of candidates (start, kind_no, end, base, votes, features) in order of start and kind."""
     have = docs.columns
     found = docs
     for kind in KINDS:
@@ -115,41 +158,39 @@ def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
         found = found.withColumn(f"_p_{kind}", F.when(F.size(m) > 0, F.split(F.col(text), CANDIDATES[kind], -1)).otherwise(F.array().cast("array<string>")))
     for kind in KINDS:
         m, p = F.col(f"_m_{kind}"), F.col(f"_p_{kind}")
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-
-        def step(acc, x):
-            at = acc["at"] + F.length(x["p"])
-            return F.struct((at + F.length(x["m"])).alias("at"), F.concat(acc["starts"], F.array(at)).alias("starts"))
-
         pairs = F.arrays_zip(m.alias("m"), F.slice(p, 1, F.size(m)).alias("p"))
-        found = found.withColumn(f"_s_{kind}", F.when(F.size(m) > 0, F.aggregate(pairs, zero, step)["starts"]).otherwise(F.array().cast("array<int>")))
+        found = found.withColumn(f"_s_{kind}", F.when(F.size(m) > 0, match_starts(pairs)).otherwise(F.array().cast("array<int>")))
     parts = []
     for no, kind in enumerate(KINDS):
-        zipped = F.arrays_zip(F.col(f"_m_{kind}").alias("m"), F.slice(F.col(f"_p_{kind}"), 1, F.size(f"_m_{kind}")).alias("p"), F.col(f"_s_{kind}").alias("s"))
-
-        parts.append(F.transform(zipped, partial(candidate, no, kind)))
+        n, p = F.size(f"_m_{kind}"), F.col(f"_p_{kind}")
+        zipped = F.arrays_zip(F.col(f"_m_{kind}").alias("m"), F.slice(p, 1, n).alias("p"), F.slice(p, 2, n).alias("a"), F.col(f"_s_{kind}").alias("s"))
+        parts.append(F.transform(zipped, partial(candidate, no, kind, F.length(text))))
     return found.withColumn(out, F.array_sort(F.concat(*parts))).select(*have, out)
 
 
 @dataclass
 class SpanModel:
-    """For each kind: the classifier's intercept and weights for each labeler's vote for and against."""
+    """For each kind: the classifier's intercept, its weights for each labeler's vote for and against, and
+    for each value of each feature; and the labelers' reliabilities."""
 
-    weights: dict[str, tuple[float, list[tuple[float, float]]]]
+    weights: dict[str, tuple[float, list[tuple[float, float]], list[list[float]]]]
     reliability: dict[str, list[tuple[float, float]]]
 
-    def score(self, kind: str, votes: tuple[int, ...]) -> float:
-        b, w = self.weights[kind]
-        return 1 / (1 + math.exp(-(b + sum(x[0] if v > 0 else x[1] if v < 0 else 0.0 for x, v in zip(w, votes, strict=True)))))
+    def score(self, kind: str, votes: tuple[int, ...], features: tuple[int, ...]) -> float:
+        b, w, f = self.weights[kind]
+        z = b + sum(x[0] if v > 0 else x[1] if v < 0 else 0.0 for x, v in zip(w, votes, strict=True)) + sum(x[v] for x, v in zip(f, features, strict=True))
+        return 1 / (1 + math.exp(-z))
 
     def accepts(self, span: Column) -> Column:
         z = F.lit(-30.0)
         for no, kind in enumerate(KINDS):
-            b, w = self.weights[kind]
+            b, w, f = self.weights[kind]
             total = F.lit(float(b))
             for i, (yes, against) in enumerate(w):
                 v = F.element_at(span["votes"], i + 1)
                 total = total + F.when(v > 0, F.lit(float(yes))).when(v < 0, F.lit(float(against))).otherwise(F.lit(0.0))
+            for i, each in enumerate(f):
+                total = total + F.element_at(F.array(*(F.lit(float(x)) for x in each)), F.element_at(span["features"], i + 1) + 1)
             z = F.when(span["kind_no"] == no, total).otherwise(z)
         return z > 0
 
@@ -173,38 +214,60 @@ def expectation_maximisation(counts: dict[tuple[int, ...], int], rounds: int = 5
     return chance, right
 
 
-def train(counts: dict[tuple[str, tuple[int, ...]], int], steps: int = 500, rate: float = 0.5, shrink: float = 0.01) -> SpanModel:
-    """EM for each kind over its vote patterns, then a logistic classifier on the posteriors."""
+def encoded(votes: tuple[int, ...], features: tuple[int, ...]) -> list[float]:
+    """The classifier's inputs: for each labeler a vote for and a vote against, for each feature one of its values."""
+    row = [float(v == side) for v in votes for side in (1, -1)]
+    for value, n in zip(features, FEATURES.values(), strict=True):
+        row += [float(value == i) for i in range(n)]
+    return row
+
+
+def train(counts: dict[tuple[str, tuple[int, ...]], int], seen: dict[tuple[str, tuple[int, ...], tuple[int, ...]], int], steps: int = 400, shrink: float = 0.003) -> SpanModel:
+    """EM for each kind over its vote patterns, then a logistic classifier on the posteriors.
+
+    counts: of (kind, votes), all of them; seen: of (kind, votes, features), those to fit on.
+    """
     weights, reliability = {}, {}
+    sizes = list(FEATURES.values())
     for kind in KINDS:
         own = {p: c for (k, p), c in counts.items() if k == kind}
         if not own:
-            weights[kind] = (-1.0, [(1.0, -1.0)] * len(LABELERS))
+            weights[kind] = (-1.0, [(1.0, -1.0)] * len(LABELERS), [[0.0] * n for n in sizes])
             reliability[kind] = [(0.5, 0.5)] * len(LABELERS)
             continue
         chance, reliability[kind] = expectation_maximisation(own)
-        total = sum(own.values())
-        b, w = 0.0, [[0.0, 0.0] for _ in LABELERS]
-        for _ in range(steps):
-            gb, gw = 0.0, [[shrink * x for x in pair] for pair in w]
-            for p, c in own.items():
-                z = b + sum(w[i][0] if v > 0 else w[i][1] if v < 0 else 0.0 for i, v in enumerate(p))
-                wrong = (1 / (1 + math.exp(-z)) - chance[p]) * c / total
-                gb += wrong
-                for i, v in enumerate(p):
-                    if v:
-                        gw[i][0 if v > 0 else 1] += wrong
-            b -= rate * gb
-            w = [[x - rate * g for x, g in zip(pair, grad, strict=True)] for pair, grad in zip(w, gw, strict=True)]
-        weights[kind] = (b, [tuple(pair) for pair in w])
+        rows = sorted((p, f, c) for (k, p, f), c in seen.items() if k == kind)
+        x = np.array([encoded(p, f) for p, f, _ in rows])
+        y, c = np.array([chance[p] for p, _, _ in rows]), np.array([c for _, _, c in rows], dtype=float)
+        c /= c.sum()
+        b, w = 0.0, np.zeros(x.shape[1])
+        rate = 4.0 / (float((c[:, None] * x**2).sum()) + 1)
+        v, vb, t = w.copy(), b, 1.0
+        for _ in range(steps):  # accelerated gradient steps
+            wrong = (1 / (1 + np.exp(-(x @ v + vb))) - y) * c
+            nw, nb, nt = v - rate * (x.T @ wrong + shrink * v), vb - rate * float(wrong.sum()), (1 + math.sqrt(1 + 4 * t * t)) / 2
+            v, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
+            w, b, t = nw, nb, nt
+        n = 2 * len(LABELERS)
+        ends = np.cumsum([n, *sizes])
+        weights[kind] = (b, [(float(w[i]), float(w[i + 1])) for i in range(0, n, 2)], [w[i:j].tolist() for i, j in zip(ends[:-1], ends[1:], strict=True)])
     return SpanModel(weights, reliability)
 
 
-def fit_spans(docs: DataFrame) -> SpanModel:
-    """Counts vote patterns over all of docs' texts; at most 5 * 81 rows come back."""
+def fit_spans(docs: DataFrame, most: int = 20_000) -> SpanModel:
+    """Counts patterns over all of docs' texts.
+
+    All counts of votes come back (at most 5 * 81), and of votes with features the `most` most
+    frequent ones of each kind, on which the classifier is fitted.
+    """
     spans = with_candidates(docs.select(text_or_empty().alias("text")), "text", "c").select(F.explode("c").alias("c"))
-    counts = spans.groupBy("c.kind_no", "c.votes").count().collect()
-    return train({(KINDS[r[0]], tuple(r[1])): r[2] for r in counts})
+    patterns = cut(spans.groupBy("c.kind_no", "c.votes", "c.features").count())
+    counts = {(KINDS[r[0]], tuple(r[1])): r[2] for r in patterns.groupBy("kind_no", "votes").agg(F.sum("count")).collect()}
+    seen = {}
+    for no, kind in enumerate(KINDS):
+        for r in patterns.filter(F.col("kind_no") == no).orderBy(F.desc("count"), "votes", "features").limit(most).collect():
+            seen[kind, tuple(r["votes"]), tuple(r["features"])] = r["count"]
+    return train(counts, seen)
 
 
 def find_pii(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
