@@ -136,6 +136,28 @@ def test_glossary_modes_and_blocks(spark):
     assert one == {(r["id"], r["term"]["source"]) for r in glossary.term_hits(entries, prepared, block=2).collect()}
 
 
+def test_glossary_patterns_and_folding(spark):
+    """Patterns are tested by the engine that matches them; substrings without case by full case folding."""
+    terms = [("(?P<x>a+)b(?P=x)", "z", "locked", "regex", ""), ("a{,2}", "z", "locked", "regex", ""), ("(?<!a*)q", "z", "locked", "regex", ""), ("straße", "rue", "locked", "", ""), ("ΌΔΌΣ", "rue", "locked", "", "no"), ("Straße", "rue", "locked", "", "yes")]
+    g = spark.createDataFrame(terms, "source string, target string, status string, match_mode string, case_sensitive string")
+    pairs = spark.createDataFrame([("1", ("xaabaay",), ("none",)), ("2", ("DIE STRASSE",), ("la RUE",)), ("3", ("die STRASSE, όδός",), ("none",))], "id string, s struct<text:string>, t struct<translation:string>")
+    got = {(r["id"], r["source"]) for r in glossary.term_issues(pairs, g, Policy("de", "fr")).collect()}
+    assert got == {("1", "(?P<x>a+)b(?P=x)"), ("3", "straße"), ("3", "ΌΔΌΣ")}
+    long = [{"source": "s" * 400_000, "target": ""} for _ in range(5)]
+    assert [len(b) for b in glossary.term_blocks(long)] == [2, 2, 1] and glossary.term_blocks([]) == [[]]
+
+
+def test_review_guards_on_drafts(spark):
+    source = spark.createDataFrame([(1, "a", "x", "h1", []), (2, "b", "y\n<t>", "h2", ["<t>"]), (3, "c", "z", "h3", None)], UNIT)
+    draft = spark.createDataFrame([(1, "a", None), (2, "b", "Y <t>"), (3, "c", "Z\0")], "ord long, id string, translation string")
+    none = spark.createDataFrame([], "ord long, id string, reviewer_translation string, reason string, severity string")
+    assert {(r["guard"], r["id"]) for r in review.delta_problems(source, draft, none).collect()} == {("draft-empty", "a"), ("draft-newlines", "b"), ("draft-invalid", "c")}
+    bare = spark.createDataFrame([(1, "a", "A", "x")], "ord long, id string, reviewer_translation string, more string")
+    found = {(r["guard"], r["id"]) for r in review.delta_problems(source, draft, bare).collect()}
+    assert ("fields", "more,no reason,no severity") in found and {("reason", "a"), ("severity", "a")} <= found
+    assert {r["guard"] for r in review.delta_problems(source.limit(0), draft.limit(0), none).collect()} == {"empty-job"}
+
+
 def test_shadowing(spark):
     g = spark.createDataFrame([("sword", "lame", "locked", ""), ("holy sword", "épée", "locked", "")], "source string, target string, status string, scope string")
     pairs = spark.createDataFrame([("1", ("the holy sword",), ("l'épée",)), ("2", ("a sword",), ("une arme",))], "id string, s struct<text:string>, t struct<translation:string>")
@@ -189,6 +211,14 @@ def test_stage_machine(spark):
     jobs = spark.createDataFrame([("j1", "pending"), ("j2", "pending")], "job_id string, status string")
     changes = spark.createDataFrame([("j1", "pending", "assigned", "n"), ("j2", "assigned", "translated", None)], "job_id string, from_status string, to_status string, note string")
     assert {r["job_id"]: r["status"] for r in stages.set_status(jobs, changes).collect()} == {"j1": "assigned", "j2": "pending"}
+    for odd in ((jobs.union(jobs), changes), (jobs, changes.union(changes)), (jobs.filter("job_id = 'j1'"), changes)):
+        with pytest.raises(review.GuardError, match="job_id"):
+            stages.set_status(*odd)
+    there = spark.createDataFrame([("e",)], "path string")
+    assert stages.missing_evidence(h, there).count() == 0 and stages.missing_evidence(h, there.limit(0)).count() == 3
+    assert stages.failed_gates("researched", {"initialized": [], "researched": ["x"], "extracted": ["y"]}) == ["researched: x"] and stages.failed_gates("initialized", {}) == ["initialized: not evaluated"]
+    rich = spark.createDataFrame([("u", "t", "engine", ["c"], None, "ja", "s", "a", "r", "s", "high"), ("v", "t", "canon", ["c"], "", "", "s", "a", "r", "s", "high")], "url string, title string, lane string, claims array<string>, source_language string, language string, source_type string, authority string, retrieved_at string, scope string, confidence string")
+    assert {r["item"] for r in stages.research_problems(rich).collect() if r["problem"] == "incomplete description"} == {"v"}
     src = spark.createDataFrame([("u", "t", "unpack", ["c"]), ("u2", "", "jp-canon", ["c"])], "url string, title string, lane string, claims array<string>")
     assert {(r["item"], r["problem"]) for r in stages.research_problems(src, rich=False).collect()} == {("target-locale", "missing lane"), ("u2", "needs url, title, lane and claims")}
     assert stages.release_problems(jobs, 0, {"roundtrip": True}, {"build": 1}) != []
@@ -263,8 +293,8 @@ def test_gates_across_artifacts(spark):
     found = {(r["item"], r["problem"]) for r in stages.translation_problems(jobs, bundles, "p", "s").collect()}
     assert found == {("b", p) for p in ("stale source_digest", "stale bible_version", "another shared prefix", "stale shared prefix", "invalid coverage")}
     assert {r["problem"] for r in stages.translation_problems(jobs.filter("job_id = 'c'"), bundles, "p", "s").collect()} == {"no active job"}
-    drafts = spark.createDataFrame([("b", 1, "z", "Z")], "job_id string, ord long, id string, translation string")
-    digest = review.translation_digest(drafts, ["job_id"]).first()["digest"]
+    drafts = spark.createDataFrame([("b", 1, "z", '{"translation": "Z", "id": "z", "notes": "n"}')], "job_id string, ord long, id string, raw string")
+    digest = "sha256:" + hashlib.sha256(b'{"id":"z","notes":"n","translation":"Z"}\n').hexdigest()  # of whole records
     reports = spark.createDataFrame([("b", True, "all-entries", "d2", 1, digest)], "job_id string, passed boolean, coverage string, reviewed_source_digest string, reviewed_entry_count int, reviewed_draft_digest string")
     found = {(r["item"], r["problem"]) for r in stages.review_problems(jobs, reports, drafts).collect()}
     assert found == {("a", "not reviewed"), ("c", "not reviewed"), ("a", "no valid review report"), ("c", "no valid review report")}

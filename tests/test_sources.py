@@ -57,6 +57,26 @@ def test_walk(spark):
     assert {(r["location"], r["id"], r["text"], tuple(r["protected_tokens"])) for r in rows} == {("$#r.items[0]#r.t", "r", "a<x>", ("<x>",)), ("$#r.items[1]#k.t[0]", "k", "b", ("b",))}
 
 
+def test_walk_lines(spark):
+    doc = {"items": [{"t": "x", "more": {"t": ["y", 3, "z"]}}, {"id": "k", "t": "w"}], "t": "last"}
+    lines = spark.createDataFrame([("p", 7, json.dumps(doc))], "path string, line int, raw string")
+    got = [(r["location"], r["id"], r["text"]) for r in readers.selected_in_lines(lines, {"t"}).collect()]
+    assert got == [("$:7.items[0].t", None, "x"), ("$:7.items[0].more.t[0]", None, "y"), ("$:7.items[0].more.t[2]", None, "z"), ("$:7.items[1]#k.t", "k", "w"), ("$:7.t", None, "last")]
+
+
+def test_lines_of_splits(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("\ufeff" + "".join(json.dumps({"id": f"a{i}", "text": "é" * (i % 90)}, ensure_ascii=False) + ("\r\n" if i % 7 else "\n\n") for i in range(900)), encoding="utf-8")
+    (tmp_path / "B.jsonl").write_text('{"id": "b", "text": "x"}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        split = readers.jsonl(spark, str(tmp_path), SCHEMA, split=True)
+        assert split.select("path").rdd.getNumPartitions() >= 1
+        got = [tuple(r) for r in split.orderBy("ord").select("line", "id", "text", "_bad").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [tuple(r) for r in readers.jsonl(spark, str(tmp_path), SCHEMA).orderBy("ord").select("line", "id", "text", "_bad").collect()] and len(got) == 901 and got[0][:2] == (1, "a0")
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2, "é", 1), (1, "a", None)], "ord long, b string, a int")
     sinks.write_jsonl(df, str(tmp_path / "o"), canonical=True)
@@ -90,7 +110,17 @@ def test_fonts(spark, tmp_path):
     assert {r["cp"] for r in rows} == {0x1F600, 0x1F601, 0x1F602, 0x21, 0x22, 65, 66, 67} and rows[0]["name"] == "Tiny"
     with pytest.raises(fonts.FontError):
         fonts.character_map(b"\0\1\0\0" + b"\0" * 20, 0)
+    (tmp_path / "bad.ttf").write_bytes(b"not a font at all, but long enough")
+    odd = tiny_font([(5, 4, 1), (0x110000, 0x110005, 1), (0x10FFFE, 0x11FFFF, 1), (0x30, 0x31, 2)])
+    assert fonts.character_map(odd, 0) == {0x10FFFE, 0x10FFFF, 0x30, 0x31}  # groups that can't be are passed over or clamped
+    cut_off = struct.pack(">HHIII", 12, 0, 16 + 12, 0, 2) + struct.pack(">III", 65, 66, 1) + struct.pack(">III", 70, 71, 1)
+    assert fonts.format_12_13(cut_off, 0, False) == {65, 66}
+    files = readers.files(spark, str(tmp_path))
+    assert [r["error"] is not None and r["path"].endswith("bad.ttf") for r in fonts.font_errors(files).collect()] == [True] and fonts.font_table(files).count() == len(rows)
     used = spark.createDataFrame([(65, 1), (90, 2)], "cp int, n long")
+    cmap, few = fonts.font_table(files), spark.createDataFrame([(65, 1)], "cp int, n long")
+    assert codepoints.coverage_report(few, cmap, few).first()["passed"] and not codepoints.coverage_report(few, cmap, few, fonts.font_errors(files)).first()["passed"]
+    assert not codepoints.coverage_report(few.limit(0), cmap, few).first()["passed"]
     assert [r["cp"] for r in codepoints.uncovered(used, spark.createDataFrame(rows)).collect()] == [90]
 
 

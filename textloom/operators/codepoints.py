@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,25 +26,58 @@ def visible_texts(records: DataFrame, tokens_by_id: DataFrame | None = None, kee
     return rows.drop("_own", "_listed")
 
 
+def counted(batches):
+    """cp, n of all texts of some Arrow batches, one row for each code point of a batch."""
+    for batch in batches:
+        found: Counter = Counter()
+        for text in batch.column(0).to_pylist():
+            found.update(text or "")
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["c", "n"])
+
+
+def visible(df: DataFrame, exact: bool) -> DataFrame:
+    return df.filter(X.is_visible_exact("c") if exact else X.is_visible(F.col("c")))
+
+
 def characters(texts: DataFrame, exact: bool = False) -> DataFrame:
-    """ord, location, cp, n: visible code points of each record, counted before anything is shuffled.
+    """ord, location, cp, n: visible code points of each record, counted in the record.
 
     exact asks Python's Unicode tables for code points that newer versions name.
     """
-    chars = texts.select("ord", "location", F.explode(F.split("text", "")).alias("c")).filter("c <> ''")
-    counted = chars.groupBy("ord", "location", "c").agg(F.count("*").alias("n"))
-    seen = X.is_visible_exact("c") if exact else X.is_visible(F.col("c"))
-    return counted.filter(seen).select("ord", "location", F.ascii("c").alias("cp"), "n")
+
+    def run(batches):
+        for batch in batches:
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                found = Counter(text or "")
+                own = batch.select([0, 1]).take(pa.array([i] * len(found), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["ord", "location", "c", "n"])
+
+    kinds = texts.select("ord", "location").schema
+    found = texts.select("ord", "location", "text").mapInArrow(run, kinds.add("c", "string").add("n", "long"))
+    return visible(found, exact).select("ord", "location", F.ascii("c").alias("cp"), "n")
 
 
 def histogram(texts: DataFrame, exact: bool = False) -> DataFrame:
-    chars = texts.select(F.explode(F.split("text", "")).alias("c")).filter("c <> ''").groupBy("c").agg(F.count("*").alias("n"))
-    return chars.filter(X.is_visible_exact("c") if exact else X.is_visible(F.col("c"))).select(F.ascii("c").alias("cp"), "n")
+    """cp, n of visible code points, counted in Arrow batches, so that few rows are shuffled."""
+    chars = texts.select("text").mapInArrow(counted, "c string, n long").groupBy("c").agg(F.sum("n").alias("n"))
+    return visible(chars, exact).select(F.ascii("c").alias("cp"), "n")
+
+
+def _first_places(batches):
+    for batch in batches:
+        first: dict = {}
+        for location, place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for c in set(text or ""):
+                known = first.get((location, c))
+                if known is None or place < known:
+                    first[location, c] = place
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in first], pa.string()), pa.array(list(first.values()), pa.int64()), pa.array([k[1] for k in first], pa.string())], names=["location", "ord", "c"])
 
 
 def first_locations(texts: DataFrame, most: int = 5) -> DataFrame:
     """cp, location, place (from 1): the first distinct locations of each code point in encounter order."""
-    at = characters(texts).groupBy("cp", "location").agg(F.min("ord").alias("ord"))
+    firsts = texts.select("location", "ord", "text").mapInArrow(_first_places, "location string, ord long, c string")
+    at = visible(firsts.groupBy("c", "location").agg(F.min("ord").alias("ord")), False).select(F.ascii("c").alias("cp"), "location", "ord")
     w = Window.partitionBy("cp").orderBy("ord", "location")
     return at.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most).select("cp", "location", "place")
 
@@ -51,11 +87,18 @@ def uncovered(used: DataFrame, cmap: DataFrame) -> DataFrame:
     return used.join(cmap.select("cp").distinct(), "cp", "left_anti").withColumn("label", X.codepoint_label(F.col("cp")))
 
 
-def coverage_report(used: DataFrame, cmap: DataFrame, probe: DataFrame) -> DataFrame:
-    """used, missing, probe_missing counts and whether the fonts cover all."""
+def coverage_report(used: DataFrame, cmap: DataFrame, probe: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """used, missing, probe_missing and errors counts and whether the fonts cover all.
+
+    errors has a row for each font or input that can't be read; any of them fails the report, as do
+    texts without a visible character and fonts without a character map.
+    """
     counts = used.agg(F.count("*").alias("used")).join(uncovered(used, cmap).agg(F.count("*").alias("missing")))
     counts = counts.join(probe.select("cp").distinct().join(cmap.select("cp").distinct(), "cp", "left_anti").agg(F.count("*").alias("probe_missing")))
-    return counts.withColumn("passed", (F.col("missing") == 0) & (F.col("probe_missing") == 0))
+    counts = counts.join((errors if errors is not None else used.limit(0)).agg(F.count("*").alias("errors")))
+    counts = counts.join(cmap.limit(1).agg((F.count("*") > 0).alias("mapped")))
+    passed = (F.col("missing") == 0) & (F.col("probe_missing") == 0) & (F.col("errors") == 0) & (F.col("used") > 0) & F.col("mapped")
+    return counts.withColumn("passed", passed).drop("mapped")
 
 
 def cache_verdicts(usage: DataFrame, tolerance: int = 256) -> DataFrame:

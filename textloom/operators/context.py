@@ -49,15 +49,18 @@ def scene_of(entries: DataFrame) -> DataFrame:
     return rows.select("job_id", F.array_join(F.transform("rs", lambda r: r["text"]), "\n").alias("scene_text"), speakers.alias("speakers"), F.col("rs")[0]["route"].alias("route"))
 
 
-def blocks(items: DataFrame, column: Column, block: int = 2000) -> list[DataFrame]:
-    """The items' values in tables of one row with an array of at most `block` of them.
+BLOCK_BYTES = 1 << 20
+
 
-    For parts of a bible, which fit on the driver; each table is small enough to go along with a task.
+def blocks(items: DataFrame, column: Column, block: int = 2000) -> list[DataFrame]:
+    """The items' values in tables of one row with an array of about `block` of them and BLOCK_BYTES of
+    text, small enough to go along with a task; nothing but the number of blocks comes to the driver.
     """
-    values = items.select(column.alias("v"))
-    rows = [(r["v"],) for r in values.collect()]
-    kind = values.schema["v"].dataType.simpleString()
-    return [items.sparkSession.createDataFrame([([r[0] for r in rows[at : at + block]],)], f"items array<{kind}>") for at in range(0, max(1, len(rows)), block)]
+    values = items.select(column.alias("v")).withColumn("size", F.octet_length(F.to_json(F.struct("v"))).cast("long"))
+    n, size = values.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n_blocks = max(1, -(-n // block), -(-2 * size // BLOCK_BYTES))
+    dealt = values.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(n_blocks)))
+    return [dealt.filter(F.col("b") == b).agg(F.collect_list("v").alias("items")) for b in range(n_blocks)]
 
 
 def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column) -> DataFrame:

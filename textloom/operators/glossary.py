@@ -1,14 +1,15 @@
 """Terms in texts: scope and locale filters, match modes, shadowing by longer terms, required translations.
 
-A glossary of checked size goes along as one array and is tested in each row, without a join; a
-larger one goes in blocks of that size.
+A glossary goes along with tasks in blocks of bounded rows and bytes, which are tested in each row,
+without a join.
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,22 +19,33 @@ from textloom.policy import Policy
 NOT_WORD_BEFORE, NOT_WORD_AFTER = rf"(?<!{X.WORD})", rf"(?!{X.WORD})"
 
 
-def valid_pattern(pattern: str) -> bool:
+def engine_pattern(spark, pattern: str) -> str | None:
+    """A pattern as the engine that matches it takes it, or None if it doesn't.
+
+    Named groups, which some dialects open with ?P, are written the engine's way.
+    """
+    pattern = pattern.replace("(?P<", "(?<")
+    while (at := pattern.find("(?P=")) >= 0:
+        end = pattern.find(")", at)
+        if end < 0:
+            return None
+        pattern = f"{pattern[:at]}\\k<{pattern[at + 4 : end]}>{pattern[end + 1 :]}"
     try:
-        re.compile(pattern)
-    except re.error:
-        return False
-    return True
+        spark._jvm.java.util.regex.Pattern.compile(pattern)
+    except (Py4JJavaError, PySparkException):
+        return None
+    return pattern
 
 
-def term_matches(text: Column, term: Column, mode: Column, cased: Column) -> Column:
+def term_matches(text: Column, folded: Column, term: Column, folded_term: Column, mode: Column, cased: Column) -> Column:
     """Whether a term matches: as a substring (also in unknown modes), whole word or pattern, with or without case.
 
-    An empty term and a pattern that no matcher takes (None in mode, see prepared) match nothing.
+    A substring without case is compared by full case folding, which folded and folded_term have. An
+    empty term and a pattern that the matcher doesn't take ("invalid" as mode, see prepared) match nothing.
     """
     flag = F.when(cased, "").otherwise("(?iu)")
     word = F.rlike(text, F.concat(flag, F.lit(NOT_WORD_BEFORE), X.quoted(term), F.lit(NOT_WORD_AFTER)))
-    part = F.when(cased, F.contains(text, term)).otherwise(F.contains(F.lower(text), F.lower(term)))
+    part = F.when(cased, F.contains(text, term)).otherwise(F.contains(folded, folded_term))
     found = F.when(mode == "word", word).when(mode == "regex", F.rlike(text, F.concat(flag, term))).when(mode == "invalid", False).otherwise(part)
     return F.coalesce((term != "") & found, F.lit(False))
 
@@ -44,19 +56,49 @@ def prepared(glossary: DataFrame, policy: Policy) -> list[dict]:
     out = []
     for row in glossary.collect():
         get = lambda name: ((row[name] if name in have else "") or "").strip(X.SPACES)  # noqa: B023, E731
-        mode = get("match_mode").lower() if policy.term_modes else "substring"
-        if mode == "regex" and not all(map(valid_pattern, (get("source"), get("target")))):
-            mode = "invalid"
+        source, target = get("source"), get("target")
+        mode = get("match_mode").casefold() if policy.term_modes else "substring"
+        if mode == "regex":
+            taken = [engine_pattern(glossary.sparkSession, p) for p in (source, target)]
+            if None in taken:
+                mode = "invalid"
+            else:
+                source, target = taken
         cased = not policy.term_modes or get("case_sensitive").lower() in ("1", "true", "yes", "y")
         out.append({
-            "source": get("source"), "target": get("target"), "status": get("status").lower(), "scope": get("scope"), "mode": mode, "cased": cased,
+            "source": source, "target": target, "status": get("status").lower(), "scope": get("scope"), "mode": mode, "cased": cased, "named": get("source"),
+            "folded": source.casefold(), "folded_target": target.casefold(),
             "source_locale": get("source_locale").casefold() if policy.filter_locales else "", "target_locale": get("target_locale").casefold() if policy.filter_locales else "",
         })
     locale = (policy.source_locale.casefold(), policy.target_locale.casefold())
     return [t for t in out if t["source_locale"] in ("", locale[0]) and t["target_locale"] in ("", locale[1])]
 
 
-TERM = "array<struct<source:string,target:string,status:string,scope:string,mode:string,cased:boolean>>"
+FIELDS = {"source": "string", "target": "string", "status": "string", "scope": "string", "mode": "string", "cased": "boolean", "named": "string", "folded": "string", "folded_target": "string"}
+TERM = f"array<struct<{','.join(f'{n}:{t}' for n, t in FIELDS.items())}>>"
+BLOCK_BYTES = 1 << 20
+
+
+def term_blocks(terms: list[dict], block: int = 2000) -> list[list[dict]]:
+    """Terms in blocks of at most `block` of them and BLOCK_BYTES of text (one longer term alone)."""
+    out: list[list[dict]] = [[]]
+    held = 0
+    for t in terms:
+        size = len(t["source"].encode()) + len(t["target"].encode())
+        if out[-1] and (len(out[-1]) == block or held + size > BLOCK_BYTES):
+            out.append([])
+            held = 0
+        out[-1].append(t)
+        held += size
+    return out
+
+
+def in_source(t: Column) -> Column:
+    return term_matches(F.col("src"), F.col("src_folded"), t["source"], t["folded"], t["mode"], t["cased"])
+
+
+def in_output(t: Column) -> Column:
+    return term_matches(F.col("out"), F.col("out_folded"), t["target"], t["folded_target"], t["mode"], t["cased"])
 
 
 def term_hits(entries: DataFrame, terms: list[dict], block: int = 2000) -> DataFrame:
@@ -64,12 +106,15 @@ def term_hits(entries: DataFrame, terms: list[dict], block: int = 2000) -> DataF
     which is forbidden: as columns term (struct), applicable (terms that can shadow it)."""
     spark = entries.sparkSession
     parts, rivals = [], []
-    for at in range(0, max(1, len(terms)), block):
-        rows = [tuple(t[k] for k in ("source", "target", "status", "scope", "mode", "cased")) for t in terms[at : at + block]]
+    folds = any(not t["cased"] and t["mode"] not in ("word", "regex", "invalid") for t in terms)  # else no text need be folded
+    for side in ("src", "out"):
+        entries = entries.withColumn(f"{side}_folded", X.casefolded(side) if folds else F.lit(""))
+    for own in term_blocks(terms, block):
+        rows = [tuple(t[k] for k in FIELDS) for t in own]
         one = F.broadcast(spark.createDataFrame([(rows,)], f"terms {TERM}"))  # one row, at most `block` terms
         in_scope = lambda t: (t["scope"] == "") | (t["scope"] == "global") | F.coalesce((t["scope"] == F.col("route")) | (t["scope"] == F.col("scene_id")) | (t["scope"] == F.col("speaker")), F.lit(False))
         close = entries.join(one).withColumn("applicable", F.filter("terms", in_scope)).drop("terms")
-        meets = lambda t: (t["status"] == "forbidden") | term_matches(F.col("src"), t["source"], t["mode"], t["cased"])
+        meets = lambda t: (t["status"] == "forbidden") | in_source(t)
         parts.append(close.withColumn("term", F.explode(F.filter("applicable", meets))))
         rivals.append(close.select("id", F.filter("applicable", lambda t: (t["source"] != "") & F.contains(F.col("src"), t["source"])).alias("a")))
     if len(parts) == 1:
@@ -98,14 +143,14 @@ def term_issues(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> DataFr
     terms = prepared(glossary, policy)
     hits = term_hits(entries_of(pairs), terms)
     t = F.col("term")
-    there = term_matches(F.col("out"), t["target"], t["mode"], t["cased"])
-    due = term_matches(F.col("src"), t["source"], t["mode"], t["cased"]) & (t["target"] != "") & ~is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out"))
+    there = in_output(t)
+    due = in_source(t) & (t["target"] != "") & ~is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out"))
     code = F.when((t["status"] == "forbidden") & there, "forbidden-term").when((t["status"] == "locked") & due & ~there, "locked-term").when((t["status"] == "preferred") & due & ~there, "preferred-term")
-    return hits.select("id", code.alias("code"), t["source"].alias("source"), t["target"].alias("target")).filter("code is not null")
+    return hits.select("id", code.alias("code"), t["named"].alias("source"), t["target"].alias("target")).filter("code is not null")
 
 
 def shadowed_hits(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> DataFrame:
     """id, source, shadowed: each term found in a source text."""
     t = F.col("term")
-    hits = term_hits(entries_of(pairs), prepared(glossary, policy)).filter(term_matches(F.col("src"), t["source"], t["mode"], t["cased"]))
-    return hits.select("id", t["source"].alias("source"), is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out")).alias("shadowed"))
+    hits = term_hits(entries_of(pairs), prepared(glossary, policy)).filter(in_source(t))
+    return hits.select("id", t["named"].alias("source"), is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out")).alias("shadowed"))

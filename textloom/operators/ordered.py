@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,3 +34,26 @@ def last_value_first_place(df: DataFrame, key: str = "id", order: str = "ord") -
     value = F.struct(*df.columns)
     kept = df.groupBy(key).agg(F.max_by(value, order).alias("_v"), F.min(order).alias("_at"))
     return kept.select(*(F.col("_at").alias(c) if c == order else F.col(f"_v.{c}").alias(c) for c in df.columns))
+
+
+def folded(rows: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str, block: int = 512) -> tuple[Column, Column]:
+    """A fold over an array that also gives out values: the values, and the last state.
+
+    step(state, row) gives the next state, whether a value is given out here, and the value, which has
+    the type `kind`. An array grows by copying, so values are gathered in blocks of rows first; the
+    cost is in proportion to the rows.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def within(acc, row):
+        after, gives, value = step(acc["state"], row)
+        return F.struct(after.alias("state"), F.when(gives, F.concat(acc["out"], F.array(value))).otherwise(acc["out"]).alias("out"))
+
+    def one_block(acc, b):
+        zero = F.struct(F.element_at(acc, -1)["state"].alias("state"), none.alias("out"))
+        return F.concat(acc, F.array(F.aggregate(F.slice(rows, b * block + 1, F.lit(block)), zero, within)))
+
+    first = F.array(F.struct(state.alias("state"), none.alias("out")))
+    blocks = F.when(F.size(rows) > 0, F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
+    done = F.aggregate(blocks, first, one_block)
+    return F.flatten(F.transform(done, lambda x: x["out"])), F.element_at(done, -1)["state"]

@@ -1,7 +1,8 @@
 """Jobs from scenes, and chunks from jobs: consecutive groups, size-bounded splits, overlap, coverage proofs.
 
 Groups along the global order are found in buckets (see ordered). A split inside a group depends on
-all records before, so it is a fold over the group's sorted array.
+all records before, so it is a fold over the group's sorted array of lengths and ids, at a cost in
+proportion to its records; what a fold gives out are the places of cuts.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.functions.digests import record_line, sha256_of
-from textloom.operators.ordered import with_group_numbers
+from textloom.operators.ordered import folded, with_group_numbers
 
 UNASSIGNED = "unassigned"
 
@@ -44,22 +45,28 @@ def greedy_parts(grouped: DataFrame, most: int, by: str = "grp") -> DataFrame:
     """
     cols = F.struct(F.col("ord"), F.length("text").cast("long").alias("n"), flag_of("boundary_before", grouped).alias("natural"))
     arrays = grouped.groupBy(by).agg(F.array_sort(F.collect_list(cols)).alias("rs"))
-    zero = F.struct(F.lit(0).cast("long").alias("chars"), F.lit(0).alias("size"), F.lit(False).alias("opened"), F.array().cast("array<int>").alias("parts"), F.array().cast("array<boolean>").alias("forced"))
+    state = F.struct(F.lit(0).cast("long").alias("chars"), F.lit(0).alias("at"))
 
     def step(acc, r):
-        cut = (F.lit(most) > 0) & (acc["size"] > 0) & (acc["chars"] + r["n"] > most)
-        part = F.size(acc["forced"])
-        return F.struct(
-            F.when(cut, r["n"]).otherwise(acc["chars"] + r["n"]).alias("chars"), F.when(cut, 1).otherwise(acc["size"] + 1).alias("size"), F.when(cut, ~r["natural"]).otherwise(acc["opened"]).alias("opened"),
-            F.concat(acc["parts"], F.array(F.when(cut, part + 1).otherwise(part))).alias("parts"),
-            F.when(cut, F.concat(acc["forced"], F.array(acc["opened"] | ~r["natural"]))).otherwise(acc["forced"]).alias("forced"),
-        )
+        cut = (F.lit(most) > 0) & (acc["at"] > 0) & (acc["chars"] + r["n"] > most)
+        after = F.struct(F.when(cut, r["n"]).otherwise(acc["chars"] + r["n"]).alias("chars"), (acc["at"] + 1).alias("at"))
+        return after, cut, F.struct(acc["at"].alias("at"), (~r["natural"]).alias("torn"))
 
-    last = lambda acc: F.struct(acc["parts"].alias("parts"), F.concat(acc["forced"], F.array(acc["opened"] | ((F.lit(most) > 0) & (acc["chars"] > most)))).alias("forced"))
-    done = arrays.select(by, "rs", F.aggregate("rs", zero, step, last).alias("a"))
-    each = done.select(by, "a", F.posexplode("rs").alias("i", "r"))
-    part = F.element_at("a.parts", F.col("i") + 1)
-    return each.select(by, F.col("r.ord").alias("ord"), part.alias("part"), F.element_at("a.forced", part + 1).alias("forced"))
+    cuts, last = folded(F.col("rs"), state, step, "struct<at:int,torn:boolean>")
+    done = arrays.select(by, "rs", F.struct(cuts.alias("cuts"), ((F.lit(most) > 0) & (last["chars"] > most)).alias("long")).alias("a"))
+    edge = lambda at, torn: F.array(F.struct(at.alias("at"), torn.alias("torn")))
+    edges = F.concat(edge(F.lit(0), F.lit(False)), F.col("a.cuts"), edge(F.size("rs"), F.col("a.long")))
+    done = done.withColumn("edges", edges)
+
+    done = done.withColumn("ords", F.transform("rs", lambda r: r["ord"]))
+
+    def part(k):
+        start, stop = F.element_at("edges", k + 1), F.element_at("edges", k + 2)
+        return F.struct(k.alias("part"), (start["torn"] | stop["torn"]).alias("forced"), F.slice("ords", start["at"] + 1, stop["at"] - start["at"]).alias("ords"))
+
+    # parts are made inside the array, so that no row carries a whole group along for each of them
+    parts = done.select(by, F.explode(F.transform(F.sequence(F.lit(0), F.size("edges") - 2), part)).alias("p"))
+    return parts.select(by, F.explode("p.ords").alias("ord"), F.col("p.part").alias("part"), F.col("p.forced").alias("forced"))
 
 
 def distinct_in_order(rows: Column, value) -> Column:
@@ -119,29 +126,40 @@ def chunk_rows(rows: DataFrame, by: str, target: int) -> DataFrame:
     units = natural_units(rows, by).withColumn("n", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
     units = units.withColumn("unit_n", F.sum("n").over(Window.partitionBy(by, "unit")))
     arrays = units.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("ord", "id", "unit", "n", "unit_n"))).alias("rs"))
-    # first fold: the piece of each record (pieces never cross units)
-    zero = F.struct(F.lit(-1).cast("long").alias("unit"), F.lit(0).cast("long").alias("chars"), F.lit(-1).alias("piece"), F.array().cast("array<int>").alias("pieces"))
+    # first fold: where pieces begin (they never cross units), with the characters and length of what ends there
+    state = F.struct(F.lit(-1).cast("long").alias("unit"), F.lit(0).cast("long").alias("chars"), F.lit(0).alias("at"))
 
     def piece_step(acc, r):
         fresh = (r["unit"] != acc["unit"]) | ((r["unit_n"] > target) & (acc["chars"] + r["n"] > target))
-        piece = F.when(fresh, acc["piece"] + 1).otherwise(acc["piece"])
-        return F.struct(r["unit"].alias("unit"), F.when(fresh, r["n"]).otherwise(acc["chars"] + r["n"]).alias("chars"), piece.alias("piece"), F.concat(acc["pieces"], F.array(piece)).alias("pieces"))
+        after = F.struct(r["unit"].alias("unit"), F.when(fresh, r["n"]).otherwise(acc["chars"] + r["n"]).alias("chars"), (acc["at"] + 1).alias("at"))
+        return after, fresh, F.struct(acc["at"].alias("at"), acc["chars"].alias("before"), (r["unit_n"] > target).alias("forced"))
+
+    begins, last = folded(F.col("rs"), state, piece_step, "struct<at:int,before:bigint,forced:boolean>")
+    arrays = arrays.select(by, "rs", begins.alias("begins"), last["chars"].alias("rest"))
 
-    arrays = arrays.withColumn("pieces", F.aggregate("rs", zero, piece_step)["pieces"])
-    each = arrays.select(by, F.posexplode(F.arrays_zip("rs", "pieces")).alias("i", "x")).select(by, "x.rs.*", F.col("x.pieces").alias("piece"))
-    pieces = each.groupBy(by, "piece").agg(F.sum("n").alias("n"), (F.max("unit_n") > target).alias("forced"))
-    packed = pieces.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("piece", "n", "forced"))).alias("ps"))
-    start = F.struct(F.lit(0).cast("long").alias("chars"), F.lit(0).alias("size"), F.lit(1).alias("chunk"), F.array().cast("array<int>").alias("chunks"))
+    def piece(p, k):
+        after = F.try_element_at("begins", k + 2)
+        return F.struct(p["at"].alias("at"), F.coalesce(after["before"], F.col("rest")).alias("n"), p["forced"].alias("forced"))
+
+    arrays = arrays.select(by, "rs", F.transform("begins", piece).alias("ps"))
+    # second fold: where chunks of pieces begin, and how many forced pieces there are before
+    start = F.struct(F.lit(0).cast("long").alias("chars"), F.lit(True).alias("first"), F.lit(0).alias("torn"))
 
     def pack(acc, p):
-        cut = (acc["size"] > 0) & (acc["chars"] + p["n"] > target)
-        chunk = acc["chunk"] + cut.cast("int")
-        return F.struct(F.when(cut, p["n"]).otherwise(acc["chars"] + p["n"]).alias("chars"), F.when(cut, 1).otherwise(acc["size"] + 1).alias("size"), chunk.alias("chunk"), F.concat(acc["chunks"], F.array(chunk)).alias("chunks"))
-
-    packed = packed.withColumn("chunks", F.aggregate("ps", start, pack)["chunks"])
-    where = packed.select(by, F.explode(F.arrays_zip("ps", "chunks")).alias("x")).select(by, "x.ps.piece", "x.ps.forced", F.col("x.chunks").alias("chunk"))
-    where = where.withColumn("forced", F.max("forced").over(Window.partitionBy(by, "chunk")))
-    return each.join(where, [by, "piece"]).select(by, "ord", "id", "chunk", "forced")
+        cut = acc["first"] | (acc["chars"] + p["n"] > target)
+        after = F.struct(F.when(cut, p["n"]).otherwise(acc["chars"] + p["n"]).alias("chars"), F.lit(False).alias("first"), (acc["torn"] + p["forced"].cast("int")).alias("torn"))
+        return after, cut, F.struct(p["at"].alias("at"), acc["torn"].alias("torn"))
+
+    opens, last = folded(F.col("ps"), start, pack, "struct<at:int,torn:int>")
+    arrays = arrays.select(by, "rs", opens.alias("opens"), last["torn"].alias("torn"))
+
+    def chunk(c, k):
+        after = F.try_element_at("opens", k + 2)
+        rows_of = F.slice("rs", c["at"] + 1, F.coalesce(after["at"], F.size("rs")) - c["at"])
+        return F.struct((k + 1).alias("chunk"), (F.coalesce(after["torn"], F.col("torn")) > c["torn"]).alias("forced"), rows_of.alias("rs"))
+
+    chunks = arrays.select(by, F.explode(F.transform("opens", chunk)).alias("c")).select(by, "c.*")
+    return chunks.select(by, "chunk", "forced", F.explode("rs").alias("r")).select(by, "r.ord", "r.id", "chunk", "forced")
 
 
 def chunk_plan(rows: DataFrame, by: str, target: int, overlap: int) -> DataFrame:

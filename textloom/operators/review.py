@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.functions.digests import ordered_digest, record_digest, record_line, source_digest
+from textloom.functions.digests import record_digest, source_digest
 from textloom.operators.validate import order_breaks
 
 SEVERITIES = ["minor", "major"]
@@ -23,16 +23,26 @@ class GuardError(ValueError):
 
 
 def delta_problems(source: DataFrame, draft: DataFrame, delta: DataFrame) -> DataFrame:
-    """guard, id for each guard that a review's rows break; no rows if the review may be applied."""
+    """guard, id for each guard that a review's rows break; no rows if the review may be applied.
+
+    Every row of the draft must have a translation of the source's shape, each row of the delta too.
+    """
     tokens = F.coalesce("protected_tokens", F.array().cast("array<string>")) if "protected_tokens" in source.columns else F.array().cast("array<string>")
-    pairs = delta.alias("d").join(source.select("id", F.col("text").alias("src"), tokens.alias("tokens"), *(c for c in ["source_hash"] if c in source.columns)), "id")
-    out = F.col("reviewer_translation")
-    rules = [
-        ("empty", F.coalesce(out, F.lit("")) == ""), ("reason", F.coalesce(X.strip(F.col("reason")), F.lit("")) == ""), ("severity", ~F.coalesce(F.col("severity").isin(SEVERITIES), F.lit(False))),
-        ("tokens", F.size(X.miscounted(out, F.col("tokens"))) > 0), ("token-order", (F.size("tokens") > 0) & ~X.in_order(out, F.col("tokens"))), ("newlines", X.newlines(out) != X.newlines(F.col("src"))), ("invalid", X.has_invalid(out)),
-    ]
-    rows = pairs.select("id", F.explode(F.filter(F.array(*(F.when(c, F.lit(g)) for g, c in rules)), lambda g: g.isNotNull())).alias("guard")).select("guard", "id")
-    parts = [rows]
+    shapes = source.select("id", F.col("text").alias("src"), tokens.alias("tokens"))
+    absent = [c for c in DELTA_FIELDS if c not in delta.columns]
+    given = delta.select("*", *(F.lit(None).cast("string").alias(c) for c in absent))
+
+    def shape(out, prefix=""):
+        found = [("empty", F.coalesce(out, F.lit("")) == ""), ("tokens", F.size(X.miscounted(out, F.col("tokens"))) > 0), ("token-order", (F.size("tokens") > 0) & ~X.in_order(out, F.col("tokens"))), ("newlines", X.newlines(out) != X.newlines(F.col("src"))), ("invalid", X.has_invalid(out))]
+        return [(prefix + g, c) for g, c in found]
+
+    def broken(pairs, rules):
+        every = F.filter(F.array(*(F.when(c, F.lit(g)) for g, c in rules)), lambda g: g.isNotNull())
+        return pairs.select("id", F.explode(every).alias("guard")).select("guard", "id")
+
+    stated = [("reason", F.coalesce(X.strip(F.col("reason")), F.lit("")) == ""), ("severity", ~F.coalesce(F.col("severity").isin(SEVERITIES), F.lit(False)))]
+    parts = [broken(given.join(shapes, "id"), [*shape(F.col("reviewer_translation")), *stated]), broken(draft.select("id", "translation").join(shapes, "id"), shape(F.col("translation"), "draft-"))]
+    parts.append(source.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit("empty-job").alias("guard"), F.lit(None).cast("string").alias("id")))
     parts.append(delta.join(source.select("id"), "id", "left_anti").select(F.lit("unknown-id").alias("guard"), "id"))
     parts.append(delta.groupBy("id").count().filter("count > 1").select(F.lit("duplicate-id").alias("guard"), "id"))
     parts.append(order_breaks(source, delta).select(F.lit("delta-order").alias("guard"), "id"))
@@ -42,9 +52,9 @@ def delta_problems(source: DataFrame, draft: DataFrame, delta: DataFrame) -> Dat
     if "source_hash" in draft.columns and "source_hash" in source.columns:
         stale = draft.join(source.select("id", F.col("source_hash").alias("want")), "id").filter("source_hash is not null and source_hash <> want")
         parts.append(stale.select(F.lit("stale-hash").alias("guard"), "id"))
-    extra = [c for c in delta.columns if c not in (*DELTA_FIELDS, "ord")]
-    if extra:
-        parts.append(delta.limit(1).select(F.lit("fields").alias("guard"), F.lit(",".join(extra)).alias("id")))
+    extra = [c for c in delta.columns if c not in (*DELTA_FIELDS, "ord", "raw") and not c.startswith("__")]
+    if extra or absent:
+        parts.append(delta.limit(1).select(F.lit("fields").alias("guard"), F.lit(",".join([*extra, *(f"no {c}" for c in absent)])).alias("id")))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -63,10 +73,6 @@ def overlay(draft: DataFrame, delta: DataFrame, source: DataFrame) -> DataFrame:
     return rows
 
 
-def translation_digest(rows: DataFrame, by: list[str]) -> DataFrame:
-    return ordered_digest(rows, by, "ord", record_line(F.col("id"), F.col("translation")))
-
-
 def review_report(delta: DataFrame, draft: DataFrame) -> DataFrame:
     """reviewed entries, deltas, major and minor ones, coverage and whether the report passes."""
     counts = delta.agg(F.count("*").alias("delta_count"), F.count_if(F.col("severity") == "major").alias("major_count"), F.count_if(F.col("severity") == "minor").alias("minor_count"))

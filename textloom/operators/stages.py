@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.digests import is_digest, source_digest
+from textloom.functions.digests import is_digest, record_digest, source_digest
 from textloom.functions.text import meaningful, strip
-from textloom.operators.review import translation_digest
+from textloom.operators.review import GuardError
 
 # Stages in order, job statuses, research lanes and their aliases.
 STAGES = ["initialized", "researched", "roundtrip-proven", "extracted", "bible-frozen", "plan-approved", "translating", "reviewed", "validated", "repacked", "playtested", "released"]
@@ -45,6 +45,18 @@ def history_problems(history: DataFrame) -> DataFrame:
     return bad.select(F.col("project").alias("item"), F.lit("not contiguous").alias("problem")).unionAll(bare.select(F.col("project").alias("item"), F.concat(F.lit("no evidence for "), F.coalesce("stage", F.lit("?"))).alias("problem")))
 
 
+def missing_evidence(history: DataFrame, existing: DataFrame) -> DataFrame:
+    """item (project), problem: evidence of histories that is no path in existing (path, below the project or absolute)."""
+    named = history.select(F.col("project").alias("item"), "stage", F.explode("evidence").alias("path")).filter("coalesce(path, '') <> ''")
+    gone = named.join(existing.select("path").distinct(), "path", "left_anti")
+    return gone.select("item", F.concat(F.lit("no evidence at "), "path", F.lit(" for "), F.coalesce("stage", F.lit("?"))).alias("problem"))
+
+
+def failed_gates(through: str, found: dict[str, list[str]]) -> list[str]:
+    """Problems of all gates up to a stage, earlier ones again too; a gate that wasn't evaluated fails."""
+    return [f"{gate}: {text}" for gate in STAGES[: STAGES.index(through) + 1] for text in found.get(gate, ["not evaluated"])]
+
+
 def may_advance(current: str, to: str, failed_gates: list[str]) -> list[str]:
     """Why a project may not go from one stage to another; every gate up to the new one must hold."""
     if current not in STAGES or to not in STAGES:
@@ -62,8 +74,13 @@ def set_status(jobs: DataFrame, changes: DataFrame) -> DataFrame:
     """jobs with compare-and-set changes (job_id, from_status or null, to_status, note) applied where they hold.
 
     A change to no known status and one whose from_status isn't the job's leaves the job as it is;
-    notes are appended.
+    notes are appended. Fails on job_ids that occur twice in jobs or changes, and on changes to unknown jobs.
     """
+    for name, rows in (("jobs", jobs), ("changes", changes)):
+        if twice := rows.groupBy("job_id").count().filter("count > 1").first():
+            raise GuardError(f"{name}: duplicate job_id {twice['job_id']}")
+    if unknown := changes.join(jobs.select("job_id"), "job_id", "left_anti").first():
+        raise GuardError(f"unknown job_id {unknown['job_id']}")
     joined = jobs.join(changes, "job_id", "left")
     holds = F.col("to_status").isin(STATUSES) & (F.col("from_status").isNull() | (F.col("from_status") == F.col("status")))
     notes = F.coalesce("status_notes", F.array().cast("array<string>")) if "status_notes" in jobs.columns else F.array().cast("array<string>")
@@ -85,7 +102,10 @@ def research_problems(sources: DataFrame, rich: bool = True) -> DataFrame:
     basic = blank("url") | blank("title") | alias[F.lower(strip(F.col("lane")))].isNull() | (F.coalesce(F.size("claims"), F.lit(-1)) <= 0)
     parts = [problem(missing_lanes(sources), "researched", "lane", "missing lane"), problem(sources.filter(basic), "researched", "url", "needs url, title, lane and claims")]
     if rich:
-        lacks = reduce(lambda a, b: a | b, map(blank, ("source_language", "source_type", "authority", "retrieved_at", "scope"))) | ~F.coalesce(F.col("confidence").isin("high", "medium", "low"), F.lit(False))
+        language = F.lit(True)
+        for name in ("source_language", "language"):  # the older name counts where the newer one is blank
+            language = language & blank(name) if name in sources.columns else language
+        lacks = language | reduce(lambda a, b: a | b, map(blank, ("source_type", "authority", "retrieved_at", "scope"))) | ~F.coalesce(F.col("confidence").isin("high", "medium", "low"), F.lit(False))
         parts.append(problem(sources.filter(~basic & lacks), "researched", "url", "incomplete description"))
     return problems(*parts)
 
@@ -229,10 +249,10 @@ def translation_problems(jobs: DataFrame, bundles: DataFrame, prefix_id: str, pr
 
 
 def review_problems(jobs: DataFrame, reports: DataFrame, drafts: DataFrame) -> DataFrame:
-    """Jobs against their review reports and the digests of the drafts (job_id, ord, id, translation) that they saw."""
+    """Jobs against their review reports and the digests of the drafts (job_id, ord, raw: each record's JSON) that they saw."""
     gate = "reviewed"
     r = reports.select("job_id", "passed", "coverage", "reviewed_source_digest", "reviewed_entry_count", "reviewed_draft_digest")
-    both = jobs.select("job_id", "status", "source_digest", F.size("entry_ids").alias("n")).join(r, "job_id", "left").join(translation_digest(drafts, ["job_id"]), "job_id", "left")
+    both = jobs.select("job_id", "status", "source_digest", F.size("entry_ids").alias("n")).join(r, "job_id", "left").join(record_digest(drafts, ["job_id"]), "job_id", "left")
     off = "not coalesce(passed and coverage = 'all-entries' and reviewed_source_digest = source_digest and reviewed_entry_count = n and reviewed_draft_digest = digest, false)"
     return problems(problem(both.filter(~F.coalesce(F.col("status").isin("reviewed", "approved", "merged"), F.lit(False))), gate, "job_id", "not reviewed"), problem(both.filter(off), gate, "job_id", "no valid review report"))
 

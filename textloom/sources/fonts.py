@@ -11,7 +11,7 @@ import struct
 import pandas as pd
 from pyspark.sql import DataFrame
 
-COLUMNS = "path string, face int, name string, cp int"
+COLUMNS = "path string, face int, name string, cp int, error string"
 
 
 class FontError(ValueError):
@@ -53,7 +53,10 @@ def format_4(data: bytes, at: int) -> set[int]:
         for cp in range(first, min(last, 0xFFFE) + 1):
             glyph = cp
             if offset:
-                (glyph,) = read("H", data, ranges_at + 2 * i + offset + 2 * (cp - first))
+                at_glyph = ranges_at + 2 * i + offset + 2 * (cp - first)
+                if at_glyph + 2 > len(data):
+                    break  # places only grow from here
+                (glyph,) = read("H", data, at_glyph)
                 if glyph == 0:
                     continue
             if (glyph + delta) & 0xFFFF:
@@ -62,12 +65,14 @@ def format_4(data: bytes, at: int) -> set[int]:
 
 
 def format_12_13(data: bytes, at: int, constant: bool) -> set[int]:
-    (n,) = read("I", data, at + 12)
+    size, _, n = read("III", data, at + 4)
     found: set[int] = set()
-    for i in range(n):
-        first, last, glyph = read("III", data, at + 16 + 12 * i)
-        if last > 0x10FFFF or last < first:
-            raise FontError("implausible group")
+    end = min(len(data), at + size)
+    for place in range(at + 16, min(at + 16 + 12 * n, end - 11), 12):  # groups beyond the table's end aren't there
+        first, last, glyph = read("III", data, place)
+        if first > last or first > 0x10FFFF:
+            continue
+        last = min(last, 0x10FFFF)
         if glyph:
             found.update(range(first, last + 1))
         elif not constant:
@@ -116,20 +121,46 @@ def full_name(data: bytes, face: int) -> str:
     return best[2]
 
 
-def font_table(binaries: DataFrame) -> DataFrame:
-    """path, face, name, cp for each mapped code point of each face of files (path, content).
+def face_rows(path: str, data: bytes):
+    """A table for each face: its code points, or one row with an error."""
 
-    A path may name one face as path::face; a file that is no font fails its task.
-    """
+    def wrong(face, e):
+        return pd.DataFrame({"path": [path], "face": pd.array([face], dtype="Int32"), "name": [None], "cp": pd.array([None], dtype="Int32"), "error": [str(e)]})
+
+    _, _, only = path.partition("::")
+    try:
+        every = faces(data)
+        wanted = range(len(every)) if not only else [int(only)]
+        if only and int(only) not in range(len(every)):
+            raise FontError(f"no face {only}")
+    except ValueError as e:
+        yield wrong(None, e)
+        return
+    for i in wanted:
+        try:
+            cps = sorted(character_map(data, every[i]))
+            yield pd.DataFrame({"path": path, "face": pd.array([i] * len(cps), dtype="Int32"), "name": full_name(data, every[i]), "cp": pd.array(cps, dtype="Int32"), "error": None})
+        except ValueError as e:
+            yield wrong(i, e)
+
+
+def scan_fonts(binaries: DataFrame) -> DataFrame:
+    """path, face, name, cp for each mapped code point of each face of files (path, content); a face that
+    can't be read has one row with its error instead. A path may name one face as path::face."""
 
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                _, _, only = path.partition("::")
-                data = bytes(content)
-                for i, face in enumerate(faces(data)):
-                    if not only or int(only) == i:
-                        cps = sorted(character_map(data, face))
-                        yield pd.DataFrame({"path": path, "face": i, "name": full_name(data, face), "cp": cps})
+                yield from face_rows(path, bytes(content))
 
     return binaries.select("path", "content").mapInPandas(run, COLUMNS)
+
+
+def font_table(binaries: DataFrame) -> DataFrame:
+    """path, face, name, cp of the faces that can be read."""
+    return scan_fonts(binaries).filter("error is null").drop("error")
+
+
+def font_errors(binaries: DataFrame) -> DataFrame:
+    """path, face, error of the files and faces that can't be read."""
+    return scan_fonts(binaries).filter("error is not null").select("path", "face", "error")

@@ -53,9 +53,13 @@ def replace_atomically(path: str, content: str) -> None:
     """Writes beside the file and renames, so that readers see the old text or the new one."""
     target = Path(path)
     handle, name = tempfile.mkstemp(dir=target.parent, prefix=target.name)
-    with os.fdopen(handle, "w", encoding="utf-8", newline="\n") as f:
-        f.write(content)
-    os.replace(name, target)
+    try:
+        with os.fdopen(handle, "w", encoding="utf-8", newline="\n") as f:
+            f.write(content)
+        os.replace(name, target)
+    except BaseException:
+        Path(name).unlink(missing_ok=True)
+        raise
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
