@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as X
 from textloom.policy import Policy
@@ -37,14 +39,24 @@ def engine_pattern(spark, pattern: str) -> str | None:
     return pattern
 
 
-def term_matches(text: Column, folded: Column, term: Column, folded_term: Column, mode: Column, cased: Column) -> Column:
+def loosened(text: str) -> str:
+    """Folded so that texts which match without case hold each other, also by the engine's ways with i."""
+    return text.replace("\u0130", "i").replace("\u0131", "i").casefold()
+
+
+@F.pandas_udf(T.StringType())
+def loose(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else loosened(t))
+
+
+def term_matches(text: Column, folded: Column, held: Column, term: Column, folded_term: Column, held_term: Column, mode: Column, cased: Column) -> Column:
     """Whether a term matches: as a substring (also in unknown modes), whole word or pattern, with or without case.
 
-    A substring without case is compared by full case folding, which folded and folded_term have. An
-    empty term and a pattern that the matcher doesn't take ("invalid" as mode, see prepared) match nothing.
+    A substring without case is compared by full case folding, which folded and folded_term have. A word
+    is looked for by its pattern only where it is held at all. An empty term and a pattern that the matcher doesn't take ("invalid" as mode, see prepared) match nothing.
     """
     flag = F.when(cased, "").otherwise("(?iu)")
-    word = F.rlike(text, F.concat(flag, F.lit(NOT_WORD_BEFORE), X.quoted(term), F.lit(NOT_WORD_AFTER)))
+    word = F.when(cased, F.contains(text, term)).otherwise(F.contains(held, held_term)) & F.rlike(text, F.concat(flag, F.lit(NOT_WORD_BEFORE), X.quoted(term), F.lit(NOT_WORD_AFTER)))
     part = F.when(cased, F.contains(text, term)).otherwise(F.contains(folded, folded_term))
     found = F.when(mode == "word", word).when(mode == "regex", F.rlike(text, F.concat(flag, term))).when(mode == "invalid", False).otherwise(part)
     return F.coalesce((term != "") & found, F.lit(False))
@@ -67,14 +79,14 @@ def prepared(glossary: DataFrame, policy: Policy) -> list[dict]:
         cased = not policy.term_modes or get("case_sensitive").lower() in ("1", "true", "yes", "y")
         out.append({
             "source": source, "target": target, "status": get("status").lower(), "scope": get("scope"), "mode": mode, "cased": cased, "named": get("source"),
-            "folded": source.casefold(), "folded_target": target.casefold(),
+            "folded": source.casefold(), "folded_target": target.casefold(), "held": loosened(source), "held_target": loosened(target),
             "source_locale": get("source_locale").casefold() if policy.filter_locales else "", "target_locale": get("target_locale").casefold() if policy.filter_locales else "",
         })
     locale = (policy.source_locale.casefold(), policy.target_locale.casefold())
     return [t for t in out if t["source_locale"] in ("", locale[0]) and t["target_locale"] in ("", locale[1])]
 
 
-FIELDS = {"source": "string", "target": "string", "status": "string", "scope": "string", "mode": "string", "cased": "boolean", "named": "string", "folded": "string", "folded_target": "string"}
+FIELDS = {"source": "string", "target": "string", "status": "string", "scope": "string", "mode": "string", "cased": "boolean", "named": "string", "folded": "string", "folded_target": "string", "held": "string", "held_target": "string"}
 TERM = f"array<struct<{','.join(f'{n}:{t}' for n, t in FIELDS.items())}>>"
 BLOCK_BYTES = 1 << 20
 
@@ -94,29 +106,31 @@ def term_blocks(terms: list[dict], block: int = 2000) -> list[list[dict]]:
 
 
 def in_source(t: Column) -> Column:
-    return term_matches(F.col("src"), F.col("src_folded"), t["source"], t["folded"], t["mode"], t["cased"])
+    return term_matches(F.col("src"), F.col("src_folded"), F.col("src_held"), t["source"], t["folded"], t["held"], t["mode"], t["cased"])
 
 
 def in_output(t: Column) -> Column:
-    return term_matches(F.col("out"), F.col("out_folded"), t["target"], t["folded_target"], t["mode"], t["cased"])
+    return term_matches(F.col("out"), F.col("out_folded"), F.col("out_held"), t["target"], t["folded_target"], t["held_target"], t["mode"], t["cased"])
 
 
 def term_hits(entries: DataFrame, terms: list[dict], block: int = 2000) -> DataFrame:
     """entries (id, src, out, route, scene_id, speaker) with each applicable term whose source occurs or
-    which is forbidden: as columns term (struct), applicable (terms that can shadow it)."""
+    which is forbidden: as columns term (struct), applicable (the entry's terms that can shadow)."""
     spark = entries.sparkSession
     parts, rivals = [], []
     folds = any(not t["cased"] and t["mode"] not in ("word", "regex", "invalid") for t in terms)  # else no text need be folded
+    holds = any(not t["cased"] and t["mode"] == "word" for t in terms)
     for side in ("src", "out"):
-        entries = entries.withColumn(f"{side}_folded", X.casefolded(side) if folds else F.lit(""))
+        entries = entries.withColumn(f"{side}_folded", X.casefolded(side) if folds else F.lit("")).withColumn(f"{side}_held", loose(side) if holds else F.lit(""))
     for own in term_blocks(terms, block):
         rows = [tuple(t[k] for k in FIELDS) for t in own]
         one = F.broadcast(spark.createDataFrame([(rows,)], f"terms {TERM}"))  # one row, at most `block` terms
         in_scope = lambda t: (t["scope"] == "") | (t["scope"] == "global") | F.coalesce((t["scope"] == F.col("route")) | (t["scope"] == F.col("scene_id")) | (t["scope"] == F.col("speaker")), F.lit(False))
-        close = entries.join(one).withColumn("applicable", F.filter("terms", in_scope)).drop("terms")
+        close = entries.join(one).withColumn("_open", F.filter("terms", in_scope)).drop("terms")
+        close = close.withColumn("applicable", F.filter("_open", can_shadow))  # few, so that hits don't carry the block along
         meets = lambda t: (t["status"] == "forbidden") | in_source(t)
-        parts.append(close.withColumn("term", F.explode(F.filter("applicable", meets))))
-        rivals.append(close.select("id", F.filter("applicable", lambda t: (t["source"] != "") & F.contains(F.col("src"), t["source"])).alias("a")))
+        parts.append(close.withColumn("term", F.explode(F.filter("_open", meets))).drop("_open"))
+        rivals.append(close.select("id", F.col("applicable").alias("a")))
     if len(parts) == 1:
         return parts[0]
     # a longer term may be in another block: those that occur in the entry come together
@@ -125,9 +139,14 @@ def term_hits(entries: DataFrame, terms: list[dict], block: int = 2000) -> DataF
     return hits.drop("applicable").join(occur, "id").select(*hits.columns)
 
 
-def is_shadowed(term: Column, applicable: Column, src: Column, out: Column) -> Column:
-    """Whether a longer term that holds this one stands in the source and its target in the translation."""
-    longer = lambda o: (F.length(o["source"]) > F.length(term["source"])) & F.contains(o["source"], term["source"]) & F.contains(src, o["source"]) & (o["target"] != "") & F.contains(out, o["target"])
+def can_shadow(t: Column) -> Column:
+    """Whether a term stands in the source and its target in the translation, as a shadowing one must."""
+    return (t["source"] != "") & (t["target"] != "") & F.coalesce(F.contains(F.col("src"), t["source"]) & F.contains(F.col("out"), t["target"]), F.lit(False))
+
+
+def is_shadowed(term: Column, applicable: Column) -> Column:
+    """Whether a longer term that holds this one is among those that can shadow in the entry."""
+    longer = lambda o: (F.length(o["source"]) > F.length(term["source"])) & F.contains(o["source"], term["source"])
     return F.exists(applicable, longer)
 
 
@@ -144,7 +163,7 @@ def term_issues(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> DataFr
     hits = term_hits(entries_of(pairs), terms)
     t = F.col("term")
     there = in_output(t)
-    due = in_source(t) & (t["target"] != "") & ~is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out"))
+    due = in_source(t) & (t["target"] != "") & ~is_shadowed(t, F.col("applicable"))
     code = F.when((t["status"] == "forbidden") & there, "forbidden-term").when((t["status"] == "locked") & due & ~there, "locked-term").when((t["status"] == "preferred") & due & ~there, "preferred-term")
     return hits.select("id", code.alias("code"), t["named"].alias("source"), t["target"].alias("target")).filter("code is not null")
 
@@ -153,4 +172,4 @@ def shadowed_hits(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> Data
     """id, source, shadowed: each term found in a source text."""
     t = F.col("term")
     hits = term_hits(entries_of(pairs), prepared(glossary, policy)).filter(in_source(t))
-    return hits.select("id", t["named"].alias("source"), is_shadowed(t, F.col("applicable"), F.col("src"), F.col("out")).alias("shadowed"))
+    return hits.select("id", t["named"].alias("source"), is_shadowed(t, F.col("applicable")).alias("shadowed"))

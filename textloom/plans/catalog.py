@@ -8,24 +8,12 @@ from textloom.functions import digests as D
 from textloom.functions import text as X
 from textloom.operators import codepoints, context, glossary, planning, review, stages, validate
 from textloom.operators.ordered import with_group_numbers
+from textloom.plans import files, gates  # noqa: F401  register their queries
 from textloom.plans import fixtures as fx
+from textloom.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from textloom.sources import readers
 from textloom.streaming import status
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def drafted(spark, sf_dir):
     return fx.units(spark, sf_dir), fx.draft(spark, sf_dir)
 
@@ -122,13 +110,6 @@ def visible_without_tokens(spark, sf_dir):
     return s.select("id", F.length(X.without_all(F.col("text"), F.col("protected_tokens"))).cast("long").alias("visible"))
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS id, array_to_string(regexp_extract_all(text, '[À-ÿ]')[1:12], '') AS sample FROM documents WHERE regexp_matches(text, '[À-ÿ]')")
-def residual_script(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
-    found = F.regexp_extract_all("text", F.lit("[À-ÿ]"), F.lit(0))
-    return d.filter(F.col("text").rlike("[À-ÿ]")).select(F.col("doc_id").cast("string").alias("id"), F.array_join(F.slice(found, 1, 12), "").alias("sample"))
-
-
 @query("SELECT text AS src, count(DISTINCT source) AS n FROM documents WHERE text <> '' GROUP BY text HAVING count(DISTINCT source) > 1")
 def repeat_inconsistency(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").select(F.struct("text").alias("s"), F.struct(F.col("source").alias("translation")).alias("t"))
@@ -269,7 +250,7 @@ DIGEST = "'sha256:' || sha256(string_agg(id || chr(0) || source_hash || chr(10),
 
 
 @query(f"WITH {fx.UNITS} SELECT scene_id, {DIGEST} AS digest FROM u GROUP BY scene_id")
-def record_digest(spark, sf_dir):
+def scene_digest(spark, sf_dir):
     return D.source_digest(fx.units(spark, sf_dir), ["scene_id"])
 
 
