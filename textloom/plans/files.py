@@ -120,18 +120,22 @@ def by_language(spark, sf_dir):
     return path
 
 
-OF_LANGUAGE = F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang")
+def of_language():
+    """The language in a file's path; made when asked for, as columns need a session."""
+    return F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang")
+
+
 FILES = "f AS (SELECT lang, string_agg(doc_id || chr(10), '' ORDER BY doc_id) AS t FROM documents GROUP BY lang)"
 
 
 @query(f"WITH {FILES} SELECT lang, t AS text FROM f")
 def text_files(spark, sf_dir):
-    return readers.whole_text(spark, by_language(spark, sf_dir)).select(OF_LANGUAGE, "text")
+    return readers.whole_text(spark, by_language(spark, sf_dir)).select(of_language(), "text")
 
 
 @query(f"WITH {FILES} SELECT lang, CAST(length(t) AS BIGINT) AS size, sha256(t) AS sha256 FROM f")
 def file_manifest(spark, sf_dir):
-    return readers.manifest(spark, by_language(spark, sf_dir)).filter(F.col("path").contains("part-")).select(OF_LANGUAGE, "size", "sha256")
+    return readers.manifest(spark, by_language(spark, sf_dir)).filter(F.col("path").contains("part-")).select(of_language(), "size", "sha256")
 
 
 @query("""SELECT CAST(doc_id AS VARCHAR) AS id, '$#' || doc_id || '.items[0]#' || doc_id || '.t' AS location, source AS text, lang AS tokens FROM documents
