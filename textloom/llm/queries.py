@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, neardup, neighbours, pii, quality, repeats, tokencount
+from . import bpe, chat, clustering, decontaminate, neardup, neighbours, pii, quality, rangejoin, repeats, tokencount
 from .sharding import op9_sharding
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_sharding": op9_sharding,
     "op10_repeats": repeats.op10_repeats,
+    "op11_near_vectors": rangejoin.op11_near_vectors,
+    "op12_clustering": clustering.op12_clustering,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -23,4 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_nearest_neighbours": neighbours.ORACLE_OP5,
     "op7_chat_formatting": chat.oracle_sql(),
     "op10_repeats": repeats.ORACLE_OP10,
+    "op11_near_vectors": rangejoin.ORACLE_OP11,
+    "op12_clustering": clustering.ORACLE_OP12,
 }
