@@ -108,9 +108,10 @@ def word(c: Column) -> Column:
     return F.when(c == "", 8).otherwise(F.pmod(F.xxhash64(F.lower(c)), F.lit(8))).cast("int")
 
 
-def candidate(no: int, kind: str, length: Column, x: Column) -> Column:
-    """A candidate from its match m, the texts around it (p up to the match before, a to the next one), and its place s."""
-    m = x["m"]
+def candidate(no: int, kind: str, x: Column) -> Column:
+    """A candidate from its match m, the texts around it (p up to the match before, a to the next one), its
+    place s, and the text's length n, which each match brings along, as counting it costs the whole text."""
+    m, length = x["m"], x["n"]
     good = strict(kind, m)
     if kind == "phone":  # a match that runs on into other numbers is weighed by what may be a number's digits
         m = F.when(good, m).otherwise(F.coalesce(F.nullif(F.regexp_extract(m, PHONE_HEAD, 0), F.lit("")), m))
@@ -163,8 +164,8 @@ def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     parts = []
     for no, kind in enumerate(KINDS):
         n, p = F.size(f"_m_{kind}"), F.col(f"_p_{kind}")
-        zipped = F.arrays_zip(F.col(f"_m_{kind}").alias("m"), F.slice(p, 1, n).alias("p"), F.slice(p, 2, n).alias("a"), F.col(f"_s_{kind}").alias("s"))
-        parts.append(F.transform(zipped, partial(candidate, no, kind, F.length(text))))
+        zipped = F.arrays_zip(F.col(f"_m_{kind}").alias("m"), F.slice(p, 1, n).alias("p"), F.slice(p, 2, n).alias("a"), F.col(f"_s_{kind}").alias("s"), F.array_repeat(F.length(text), n).alias("n"))
+        parts.append(F.transform(zipped, partial(candidate, no, kind)))
     return found.withColumn(out, F.array_sort(F.concat(*parts))).select(*have, out)
 
 
