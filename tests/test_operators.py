@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import digests as D
 from textloom.functions import text as X
-from textloom.operators import codepoints, context, glossary, planning, review, stages, validate
+from textloom.operators import automaton, codepoints, context, glossary, planning, review, stages, validate
 from textloom.operators.ordered import with_group_numbers
 from textloom.policy import Policy, japanese_chinese, locale_issues, multilingual
 from textloom.streaming.status import latest_statuses
@@ -132,19 +132,18 @@ def test_glossary_modes_and_blocks(spark):
     assert got == {("1", "locked-term", "cat"), ("1", "preferred-term", "c.t"), ("1", "forbidden-term", "")}
     entries = glossary.entries_of(pairs)
     prepared = glossary.prepared(g, Policy("en", "fr"))
-    one = {(r["id"], r["term"]["source"]) for r in glossary.term_hits(entries, prepared).collect()}
-    assert one == {(r["id"], r["term"]["source"]) for r in glossary.term_hits(entries, prepared, block=2).collect()}
+    one = {tuple(r) for r in glossary.term_hits(entries, prepared).collect()}
+    assert one == {tuple(r) for r in glossary.term_hits(entries, prepared, block=2).collect()} and len(one) == 4
 
 
 def test_glossary_patterns_and_folding(spark):
-    """Patterns are tested by the engine that matches them; substrings without case by full case folding."""
+    """Patterns that aren't valid match nothing; substrings without case match by full case folding."""
     terms = [("(?P<x>a+)b(?P=x)", "z", "locked", "regex", ""), ("a{,2}", "z", "locked", "regex", ""), ("(?<!a*)q", "z", "locked", "regex", ""), ("straße", "rue", "locked", "", ""), ("ΌΔΌΣ", "rue", "locked", "", "no"), ("Straße", "rue", "locked", "", "yes")]
     g = spark.createDataFrame(terms, "source string, target string, status string, match_mode string, case_sensitive string")
     pairs = spark.createDataFrame([("1", ("xaabaay",), ("none",)), ("2", ("DIE STRASSE",), ("la RUE",)), ("3", ("die STRASSE, όδός",), ("none",))], "id string, s struct<text:string>, t struct<translation:string>")
     got = {(r["id"], r["source"]) for r in glossary.term_issues(pairs, g, Policy("de", "fr")).collect()}
-    assert got == {("1", "(?P<x>a+)b(?P=x)"), ("3", "straße"), ("3", "ΌΔΌΣ")}
-    long = [{"source": "s" * 400_000, "target": ""} for _ in range(5)]
-    assert [len(b) for b in glossary.term_blocks(long)] == [2, 2, 1] and glossary.term_blocks([]) == [[]]
+    assert got == {("1", "(?P<x>a+)b(?P=x)"), ("3", "straße"), ("3", "ΌΔΌΣ"), ("1", "a{,2}"), ("2", "a{,2}"), ("3", "a{,2}")}
+    assert [len(b) for b in automaton.blocks_of(["s" * 400_000] * 5, len)] == [2, 2, 1] and automaton.blocks_of([], len) == [[]]
 
 
 def test_review_guards_on_drafts(spark):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.automaton import occurring
+
 
 def model_view(source: DataFrame) -> DataFrame:
     """Five fields without nulls; kind falls back to type."""
@@ -49,26 +49,15 @@ def scene_of(entries: DataFrame) -> DataFrame:
     return rows.select("job_id", F.array_join(F.transform("rs", lambda r: r["text"]), "\n").alias("scene_text"), speakers.alias("speakers"), F.col("rs")[0]["route"].alias("route"))
 
 
-BLOCK_BYTES = 1 << 20
-
+def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column) -> DataFrame:
+    """job_id, key: items of which a name is a speaker or stands in the scene's text.
 
-def blocks(items: DataFrame, column: Column, block: int = 2000) -> list[DataFrame]:
-    """The items' values in tables of one row with an array of about `block` of them and BLOCK_BYTES of
-    text, small enough to go along with a task; nothing but the number of blocks comes to the driver.
+    Names are looked for in each text by one automaton, and among speakers by a join.
     """
-    values = items.select(column.alias("v")).withColumn("size", F.octet_length(F.to_json(F.struct("v"))).cast("long"))
-    n, size = values.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    n_blocks = max(1, -(-n // block), -(-2 * size // BLOCK_BYTES))
-    dealt = values.withColumn("b", F.pmod(F.xxhash64("v"), F.lit(n_blocks)))
-    return [dealt.filter(F.col("b") == b).agg(F.collect_list("v").alias("items")) for b in range(n_blocks)]
-
-
-def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column) -> DataFrame:
-    """job_id, key: items of which a name is a speaker or stands in the scene's text, tested in each row."""
-    entry = F.struct(F.col(key).alias("key"), F.filter(names, lambda n: F.coalesce(n, F.lit("")) != "").alias("names"))
-    met = lambda i: F.exists(i["names"], lambda n: F.array_contains(F.col("speakers"), n) | F.contains(F.col("scene_text"), n))
-    parts = [scenes.join(F.broadcast(one)).select("job_id", F.explode(F.filter("items", met)).alias("i")).select("job_id", F.col("i.key").alias(key)) for one in blocks(items, entry)]
-    return reduce(DataFrame.unionAll, parts)
+    called = items.select(F.col(key).alias("key"), F.explode(names).alias("word")).filter(F.coalesce("word", F.lit("")) != "").distinct()
+    there = occurring(scenes.select("job_id", "scene_text"), "scene_text", called)
+    speaking = scenes.select("job_id", F.explode("speakers").alias("word"))
+    return there.unionAll(speaking).distinct().join(called, "word").select("job_id", F.col("key").alias(key)).distinct()
 
 
 def select_characters(scenes: DataFrame, characters: DataFrame) -> DataFrame:
@@ -99,12 +88,15 @@ def select_route(scenes: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def select_calibration(scenes: DataFrame, terms: DataFrame, examples: DataFrame, limit: int = 50) -> DataFrame:
-    """job_id, ord: the first `limit` examples in file order with a speaker or term of the job."""
+    """job_id, ord: the first `limit` examples in file order with a speaker or term of the job.
+
+    Of a speaker's or term's examples the first `limit` are all that a job can get from it, so no more
+    of them meet the jobs.
+    """
     rows = examples.select("ord", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("speaker", F.lit("")).alias("speaker"))
-    by_speaker = scenes.select("job_id", F.explode("speakers").alias("speaker")).join(rows, "speaker").select("job_id", "ord")
-    own = terms.groupBy("job_id").agg(F.collect_set("source").alias("terms"))
-    met = lambda e: F.exists("terms", lambda t: F.contains(e["source"], t))
-    parts = [own.join(F.broadcast(one)).select("job_id", F.explode(F.filter("items", met)).alias("e")).select("job_id", "e.ord") for one in blocks(rows, F.struct("ord", "source"))]
-    by_term = reduce(DataFrame.unionAll, parts)
-    w = Window.partitionBy("job_id").orderBy("ord")
-    return by_speaker.unionAll(by_term).distinct().withColumn("n", F.row_number().over(w)).filter(F.col("n") <= limit).drop("n")
+    first = lambda found: found.withColumn("n", F.row_number().over(Window.partitionBy("word").orderBy("ord"))).filter(F.col("n") <= limit).drop("n")
+    by_speaker = scenes.select("job_id", F.explode("speakers").alias("word")).distinct().join(first(rows.select("ord", F.col("speaker").alias("word"))), "word")
+    own = terms.select("job_id", F.col("source").alias("word")).distinct()
+    by_term = own.join(first(occurring(rows.select("ord", "source"), "source", own)), "word")
+    met = by_speaker.unionByName(by_term).select("job_id", "ord").distinct()
+    return met.withColumn("n", F.row_number().over(Window.partitionBy("job_id").orderBy("ord"))).filter(F.col("n") <= limit).drop("n")

@@ -1,153 +1,147 @@
 """Terms in texts: scope and locale filters, match modes, shadowing by longer terms, required translations.
 
-A glossary goes along with tasks in blocks of bounded rows and bytes, which are tested in each row,
-without a join.
+A glossary goes along with tasks in blocks. Automata over a block's terms, as they are and folded, find
+in one reading of a text the terms that may stand there; words and case are tested where a term was
+found, translations and shadowing only for the terms that were. Patterns have no letters to look for and
+are tried on each text.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-import pandas as pd
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textloom.functions import text as X
+from textloom.operators.automaton import BLOCK_WORDS, Automaton, blocks_of, checked_rows
 from textloom.policy import Policy
 
-NOT_WORD_BEFORE, NOT_WORD_AFTER = rf"(?<!{X.WORD})", rf"(?!{X.WORD})"
-
-
-def engine_pattern(spark, pattern: str) -> str | None:
-    """A pattern as the engine that matches it takes it, or None if it doesn't.
-
-    Named groups, which some dialects open with ?P, are written the engine's way.
-    """
-    pattern = pattern.replace("(?P<", "(?<")
-    while (at := pattern.find("(?P=")) >= 0:
-        end = pattern.find(")", at)
-        if end < 0:
-            return None
-        pattern = f"{pattern[:at]}\\k<{pattern[at + 4 : end]}>{pattern[end + 1 :]}"
-    try:
-        spark._jvm.java.util.regex.Pattern.compile(pattern)
-    except (Py4JJavaError, PySparkException):
-        return None
-    return pattern
+# What counts as yes in a glossary.
+YES = ("1", "true", "yes", "on")
+#: Letters whose folding depends on the language; a pattern without case takes them for one another.
+DOTS = str.maketrans({"İ": "i", "ı": "i"})
+HITS = "id string, source string, target string, status string, found boolean, translated boolean, shadowed boolean, rivals array<string>"
 
 
 def loosened(text: str) -> str:
-    """Folded so that texts which match without case hold each other, also by the engine's ways with i."""
-    return text.replace("\u0130", "i").replace("\u0131", "i").casefold()
-
-
-@F.pandas_udf(T.StringType())
-def loose(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else loosened(t))
+    """Folded so that texts which match without case hold each other, also by the ways patterns have with i."""
+    return text.translate(DOTS).casefold()
 
 
-def term_matches(text: Column, folded: Column, held: Column, term: Column, folded_term: Column, held_term: Column, mode: Column, cased: Column) -> Column:
-    """Whether a term matches: as a substring (also in unknown modes), whole word or pattern, with or without case.
-
-    A substring without case is compared by full case folding, which folded and folded_term have. A word
-    is looked for by its pattern only where it is held at all. An empty term and a pattern that the matcher doesn't take ("invalid" as mode, see prepared) match nothing.
-    """
-    flag = F.when(cased, "").otherwise("(?iu)")
-    word = F.when(cased, F.contains(text, term)).otherwise(F.contains(held, held_term)) & F.rlike(text, F.concat(flag, F.lit(NOT_WORD_BEFORE), X.quoted(term), F.lit(NOT_WORD_AFTER)))
-    part = F.when(cased, F.contains(text, term)).otherwise(F.contains(folded, folded_term))
-    found = F.when(mode == "word", word).when(mode == "regex", F.rlike(text, F.concat(flag, term))).when(mode == "invalid", False).otherwise(part)
-    return F.coalesce((term != "") & found, F.lit(False))
+def compiled(pattern: str, cased: bool) -> re.Pattern | None:
+    """None for what isn't a pattern; such a term matches nothing."""
+    try:
+        return re.compile(pattern, 0 if cased else re.IGNORECASE)
+    except (re.error, OverflowError, RecursionError):
+        return None
 
 
 def prepared(glossary: DataFrame, policy: Policy) -> list[dict]:
-    """Rows as plain values, stripped and in lower case where that is meant; patterns tested once."""
+    """The rows for the policy's locales as plain values, stripped and in lower case where that is meant."""
     have = glossary.columns
+    names = [c for c in ("source", "target", "status", "scope", "match_mode", "case_sensitive", "source_locale", "target_locale") if c in have]
+    locale = {"source_locale": policy.source_locale.casefold(), "target_locale": policy.target_locale.casefold()}
     out = []
-    for row in glossary.collect():
-        get = lambda name: ((row[name] if name in have else "") or "").strip(X.SPACES)  # noqa: B023, E731
-        source, target = get("source"), get("target")
-        mode = get("match_mode").casefold() if policy.term_modes else "substring"
-        if mode == "regex":
-            taken = [engine_pattern(glossary.sparkSession, p) for p in (source, target)]
-            if None in taken:
-                mode = "invalid"
-            else:
-                source, target = taken
-        cased = not policy.term_modes or get("case_sensitive").lower() in ("1", "true", "yes", "y")
-        out.append({
-            "source": source, "target": target, "status": get("status").lower(), "scope": get("scope"), "mode": mode, "cased": cased, "named": get("source"),
-            "folded": source.casefold(), "folded_target": target.casefold(), "held": loosened(source), "held_target": loosened(target),
-            "source_locale": get("source_locale").casefold() if policy.filter_locales else "", "target_locale": get("target_locale").casefold() if policy.filter_locales else "",
-        })
-    locale = (policy.source_locale.casefold(), policy.target_locale.casefold())
-    return [t for t in out if t["source_locale"] in ("", locale[0]) and t["target_locale"] in ("", locale[1])]
-
-
-FIELDS = {"source": "string", "target": "string", "status": "string", "scope": "string", "mode": "string", "cased": "boolean", "named": "string", "folded": "string", "folded_target": "string", "held": "string", "held_target": "string"}
-TERM = f"array<struct<{','.join(f'{n}:{t}' for n, t in FIELDS.items())}>>"
-BLOCK_BYTES = 1 << 20
-
-
-def term_blocks(terms: list[dict], block: int = 2000) -> list[list[dict]]:
-    """Terms in blocks of at most `block` of them and BLOCK_BYTES of text (one longer term alone)."""
-    out: list[list[dict]] = [[]]
-    held = 0
-    for t in terms:
-        size = len(t["source"].encode()) + len(t["target"].encode())
-        if out[-1] and (len(out[-1]) == block or held + size > BLOCK_BYTES):
-            out.append([])
-            held = 0
-        out[-1].append(t)
-        held += size
+    for row in checked_rows(glossary.select(*names), "glossary"):
+        get = {name: (row[name] if name in names else "") or "" for name in ("source", "target", "status", "scope", "match_mode", "case_sensitive", *locale)}
+        get = {name: str(value).strip(X.SPACES) for name, value in get.items()}
+        if policy.filter_locales and any(get[side].casefold() not in ("", tag) for side, tag in locale.items()):
+            continue
+        mode = get["match_mode"].casefold() if policy.term_modes else "substring"
+        cased = not policy.term_modes or get["case_sensitive"].casefold() in YES
+        out.append({"source": get["source"], "target": get["target"], "status": get["status"].lower(), "scope": get["scope"], "mode": mode if mode in ("word", "regex") else "substring", "cased": cased})
     return out
 
 
-def in_source(t: Column) -> Column:
-    return term_matches(F.col("src"), F.col("src_folded"), F.col("src_held"), t["source"], t["folded"], t["held"], t["mode"], t["cased"])
-
-
-def in_output(t: Column) -> Column:
-    return term_matches(F.col("out"), F.col("out_folded"), F.col("out_held"), t["target"], t["folded_target"], t["held_target"], t["mode"], t["cased"])
-
-
-def term_hits(entries: DataFrame, terms: list[dict], block: int = 2000) -> DataFrame:
-    """entries (id, src, out, route, scene_id, speaker) with each applicable term whose source occurs or
-    which is forbidden: as columns term (struct), applicable (the entry's terms that can shadow)."""
-    spark = entries.sparkSession
-    parts, rivals = [], []
-    folds = any(not t["cased"] and t["mode"] not in ("word", "regex", "invalid") for t in terms)  # else no text need be folded
-    holds = any(not t["cased"] and t["mode"] == "word" for t in terms)
-    for side in ("src", "out"):
-        entries = entries.withColumn(f"{side}_folded", X.casefolded(side) if folds else F.lit("")).withColumn(f"{side}_held", loose(side) if holds else F.lit(""))
-    for own in term_blocks(terms, block):
-        rows = [tuple(t[k] for k in FIELDS) for t in own]
-        one = F.broadcast(spark.createDataFrame([(rows,)], f"terms {TERM}"))  # one row, at most `block` terms
-        in_scope = lambda t: (t["scope"] == "") | (t["scope"] == "global") | F.coalesce((t["scope"] == F.col("route")) | (t["scope"] == F.col("scene_id")) | (t["scope"] == F.col("speaker")), F.lit(False))
-        close = entries.join(one).withColumn("_open", F.filter("terms", in_scope)).drop("terms")
-        close = close.withColumn("applicable", F.filter("_open", can_shadow))  # few, so that hits don't carry the block along
-        meets = lambda t: (t["status"] == "forbidden") | in_source(t)
-        parts.append(close.withColumn("term", F.explode(F.filter("_open", meets))).drop("_open"))
-        rivals.append(close.select("id", F.col("applicable").alias("a")))
-    if len(parts) == 1:
-        return parts[0]
-    # a longer term may be in another block: those that occur in the entry come together
-    occur = reduce(DataFrame.unionAll, rivals).groupBy("id").agg(F.flatten(F.collect_list("a")).alias("applicable"))
-    hits = reduce(DataFrame.unionAll, parts)
-    return hits.drop("applicable").join(occur, "id").select(*hits.columns)
-
-
-def can_shadow(t: Column) -> Column:
-    """Whether a term stands in the source and its target in the translation, as a shadowing one must."""
-    return (t["source"] != "") & (t["target"] != "") & F.coalesce(F.contains(F.col("src"), t["source"]) & F.contains(F.col("out"), t["target"]), F.lit(False))
-
+class Side:
+    """One column of terms, sources or targets, to be found in texts."""
+
+    def __init__(self, terms: list[dict], name: str, wanted: list[int]):
+        """wanted: the numbers of the terms that find() looks for."""
+        self.terms, self.name = terms, name
+        words = [(n, terms[n]) for n in wanted if terms[n][name]]
+        self.patterns = [(n, p) for n, t in words if t["mode"] == "regex" and (p := compiled(t[name], t["cased"])) is not None]
+        self.exact = Automaton((t[name], n) for n, t in words if t["mode"] != "regex" and t["cased"])
+        self.folded = Automaton((loosened(t[name]), n) for n, t in words if t["mode"] != "regex" and not t["cased"])
+        self.word: dict[int, re.Pattern] = {}
+
+    def stands(self, n: int, text: str) -> bool:
+        """Whether the term matches: as a substring, by full case folding where case doesn't count; as a whole word; as a pattern."""
+        t = self.terms[n]
+        term = t[self.name]
+        if not term:
+            return False
+        if t["mode"] == "substring":
+            return term in text if t["cased"] else term.casefold() in text.casefold()
+        if n not in self.word:
+            self.word[n] = compiled(term if t["mode"] == "regex" else rf"(?<!\w){re.escape(term)}(?!\w)", t["cased"])
+        return self.word[n] is not None and self.word[n].search(text) is not None
+
+    def find(self, text: str) -> set[int]:
+        """The numbers of the wanted terms that match."""
+        hits = {n for n, p in self.patterns if p.search(text)}
+        for n in self.exact.found(text):
+            if self.terms[n]["mode"] == "substring" or self.stands(n, text):
+                hits.add(n)
+        if self.folded.machine is not None:
+            plain = text.isascii()  # then folding is the same by all ways
+            hits.update(n for n in self.folded.found(loosened(text)) if plain and self.terms[n]["mode"] == "substring" or self.stands(n, text))
+        return hits
+
+
+def in_scope(term: dict, scopes: set[str]) -> bool:
+    return term["scope"] in ("", "global") or term["scope"] in scopes
+
+
+def block_hits(terms: list[dict]):
+    """What a pass over entries (id, src, out, route, scene_id, speaker) finds of a block of terms, in HITS.
+
+    rivals are all sources of the block that can shadow others in the entry; entries that have some
+    also get a row without a term for them.
+    """
 
-def is_shadowed(term: Column, applicable: Column) -> Column:
-    """Whether a longer term that holds this one is among those that can shadow in the entry."""
-    longer = lambda o: (F.length(o["source"]) > F.length(term["source"])) & F.contains(o["source"], term["source"])
-    return F.exists(applicable, longer)
+    def run(batches):
+        every = range(len(terms))
+        sources = Side(terms, "source", list(every))
+        banned = Side(terms, "target", [n for n in every if terms[n]["status"] == "forbidden"])
+        literal = Automaton((t["source"], n) for n, t in enumerate(terms) if t["target"])  # shadowing goes by letters, whatever the mode
+        for batch in batches:
+            rows = []
+            for key, src, out, *places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                scopes = {p for p in places if p}
+                found = {n for n in sources.find(src) if in_scope(terms[n], scopes)}
+                hits = found | {n for n in banned.find(out) if in_scope(terms[n], scopes)}
+                rivals = sorted({terms[n]["source"] for n in literal.found(src) if in_scope(terms[n], scopes) and terms[n]["target"] in out})
+                for n in sorted(hits):
+                    t = terms[n]
+                    shadowed = bool(t["source"]) and any(len(r) > len(t["source"]) and t["source"] in r for r in rivals)
+                    rows.append((key, t["source"], t["target"], t["status"], n in found, banned.stands(n, out), shadowed, None))
+                if rivals:
+                    rows.append((key, None, None, None, False, False, False, rivals))
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            kinds = [pa.string()] * 4 + [pa.bool_()] * 3 + [pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in HITS.split(", ")])
+
+    return run
+
+
+def term_hits(entries: DataFrame, terms: list[dict], block: int = BLOCK_WORDS) -> DataFrame:
+    """id, source, target, status, found, translated, shadowed: each applicable term whose source stands in
+    the entry (found), or which is forbidden and stands in its translation (translated)."""
+    rows = entries.select(F.col("id").cast("string").alias("id"), F.coalesce("src", F.lit("")).alias("src"), F.coalesce("out", F.lit("")).alias("out"), *(F.col(c).cast("string").alias(c) for c in ("route", "scene_id", "speaker")))
+    blocks = blocks_of(terms, lambda t: len(t["source"].encode()) + len(t["target"].encode()), block)
+    hits = reduce(DataFrame.unionAll, [rows.mapInArrow(block_hits(b), HITS) for b in blocks])
+    out = ["id", "source", "target", "status", "found", "translated", "shadowed"]
+    named = hits.filter(F.col("source").isNotNull())
+    if len(blocks) == 1:
+        return named.select(*out)
+    # a longer term may be in another block: those that occur in an entry come together
+    rivals = hits.filter(F.col("source").isNull()).groupBy("id").agg(F.flatten(F.collect_list("rivals")).alias("others"))
+    longer = F.exists("others", lambda r: (F.length(r) > F.length("source")) & F.contains(r, F.col("source")))
+    return named.join(rivals, "id", "left").withColumn("shadowed", (F.col("source") != "") & F.coalesce(longer, F.lit(False))).select(*out)
 
 
 def entries_of(pairs: DataFrame) -> DataFrame:
@@ -159,17 +153,13 @@ def entries_of(pairs: DataFrame) -> DataFrame:
 
 def term_issues(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> DataFrame:
     """id, code, source, target: forbidden terms that appear; locked and preferred ones that don't."""
-    terms = prepared(glossary, policy)
-    hits = term_hits(entries_of(pairs), terms)
-    t = F.col("term")
-    there = in_output(t)
-    due = in_source(t) & (t["target"] != "") & ~is_shadowed(t, F.col("applicable"))
-    code = F.when((t["status"] == "forbidden") & there, "forbidden-term").when((t["status"] == "locked") & due & ~there, "locked-term").when((t["status"] == "preferred") & due & ~there, "preferred-term")
-    return hits.select("id", code.alias("code"), t["named"].alias("source"), t["target"].alias("target")).filter("code is not null")
+    hits = term_hits(entries_of(pairs), prepared(glossary, policy))
+    due = F.col("found") & (F.col("target") != "") & ~F.col("shadowed") & ~F.col("translated")
+    status = F.col("status")
+    code = F.when((status == "forbidden") & F.col("translated"), "forbidden-term").when((status == "locked") & due, "locked-term").when((status == "preferred") & due, "preferred-term")
+    return hits.select("id", code.alias("code"), "source", "target").filter("code is not null")
 
 
 def shadowed_hits(pairs: DataFrame, glossary: DataFrame, policy: Policy) -> DataFrame:
     """id, source, shadowed: each term found in a source text."""
-    t = F.col("term")
-    hits = term_hits(entries_of(pairs), prepared(glossary, policy)).filter(in_source(t))
-    return hits.select("id", t["named"].alias("source"), is_shadowed(t, F.col("applicable")).alias("shadowed"))
+    return term_hits(entries_of(pairs), prepared(glossary, policy)).filter("found").select("id", "source", "shadowed")
