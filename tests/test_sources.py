@@ -28,6 +28,37 @@ def test_jsonl_policies(spark, tmp_path):
     assert readers.jsonl(spark, str(wide), SCHEMA).first()["text"] == "ü"
 
 
+GOOD = {"id": "a", "text": "x", "source_hash": "sha256:" + "0a" * 32}
+
+
+@pytest.mark.parametrize(("second", "problem"), [
+    ("not json", "invalid JSON"), (json.dumps(GOOD) + " trailing", "invalid JSON"), (json.dumps(GOOD) + json.dumps(GOOD), "invalid JSON"), (json.dumps(GOOD) + "] x", "invalid JSON"), (json.dumps(GOOD) + ',"m"] x', "invalid JSON"), (json.dumps(GOOD) + ",", "invalid JSON"),
+    ("7", "not an object"), ("[]", "not an object"), ('"s"', "not an object"), ("null", "not an object"), ("{}", "no string id"), (json.dumps(GOOD | {"id": 5}), "no string id"), (json.dumps(GOOD | {"id": ["q"]}), "no string id"), (json.dumps(GOOD | {"id": ""}), "no string id"),
+    (json.dumps(GOOD | {"id": None}), "no string id"), (json.dumps(GOOD), "duplicate id"), (json.dumps(GOOD | {"text": 7}), "duplicate id"), (json.dumps(GOOD | {"id": "b", "text": 7}), "no string text"), (json.dumps(GOOD | {"id": "b", "text": None}), "no string text"),
+    (json.dumps({"id": "b", "source_hash": GOOD["source_hash"]}), "no string text"), (json.dumps(GOOD | {"id": "b", "source_hash": "nope"}), "source_hash is no digest"), (json.dumps({"id": "b", "text": ""}), "source_hash is no digest"),
+    (json.dumps(GOOD | {"id": "b", "source_hash": GOOD["source_hash"] + "\n"}), "source_hash is no digest"), (json.dumps(GOOD | {"id": "b", "source_hash": 5}), "source_hash is no digest"), (" " + json.dumps(GOOD | {"id": "b", "text": ""}) + " \t", None), ("\u3000", None),
+])
+def test_strict_lines(spark, tmp_path, second, problem):
+    (tmp_path / "x.jsonl").write_text(json.dumps(GOOD) + "\n\n" + second + "\n", encoding="utf-8")
+    read = lambda: readers.jsonl_strict(spark, str(tmp_path / "x.jsonl"), "id string, text string, source_hash string", hashed=True)
+    if problem is None:
+        assert read().columns == ["path", "line", "ord", "raw", "id", "text", "source_hash"]
+    else:
+        with pytest.raises(readers.SourceError, match=f":3: {problem}"):
+            read()
+
+
+def test_fields_by_type(spark, tmp_path):
+    """A value of another type is never cast in silence."""
+    rows = [{"s": "a", "n": 5, "d": 1.5, "t": ["x", 1, None], "b": [0]}, {"s": 5, "n": "5", "d": "1", "t": "x", "b": 0}, {"s": None, "n": True, "d": 2, "t": None, "b": ""}, {}, {"s": [], "n": 1.0, "d": False, "t": [], "b": 0.0, "route": 0}, {"b": -1, "route": "", "n": 10**30, "t": [[]]}]
+    (tmp_path / "x.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    got = readers.jsonl(spark, str(tmp_path / "x.jsonl"), "s string, n long, d double, t array<string>, b boolean, route string").orderBy("ord").collect()
+    assert [(r["s"], r["n"], r["d"], r["t"], r["b"], r["route"]) for r in got] == [
+        ("a", 5, 1.5, ["x", None, None], True, None), (None, None, None, [None], False, None), (None, 1, 2.0, None, False, None), (None, None, None, None, False, None), (None, None, None, [], False, ""), (None, None, None, [None], True, ""),
+    ]
+    assert [r["_kinds"]["s"] for r in got] == ["string", "integer", "null", "missing", "array", "missing"] and [r["_kinds"]["n"] for r in got] == ["integer", "string", "boolean", "missing", "number", "number"]
+
+
 def test_documents_and_tables(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"a": 1}')
     assert readers.json_document(spark, str(tmp_path / "d.json")) == {"a": 1} and readers.json_document(spark, str(tmp_path / "no.json"), default=[]) == []

@@ -16,6 +16,7 @@ from textloom.functions.digests import is_digest
 from textloom.operators.glossary import term_issues
 from textloom.operators.ordered import last_value_first_place
 from textloom.policy import Policy
+from textloom.sources.typed import kind, parsed
 
 # Issue codes and severities.
 ERRORS = [
@@ -106,7 +107,7 @@ def row_issues(pairs: DataFrame, policy: Policy) -> DataFrame:
         ("source-unchanged", (out == src) & (src != "") & X.is_semantic(F.col("src_seen")), F.lit("translation equals source")),
         ("length-ratio", (F.col("src_seen") != "") & ((ratio < low) | (ratio > high)), F.format_string("ratio %.2f", ratio)),
         ("confidence", ~F.coalesce(F.col("confidence").isin(CONFIDENCE), F.lit(False)), F.lit("confidence should be high, medium or low")),
-        *((f"{f}-schema", F.col(f"{f}_raw").isNotNull() & ~F.col(f"{f}_raw").rlike(r"(?s)^\s*\[.*\]\s*$"), F.lit("must be an array")) for f in ("issues", "term_proposals")),
+        *((f"{f}-schema", F.col(f"{f}_raw").isNotNull() & (kind(parsed(F.col(f"{f}_raw"))) != "array"), F.lit("must be an array")) for f in ("issues", "term_proposals")),
     ]
     if policy.check_nfc:
         checks.append(("unicode-normalization", ~F.col("nfc"), F.lit("not in normal form C")))

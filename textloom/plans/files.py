@@ -55,6 +55,45 @@ def jsonl_canonical_parts(spark, sf_dir):
 BROKEN = "CASE doc_id % 7 WHEN 0 THEN 'not json' WHEN 1 THEN '[1, 2]' WHEN 2 THEN '' ELSE '{\"id\": \"' || id || '\"}' END"
 
 
+#: Lines of records by doc_id % 18, with the id, its digest and the id before put in; and what is wrong with each.
+RECORDS = {
+    0: ('{"id": "@I", "text": "", "source_hash": "sha256:@D"}', None), 1: ('{"id": "@I", "text": "x", "source_hash": "sha256:@D"} trailing', "invalid JSON"), 2: ('{"id": "@I", "text": "x"', "invalid JSON"),
+    3: ('["@I", "x"]', "not an object"), 4: ("null", "not an object"), 5: ('{"id": @I, "text": "x", "source_hash": "sha256:@D"}', "no string id"), 6: ('{"id": ["@I"], "text": "x", "source_hash": "sha256:@D"}', "no string id"),
+    7: ('{"id": "", "text": "x", "source_hash": "sha256:@D"}', "no string id"), 8: ('{"id": null, "text": "x", "source_hash": "sha256:@D"}', "no string id"), 9: ('{"text": "x", "source_hash": "sha256:@D"}', "no string id"),
+    10: ('{"id": "@I", "text": 7, "source_hash": "sha256:@D"}', "no string text"), 11: ('{"id": "@I", "text": null, "source_hash": "sha256:@D"}', "no string text"), 12: ('{"id": "@I", "text": "x", "source_hash": "nope"}', "source_hash is no digest"),
+    13: ('{"id": "@I", "text": "x"}', "source_hash is no digest"), 14: ('{"id": "@I", "text": "x", "source_hash": "sha256:@D\\n"}', "source_hash is no digest"), 15: ('{"id": "@B", "text": "x", "source_hash": "sha256:@D"}', "duplicate id"),
+    16: ('{"id": "@I", "text": ["x"], "source_hash": "sha256:@D"}, {}', "invalid JSON"), 17: ('  {"source_hash": "SHA256:@D", "id": "@I", "text": "x"}  ', "source_hash is no digest"),
+}
+
+
+@query(f"""WITH {NUMBERED} SELECT CAST(k AS INTEGER) AS line, CASE doc_id % 18 {' '.join(f"WHEN {k} THEN '{p}'" for k, (_, p) in RECORDS.items() if p and k != 15)} WHEN 15 THEN CASE WHEN doc_id IN (SELECT doc_id + 15 FROM documents) THEN 'duplicate id' END END AS problem
+FROM n WHERE doc_id % 18 <> 0 AND (doc_id % 18 <> 15 OR doc_id IN (SELECT doc_id + 15 FROM documents))""")
+def jsonl_record_problems(spark, sf_dir):
+    """Each form that a strict reader must not take, and records that it must."""
+    form = F.element_at(F.array(*(F.lit(line) for line, _ in RECORDS.values())), (F.col("ord") % 18 + 1).cast("int"))
+    put = lambda c, name, value: F.replace(c, F.lit(name), value)
+    value = put(put(put(form, "@I", F.col("id")), "@D", F.sha2(F.col("text").cast("binary"), 256)), "@B", (F.col("ord") - 15).cast("string"))
+    path = write_lines(docs(spark, sf_dir).select("ord", value.alias("value")), scratch(spark))
+    return readers.jsonl_problems(spark, path, pattern="part-*").select("line", "problem")
+
+
+@query(f"""WITH {NUMBERED} SELECT CAST(k AS INTEGER) AS line, CASE doc_id % 7 WHEN 0 THEN 'string' WHEN 1 THEN 'integer' WHEN 2 THEN 'null' WHEN 3 THEN 'missing' WHEN 4 THEN 'array' WHEN 5 THEN 'object' ELSE 'boolean' END AS kind,
+CASE doc_id % 7 WHEN 0 THEN text END AS text, CASE doc_id % 7 WHEN 0 THEN lang WHEN 1 THEN id WHEN 6 THEN 'True' WHEN 4 THEN '["' || lang || '"]' WHEN 5 THEN '{{"a":' || id || '}}' END AS route, CASE doc_id % 7 WHEN 1 THEN doc_id WHEN 6 THEN 1 END AS "order",
+doc_id % 7 IN (0, 4, 5, 6) OR (doc_id % 7 = 1 AND doc_id <> 0) AS boundary_before, CASE doc_id % 7 WHEN 4 THEN '[' || lang || ']' WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE '[NULL]' END AS tokens FROM n""")
+def jsonl_typed_fields(spark, sf_dir):
+    """One value of each kind in columns of every type."""
+    d = docs(spark, sf_dir)
+    k = F.col("ord") % 7
+    quoted = lambda c: F.to_json(F.struct(c.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("x")))) - 6)
+    one = lambda text: F.when(k == 0, quoted(text)).when(k == 1, F.col("id")).when(k == 2, "null").when(k == 4, F.concat(F.lit('["'), "lang", F.lit('"]'))).when(k == 5, F.concat(F.lit('{"a": '), "id", F.lit("}"))).otherwise("true")
+    line = lambda name, text: F.when(k == 3, "").otherwise(F.concat(F.lit(f', "{name}": '), one(text)))
+    value = F.concat(F.lit('{"id": "x"'), line("text", F.col("text")), *(line(n, F.col("lang")) for n in ("route", "order", "boundary_before", "protected_tokens")), F.lit("}"))
+    path = write_lines(d.select("ord", value.alias("value")), scratch(spark))
+    got = readers.jsonl(spark, path, "text string, route string, `order` long, boundary_before boolean, protected_tokens array<string>", pattern="part-*")
+    tokens = F.when(F.col("protected_tokens").isNotNull(), F.concat(F.lit("["), F.array_join("protected_tokens", ",", "NULL"), F.lit("]")))
+    return got.select("line", F.col("_kinds")["text"].alias("kind"), "text", "route", "order", "boundary_before", tokens.alias("tokens"))
+
+
 def write_lines(rows: DataFrame, path: str, **options: str) -> str:
     rows.repartition(1).sortWithinPartitions("ord").select("value").write.options(**options).text(path)
     return path

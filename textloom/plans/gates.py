@@ -54,7 +54,7 @@ def residual_script(spark, sf_dir):
 @query(f"""WITH {fx.DRAFT} SELECT CASE WHEN h.h % 3 = 1 THEN 'issues-schema' ELSE 'term_proposals-schema' END AS code, m.id FROM m JOIN u h USING (id) WHERE translation <> '' AND h.h % 3 > 0""")
 def array_schemas(spark, sf_dir):
     d = fx.draft(spark, sf_dir).join(fx.units(spark, sf_dir).select("id", "h"), "id", "left").withColumn("k", F.col("h") % 3)
-    d = d.withColumn("issues_raw", F.when(F.col("k") == 1, '{"a": [1]}').otherwise(" [1, {}] ")).withColumn("term_proposals_raw", F.when(F.col("k") == 2, '"[]"').when(F.col("k") == 0, "[]"))
+    d = d.withColumn("issues_raw", F.when(F.col("k") == 1, F.when(F.col("h") % 2 == 0, '{"a": [1]}').otherwise("[1} x]")).otherwise(" [1, {}] ")).withColumn("term_proposals_raw", F.when(F.col("k") == 2, '"[]"').when(F.col("k") == 0, "[]"))
     issues = validate.row_issues(validate.matched(fx.units(spark, sf_dir), d.drop("h", "k")), fx.POLICY)
     return issues.filter(F.col("code").endswith("-schema")).select("code", "id")
 

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions import text as X
+from textloom.sources import typed
+
 BOM = "﻿"
 
 
@@ -80,34 +83,50 @@ def file_order(df: DataFrame) -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, pattern: str | None = None, encoding: str | None = None, unicode_ends: bool = False, split: bool = False) -> DataFrame:
-    """Lenient: path, line, ord, raw, _bad and the schema's columns of every line that isn't blank.
+    """Lenient: path, line, ord, raw, _bad, the schema's columns and _kinds of every line that isn't blank.
 
+    _bad marks lines that aren't one JSON object and nothing else. A field of another type than its
+    column's is null (see typed.field); _kinds has what kind of value each field of the schema is, so
+    that missing, null and wrong types are told apart.
     split: for large UTF-8 files, which tasks read in parts; other files are one task's each.
     """
-    lines = file_order(plain_lines(spark, path, pattern) if split else text_lines(spark, path, pattern, encoding, unicode_ends)).filter(F.trim("value", F.lit(" \t\r\n")) != "")
-    parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    rows = lines.withColumn("_r", parsed)
-    return rows.select("path", "line", "ord", F.col("value").alias("raw"), (F.col("_r._corrupt").isNotNull() | ~F.ltrim("value").startswith("{")).alias("_bad"), *(f"_r.{f.name}" for f in T._parse_datatype_string(schema).fields if f.name != "ord"))
+    lines = file_order(plain_lines(spark, path, pattern) if split else text_lines(spark, path, pattern, encoding, unicode_ends)).filter(X.strip(F.col("value")) != "")
+    rows = lines.withColumn("_v", typed.parsed(F.col("value")))
+    fields = [f for f in T._parse_datatype_string(schema).fields if f.name != "ord"]
+    kinds = F.create_map(*(x for f in fields for x in (F.lit(f.name), typed.kind(typed.member(F.col("_v"), f.name)))))
+    bad = F.coalesce(typed.kind(F.col("_v")) != "object", F.lit(True))
+    return rows.select("path", "line", "ord", F.col("value").alias("raw"), bad.alias("_bad"), *(typed.field(F.col("_v"), f.name, f.dataType).alias(f.name) for f in fields), kinds.alias("_kinds"))
 
 
-def jsonl_strict(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ("id", "text"), unique: str = "id", **options) -> DataFrame:
-    """Fails with the first bad line: not an object, a required field that is blank (text: null), a repeated id."""
-    rows = jsonl(spark, path, schema, **options)
-    blank = F.lit(False)
-    for name in required:
-        blank = blank | (F.col(name).isNull() if name == "text" else F.coalesce(F.col(name), F.lit("")) == "")
-    if bad := rows.filter(F.col("_bad") | blank).orderBy("ord").first():
-        raise SourceError(f"{bad['path']}:{bad['line']}: invalid record")
-    if again := rows.groupBy(unique).agg(F.count("*").alias("n"), F.max("line").alias("line")).filter("n > 1").first():
-        raise SourceError(f"line {again['line']}: repeated {unique} {again[unique]}")
-    return rows.drop("_bad")
+def jsonl_problems(spark: SparkSession, path: str, hashed: bool = True, unique: bool = True, **options) -> DataFrame:
+    """path, line, ord, problem: the first thing that is wrong with each line that no strict reader takes.
+
+    In this order: invalid JSON (text after the value too), not an object, no string id (missing, null,
+    empty or of another type), duplicate id (of an earlier line that has one), no string text, source_hash
+    is no digest. The last one only with hashed, duplicates only with unique.
+    """
+    lines = jsonl(spark, path, "id string", **options).withColumn("_v", typed.parsed(F.col("raw")))
+    rows = lines.withColumn("problem", typed.record_problem(F.col("raw"), F.col("_v"), hashed)).select("path", "line", "ord", "id", "problem")
+    early = F.col("problem").isin("invalid JSON", "not an object", "no string id")
+    if unique:
+        again = rows.filter(F.coalesce(F.col("id"), F.lit("")) != "").groupBy("id").agg(F.count("*").alias("n"), F.min("ord").alias("first")).filter("n > 1").drop("n")
+        rows = rows.join(again, "id", "left").withColumn("problem", F.when(~F.coalesce(early, F.lit(False)) & (F.col("ord") > F.col("first")), "duplicate id").otherwise(F.col("problem")))
+    return rows.filter(F.col("problem").isNotNull()).select("path", "line", "ord", "problem")
+
+
+def jsonl_strict(spark: SparkSession, path: str, schema: str, hashed: bool = False, unique: bool = True, **options) -> DataFrame:
+    """The rows of records that all have a string id of their own, a string text and, with hashed, a
+    source_hash of the right form; else an error that names the first line that hasn't."""
+    if bad := jsonl_problems(spark, path, hashed, unique, **options).orderBy("ord").first():
+        raise SourceError(f"{bad['path']}:{bad['line']}: {bad['problem']}")
+    return jsonl(spark, path, schema, **options).drop("_bad", "_kinds")
 
 
 def jsonl_or_nothing(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
     """All rows, or none if any is bad."""
     rows = jsonl(spark, path, schema, **options)
     spoiled = F.broadcast(rows.agg(F.max("_bad").alias("_any")))
-    return rows.join(spoiled).filter(~F.coalesce("_any", F.lit(False))).drop("_bad", "_any")
+    return rows.join(spoiled).filter(~F.coalesce("_any", F.lit(False))).drop("_bad", "_any", "_kinds")
 
 
 def json_document(spark: SparkSession, path: str, default=None, must: bool = False):
