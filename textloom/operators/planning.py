@@ -1,20 +1,25 @@
 """Jobs from scenes, and chunks from jobs: consecutive groups, size-bounded splits, overlap, coverage proofs.
 
 Groups along the global order are found in buckets (see ordered). A split inside a group depends on
-all records before, so it is a fold over the group's sorted array of lengths and ids, at a cost in
-proportion to its records; what a fold gives out are the places of cuts.
+all records before: it is a fold over the group's sorted array of lengths and ids, at a cost in
+proportion to its records, and what a fold gives out are the places of cuts. Groups of more than LONG
+records are split in buckets instead (see cuts), so that no row and no task holds them whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.functions.digests import record_line, sha256_of
+from textloom.operators.cuts import greedy_cuts
 from textloom.operators.ordered import folded, with_group_numbers
 
 UNASSIGNED = "unassigned"
+LONG = 100_000  # records of a group that a fold takes in one row
 
 
 def text_of(name: str, df: DataFrame) -> Column:
@@ -37,23 +42,54 @@ def scene_islands(source: DataFrame, bucket: int = 100_000) -> DataFrame:
     return with_group_numbers(source, key, bucket=bucket)
 
 
-def greedy_parts(grouped: DataFrame, most: int, by: str = "grp") -> DataFrame:
+def by_length(rows: DataFrame, by: str, long: int, small: Callable, large: Callable) -> DataFrame:
+    """small(rows of groups of up to `long` records) and large(rows of the other groups), together."""
+    longer = rows.groupBy(by).agg(F.count("*").alias("n")).filter(F.col("n") > long).select(by)
+    if not longer.limit(1).count():
+        return small(rows)
+    null = longer.filter(F.col(by).isNull()).limit(1).count()  # a group like others, that no join finds
+    is_long = lambda df, how: df.filter(F.col(by).isNotNull()).join(longer, by, how)
+    rest = rows.filter(F.col(by).isNull())
+    few, many = is_long(rows, "left_anti"), is_long(rows, "left_semi")
+    return small(few if null else few.unionByName(rest)).unionByName(large(many.unionByName(rest) if null else many))
+
+
+def greedy_parts(grouped: DataFrame, most: int, by: str = "grp", long: int = LONG, bucket: int = 100_000) -> DataFrame:
     """by, ord, part, forced: records in parts of at most `most` characters, cut where the next would overflow.
 
     A part is forced if it begins or ends at a cut without boundary_before, or is the last and too
-    long. A longer record stands alone; most <= 0 doesn't split.
+    long. A longer record stands alone; most <= 0 doesn't split; a null text has no characters.
     """
-    cols = F.struct(F.col("ord"), F.length("text").cast("long").alias("n"), flag_of("boundary_before", grouped).alias("natural"))
-    arrays = grouped.groupBy(by).agg(F.array_sort(F.collect_list(cols)).alias("rs"))
+    rows = grouped.select(by, "ord", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), flag_of("boundary_before", grouped).alias("natural"))
+    if most <= 0:
+        return rows.select(by, "ord", F.lit(0).alias("part"), F.lit(False).alias("forced"))
+    return by_length(rows, by, long, lambda r: folded_parts(r, most, by), lambda r: bucketed_parts(r, most, by, bucket))
+
+
+def bucketed_parts(rows: DataFrame, most: int, by: str, bucket: int) -> DataFrame:
+    """greedy_parts of (by, ord, n, natural) for groups of any length."""
+    done, ends = greedy_cuts(rows, [by], most, bucket)
+    torn = done.filter(F.col("cut") & ~F.col("natural")).select(by, "part")
+    # a torn cut forces the parts on both sides
+    forced = torn.select(by, F.explode(F.array(F.col("part") - 1, F.col("part"))).alias("part"))
+    forced = forced.unionByName(ends.filter(F.col("chars") > most).select(by, F.col("last").alias("part"))).distinct()
+    keyed = forced.select(F.col(by).alias("_by"), F.col("part").alias("_part"), F.lit(True).alias("forced"))
+    found = done.join(keyed, done[by].eqNullSafe(F.col("_by")) & (done["part"] == F.col("_part")), "left")
+    return found.select(by, "ord", F.col("part").cast("int").alias("part"), F.coalesce("forced", F.lit(False)).alias("forced"))
+
+
+def folded_parts(rows: DataFrame, most: int, by: str) -> DataFrame:
+    """greedy_parts of (by, ord, n, natural) for groups that fit in a row."""
+    arrays = rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("ord", "n", "natural"))).alias("rs"))
     state = F.struct(F.lit(0).cast("long").alias("chars"), F.lit(0).alias("at"))
 
     def step(acc, r):
-        cut = (F.lit(most) > 0) & (acc["at"] > 0) & (acc["chars"] + r["n"] > most)
+        cut = (acc["at"] > 0) & (acc["chars"] + r["n"] > most)
         after = F.struct(F.when(cut, r["n"]).otherwise(acc["chars"] + r["n"]).alias("chars"), (acc["at"] + 1).alias("at"))
         return after, cut, F.struct(acc["at"].alias("at"), (~r["natural"]).alias("torn"))
 
     cuts, last = folded(F.col("rs"), state, step, "struct<at:int,torn:boolean>")
-    done = arrays.select(by, "rs", F.struct(cuts.alias("cuts"), ((F.lit(most) > 0) & (last["chars"] > most)).alias("long")).alias("a"))
+    done = arrays.select(by, "rs", F.struct(cuts.alias("cuts"), (last["chars"] > most).alias("long")).alias("a"))
     edge = lambda at, torn: F.array(F.struct(at.alias("at"), torn.alias("torn")))
     edges = F.concat(edge(F.lit(0), F.lit(False)), F.col("a.cuts"), edge(F.size("rs"), F.col("a.long")))
     done = done.withColumn("edges", edges)
@@ -115,7 +151,7 @@ def natural_units(rows: DataFrame, by: str) -> DataFrame:
     return rows.withColumn("_c", change).withColumn("unit", F.sum("_c").over(w).cast("long")).drop("_c")
 
 
-def chunk_rows(rows: DataFrame, by: str, target: int) -> DataFrame:
+def chunk_rows(rows: DataFrame, by: str, target: int, long: int = LONG, bucket: int = 100_000) -> DataFrame:
     """by, ord, id, chunk (from 1), forced: natural units packed in order into chunks of at most target.
 
     A longer unit is first cut into pieces of at most target, all forced; a chunk is forced if any of
@@ -123,6 +159,28 @@ def chunk_rows(rows: DataFrame, by: str, target: int) -> DataFrame:
     """
     if target <= 0:
         return rows.select(by, "ord", "id", F.lit(1).alias("chunk"), F.lit(False).alias("forced"))
+    return by_length(rows, by, long, lambda r: folded_chunks(r, by, target), lambda r: bucketed_chunks(r, by, target, bucket))
+
+
+def bucketed_chunks(rows: DataFrame, by: str, target: int, bucket: int) -> DataFrame:
+    """chunk_rows for jobs of any length: greedy cuts inside long units, then greedy cuts between pieces."""
+    units = natural_units(rows, by).select(by, "ord", "id", "unit", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
+    sizes = units.groupBy(by, "unit").agg(F.sum("n").alias("unit_n")).select(F.col(by).alias("_by"), F.col("unit").alias("_unit"), "unit_n")
+    units = units.join(sizes, units[by].eqNullSafe(F.col("_by")) & (units["unit"] == F.col("_unit"))).drop("_by", "_unit")
+    pieces, _ = greedy_cuts(units, [by, "unit"], target, bucket)
+    # in units that fit nothing is cut; a piece is found again by the unit and its number there
+    pieces = pieces.withColumnRenamed("part", "piece").withColumn("torn", F.col("unit_n") > target)
+    each = pieces.groupBy(by, "unit", "piece").agg(F.min("ord").alias("ord"), F.sum("n").alias("n"), F.first("torn").alias("torn"))
+    packed, _ = greedy_cuts(each, [by], target, bucket)
+    forced = packed.groupBy(by, "part").agg(F.max("torn").alias("forced")).select(F.col(by).alias("_by"), F.col("part").alias("_part"), "forced")
+    packed = packed.join(forced, packed[by].eqNullSafe(F.col("_by")) & (packed["part"] == F.col("_part")))
+    placed = packed.select(F.col(by).alias("_by"), F.col("unit").alias("_unit"), F.col("piece").alias("_piece"), (F.col("part") + 1).cast("int").alias("chunk"), "forced")
+    same = pieces[by].eqNullSafe(F.col("_by")) & (pieces["unit"] == F.col("_unit")) & (pieces["piece"] == F.col("_piece"))
+    return pieces.join(placed, same).select(by, "ord", "id", "chunk", "forced")
+
+
+def folded_chunks(rows: DataFrame, by: str, target: int) -> DataFrame:
+    """chunk_rows for jobs that fit in a row."""
     units = natural_units(rows, by).withColumn("n", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
     units = units.withColumn("unit_n", F.sum("n").over(Window.partitionBy(by, "unit")))
     arrays = units.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("ord", "id", "unit", "n", "unit_n"))).alias("rs"))

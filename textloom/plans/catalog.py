@@ -153,6 +153,20 @@ def greedy_job_split(spark, sf_dir):
     return planning.greedy_parts(fx.units(spark, sf_dir).withColumnRenamed("conv_id", "grp"), 1200)
 
 
+LINES = """l AS (SELECT row_number() OVER (ORDER BY event_id) AS i, event_id AS ord, user_id % 60 AS n, event_id % 5 = 0 AS nat FROM events),
+p AS MATERIALIZED (SELECT *, CAST(sum(n) OVER (ORDER BY i) AS BIGINT) AS s FROM l)"""
+
+
+@query(f"""WITH RECURSIVE {LINES}, c AS (SELECT 0 AS part, CAST(1 AS BIGINT) AS at UNION ALL SELECT part + 1, (SELECT min(i) FROM p WHERE s > (SELECT s - n FROM p WHERE i = c.at) + 3000 AND i > c.at) FROM c WHERE (SELECT max(s) FROM p) > (SELECT s - n FROM p WHERE i = c.at) + 3000),
+e AS (SELECT c.part, c.at, coalesce(lead(c.at) OVER (ORDER BY c.part), (SELECT max(i) + 1 FROM p)) AS stop, c.part > 0 AND NOT p.nat AS torn FROM c JOIN p ON p.i = c.at),
+f AS (SELECT *, torn OR coalesce(lead(torn) OVER (ORDER BY part), false) AS forced FROM e)
+SELECT p.ord, f.part, f.forced FROM p JOIN f ON p.i >= f.at AND p.i < f.stop""")
+def greedy_split_of_one_group(spark, sf_dir):
+    """All events as one group, cut by buckets of its order."""
+    rows = fx.table(spark, sf_dir, "events").select(F.lit(1).alias("grp"), F.col("event_id").alias("ord"), (F.col("user_id") % 60).alias("n"), (F.col("event_id") % 5 == 0).alias("natural"))
+    return planning.bucketed_parts(rows, 3000, "grp", bucket=2000).select("ord", "part", "forced")
+
+
 @query(f"""WITH RECURSIVE {fx.UNITS}, {SPLIT.replace('MOST', '1200')}, j AS (
     SELECT w.grp, w.part, f.forced, count(*) AS entries, CAST(sum(length(u.text)) AS BIGINT) AS source_char_count, 'sha256:' || sha256(string_agg(u.id || chr(0) || u.source_hash || chr(10), '' ORDER BY u.ord)) AS source_digest
     FROM w JOIN f USING (grp, part) JOIN u USING (ord) GROUP BY w.grp, w.part, f.forced
