@@ -6,12 +6,15 @@ import csv
 import hashlib
 import io
 import json
+from collections.abc import Callable
 from pathlib import PurePath
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 DIGEST = r"^sha256:[0-9a-fA-F]{64}\z"
 
@@ -29,11 +32,52 @@ def record_line(record_id: Column, content: Column) -> Column:
     return F.concat(F.coalesce(record_id, F.lit("")), F.lit("\0"), F.coalesce(content, F.lit("")), F.lit("\n"))
 
 
-def ordered_digest(df: DataFrame, by: list[str], order: str, lines: Column) -> DataFrame:
-    """by..., digest: over each group's lines put together in order."""
-    each = df.select(*by, F.struct(F.col(order), lines.alias("line")).alias("r"))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "")
-    return each.groupBy(*by).agg(sha256_of(whole).alias("digest"))
+def ordered_digest(df: DataFrame, by: list[str], order: str, lines: Column, form: Callable[[str], str] | None = None, between: str = "") -> DataFrame:
+    """by..., digest: over each group's lines put together in order, `between` between them.
+
+    form changes each line first. Rows are dealt out by group and sorted, and hashed as they stream by in
+    Arrow batches: no task holds a group's lines, however many. (A digest is of one sequence, so one task
+    reads a group.) Rows of one place are taken in the order of their lines. Without groups there is one
+    digest, of nothing if there are no rows.
+    """
+    rows = df.select(*by, F.col(order).alias("_order"), lines.alias("_line"))
+    rows = (rows.repartition(*by) if by else rows.repartition(1)).sortWithinPartitions(*by, "_order", "_line")
+    schema = df.select(*by).schema.add("digest", "string")
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
+
+    def packed(done):
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], t) for i, t in enumerate(types)], names=schema.names)
+
+    def run(batches):
+        known, state, done = None, None, []
+        for batch in batches:
+            *keys, texts = (c.to_pylist() for c in batch.columns)
+            if form is not None:
+                texts = [form(t) for t in texts]
+            keys = list(zip(*keys, strict=True)) if keys else [()] * len(texts)
+            at = 0
+            while at < len(texts):
+                end = at + 1
+                while end < len(texts) and keys[end] == keys[at]:
+                    end += 1
+                if state is None or keys[at] != known:
+                    if state is not None:
+                        done.append((*known, f"sha256:{state.hexdigest()}"))
+                    known, state = keys[at], hashlib.sha256()
+                else:
+                    state.update(between.encode())
+                for a in range(at, end, 1024):
+                    state.update((between if a > at else "").encode() + between.join(texts[a : min(a + 1024, end)]).encode())
+                at = end
+            if len(done) >= 10_000:
+                yield packed(done)
+                done = []
+        if state is not None:
+            done.append((*known, f"sha256:{state.hexdigest()}"))
+        yield packed(done)
+
+    found = rows.select(*by, "_line").mapInArrow(run, schema)
+    return found if by else found.agg(F.coalesce(F.max("digest"), F.lit(f"sha256:{hashlib.sha256().hexdigest()}")).alias("digest"))
 
 
 def source_digest(df: DataFrame, by: list[str], strict: bool = True) -> DataFrame:
@@ -60,7 +104,7 @@ def canonical_json(raw: pd.Series) -> pd.Series:
 
 def record_digest(df: DataFrame, by: list[str], raw: str = "raw") -> DataFrame:
     """Digest of whole records (JSON texts) in order of ord."""
-    return ordered_digest(df.withColumn("_line", F.concat(canonical_json(raw), F.lit("\n"))), by, "ord", F.col("_line"))
+    return ordered_digest(df, by, "ord", F.col(raw), form=lambda t: compact_json(json.loads(t), drop_internal=True) + "\n")
 
 
 def canonical_text(c: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions import text as X
+from textloom.functions.digests import ordered_digest
 from textloom.sources import typed
 
 BOM = "﻿"
@@ -179,9 +180,10 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 
 def manifest_totals(rows: DataFrame) -> DataFrame:
     """file_count, total_bytes, entries_sha256 over path, size and content digest in order of the path without case."""
-    entry = F.struct(F.lower("path").alias("k"), F.concat_ws("\0", "path", F.col("size").cast("string"), "sha256").alias("e"))
-    whole = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"]), "\n")
-    return rows.agg(F.count("*").alias("file_count"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"), F.sha2(whole.cast("binary"), 256).alias("entries_sha256"))
+    counts = rows.agg(F.count("*").alias("file_count"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"))
+    listed = rows.withColumn("_place", F.lower("path"))
+    digest = ordered_digest(listed, [], "_place", F.concat_ws("\0", "path", F.col("size").cast("string"), "sha256"), between="\n")
+    return counts.join(digest).select("file_count", "total_bytes", F.substring("digest", 8, 64).alias("entries_sha256"))  # one row each
 
 
 def nearest_config(path: str, name: str = "project.json") -> dict:
