@@ -360,3 +360,25 @@ def test_spaces_case_and_words(spark):
     assert [r[0] for r in df.select(X.casefolded("t")).collect()][1] == "ss"
     assert [r[0] for r in df.select(X.slug(F.col("t"))).collect()] == ["x", "ß", "scene"]
     assert codepoints.usage_problems(spark.createDataFrame([(1, 2, 0, 1), (2, 1, 0, 1), (1, 0, 0, 0)], "input_tokens long, cached_input_tokens long, output_tokens long, calls long")).count() == 2
+
+
+def test_both_sides_meet_in_one_exchange(spark):
+    """A whole validation reads each side once and deals rows out by id once."""
+    import re
+
+    source = spark.createDataFrame([(i, f"e{i}", f"text {i}") for i in range(50)], "ord long, id string, text string")
+    draft = spark.createDataFrame([(i, f"e{i}", f"out {i}") for i in range(50)], "ord long, id string, translation string")
+    issues = validate.validate(source, draft, Policy("en", "fr"))
+    issues.collect()
+    plan = issues._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r" Exchange hashpartitioning\(_key", plan)) == 1 and len(re.findall("Scan ExistingRDD", plan)) == 2
+
+
+def test_structural_issues_of_every_kind(spark):
+    source = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "a", "z"), (4, None, "n"), (5, "", "n"), (6, "c", "w"), (7, "a", "z")], "ord long, id string, text string")
+    draft = spark.createDataFrame([(1, "b", "B"), (2, "a", "A1"), (3, "q", "Q"), (4, "q", "Q"), (5, None, "N"), (6, "a", "A2")], "ord long, id string, translation string")
+    got = Counter((r["code"], r["id"]) for r in validate.structural_issues(validate.identified(source, draft)).collect())
+    assert got == Counter({("duplicate-source-id", "a"): 2, ("source-id", None): 1, ("source-id", ""): 1, ("missing-ids", "c"): 1, ("extra-ids", "q"): 1, ("duplicate-target-id", "q"): 1, ("target-id", None): 1, ("duplicate-target-id", "a"): 1})
+    pairs = {r["id"]: (r["ord"], r["s"]["text"], r["t"]["translation"]) for r in validate.matched(source, draft).collect()}
+    assert pairs == {"a": (1, "z", "A2"), "b": (2, "y", "B")}
+    assert "missing-ids" not in {r["code"] for r in validate.validate(source, draft, Policy("en", "fr"), allow_subset=True).collect()}

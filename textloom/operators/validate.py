@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.functions.digests import is_digest
 from textloom.operators.glossary import term_issues
-from textloom.operators.ordered import last_value_first_place
 from textloom.policy import Policy
 from textloom.sources.typed import kind, parsed
 
@@ -62,7 +61,12 @@ def order_breaks(source: DataFrame, target: DataFrame, bucket: int = 100_000) ->
     largest place so far is found in buckets of the order.
     """
     places = named(source).groupBy("id").agg(F.min("ord").alias("place"))
-    rows = named(target).select("id", F.col("ord").alias("at")).join(places, "id").withColumn("b", F.floor(F.col("at") / bucket))
+    return breaks_along(named(target).select("id", F.col("ord").alias("at")).join(places, "id"), bucket)
+
+
+def breaks_along(rows: DataFrame, bucket: int = 100_000) -> DataFrame:
+    """id, at of rows (id, at, place) that come after one with a place as late or later."""
+    rows = rows.withColumn("b", F.floor(F.col("at") / bucket))
     inside = Window.partitionBy("b").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     tops = rows.groupBy("b").agg(F.max("place").alias("top"))
     tops = tops.select("b", F.max("top").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
@@ -70,11 +74,52 @@ def order_breaks(source: DataFrame, target: DataFrame, bucket: int = 100_000) ->
     return rows.filter(F.greatest("seen", "before") >= F.col("place")).select("id", "at")
 
 
+def identified(source: DataFrame, target: DataFrame) -> DataFrame:
+    """All rows of both sides, met by id in one exchange: id, ord, t (null for source rows), s (the last
+    source row so far), place (the first one's), nth (among the side's rows of the id), last (of the id).
+
+    Source rows come before target rows, each in order. A row without an id is alone.
+    """
+    blank = F.coalesce(F.col("id"), F.lit("")) == ""
+    key = lambda side: F.when(blank, F.concat(F.lit(f"\0{side}:"), F.xxhash64("ord", F.monotonically_increasing_id()))).otherwise(F.col("id"))
+    row = lambda s, t: F.struct("id", "ord", blank.alias("blank"), s.alias("s"), t.alias("t"))
+    none = lambda df: F.lit(None).cast(df.schema)
+    sides = source.select(key("s").alias("_key"), row(F.struct(*source.columns), none(target)).alias("_row")), target.select(key("t").alias("_key"), row(none(source), F.struct(*target.columns)).alias("_row"))
+    # rows go as one column, and whole into each window, so that every use of the result needs the same exchange
+    rows = sides[0].unionAll(sides[1]).repartition("_key")
+    is_target, at = F.col("_row.t").isNotNull(), F.col("_row.ord")
+    w = Window.partitionBy("_key").orderBy(is_target, at)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_source = F.when(~is_target, F.col("_row"))
+    met = rows.select(
+        "_row", F.last(from_source, ignorenulls=True).over(so_far).alias("_last"), F.first(from_source, ignorenulls=True).over(so_far).alias("_first"),
+        F.row_number().over(Window.partitionBy("_key", is_target).orderBy(at)).alias("nth"), F.lead(F.lit(1)).over(w).isNull().alias("last"),
+    )
+    return met.select("_row.id", "_row.ord", "_row.t", F.col("_last.s").alias("s"), F.col("_first.ord").alias("place"), "nth", "last", "_row.blank")
+
+
+def structural_issues(rows: DataFrame, allow_subset: bool = False) -> DataFrame:
+    """Issues of ids, from identified rows: none or repeated ones, missing and extra ones."""
+    is_target, known = F.col("t").isNotNull(), F.col("s").isNotNull()
+    side = F.when(is_target, "target").otherwise("source")
+    checks = [
+        (F.col("blank"), F.concat(side, F.lit("-id")), F.concat(F.lit("no id at "), F.col("ord"))),
+        (~F.col("blank") & (F.col("nth") > 1), F.concat(F.lit("duplicate-"), side, F.lit("-id")), F.lit("id occurs again")),
+        (~F.col("blank") & is_target & ~known & (F.col("nth") == 1), F.lit("extra-ids"), F.lit("not in source")),
+    ]
+    if not allow_subset:
+        checks.append((~F.col("blank") & ~is_target & F.col("last"), F.lit("missing-ids"), F.lit("not translated")))
+    found = F.array(*(F.when(bad, F.struct(F.lit("error").alias("severity"), code.alias("code"), F.col("id"), message.alias("message"))) for bad, code, message in checks))
+    return rows.select(F.explode(F.filter(found, lambda i: i.isNotNull())).alias("i")).select("i.*")
+
+
 def matched(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows with their translation: id, ord, s.* and t.* as structs."""
-    s = last_value_first_place(named(source))
-    t = last_value_first_place(named(target))
-    return s.select("id", "ord", F.struct(*s.columns).alias("s")).join(t.select("id", F.struct(*t.columns).alias("t")), "id")
+    """Source rows with their translation: id, ord, s.* and t.* as structs; of repeated ids the last rows at the first source place."""
+    return pairs_of(identified(source, target))
+
+
+def pairs_of(rows: DataFrame) -> DataFrame:
+    return rows.filter(~F.col("blank") & F.col("t").isNotNull() & F.col("last") & F.col("s").isNotNull()).select("id", F.col("place").alias("ord"), "s", "t")
 
 
 def row_issues(pairs: DataFrame, policy: Policy) -> DataFrame:
@@ -131,11 +176,11 @@ def repeat_inconsistencies(pairs: DataFrame) -> DataFrame:
 
 def validate(source: DataFrame, target: DataFrame, policy: Policy, glossary: DataFrame | None = None, allow_subset: bool = False) -> DataFrame:
     """All issues of a draft: severity, code, id, message."""
-    pairs = matched(source, target)
-    found = [bad_ids(source, "source"), bad_ids(target, "target"), extra_ids(source, target).select(*issue("extra-ids", F.col("id"), F.lit("not in source")))]
-    if not allow_subset:
-        found.append(missing_ids(source, target).select(*issue("missing-ids", F.col("id"), F.lit("not translated"))))
-    broken = order_breaks(source, target).agg(F.count("*").alias("n")).filter("n > 0")
+    rows = identified(source, target)
+    pairs = pairs_of(rows)
+    found = [structural_issues(rows, allow_subset)]
+    shared = rows.filter(~F.col("blank") & F.col("t").isNotNull() & F.col("s").isNotNull()).select("id", F.col("ord").alias("at"), "place")
+    broken = breaks_along(shared).agg(F.count("*").alias("n")).filter("n > 0")
     found.append(broken.select(*issue("id-order", F.lit(None), F.concat(F.col("n").cast("string"), F.lit(" rows out of order")))))
     found.append(row_issues(pairs, policy))
     found.append(repeat_inconsistencies(pairs).select(*issue("repeat-inconsistency", F.lit(None), F.substr("src", F.lit(1), F.lit(40)))))
