@@ -67,6 +67,8 @@ def test_documents_and_tables(spark, tmp_path):
     (tmp_path / "g.tsv").write_text('﻿source\ttarget\n"a\tb"\tc\nshort\n', encoding="utf-8")
     df = readers.tsv(spark, str(tmp_path / "g.tsv"), required=("source",))
     assert {tuple(r) for r in df.collect()} == {("a\tb", "c"), ("short", None)}
+    (tmp_path / "s.tsv").write_text('a\tb\n1\t2\t3\n"x\ny"\t"t\tt"\t"3\n4"\t\n5\n6\t7\n', encoding="utf-8")
+    assert [tuple(r) for r in readers.tsv(spark, str(tmp_path / "s.tsv"), surplus="more").collect()] == [("1", "2", ["3"]), ("x\ny", "t\tt", ["3\n4", ""]), ("5", None, None), ("6", "7", None)]
     (tmp_path / "project.json").write_text('{"source_locale": "ja"}')
     (tmp_path / "x/y").mkdir(parents=True)
     assert readers.nearest_config(str(tmp_path / "x/y")) == {"source_locale": "ja"}
@@ -113,12 +115,14 @@ def test_sinks(spark, tmp_path):
     sinks.write_jsonl(df, str(tmp_path / "o"), canonical=True)
     assert (next((tmp_path / "o").glob("part-*"))).read_text() == '{"a":null,"b":"a"}\n{"a":1,"b":"é"}\n'
     f = str(tmp_path / "f")
-    assert sinks.write_if_missing(f, "x\n") and not sinks.write_if_missing(f, "y")
-    sinks.write_immutable(f, "x\r\n")
+    assert sinks.write_if_missing(spark, f, "x\n") and not sinks.write_if_missing(spark, f, "y")
+    sinks.write_immutable(spark, f, "x\r\n")
     with pytest.raises(sinks.ImmutableError):
-        sinks.write_immutable(f, "z")
-    sinks.replace_atomically(f, "new")
-    assert (tmp_path / "f").read_text() == "new"
+        sinks.write_immutable(spark, f, "z")
+    sinks.replace_atomically(spark, f, "né\nw")
+    assert sinks.read_text(spark, f) == (tmp_path / "f").read_text(encoding="utf-8") == "né\nw"
+    sinks.replace_atomically(spark, f"file://{tmp_path}/new/deep", "")
+    assert (tmp_path / "new/deep").read_text() == "" and [p.name for p in (tmp_path / "new").iterdir() if not p.name.endswith(".crc")] == ["deep"]
 
 
 def tiny_font(groups, format_4=()):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.functions import digests as D
@@ -69,7 +70,7 @@ def validate_order_breaks(spark, sf_dir):
     return validate.order_breaks(*drafted(spark, sf_dir), bucket=20_000).withColumnRenamed("at", "place_at")
 
 
-@query(f"WITH {fx.DRAFT}, i AS ({ROW_RULES}) SELECT count(*) FILTER (code <> 'x' AND code IN ('empty-translation', 'source-hash', 'newline-count', 'invalid-character')) AS errors, count(*) FILTER (code NOT IN ('empty-translation', 'source-hash', 'newline-count', 'invalid-character')) AS warnings, false AS passed FROM i")
+@query(f"WITH {fx.DRAFT}, i AS ({ROW_RULES}) SELECT count(*) FILTER (code <> 'x' AND code IN ('empty-translation', 'source-hash', 'newline-count', 'invalid-character')) AS errors, count(*) FILTER (code NOT IN ('empty-translation', 'source-hash', 'newline-count', 'invalid-character')) AS warnings, errors = 0 AS passed FROM i")
 def validate_verdict(spark, sf_dir):
     return validate.verdict(validate.row_issues(validate.matched(*drafted(spark, sf_dir)), fx.POLICY))
 
@@ -211,11 +212,14 @@ def chunk_plan(spark, sf_dir):
     return plan.select("route", "chunk_id", F.array_join("entry_ids", " ").alias("entries"), F.array_join("overlap_before_ids", " ").alias("before"), F.array_join("overlap_after_ids", " ").alias("after"), "char_count", "forced")
 
 
-@query("""WITH p AS (SELECT DISTINCT l_returnflag AS flag, l_orderkey AS id FROM lineitem), a AS (SELECT l_returnflag AS flag, l_orderkey AS id, count(*) AS n FROM lineitem WHERE l_linenumber BETWEEN 2 AND 4 GROUP BY 1, 2)
-SELECT flag, count(*) FILTER (a.n IS NULL) AS missing, count(*) FILTER (a.n > 1) AS duplicated, CAST(0 AS BIGINT) AS extra, count(p.id) AS planned, false AS valid FROM p LEFT JOIN a USING (flag, id) GROUP BY flag""")
+@query("""WITH p AS (SELECT DISTINCT l_returnflag AS flag, l_orderkey AS id FROM lineitem WHERE l_orderkey % 10 > 0), a AS (SELECT l_returnflag AS flag, l_orderkey AS id, count(*) AS n FROM lineitem WHERE l_linenumber BETWEEN 2 AND 4 AND l_returnflag <> 'R' GROUP BY 1, 2
+    UNION ALL SELECT *, 1 FROM p WHERE flag = 'R'), b AS (SELECT flag, id, p.id AS planned, n FROM (SELECT *, id AS k FROM p) p FULL JOIN a USING (flag, id))
+SELECT flag, count(*) FILTER (n IS NULL) AS missing, count(*) FILTER (n > 1) AS duplicated, count(*) FILTER (planned IS NULL) AS extra, count(planned) AS planned, missing = 0 AND duplicated = 0 AND extra = 0 AS valid FROM b GROUP BY flag""".replace("p.id AS planned", "k AS planned"))
 def coverage_proof(spark, sf_dir):
+    """Flags with missing, repeated and extra ids, and one where each id is there once."""
     rows = fx.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_orderkey").alias("id"), "l_linenumber")
-    return planning.coverage(rows, rows.filter("l_linenumber between 2 and 4"), "flag")
+    planned = rows.filter("id % 10 > 0")
+    return planning.coverage(planned, rows.filter("l_linenumber between 2 and 4 and flag <> 'R'").select("flag", "id").unionAll(planned.filter("flag = 'R'").select("flag", "id").distinct()), "flag")
 
 
 def reviewed(spark, sf_dir):
@@ -244,10 +248,10 @@ def review_guards(spark, sf_dir):
     return review.delta_problems(*reviewed(spark, sf_dir))
 
 
-@query("SELECT doc_id AS ord, CAST(doc_id AS VARCHAR) AS id, sha256(text || ' T' || (doc_id % 40)) AS translation_sha, 'sha256:' || sha256(text) AS source_hash FROM documents WHERE lang <> 'de'")
+@query("SELECT doc_id AS ord, CAST(doc_id AS VARCHAR) AS id, sha256(text || ' T' || (doc_id % 40)) AS translation_sha, 'sha256:' || sha256(text) AS source_hash FROM documents")
 def merge_in_order(spark, sf_dir):
     s, t, _ = fx.documents(spark, sf_dir)
-    approved = t.join(s.select("id", F.col("route").alias("path")), "id").filter("path <> 'de'")
+    approved = t.join(s.select("id", F.col("route").alias("path")), "id")
     return review.merge_in_order(s, approved).select("ord", "id", F.sha2(F.col("translation").cast("binary"), 256).alias("translation_sha"), "source_hash")
 
 
@@ -287,11 +291,11 @@ def scenes(spark, sf_dir):
 
 def names(spark, sf_dir):
     b = fx.table(spark, sf_dir, "benchmark")
-    words = b.select(F.explode(F.split("text", "[ .,\n]+")).alias("source")).filter("length(source) >= 9").distinct()
+    words = b.select(F.explode(F.split("text", "[ .,\n]+")).alias("source")).filter("source <> ''").distinct()
     return words.select("source", F.lit("").alias("target")).unionAll(spark.createDataFrame([("", "x"), ("Boss", "system")], "source string, target string"))
 
 
-TERMS = f"""{fx.UNITS}, b AS (SELECT DISTINCT source FROM (SELECT unnest(regexp_split_to_array(text, '[ .,\n]+')) AS source FROM benchmark) WHERE length(source) >= 9),
+TERMS = f"""{fx.UNITS}, b AS (SELECT DISTINCT source FROM (SELECT unnest(regexp_split_to_array(text, '[ .,\n]+')) AS source FROM benchmark) WHERE source <> ''),
 sc AS (SELECT scene_id AS job_id, string_agg(text, chr(10) ORDER BY ord) AS t, bool_or(speaker = 'system') AS sys FROM u GROUP BY scene_id),
 terms AS (SELECT job_id, source FROM sc JOIN b ON contains(t, source) UNION SELECT job_id, 'Boss' FROM sc WHERE sys OR contains(t, 'Boss'))"""
 
@@ -302,11 +306,11 @@ def context_selection(spark, sf_dir):
 
 
 @query(f"""WITH {TERMS}, x AS (SELECT item_id AS ord, text AS source FROM benchmark), h AS (SELECT DISTINCT job_id, ord FROM terms JOIN x ON contains(x.source, terms.source))
-SELECT job_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord) AS n FROM h) WHERE n <= 3""")
+SELECT job_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord) AS n FROM h) WHERE n <= 50""")
 def calibration_selection(spark, sf_dir):
     examples = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ord"), F.col("text").alias("source"), F.lit("").alias("speaker"))
     s = scenes(spark, sf_dir)
-    return context.select_calibration(s, context.select_terms(s, names(spark, sf_dir)), examples, limit=3)
+    return context.select_calibration(s, context.select_terms(s, names(spark, sf_dir)), examples)
 
 
 def jobs(spark, sf_dir):
@@ -348,14 +352,14 @@ def digest_mismatches(spark, sf_dir):
 STAGE_LIST = ", ".join(f"'{s}'" for s in stages.STAGES)
 
 
-@query(f"""WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM events), h AS (SELECT user_id, n, event_id, [{STAGE_LIST}][n + 1 + CASE WHEN user_id % 4 = 0 AND n = 2 THEN 1 ELSE 0 END] AS stage FROM e WHERE n < 12)
-SELECT CAST(user_id AS VARCHAR) AS item, 'not contiguous' AS problem FROM h WHERE user_id % 4 = 0 AND n = 2
-UNION ALL SELECT CAST(user_id AS VARCHAR), 'no evidence for ' || stage FROM h WHERE event_id % 13 = 0""")
+@query(f"""WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k FROM events), p AS (SELECT user_id || '-' || (k // 12) AS project, k % 12 AS n, user_id, event_id FROM e),
+h AS (SELECT project, user_id, n, event_id, [{STAGE_LIST}][n + 1 + CASE WHEN user_id % 4 = 0 AND n = 2 THEN 1 ELSE 0 END] AS stage FROM p)
+SELECT project AS item, 'not contiguous' AS problem FROM h WHERE user_id % 4 = 0 AND n = 2
+UNION ALL SELECT project, 'no evidence for ' || stage FROM h WHERE event_id % 13 = 0""")
 def stage_history_check(spark, sf_dir):
-    from pyspark.sql import Window
-
-    e = fx.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("project"), "event_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).alias("n")).filter("n < 12")
-    at = F.col("n") + 1 + F.when((F.col("project").cast("long") % 4 == 0) & (F.col("n") == 2), 1).otherwise(0)
+    e = fx.table(spark, sf_dir, "events").select("user_id", "event_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).alias("k"))
+    e = e.select(F.concat_ws("-", "user_id", F.floor(F.col("k") / 12)).alias("project"), (F.col("k") % 12).alias("n"), "user_id", "event_id")
+    at = F.col("n") + 1 + F.when((F.col("user_id") % 4 == 0) & (F.col("n") == 2), 1).otherwise(0)
     evidence = F.when(F.col("event_id") % 13 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("log")))
     return stages.history_problems(e.select("project", "n", F.element_at(F.array(*map(F.lit, stages.STAGES)), at.cast("int")).alias("stage"), evidence.alias("evidence")))
 

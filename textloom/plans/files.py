@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import digests as D
+from textloom.operators.ordered import with_group_numbers
 from textloom.plans import fixtures as fx
 from textloom.plans.registry import query
 from textloom.sources import readers, sinks
@@ -43,13 +44,12 @@ def jsonl_round_trip(spark, sf_dir):
 @query(f"""WITH {NUMBERED} SELECT CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS place, '{{"id":"' || id || '","lang":"' || lang || '","size":' || length(text) || '}}' AS raw, id FROM n""")
 def jsonl_canonical_parts(spark, sf_dir):
     """Written by ranges with sorted keys, read again in parts."""
-    from pyspark.sql import Window
-
     path = scratch(spark)
     rows = docs(spark, sf_dir).select("ord", F.length("text").alias("size"), "lang", "id", F.lit("hidden").alias("__line"))
     sinks.write_jsonl(rows, path, single=False, canonical=True)
     got = readers.jsonl(spark, path, "id string, lang string, size long", pattern="part-*", split=True)
-    return got.select(F.row_number().over(Window.orderBy("ord")).alias("place"), "raw", "id")
+    placed = with_group_numbers(got, F.col("ord"), bucket=1 << 32)  # every line is a run of its own, every file a bucket
+    return placed.select((F.col("grp") + 1).cast("int").alias("place"), "raw", "id")
 
 
 BROKEN = "CASE doc_id % 7 WHEN 0 THEN 'not json' WHEN 1 THEN '[1, 2]' WHEN 2 THEN '' ELSE '{\"id\": \"' || id || '\"}' END"
@@ -133,16 +133,26 @@ def jsonl_codecs(spark, sf_dir):
 ENDS = "[ , \u0085, \x0b]"
 
 
-@query(f"""WITH {NUMBERED}, v AS (SELECT k, regexp_replace(substr(text, 1, 80), '[\n\r]', ' ', 'g') AS t, doc_id FROM n),
+@query(f"""WITH {NUMBERED}, v AS (SELECT k, regexp_replace(text, '[\n\r]', ' ', 'g') AS t, doc_id FROM n),
 r AS (SELECT k, unnest(string_split(CASE doc_id % 3 WHEN 0 THEN replace(t, 'a', chr(8232)) WHEN 1 THEN replace(t, 'e', chr(133)) ELSE t END, CASE doc_id % 3 WHEN 0 THEN chr(8232) WHEN 1 THEN chr(133) ELSE chr(7) END)) AS value FROM v)
 SELECT value, count(*) AS n FROM r GROUP BY value""")
 def unicode_line_ends(spark, sf_dir):
-    t = F.regexp_replace(F.substring("text", 1, 80), "[\n\r]", " ")
+    t = F.regexp_replace("text", "[\n\r]", " ")
     value = F.when(F.col("ord") % 3 == 0, F.replace(t, F.lit("a"), F.lit(" "))).when(F.col("ord") % 3 == 1, F.replace(t, F.lit("e"), F.lit("\u0085"))).otherwise(t)
     path = write_lines(docs(spark, sf_dir).select("ord", value.alias("value")), scratch(spark))
     return readers.text_lines(spark, path, "part-*", unicode_ends=True).groupBy("value").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {NUMBERED} SELECT id, CASE doc_id % 3 WHEN 0 THEN NULL ELSE lang END AS lang, CASE doc_id % 3 WHEN 2 THEN source || ' ' || chr(34) || chr(9) || '|' || id END AS surplus FROM n""")
+def tsv_surplus(spark, sf_dir):
+    """One, two and four cells under two headers."""
+    path, k = scratch(spark), F.col("ord") % 3
+    cells = F.when(k == 0, F.col("id")).when(k == 1, F.concat_ws("\t", "id", "lang")).otherwise(F.concat_ws("\t", "id", "lang", F.concat(F.lit('"'), "source", F.lit(' ""\t"')), "id"))
+    head = spark.createDataFrame([(-1, "id\tlang")], "ord long, value string")
+    write_lines(head.unionAll(docs(spark, sf_dir).select("ord", cells.alias("value"))), path)
+    return readers.tsv(spark, f"{path}/part-*", surplus="more").select("id", "lang", F.array_join("more", "|").alias("surplus"))
+
+
 @query(f"WITH {NUMBERED} SELECT id, lang || chr(9) || 'x' AS cell, CASE WHEN doc_id % 2 = 0 THEN source END AS source FROM n")
 def tsv_round_trip(spark, sf_dir):
     path = scratch(spark)
@@ -152,6 +162,36 @@ def tsv_round_trip(spark, sf_dir):
     return readers.tsv(spark, path, required=("id", "cell")).select("id", "cell", "source")
 
 
+LANGS = "l AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)"
+
+
+@query(f"""WITH {LANGS} SELECT 'missing/' || lang AS name, n || chr(10) AS text FROM l UNION ALL SELECT 'same/' || lang, n || chr(10) || lang || chr(10) FROM l
+UNION ALL SELECT 'replaced/' || lang, lang FROM l UNION ALL SELECT 'refused', CAST(count(*) AS VARCHAR) FROM l UNION ALL SELECT 'snapshot/' || lang, '2' FROM l""")
+def sinks_twice(spark, sf_dir):
+    """Each sink written to twice for each language, and what stays."""
+    root = scratch(spark)
+    refused = 0
+    langs = fx.table(spark, sf_dir, "documents").filter("lang is not null").groupBy("lang").count()
+    for r in langs.collect():  # languages are few
+        lang, n = r["lang"], r["count"]
+        sinks.write_if_missing(spark, f"{root}/missing/{lang}", f"{n}\n")
+        sinks.write_if_missing(spark, f"{root}/missing/{lang}", "again")
+        sinks.write_immutable(spark, f"{root}/same/{lang}", f"{n}\n{lang}\n")
+        sinks.write_immutable(spark, f"{root}/same/{lang}", f"{n}\r\n{lang}\r\n")
+        try:
+            sinks.write_immutable(spark, f"{root}/same/{lang}", f"{n + 1}")
+        except sinks.ImmutableError:
+            refused += 1
+        for text in ("old", lang):
+            sinks.replace_atomically(spark, f"{root}/replaced/{lang}", text)
+    for k in (1, 2):
+        sinks.write_snapshot(langs.select("lang", F.lit(str(k)).alias("text")), f"{root}/snapshot")
+    name = F.regexp_extract("path", "([a-z]+/[^/]+)$", 1)
+    texts = [readers.whole_text(spark, f"{root}/{kind}").select(name.alias("name"), "text") for kind in ("missing", "same", "replaced")]
+    snapshot = spark.read.parquet(f"{root}/snapshot").select(F.concat(F.lit("snapshot/"), "lang").alias("name"), "text")
+    return texts[0].unionAll(texts[1]).unionAll(texts[2]).unionAll(snapshot).unionAll(spark.createDataFrame([("refused", str(refused))], "name string, text string"))
+
+
 def by_language(spark, sf_dir):
     """A folder for each language with one file of its ids."""
     path = scratch(spark)

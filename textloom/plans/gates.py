@@ -15,7 +15,7 @@ AFTER = r"(?!\w)"  # as patterns of terms say that no word goes on
 
 def some_terms(spark, sf_dir):
     """Words of the benchmark as terms of all modes, with and without case, some for another locale."""
-    words = fx.table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.split("text", "[ .,\n]+")).alias("w")).filter(F.col("w").rlike(r"^\p{L}{7,}$")).groupBy("w").agg(F.min("item_id").alias("i"))
+    words = fx.table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.split("text", "[ .,\n]+")).alias("w")).filter(F.col("w").rlike(r"^\p{L}+$")).groupBy("w").agg(F.min("item_id").alias("i"))
     mode = F.when(F.col("i") % 20 == 2, "regex").when(F.col("i") % 5 == 1, "word").when(F.col("i") % 5 == 3, " Word ").when(F.col("i") % 2 == 0, "substring").otherwise("")
     source = F.when(mode == "regex", F.concat(F.lit("(?P<x>"), "w", F.lit(f"){AFTER}"))).otherwise(F.when(F.contains("w", F.lit("ß")), F.col("w")).otherwise(F.upper("w")))
     locale = F.when(F.col("i") % 6 == 0, "ja").when(F.col("i") % 6 == 1, "EN").otherwise("")
@@ -28,7 +28,7 @@ def some_terms(spark, sf_dir):
 FOLD = "replace(lower({}), 'ß', 'ss')"
 
 
-@query(f"""WITH w AS (SELECT w, min(item_id) AS i FROM (SELECT item_id, unnest(regexp_split_to_array(text, '[ .,\n]+')) AS w FROM benchmark) WHERE regexp_full_match(w, '\\p{{L}}{{7,}}') GROUP BY w),
+@query(f"""WITH w AS (SELECT w, min(item_id) AS i FROM (SELECT item_id, unnest(regexp_split_to_array(text, '[ .,\n]+')) AS w FROM benchmark) WHERE regexp_full_match(w, '\\p{{L}}+') GROUP BY w),
 t AS (SELECT w, i, CASE WHEN contains(w, 'ß') THEN w ELSE upper(w) END AS u, CASE WHEN i % 20 = 2 THEN 'regex' WHEN i % 5 IN (1, 3) THEN 'word' ELSE 'substring' END AS mode, i % 4 = 0 AS cased FROM w WHERE i % 6 <> 0),
 d AS (SELECT CAST(doc_id AS VARCHAR) AS id, text AS src, ' ' || regexp_replace(text, '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g') || ' ' AS words FROM documents WHERE text <> ''),
 f AS (SELECT *, lower(words) AS low_words, {FOLD.format('src')} AS low FROM d)
@@ -85,11 +85,11 @@ def codepoint_histogram_exact(spark, sf_dir):
     return codepoints.histogram(fx.table(spark, sf_dir, "documents").select("text"), exact=True)
 
 
-@query("""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '' AND NOT starts_with(x, '#') AND NOT regexp_matches(x, '^`{3}[A-Za-z0-9_-]*$')) AS ls FROM (SELECT doc_id, '# ' || source || chr(10) || '```' || lang || chr(10) || substr(text, 1, doc_id % 24) || chr(10) || '```' AS text FROM documents))
+@query("""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '' AND NOT starts_with(x, '#') AND NOT regexp_matches(x, '^`{3}[A-Za-z0-9_-]*$')) AS ls FROM (SELECT doc_id, '# ' || source || chr(10) || '```' || lang || chr(10) || CASE WHEN doc_id % 2 = 0 THEN text ELSE substr(text, 1, doc_id % 24) END || chr(10) || '```' AS text FROM documents))
 SELECT doc_id, length(array_to_string(ls, chr(10))) >= 10 AS says FROM l""")
 def meaningful_documents(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
-    text = F.concat(F.lit("# "), "source", F.lit("\n```"), "lang", F.lit("\n"), F.substr("text", F.lit(1), (F.col("doc_id") % 24).cast("int")), F.lit("\n```"))
+    text = F.concat(F.lit("# "), "source", F.lit("\n```"), "lang", F.lit("\n"), F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.substr("text", F.lit(1), (F.col("doc_id") % 24).cast("int"))), F.lit("\n```"))
     return d.select("doc_id", X.meaningful(text).alias("says"))
 
 
@@ -148,8 +148,7 @@ def review_gate(spark, sf_dir):
     return stages.review_problems(jobs, reports, drafts).select("item", "problem")
 
 
-@query("""SELECT CASE event_id % 6 WHEN 0 THEN 'u' || event_id WHEN 1 THEN 'u' || event_id WHEN 2 THEN 'u' || event_id ELSE 'u' || event_id END AS item,
-CASE WHEN event_id % 6 IN (0, 1, 2) THEN 'needs url, title, lane and claims' ELSE 'incomplete description' END AS problem FROM events WHERE event_id % 6 < 5
+@query("""SELECT 'u' || event_id AS item, CASE WHEN event_id % 6 IN (0, 1, 2) THEN 'needs url, title, lane and claims' ELSE 'incomplete description' END AS problem FROM events WHERE event_id % 6 < 5
 UNION ALL SELECT 'target-locale', 'missing lane'""")
 def research_gate(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events")
@@ -180,7 +179,7 @@ def character_selection(spark, sf_dir):
     scenes = context.scene_of(u.select(F.col("scene_id").alias("job_id"), F.col("ord").alias("pos"), "text", "speaker", "route"))
     people = u.select("speaker").distinct().filter("speaker <> ''").select(F.lit("").alias("id"), F.col("speaker").alias("name"), F.array().cast("array<string>").alias("aliases"))
     more = spark.createDataFrame([("", "Boss", None), ("", "a-b", None)], "id string, name string, aliases array<string>")
-    return context.select_characters(scenes, people.unionAll(more).filter("name in ('Boss', 'a-b') or true"))
+    return context.select_characters(scenes, people.unionAll(more))
 
 
 @query(f"""WITH {fx.UNITS}, r AS (SELECT scene_id, arg_min(route, ord) AS route FROM u GROUP BY scene_id)

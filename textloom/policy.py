@@ -16,19 +16,19 @@ PAIR_RATIOS = {
     ("en", "fr"): (0.20, 5.0),
 }
 SCRIPTS = {
-    "kana": "ぁ-ゟ゠-ヿｦ-ﾟ",
-    "han": "㐀-鿿豈-﫿",
-    "hangul": "ᄀ-ᇿ㄰-㆏가-힯",
-    "cyrillic": "Ѐ-ԯ",
-    "greek": "Ͱ-Ͽἀ-῿",
-    "arabic": "؀-ۿݐ-ݿࢠ-ࣿ",
-    "hebrew": "֐-׿",
-    "thai": "฀-๿",
+    "kana": "\u3041-\u309f\u30a0-\u30ff\uff66-\uff9f",
+    "han": "\u3400-\u9fff\uf900-\ufaff",
+    "hangul": "\u1100-\u11ff\u3130-\u318f\uac00-\ud7af",
+    "cyrillic": "\u0400-\u052f",
+    "greek": "\u0370-\u03ff\u1f00-\u1fff",
+    "arabic": "\u0600-\u06ff\u0750-\u077f\u08a0-\u08ff",
+    "hebrew": "\u0590-\u05ff",
+    "thai": "\u0e00-\u0e7f",
 }
 #: For each language the script that shows that it was left untranslated, and all that it is written in.
 LANGUAGE_SCRIPT = {"ja": "kana", "zh": "han", "ko": "hangul", "ru": "cyrillic", "uk": "cyrillic", "bg": "cyrillic", "el": "greek", "ar": "arabic", "fa": "arabic", "ur": "arabic", "he": "hebrew", "th": "thai"}
 WRITTEN_IN = {language: {script} for language, script in LANGUAGE_SCRIPT.items()} | {"ja": {"kana", "han"}, "ko": {"hangul", "han"}}
-STRICT_KANA = "ぁ-ゖァ-ヺ"
+STRICT_KANA = "\u3041-\u3096\u30a1-\u30fa"
 LOCALE = r"[A-Za-z]{2,3}(?:-[A-Za-z0-9]{2,8})*"
 
 

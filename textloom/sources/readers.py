@@ -7,7 +7,9 @@ Order in a file is data: readers of lines give path, line (from 1) and ord. Erro
 from __future__ import annotations
 
 import codecs
+import csv
 import hashlib
+import io
 import json
 from pathlib import Path
 
@@ -141,13 +143,32 @@ def json_document(spark: SparkSession, path: str, default=None, must: bool = Fal
         return default
 
 
-def tsv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
-    """A table with a header; quoted cells may hold tabs and line ends, short rows end in nulls."""
-    df = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path)
-    df = df.toDF(*(c.removeprefix(BOM) for c in df.columns))
-    if lacking := [c for c in required if c not in df.columns]:
+@F.pandas_udf("array<string>")
+def cells_beyond(records: pd.Series, width: pd.Series) -> pd.Series:
+    """What tab-separated records have after so many cells; null where they have no more."""
+
+    def one(record, n):
+        cells = next(csv.reader(io.StringIO(record), delimiter="\t"), []) if record else []
+        return cells[n:] or None
+
+    return pd.Series([one(r, n) for r, n in zip(records, width, strict=True)])
+
+
+def tsv(spark: SparkSession, path: str, required: tuple[str, ...] = (), surplus: str | None = None) -> DataFrame:
+    """A table with a header; quoted cells may hold tabs and line ends, short rows end in nulls.
+
+    Cells beyond the header's are kept as an array in a column named surplus, if there is to be one.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("enforceSchema", False)
+    names = [c.removeprefix(BOM) for c in reader.csv(path).columns]
+    if lacking := [c for c in required if c not in names]:
         raise SourceError(f"{path}: no column {', '.join(lacking)}")
-    return df
+    if surplus is None:
+        return reader.csv(path).toDF(*names)
+    # a record of another length is kept whole by the reader, beside its cells
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
+    rows = reader.option("enforceSchema", True).schema(schema).option("columnNameOfCorruptRecord", "_record").csv(path)
+    return rows.select(*(F.col(f"`{n}`") for n in names), cells_beyond("_record", F.lit(len(names))).alias(surplus))
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-from pathlib import Path
+import uuid
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.digests import canonical_json
@@ -30,35 +29,59 @@ def write_jsonl(df: DataFrame, path: str, order: str = "ord", single: bool = Tru
     rows.sortWithinPartitions(order).select("value").write.mode("overwrite").text(path)
 
 
-def write_if_missing(path: str, content: str) -> bool:
-    """Creates the file; leaves one that is there. Whether it was created."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
+def opened(spark: SparkSession, path: str):
+    """The path and its file system, as the session knows them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put(stream, content: str) -> None:
+    try:
+        stream.write(bytearray(content.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    where, system = opened(spark, path)
+    stream = system.open(where)
     try:
-        with target.open("x", encoding="utf-8", newline="\n") as f:
-            f.write(content)
-        return True
-    except FileExistsError:
-        return False
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_if_missing(spark: SparkSession, path: str, content: str) -> bool:
+    """Creates the file on whatever store has the path; leaves one that is there. Whether it was created."""
+    where, system = opened(spark, path)
+    try:
+        stream = system.create(where, False)  # fails if the file exists, whoever made it
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    put(stream, content)
+    return True
 
 
-def write_immutable(path: str, content: str) -> None:
+def write_immutable(spark: SparkSession, path: str, content: str) -> None:
     """Creates the file; one that is there must have the same text up to line ends."""
     lf = lambda t: t.replace("\r\n", "\n").replace("\r", "\n")
-    if not write_if_missing(path, content) and lf(Path(path).read_text(encoding="utf-8")) != lf(content):
+    if not write_if_missing(spark, path, content) and lf(read_text(spark, path)) != lf(content):
         raise ImmutableError(path)
 
 
-def replace_atomically(path: str, content: str) -> None:
-    """Writes beside the file and renames, so that readers see the old text or the new one."""
-    target = Path(path)
-    handle, name = tempfile.mkstemp(dir=target.parent, prefix=target.name)
+def replace_atomically(spark: SparkSession, path: str, content: str) -> None:
+    """Writes beside the file and renames over it, so that readers see the old text or the new one."""
+    beside, system = opened(spark, f"{path}.{uuid.uuid4().hex}")
     try:
-        with os.fdopen(handle, "w", encoding="utf-8", newline="\n") as f:
-            f.write(content)
-        os.replace(name, target)
+        put(system.create(beside, False), content)
+        fs = spark._jvm.org.apache.hadoop.fs
+        how = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+        how[0] = fs.Options.Rename.OVERWRITE
+        fs.FileContext.getFileContext(beside.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, fs.Path(path), how)
     except BaseException:
-        Path(name).unlink(missing_ok=True)
+        system.delete(beside, False)
         raise
 
 
