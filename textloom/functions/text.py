@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 #: The code points that count as white space at a text's ends.
 SPACES = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WORD = r"[\p{L}\p{N}_]"
+LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 
 
 def strip(c: Column) -> Column:
@@ -90,10 +91,10 @@ def is_visible(char: Column) -> Column:
 
 
 def meaningful(markdown: Column, least: int = 10) -> Column:
-    """Whether enough characters are left without blank lines, headings and bare fences."""
-    lines = F.transform(F.split(F.regexp_replace(markdown, "\r\n?", "\n"), "\n"), strip)
-    kept = F.filter(lines, lambda x: (x != "") & ~x.startswith("#") & ~x.rlike(r"^`{3}[A-Za-z0-9_-]*$"))
-    return F.coalesce(F.length(F.array_join(kept, "\n")) >= least, F.lit(False))
+    """Whether the lines that are neither blank, nor headings, nor a bare fence have enough characters in all."""
+    lines = F.transform(F.split(F.ltrim(markdown, F.lit("\ufeff")), LINE_ENDS), strip)
+    kept = F.filter(lines, lambda x: (x != "") & ~x.startswith("#") & (x != "```"))
+    return F.coalesce(F.length(F.array_join(kept, "")) >= least, F.lit(False))
 
 
 @F.pandas_udf(T.BooleanType())

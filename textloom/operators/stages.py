@@ -89,17 +89,17 @@ def set_status(jobs: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def missing_lanes(sources: DataFrame) -> DataFrame:
-    """Required research lanes that no source has, by the lanes' aliases."""
+    """Required research lanes that no source has, by the lanes' aliases, letter by letter."""
     spark = sources.sparkSession
     alias = F.create_map(*(F.lit(x) for pair in LANES.items() for x in pair))
-    have = sources.select(alias[F.lower(strip(F.col("lane")))].alias("lane"))
+    have = sources.select(alias[F.col("lane")].alias("lane"))
     return spark.createDataFrame([(x,) for x in REQUIRED_LANES], "lane string").join(have, "lane", "left_anti")
 
 
 def research_problems(sources: DataFrame, rich: bool = True) -> DataFrame:
     alias = F.create_map(*(F.lit(x) for pair in LANES.items() for x in pair))
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    basic = blank("url") | blank("title") | alias[F.lower(strip(F.col("lane")))].isNull() | (F.coalesce(F.size("claims"), F.lit(-1)) <= 0)
+    basic = blank("url") | blank("title") | alias[F.col("lane")].isNull() | (F.coalesce(F.size("claims"), F.lit(-1)) <= 0)
     parts = [problem(missing_lanes(sources), "researched", "lane", "missing lane"), problem(sources.filter(basic), "researched", "url", "needs url, title, lane and claims")]
     if rich:
         language = F.lit(True)
@@ -211,10 +211,12 @@ def plan_coverage(jobs: DataFrame, source: DataFrame) -> DataFrame:
 
 def digest_mismatches(jobs: DataFrame, source: DataFrame) -> DataFrame:
     """Jobs whose source_digest isn't that of their entries (all of which must exist)."""
-    listed = jobs.select("job_id", F.posexplode("entry_ids").alias("pos", "id")).join(source.select("id", "source_hash", "text"), "id", "left")
-    found = source_digest(listed.withColumn("ord", F.col("pos")), ["job_id"], strict=False)
-    known = listed.groupBy("job_id").agg(F.count_if(F.col("text").isNull()).alias("unknown"))
-    both = jobs.select("job_id", "source_digest").join(found, "job_id", "left").join(known, "job_id", "left")
+    planned = jobs.select("job_id", "source_digest", "entry_ids", F.xxhash64("entry_ids").alias("_list"))  # a job_id may be planned twice
+    key = ["job_id", "_list"]
+    listed = planned.select(*key, "entry_ids").distinct().select(*key, F.posexplode("entry_ids").alias("pos", "id")).join(source.select("id", "source_hash", "text"), "id", "left")
+    found = source_digest(listed.withColumn("ord", F.col("pos")), key, strict=False)
+    known = listed.groupBy(*key).agg(F.count_if(F.col("text").isNull()).alias("unknown"))
+    both = planned.join(found, key, "left").join(known, key, "left")
     off = F.when(F.coalesce("unknown", F.lit(0)) == 0, ~F.col("source_digest").eqNullSafe(F.col("digest"))).otherwise(~is_digest(F.col("source_digest")))
     return both.filter(off).select("job_id")
 

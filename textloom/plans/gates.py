@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textloom.functions import digests as D
 from textloom.functions import text as X
-from textloom.operators import codepoints, context, glossary, stages, validate
+from textloom.operators import audit, codepoints, context, glossary, stages, validate
 from textloom.plans import fixtures as fx
 from textloom.plans.registry import query
 from textloom.policy import Policy
@@ -85,11 +86,11 @@ def codepoint_histogram_exact(spark, sf_dir):
     return codepoints.histogram(fx.table(spark, sf_dir, "documents").select("text"), exact=True)
 
 
-@query("""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '' AND NOT starts_with(x, '#') AND NOT regexp_matches(x, '^`{3}[A-Za-z0-9_-]*$')) AS ls FROM (SELECT doc_id, '# ' || source || chr(10) || '```' || lang || chr(10) || CASE WHEN doc_id % 2 = 0 THEN text ELSE substr(text, 1, doc_id % 24) END || chr(10) || '```' AS text FROM documents))
-SELECT doc_id, length(array_to_string(ls, chr(10))) >= 10 AS says FROM l""")
+@query("""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '' AND NOT starts_with(x, '#') AND x <> '```') AS ls FROM (SELECT doc_id, '# ' || source || chr(10) || '```' || CASE WHEN doc_id % 3 = 0 THEN lang ELSE '' END || chr(10) || CASE WHEN doc_id % 2 = 0 THEN text ELSE substr(text, 1, doc_id % 24) END || chr(10) || '```' AS text FROM documents))
+SELECT doc_id, length(array_to_string(ls, '')) >= 10 AS says FROM l""")
 def meaningful_documents(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
-    text = F.concat(F.lit("# "), "source", F.lit("\n```"), "lang", F.lit("\n"), F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.substr("text", F.lit(1), (F.col("doc_id") % 24).cast("int"))), F.lit("\n```"))
+    text = F.concat(F.lit("# "), "source", F.lit("\n```"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise(""), F.lit("\n"), F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.substr("text", F.lit(1), (F.col("doc_id") % 24).cast("int"))), F.lit("\n```"))
     return d.select("doc_id", X.meaningful(text).alias("says"))
 
 
@@ -153,7 +154,7 @@ UNION ALL SELECT 'target-locale', 'missing lane'""")
 def research_gate(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events")
     k = F.col("event_id") % 6
-    lane = F.when(k == 1, "elsewhere").when(F.col("event_id") % 2 == 0, " JP-Canon ").otherwise("unpack")
+    lane = F.when(k == 1, F.when(F.col("event_id") % 4 == 1, "elsewhere").otherwise(" JP-Canon ")).when(F.col("event_id") % 2 == 0, "jp-canon").otherwise("unpack")
     full = F.lit("x")
     sources = e.select(
         F.concat(F.lit("u"), "event_id").alias("url"), F.when(k == 0, "").otherwise(full).alias("title"), lane.alias("lane"), F.when(k == 2, F.array().cast("array<string>")).otherwise(F.array(full)).alias("claims"),
@@ -200,3 +201,80 @@ def job_rows(spark, sf_dir):
     jobs = u.groupBy("conv_id").agg(F.collect_list("id").alias("entry_ids")).select(F.concat(F.lit("j"), "conv_id").alias("job_id"), "entry_ids", near.alias("adjacent_entry_ids"))
     own = context.job_entries(jobs, u).select(F.lit("own").alias("kind"), "job_id", "id", "text")
     return own.unionAll(context.adjacent_entries(jobs, u).select(F.lit("next").alias("kind"), "job_id", "id", "text"))
+
+
+# What is delivered for a project, and by the project's number what is wrong with it, at which gate.
+DOCUMENTS = {
+    "project.json": '{"game_name": "g", "schema_version": 3, "source_locale": "ja", "target_locale": "en-GB"}', "source/file-manifest.json": '{"file_count": 2}', "research/unpack-notes.md": "# Notes\nArchives are plain.\n", "qa/roundtrip-report.json": '{"passed": true}',
+    "extracted/script-map.json": '{"nodes": [1]}', "extracted/control-token-report.json": '{"engines": ["k"]}', "bible/version.json": '{"frozen": true, "version": 1}', "bible/world.md": "A world of islands.", "bible/honorifics.md": "They are kept as is.", "bible/language-profile.md": "Plain, short sentences.",
+    "bible/characters.json": '{"characters": [{"id": "a"}]}', "bible/voice.json": '{"narrator": {"tone": "dry"}}', "bible/route-knowledge.json": "{}", "bible/calibration.jsonl": '{"source": "x"}\n', "bible/glossary.tsv": "\t".join(stages.GLOSSARY_FIELDS) + "\na\tb\n",
+    "qa/global.json": '{"errors": 0}', "qa/repack-report.json": '{"passed": true}', "qa/playtest-report.json": '{"passed": true}', "qa/release-report.json": '{"passed": true}',
+}
+FOLDERS = ["staging/roundtrip/input", "staging/roundtrip/unpacked", "staging/roundtrip/repacked", "build", "release"]
+WRONG = [
+    ("project.json", None, "initialized", "project.json must contain game_name"), ("project.json", '{"game_name": "g", "schema_version": 3, "target_locale": 5}', "initialized", "project.json must contain source_locale,project.json must contain target_locale"),
+    ("project.json", '{"game_name": "g", "schema_version": 3, "source_locale": "EN", "target_locale": "en"}', "initialized", "source_locale and target_locale must be different"), ("project.json", '{"game_name": "g", "schema_version": 2}', None, None),
+    ("source/file-manifest.json", '{"file_count": 0}', "researched", "manifest describes no file"), ("research/unpack-notes.md", "# A long heading only\n```\nshort\n", "researched", "unpack-notes.md has no meaningful content"),
+    ("qa/roundtrip-report.json", '{"passed": "true"}', "roundtrip-proven", "roundtrip-report.json must contain passed=true"), ("staging/roundtrip/unpacked", 0, "roundtrip-proven", "staging/roundtrip/unpacked is empty"),
+    ("extracted/script-map.json", '{"nodes": {}}', "extracted", "script-map.json has no scene nodes"), ("extracted/control-token-report.json", '{"engines": []} x', "extracted", "control-token-report.json has no engine inventory"),
+    ("bible/version.json", '{"frozen": true, "version": 0}', "bible-frozen", "version.json must be frozen at version >= 1"), ("bible/version.json", '{"frozen": 1, "version": 1}', "bible-frozen", "version.json must be frozen at version >= 1"), ("bible/world.md", "x", "bible-frozen", "world.md has no meaningful content"),
+    ("bible/honorifics.md", None, "bible-frozen", "honorifics.md has no meaningful content"), ("bible/language-profile.md", "", "bible-frozen", "language-profile.md has no meaningful content"), ("bible/characters.json", '{"characters": [{"id": "a"}, "b"]}', "bible-frozen", "characters.json has no characters"),
+    ("bible/voice.json", '{"narrator": {}, "characters": {}}', "bible-frozen", "voice.json has no voice definitions"), ("bible/voice.json", '{"narrator": "dry"}', "bible-frozen", "voice.json has no voice definitions"), ("bible/route-knowledge.json", '{"routes": []}', "bible-frozen", "route-knowledge.json is invalid"),
+    ("bible/calibration.jsonl", "\n", "bible-frozen", "calibration.jsonl has no approved examples"), ("bible/calibration.jsonl", '{"source": "x"}\n[]\n', "bible-frozen", "calibration.jsonl has no approved examples"), ("bible/glossary.tsv", "source\ttarget\na\tb\n", "bible-frozen", "glossary.tsv lacks required columns"),
+    ("bible/glossary.tsv", "\t".join(stages.GLOSSARY_FIELDS) + "\n", "bible-frozen", "glossary.tsv has no terminology rows"), ("jobs", "reviewed", "validated", "all jobs must be approved or merged"), ("qa/global.json", '{"errors": 1}', "validated", "global.json must report errors=0"),
+    ("qa/global.json", '{"errors": false}', None, None), ("build", 0, "repacked", "build is empty"), ("qa/repack-report.json", "[]", "repacked", "repack-report.json must contain passed=true"), ("qa/playtest-report.json", None, "playtested", "playtest-report.json must contain passed=true"),
+    ("release", 0, "released", "release is empty"), ("qa/release-report.json", '{"passed": false}', "released", "release-report.json must contain passed=true"), ("jobs", "merged", None, None),
+]
+
+
+@query(f"""WITH w AS (SELECT * FROM (VALUES {', '.join(f"({k}, '{gate}', '{one}')" for k, (_, _, gate, problems) in enumerate(WRONG) if gate for one in problems.split(','))}) AS t(k, gate, problem))
+SELECT o_orderkey AS project, gate, problem FROM orders JOIN w ON o_orderkey % {len(WRONG)} = w.k""")
+def project_gates(spark, sf_dir):
+    """A project for each order, each with one thing wrong at most: every rule of the gates on a project's documents."""
+    o = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("project"), (F.col("o_orderkey") % len(WRONG)).alias("k"))
+    at = lambda name: [(k, bad) for k, (what, bad, _, _) in enumerate(WRONG) if what == name]
+
+    def delivered(name, good):
+        out = F.lit(good)
+        for k, bad in at(name):
+            out = F.when(F.col("k") == k, F.lit(bad)).otherwise(out)
+        return out
+
+    docs = F.map_filter(F.create_map(*(x for name, good in DOCUMENTS.items() for x in (F.lit(name), delivered(name, good)))), lambda _, v: v.isNotNull())
+    files = F.create_map(*(x for name in FOLDERS for x in (F.lit(name), delivered(name, 3).cast("long"))))
+    jobs = o.select("project", delivered("jobs", "approved").alias("status"))
+    return audit.gate_problems(o.select("project", docs.alias("documents"), files.alias("files")), jobs).select("project", "gate", "problem")
+
+
+@query("""WITH e AS (SELECT user_id, event_id FROM events) SELECT CAST(user_id AS VARCHAR) AS item, 'no evidence at log/' || event_id || ' for researched' AS problem FROM e WHERE event_id % 9 = 0""")
+def evidence_paths(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "events")
+    path = F.concat(F.lit("log/"), "event_id")
+    history = e.select(F.col("user_id").cast("string").alias("project"), F.lit(1).alias("n"), F.lit("researched").alias("stage"), F.array(path, F.lit("")).alias("evidence"))
+    return stages.missing_evidence(history, e.filter("event_id % 9 > 0").select(path.alias("path"))).select("item", "problem")
+
+
+PLAN_RULES = {0: "not approved", 1: "stale bible_version", 2: "source_digest differs", 3: "no context_notes", 4: "scene_ids must be non-empty strings", 5: "source_files must be non-empty strings", 6: "predecessors must be strings", 7: "unknown predecessor", 8: "adjacent id not connected", 9: "job_id not unique"}
+
+
+@query(f"""WITH {fx.UNITS}, j AS (SELECT DISTINCT conv_id FROM u), w AS (SELECT * FROM (VALUES {', '.join(f"({k}, '{v}')" for k, v in PLAN_RULES.items())}) AS t(k, problem)), n AS (SELECT count(*) AS n FROM u WHERE conv_id % 12 = 9)
+SELECT 'j' || conv_id AS item, problem FROM j JOIN w ON conv_id % 12 = w.k UNION ALL SELECT 'j' || conv_id, 'unknown predecessor' FROM j WHERE conv_id % 12 = 6
+UNION ALL SELECT (SELECT count(*) FROM j WHERE conv_id % 12 = 10) || ' missing, ' || (SELECT count(*) FROM j WHERE conv_id % 12 = 10) || ' extra', 'coverage mismatch' FROM j WHERE conv_id % 12 = 10 HAVING count(*) > 0
+UNION ALL SELECT CAST(n AS VARCHAR), 'entries overlap' FROM n WHERE n > 0""")
+def plan_gate(spark, sf_dir):
+    """Jobs of conversations with one thing wrong each: every rule of an approved plan."""
+    u = fx.units(spark, sf_dir)
+    k = F.col("conv_id") % 12
+    rows = u.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("ord", "id"))).alias("rs")).join(D.source_digest(u, ["conv_id"]), "conv_id")
+    ids = F.transform("rs", lambda r: r["id"])
+    job = F.concat(F.lit("j"), "conv_id")
+    one, none = F.array(F.col("conv_id").cast("string")), F.array().cast("array<string>")
+    jobs = rows.select(
+        job.alias("job_id"), (k != 0).alias("plan_approved"), F.when(k == 1, 2).otherwise(3).cast("long").alias("bible_version"), F.when(k == 2, F.sha2(F.lit("x").cast("binary"), 256)).otherwise(F.col("digest")).alias("source_digest"), F.when(k == 3, " \t").otherwise("n").alias("context_notes"),
+        F.when(k == 4, none).otherwise(one).alias("scene_ids"), F.when(k == 5, F.array(F.lit("f"), F.lit(""))).otherwise(F.array(F.lit("f"))).alias("source_files"), F.when(k == 6, F.array(F.lit(None).cast("string"))).when(k == 7, F.array(F.lit("j-"))).otherwise(none).alias("predecessors"),
+        F.when(k == 8, F.array(F.lit("far"))).otherwise(none).alias("adjacent_entry_ids"), F.when(k == 10, F.concat(F.slice(ids, 2, F.size(ids)), F.array(F.concat(F.lit("new:"), job)))).otherwise(ids).alias("entry_ids"), k.alias("k"),
+    )
+    edges = spark.createDataFrame([], "src string, dst string")
+    jobs = jobs.unionAll(jobs.filter("k = 9"))
+    found = stages.plan_problems(jobs.drop("k"), u, edges, 3)
+    return found.select("item", "problem").distinct()

@@ -143,7 +143,7 @@ def json_document(spark: SparkSession, path: str, default=None, must: bool = Fal
         return default
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def cells_beyond(records: pd.Series, width: pd.Series) -> pd.Series:
     """What tab-separated records have after so many cells; null where they have no more."""
 
