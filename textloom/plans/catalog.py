@@ -9,7 +9,7 @@ from textloom.functions import digests as D
 from textloom.functions import text as X
 from textloom.operators import codepoints, context, glossary, planning, review, stages, validate
 from textloom.operators.ordered import with_group_numbers
-from textloom.plans import files, gates, runs  # noqa: F401  register their queries
+from textloom.plans import faces, files, gates, runs  # noqa: F401  register their queries
 from textloom.plans import fixtures as fx
 from textloom.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from textloom.sources import readers

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from jobs import intake, term_audit
 from jobs.common import config_of
+from textloom.operators.stages import STATUSES
 from textloom.plans import fixtures as fx
 from textloom.plans.files import scratch
 from textloom.plans.registry import query
+from textloom.streaming import changes
 
 
 @query(f"""WITH d AS (SELECT coalesce(nullif(lang, ''), 'und') AS lang, doc_id, regexp_split_to_array(text, '\\r\\n|\\n|\\r') AS lines FROM documents WHERE text IS NOT NULL),
@@ -44,3 +46,24 @@ def job2_term_audit(spark, sf_dir):
     hits = spark.read.schema(term_audit.HIT).parquet(f"{folder}/out/hits").withColumn("kind", F.lit("hit")).withColumn("documents", F.lit(None).cast("long"))
     used = spark.read.parquet(f"{folder}/out/terms").withColumns({"kind": F.lit("term"), "doc_id": F.lit(None).cast("long"), "lang": F.lit(None).cast("string")})
     return hits.unionByName(used)
+
+
+STATUS_LIST = ", ".join(f"'{s}'" for s in STATUSES)
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS job_id, event_id AS seq, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, [{STATUS_LIST}, 'gone'][event_id % 9 + 1] AS to_status,
+    CASE WHEN event_id % 3 > 0 THEN [{STATUS_LIST}][event_id // 3 % 8 + 1] END AS from_status, event_id % 2 AS note FROM events),
+w AS (SELECT job_id, CAST(0 AS BIGINT) AS seq, CAST(0 AS BIGINT) AS k, false AS held, 'pending' AS status, CAST(0 AS BIGINT) AS n FROM e GROUP BY job_id
+    UNION ALL SELECT e.job_id, e.seq, e.k, e.to_status <> 'gone' AND coalesce(e.from_status = w.status, true), CASE WHEN e.to_status <> 'gone' AND coalesce(e.from_status = w.status, true) THEN e.to_status ELSE w.status END,
+        CASE WHEN e.to_status <> 'gone' AND coalesce(e.from_status = w.status, true) THEN w.n + e.note ELSE w.n END FROM w JOIN e ON e.job_id = w.job_id AND e.k = w.k + 1)
+SELECT job_id, seq, held, status, CAST(n AS INTEGER) AS n_notes FROM w WHERE k > 0""")
+def status_compare_and_set(spark, sf_dir):
+    """Each event as a change of its user's status, taken as a stream from the table's files."""
+    folder, n = scratch(spark), F.col("event_id")
+    of = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int"))
+    with changes.with_states(spark):
+        events = spark.readStream.schema("event_id long, user_id long").parquet(intake.as_pattern(f"{sf_dir}/events.parquet"))
+        rows = events.select(F.col("user_id").cast("string").alias("job_id"), n.alias("seq"), F.when(n % 3 > 0, of(STATUSES, F.floor(n / 3) % 8)).alias("from_status"), of([*STATUSES, "gone"], n % 9).alias("to_status"), F.when(n % 2 == 1, "n").alias("note"))
+        stream = changes.applied(rows).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+        stream.awaitTermination()
+    return spark.read.schema(changes.OUTCOME).parquet(f"{folder}/out")

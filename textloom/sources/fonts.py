@@ -121,39 +121,46 @@ def full_name(data: bytes, face: int) -> str:
     return best[2]
 
 
-def face_rows(path: str, data: bytes):
-    """A table for each face: its code points, or one row with an error."""
-
-    def wrong(face, e):
-        return pd.DataFrame({"path": [path], "face": pd.array([face], dtype="Int32"), "name": [None], "cp": pd.array([None], dtype="Int32"), "error": [str(e)]})
-
+def face_list(path: str, data: bytes) -> list[tuple[int | None, str | None]]:
+    """(face, None) for each face that the path asks for, or (None, error) if the file has none to give."""
     _, _, only = path.partition("::")
     try:
-        every = faces(data)
-        wanted = range(len(every)) if not only else [int(only)]
-        if only and int(only) not in range(len(every)):
+        n = len(faces(data))
+        if only and int(only) not in range(n):
             raise FontError(f"no face {only}")
     except ValueError as e:
-        yield wrong(None, e)
-        return
-    for i in wanted:
-        try:
-            cps = sorted(character_map(data, every[i]))
-            yield pd.DataFrame({"path": path, "face": pd.array([i] * len(cps), dtype="Int32"), "name": full_name(data, every[i]), "cp": pd.array(cps, dtype="Int32"), "error": None})
-        except ValueError as e:
-            yield wrong(i, e)
+        return [(None, str(e))]
+    return [(int(only), None)] if only else [(i, None) for i in range(n)]
 
 
 def scan_fonts(binaries: DataFrame) -> DataFrame:
     """path, face, name, cp for each mapped code point of each face of files (path, content); a face that
-    can't be read has one row with its error instead. A path may name one face as path::face."""
+    can't be read has one row with its error instead. A path may name one face as path::face.
 
-    def run(batches):
+    Faces are listed first and then dealt out, so that a collection's faces are read by as many tasks.
+    """
+
+    def listed(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                yield from face_rows(path, bytes(content))
+            rows = [(p, i, e, bytes(c)) for p, c in zip(pdf["path"], pdf["content"], strict=True) for i, e in face_list(p, bytes(c))]
+            yield pd.DataFrame({"path": [r[0] for r in rows], "face": pd.array([r[1] for r in rows], dtype="Int32"), "error": [r[2] for r in rows], "content": [r[3] for r in rows]})
 
-    return binaries.select("path", "content").mapInPandas(run, COLUMNS)
+    def mapped(batches):
+        for pdf in batches:
+            for path, i, error, content in zip(pdf["path"], pdf["face"], pdf["error"], pdf["content"], strict=True):
+                if error is None or pd.isna(error):
+                    try:
+                        data = bytes(content)
+                        at = faces(data)[int(i)]
+                        cps = sorted(character_map(data, at))
+                        yield pd.DataFrame({"path": path, "face": pd.array([i] * len(cps), dtype="Int32"), "name": full_name(data, at), "cp": pd.array(cps, dtype="Int32"), "error": None})
+                        continue
+                    except ValueError as e:
+                        error = str(e)
+                yield pd.DataFrame({"path": [path], "face": pd.array([i], dtype="Int32"), "name": [None], "cp": pd.array([None], dtype="Int32"), "error": [error]})
+
+    each = binaries.select("path", "content").mapInPandas(listed, "path string, face int, error string, content binary")
+    return each.repartition("path", "face").mapInPandas(mapped, COLUMNS)
 
 
 def font_table(binaries: DataFrame) -> DataFrame:
