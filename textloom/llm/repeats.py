@@ -109,6 +109,7 @@ def ints(*arrays) -> bytes:
     return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
 
+PART_BYTES, MOST_PARTS = 32 << 20, 100_000
 PACKED = "part int, entries binary"
 HELD = 1 << 20  # entries that a task keeps before it deals them out
 
@@ -536,12 +537,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: Callable[[Column
     input and don't cross rows. Null and short texts keep all. Of rows with one doc_id a row of
     equal text comes later; different texts come in an undefined but fixed order; a null doc_id
     comes first. Other columns are dropped; an empty table gives an empty one. length is at least
-    the gram size 32 and at most 255. kept_as makes what is given as kept of the remaining bytes, before
+    the gram size 32 and at most 255. There is a part for each PART_BYTES of text (up to MOST_PARTS), and
+    one for each shuffle partition at least. kept_as makes what is given as kept of the remaining bytes, before
     rows are put together, so that a digest of them doesn't shuffle the bytes.
     """
     small_batches(docs.sparkSession)
-    parts = max(2, shuffle_parts(docs.sparkSession))
     raw = text_or_empty().cast("binary")
+    held = docs.agg(F.sum(F.octet_length(raw).cast("long"))).first()[0] or 0
+    # what a task merges or gathers follows the bytes of its part, so larger inputs get more parts, as far as there are buckets
+    parts = max(2, shuffle_parts(docs.sparkSession), min(MOST_PARTS, -(-held // PART_BYTES)))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw).alias("k1"), F.xxhash64(F.lit(1), F.octet_length(raw), raw).alias("k2"), raw.alias("raw"))
     least = F.lit(-(1 << 63)).cast("long")
     texts = keyed.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", least)).alias("doc"), F.first("raw").alias("raw"), F.count("*").alias("n_rows"))
