@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from textloom.plans.registry import query
 from textloom.sources import readers, sinks
 
 ID_TEXT = "id string, text string"
+_made: WeakKeyDictionary = WeakKeyDictionary()  # session: folders made for it
 
 
 def scratch(spark: SparkSession) -> str:
@@ -24,7 +26,16 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="textloom-")
-    return f"{named}/files-{uuid.uuid4().hex}"
+    path = f"{named}/files-{uuid.uuid4().hex}"
+    _made.setdefault(spark, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the folders that queries of this session have made. Call it when their results have been read."""
+    for path in _made.pop(spark, []):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
