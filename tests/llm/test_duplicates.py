@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from textloom.llm import common, graph, neardup, repeats, shingles
@@ -103,7 +104,16 @@ def test_graph(spark):
     for _ in comp:
         for a, b in edges:
             comp[a] = comp[b] = min(comp[a], comp[b])
-    assert {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()} == comp
+    table = spark.createDataFrame([*edges, (None, 3)], "a long, b long").repartition(3)
+    for block in (1 << 19, 7, 1):  # in one block, and by rounds over contracted blocks
+        assert {r["node"]: r["component"] for r in graph.components(table, block).collect()} == comp
+    assert graph.components(table.limit(0)).count() == 0
+
+
+def test_stars_of_long_paths():
+    order = np.random.default_rng(4).permutation(5000)
+    nodes, root = graph.stars(order[:-1], order[1:])
+    assert len(nodes) == 5000 and not root.any()
 
 
 def brute_force(rows, length=100):

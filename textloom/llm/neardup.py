@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import portions
-from .common import cut, heavy_keys, join_heavy, release_memory, small_batches, table, text_or_empty, tidy, written
+from .common import cut, heavy_keys, join_heavy, release_memory, shuffle_parts, small_batches, table, text_or_empty, tidy, written
 from .graph import components
 from .shingles import U, mix, set_key, shingle_sets
 
@@ -51,6 +51,11 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), text_or_empty())
 
 
+def narrow(df: DataFrame, most: int, per_part: int = 200_000) -> DataFrame:
+    """df, of at most `most` narrow rows, in no more parts than these need; any more would only cost tasks."""
+    return df.coalesce(max(1, min(shuffle_parts(df.sparkSession), 1 + most // per_part)))
+
+
 def sketches(docs: DataFrame, k: int, carried: list[str]) -> DataFrame:
     """doc_id, row (row_key), n_shingles, cls (the set's key; null if empty), sig (null if empty), and the carried columns."""
 
@@ -162,8 +167,9 @@ def forest(classes: DataFrame, percent: int, whole: int = 4, most: int = 50_000)
 
 def set_table(docs: DataFrame, ids: DataFrame, k: int, broadcast_ids: int = 1_000_000) -> DataFrame:
     """cls, members (its sorted hashes) for the classes of ids (cls, row: the key of one of its rows)."""
-    only = ids.select("row").distinct()
-    only = F.broadcast(only) if ids.count() <= broadcast_ids else only
+    only, mine = ids.select("row"), ids.select("cls")
+    if ids.count() <= broadcast_ids:
+        only, mine = F.broadcast(only), F.broadcast(mine)
 
     @tidy
     def run(batches):
@@ -174,7 +180,7 @@ def set_table(docs: DataFrame, ids: DataFrame, k: int, broadcast_ids: int = 1_00
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "members"])
 
     texts = docs.select(row_key().alias("row"), text_or_empty().alias("text")).join(only, "row", "left_semi").select("text")
-    sets = texts.mapInArrow(run, "cls long, members binary").join(ids.select("cls"), "cls", "left_semi")
+    sets = texts.mapInArrow(run, "cls long, members binary").join(mine, "cls", "left_semi")
     return written(sets.groupBy("cls").agg(F.first("members").alias("members")))
 
 
@@ -186,11 +192,10 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
-    pairs = cut(pairs.distinct())
+def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, k: int, n: int) -> DataFrame:
+    """The pairs (a, b), distinct ones of n classes, that are linked."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = set_table(docs, cut(needed.join(classes, "cls").select("cls", "row")), k)
+    sets = set_table(docs, cut(narrow(needed.join(classes, "cls").select("cls", "row"), n)), k)
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb")
 
@@ -203,7 +208,7 @@ def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
     return cut(both.mapInArrow(confirm, "a long, b long"))
 
 
-def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, k: int, within: bool, block: int = 512) -> DataFrame:
+def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, k: int, n: int, within: bool, block: int = 512) -> DataFrame:
     """Links (a, b) between components inside regions; for a set, one to each other component.
 
     within: all pairs inside blocks of about `block` sets of a region, which costs in proportion to
@@ -212,18 +217,18 @@ def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: D
 
     Pairs are passed over whose 144 values agree 0.2 below the threshold (the estimate's standard
     deviation is 0.03 there); the rest are compared by their full sets, each pair in the first tree
-    that brings it together. No candidates leave a tile, only links.
+    that brings it together. No candidates leave a tile, only links. members are distinct, of n classes.
     """
-    inside = members.select(F.col("b").alias("region"), F.col("a").alias("cls")).distinct()
+    inside = members.select(F.col("b").alias("region"), F.col("a").alias("cls"))
     inside = inside.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     counts = inside.groupBy("region", "component").agg(F.count("*").alias("c"))
     regions = counts.groupBy("region").agg(F.sum("c").alias("m"), F.max("c").alias("top"), F.max_by("component", F.struct("c", "component")).alias("largest"), F.count("*").alias("comps")).filter("comps > 1")
     if not within:
         regions = regions.filter(F.col("m") > block)
-    inside = cut(inside.join(regions.drop("comps"), "region"))
+    inside = cut(narrow(inside.join(regions.drop("comps"), "region"), TREES * n))
     if not inside.limit(1).count():
         return inside.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
-    ids = cut(inside.select("cls").distinct().join(classes, "cls").select("cls", "row"))
+    ids = cut(narrow(inside.select("cls").distinct().join(classes, "cls").select("cls", "row"), n))
     known = set_table(docs, ids, k).join(classes.select("cls", "n", "sig"), "cls")
     lbs, rbs = F.ceil((F.col("m") - F.col("top")) / block).cast("int"), F.ceil(F.col("m") / block).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("cls", "region"), n).cast("int")
@@ -281,19 +286,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, carried: lis
     known = written(sketches(docs, k, carried))
     full = known.filter(F.col("cls").isNotNull())
     classes = written(full.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
-    found = cut(forest(classes, percent).distinct())
-    edges = similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k)
+    n = classes.count()
+    found = cut(narrow(forest(classes, percent).distinct(), 3 * TREES * n))  # with regions of 4 sets all paired, 2.5 rows a set and tree
+    edges = similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k, n)
     comps = components(edges)
     for within in (True, False):
-        more = rest_links(docs, found.filter("kind = 1"), classes, comps, percent, k, within)
+        more = rest_links(docs, found.filter("kind = 1"), classes, comps, percent, k, n, within)
         if more.limit(1).count():
-            edges = cut(edges.union(more).distinct())
+            edges = cut(narrow(edges.union(more).distinct(), 3 * TREES * n))
             comps = components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     joined = classes.select("cls", "rep").join(comps.withColumnRenamed("node", "cls"), "cls")
-    least = cut(joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")))
+    least = cut(narrow(joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), n))
     joined = join_heavy(joined, least.drop("n"), ["component"], heavy_keys(least, ["component"]), ["cls"])
-    placed = cut(joined.join(degree, "cls").select("cls", "component_id", "n_links", "component"))
+    placed = cut(narrow(joined.join(degree, "cls").select("cls", "component_id", "n_links", "component"), n))
     whole = classes.select("cls", "rep").join(placed, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "cls").alias("group"))
     copies = heavy_keys(classes.select("cls", F.col("copies").alias("n")), ["cls"])
     rows = join_heavy(full.drop("sig"), whole, ["cls"], copies, ["doc_id", "row"]).select("doc_id", "n_shingles", "component_id", "n_links", "group", *carried)
