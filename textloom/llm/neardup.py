@@ -52,7 +52,10 @@ def row_key():
 
 
 def narrow(df: DataFrame, most: int, per_part: int = 200_000) -> DataFrame:
-    """df, of at most `most` narrow rows, in no more parts than these need; any more would only cost tasks."""
+    """df, checkpointed and of at most `most` narrow rows, in no more parts than these need; any more only cost tasks.
+
+    Put round cut() and not into it, so that no task sorts or aggregates several parts in turn.
+    """
     return df.coalesce(max(1, min(shuffle_parts(df.sparkSession), 1 + most // per_part)))
 
 
@@ -195,7 +198,7 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, k: int, n: int) -> DataFrame:
     """The pairs (a, b), distinct ones of n classes, that are linked."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = set_table(docs, cut(narrow(needed.join(classes, "cls").select("cls", "row"), n)), k)
+    sets = set_table(docs, narrow(cut(needed.join(classes, "cls").select("cls", "row")), n), k)
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb")
 
@@ -225,10 +228,10 @@ def rest_links(docs: DataFrame, members: DataFrame, classes: DataFrame, comps: D
     regions = counts.groupBy("region").agg(F.sum("c").alias("m"), F.max("c").alias("top"), F.max_by("component", F.struct("c", "component")).alias("largest"), F.count("*").alias("comps")).filter("comps > 1")
     if not within:
         regions = regions.filter(F.col("m") > block)
-    inside = cut(narrow(inside.join(regions.drop("comps"), "region"), TREES * n))
+    inside = narrow(cut(inside.join(regions.drop("comps"), "region")), TREES * n)
     if not inside.limit(1).count():
         return inside.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
-    ids = cut(narrow(inside.select("cls").distinct().join(classes, "cls").select("cls", "row"), n))
+    ids = narrow(cut(inside.select("cls").distinct().join(classes, "cls").select("cls", "row")), n)
     known = set_table(docs, ids, k).join(classes.select("cls", "n", "sig"), "cls")
     lbs, rbs = F.ceil((F.col("m") - F.col("top")) / block).cast("int"), F.ceil(F.col("m") / block).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("cls", "region"), n).cast("int")
@@ -287,19 +290,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, carried: lis
     full = known.filter(F.col("cls").isNotNull())
     classes = written(full.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     n = classes.count()
-    found = cut(narrow(forest(classes, percent).distinct(), 3 * TREES * n))  # with regions of 4 sets all paired, 2.5 rows a set and tree
-    edges = similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k, n)
+    found = narrow(cut(forest(classes, percent).distinct()), 3 * TREES * n)  # with regions of 4 sets all paired, 2.5 rows a set and tree
+    edges = narrow(similar(docs, classes, found.filter("kind = 0").select("a", "b"), percent, k, n), 3 * TREES * n)
     comps = components(edges)
     for within in (True, False):
         more = rest_links(docs, found.filter("kind = 1"), classes, comps, percent, k, n, within)
         if more.limit(1).count():
-            edges = cut(narrow(edges.union(more).distinct(), 3 * TREES * n))
+            edges = narrow(cut(edges.union(more).distinct()), 3 * TREES * n)
             comps = components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     joined = classes.select("cls", "rep").join(comps.withColumnRenamed("node", "cls"), "cls")
-    least = cut(narrow(joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), n))
+    least = narrow(cut(joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))), n)
     joined = join_heavy(joined, least.drop("n"), ["component"], heavy_keys(least, ["component"]), ["cls"])
-    placed = cut(narrow(joined.join(degree, "cls").select("cls", "component_id", "n_links", "component"), n))
+    placed = narrow(cut(joined.join(degree, "cls").select("cls", "component_id", "n_links", "component")), n)
     whole = classes.select("cls", "rep").join(placed, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "cls").alias("group"))
     copies = heavy_keys(classes.select("cls", F.col("copies").alias("n")), ["cls"])
     rows = join_heavy(full.drop("sig"), whole, ["cls"], copies, ["doc_id", "row"]).select("doc_id", "n_shingles", "component_id", "n_links", "group", *carried)
