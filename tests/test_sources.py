@@ -162,3 +162,49 @@ def test_fonts(spark, tmp_path):
 def test_plain_lines_end_everywhere(spark, tmp_path):
     (tmp_path / "l.txt").write_text("a b\x85c\n", encoding="utf-8")
     assert readers.text_lines(spark, str(tmp_path / "l.txt"), unicode_ends=True).count() == 3 and readers.text_lines(spark, str(tmp_path / "l.txt")).agg(F.max("line")).first()[0] == 1
+
+
+CODECS = ["utf-8", "utf-16", "utf-16-le", "utf-16-be", "cp932", "latin-1", "utf-32", None]
+
+
+@pytest.mark.parametrize("codec", CODECS)
+def test_lines_in_parts_are_those_of_whole_files(spark, tmp_path, codec):
+    """Files of all codecs, cut at many places, also at bytes that look like LF in UTF-16."""
+    ends = ["\n", "\r\n", "\r", "\n\n", "\x0b", "\x1e"]
+    plain = "".join(f"line {i} " + "xyz"[: i % 4] * (i % 9) + ends[i % len(ends)] for i in range(90))
+    odd = "".join(f"{i} 上下 ੁ　{'é' * (i % 5)} Ā" + ends[i % len(ends)] for i in range(30))
+    texts = {"a": plain + "last", "B": plain}
+    if codec != "cp932" and codec != "latin-1":
+        texts |= {"c": odd}
+    if codec in ("utf-8", "utf-16-le", "utf-16-be", None):  # others write a mark themselves
+        texts |= {"d": "﻿" + plain.replace("y", " ")}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.txt").write_bytes(text.encode(codec or "utf-8"))
+    if codec is None:
+        (tmp_path / "e.txt").write_bytes(plain.encode("utf-16"))
+        (tmp_path / "f.txt").write_bytes("﻿".encode("utf-16-be") + plain.encode("utf-16-be"))
+    for most in ("83", "1024"):
+        for wide_ends in (False, True):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most + "b")
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            try:
+                got = {(r["path"][-5:], r["line"]): r["value"] for r in readers.text_lines(spark, str(tmp_path), encoding=codec, unicode_ends=wide_ends).collect()}
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+            want = readers.text_lines(spark, str(tmp_path), encoding=codec, unicode_ends=wide_ends, split=False).collect()
+            assert got == {(r["path"][-5:], r["line"]): r["value"].removeprefix("﻿") for r in want}
+
+
+def test_lines_go_on_from_file_to_file(spark, tmp_path):
+    for name, text in (("b+ü %20#", "1\n2\n\n"), ("A", "x\n"), ("c", "y")):
+        (tmp_path / name).write_text(text)
+    got = readers.file_order(readers.text_lines(spark, str(tmp_path), continued=True)).orderBy("ord").collect()
+    assert [(r["line"], r["value"]) for r in got] == [(1, "x"), (2, "1"), (3, "2"), (4, ""), (5, "y")]
+    assert readers.jsonl(spark, str(tmp_path), SCHEMA).count() == 4
+
+
+def test_broken_bytes_are_an_error(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"a\xff\xfe\n")
+    with pytest.raises(Exception, match="UTF-?8"):
+        readers.text_lines(spark, str(tmp_path)).collect()
