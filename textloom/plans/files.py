@@ -48,8 +48,8 @@ NUMBERED = "n AS (SELECT row_number() OVER (ORDER BY doc_id) AS k, CAST(doc_id A
 @query(f"WITH {NUMBERED} SELECT CAST(k AS INTEGER) AS line, id, text FROM n")
 def jsonl_round_trip(spark, sf_dir):
     path = scratch(spark)
-    sinks.write_jsonl(docs(spark, sf_dir).select("ord", "id", "text"), path)
-    return readers.jsonl_strict(spark, path, ID_TEXT, pattern="part-*").select("line", "id", "text")
+    sinks.write_jsonl(docs(spark, sf_dir).select("ord", "id", "text"), path, single=False)
+    return readers.jsonl_strict(spark, path, ID_TEXT, pattern="part-*", continued=True).select("line", "id", "text")
 
 
 @query(f"""WITH {NUMBERED} SELECT CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS place, '{{"id":"' || id || '","lang":"' || lang || '","size":' || length(text) || '}}' AS raw, id FROM n""")
@@ -58,7 +58,7 @@ def jsonl_canonical_parts(spark, sf_dir):
     path = scratch(spark)
     rows = docs(spark, sf_dir).select("ord", F.length("text").alias("size"), "lang", "id", F.lit("hidden").alias("__line"))
     sinks.write_jsonl(rows, path, single=False, canonical=True)
-    got = readers.jsonl(spark, path, "id string, lang string, size long", pattern="part-*", split=True)
+    got = readers.jsonl(spark, path, "id string, lang string, size long", pattern="part-*")
     placed = with_group_numbers(got, F.col("ord"), bucket=1 << 32)  # every line is a run of its own, every file a bucket
     return placed.select((F.col("grp") + 1).cast("int").alias("place"), "raw", "id")
 
@@ -85,7 +85,7 @@ def jsonl_record_problems(spark, sf_dir):
     put = lambda c, name, value: F.replace(c, F.lit(name), value)
     value = put(put(put(form, "@I", F.col("id")), "@D", F.sha2(F.col("text").cast("binary"), 256)), "@B", (F.col("ord") - 15).cast("string"))
     path = write_lines(docs(spark, sf_dir).select("ord", value.alias("value")), scratch(spark))
-    return readers.jsonl_problems(spark, path, pattern="part-*").select("line", "problem")
+    return readers.jsonl_problems(spark, path, pattern="part-*", continued=True).select("line", "problem")
 
 
 @query(f"""WITH {NUMBERED} SELECT CAST(k AS INTEGER) AS line, CASE doc_id % 7 WHEN 0 THEN 'string' WHEN 1 THEN 'integer' WHEN 2 THEN 'null' WHEN 3 THEN 'missing' WHEN 4 THEN 'array' WHEN 5 THEN 'object' ELSE 'boolean' END AS kind,
@@ -100,13 +100,14 @@ def jsonl_typed_fields(spark, sf_dir):
     line = lambda name, text: F.when(k == 3, "").otherwise(F.concat(F.lit(f', "{name}": '), one(text)))
     value = F.concat(F.lit('{"id": "x"'), line("text", F.col("text")), *(line(n, F.col("lang")) for n in ("route", "order", "boundary_before", "protected_tokens")), F.lit("}"))
     path = write_lines(d.select("ord", value.alias("value")), scratch(spark))
-    got = readers.jsonl(spark, path, "text string, route string, `order` long, boundary_before boolean, protected_tokens array<string>", pattern="part-*")
+    got = readers.jsonl(spark, path, "text string, route string, `order` long, boundary_before boolean, protected_tokens array<string>", pattern="part-*", continued=True)
     tokens = F.when(F.col("protected_tokens").isNotNull(), F.concat(F.lit("["), F.array_join("protected_tokens", ",", "NULL"), F.lit("]")))
     return got.select("line", F.col("_kinds")["text"].alias("kind"), "text", "route", "order", "boundary_before", tokens.alias("tokens"))
 
 
-def write_lines(rows: DataFrame, path: str, **options: str) -> str:
-    rows.repartition(1).sortWithinPartitions("ord").select("value").write.options(**options).text(path)
+def write_lines(rows: DataFrame, path: str, single: bool = False, **options: str) -> str:
+    """Lines in files by ranges of ord, whose names sort in that order, or in one file."""
+    (rows.repartition(1) if single else rows.repartitionByRange("ord")).sortWithinPartitions("ord").select("value").write.options(**options).text(path)
     return path
 
 
@@ -119,7 +120,7 @@ def broken_lines(spark, sf_dir):
 @query(f"""WITH {NUMBERED}, b AS (SELECT k, id, doc_id, {BROKEN} AS raw FROM n)
 SELECT CAST(k AS INTEGER) AS line, raw, doc_id % 7 < 2 AS bad, CASE WHEN doc_id % 7 > 2 THEN id END AS id FROM b WHERE raw <> ''""")
 def jsonl_lenient(spark, sf_dir):
-    got = readers.jsonl(spark, write_lines(broken_lines(spark, sf_dir), scratch(spark)), "id string", pattern="part-*")
+    got = readers.jsonl(spark, write_lines(broken_lines(spark, sf_dir), scratch(spark)), "id string", pattern="part-*", continued=True)
     return got.select("line", "raw", F.col("_bad").alias("bad"), "id")
 
 
@@ -160,7 +161,7 @@ def tsv_surplus(spark, sf_dir):
     path, k = scratch(spark), F.col("ord") % 3
     cells = F.when(k == 0, F.col("id")).when(k == 1, F.concat_ws("\t", "id", "lang")).otherwise(F.concat_ws("\t", "id", "lang", F.concat(F.lit('"'), "source", F.lit(' ""\t"')), "id"))
     head = spark.createDataFrame([(-1, "id\tlang")], "ord long, value string")
-    write_lines(head.unionAll(docs(spark, sf_dir).select("ord", cells.alias("value"))), path)
+    write_lines(head.unionAll(docs(spark, sf_dir).select("ord", cells.alias("value"))), path, single=True)
     return readers.tsv(spark, f"{path}/part-*", surplus="more").select("id", "lang", F.array_join("more", "|").alias("surplus"))
 
 
