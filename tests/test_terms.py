@@ -89,3 +89,23 @@ def test_calibration_keeps_the_first_of_all(spark):
     got = context.select_calibration(scenes, terms, spark.createDataFrame(examples, "ord long, source string, speaker string"), limit=9)
     want = {(j, i) for j, (ts, ss) in jobs.items() for i in [i for i, t, s in examples if s in ss or any(x in t for x in ts)][:9]}
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_terms_in_texts_with_odd_letters():
+    """Words with and without gaps, a mark that a pattern takes for iota, letters that fold to more of them."""
+    rng = random.Random(7)
+    letters = [*LETTERS, "ͅ", "ι", "ι", "Ⓐ", "ⓐ", "ẞ", "-"]
+    some = lambda n: "".join(rng.choice(letters) for _ in range(rng.randint(1, n)))
+    pattern = lambda: rng.choice(["{}(?!\\w)", "(?P<x>{})\\b", "(?<!x){}.", "a?{}", "(?i){}", "(?i:{})b", "{}|b", "({})+", "{}\\s*{}", "^{}", "(?:{}(?=b))"])
+    terms = [(pattern().replace("{}", re.escape(some(2))) if mode == "regex" else some(3), mode, cased) for mode in ("word", "regex", "substring") for cased in (True, False) for _ in range(60)]
+    side = glossary.Side([{"source": w, "mode": m, "cased": c} for w, m, c in terms], "source", range(len(terms)), set(range(0, len(terms), 2)))
+    for text in (some(25) for _ in range(1500)):
+        assert side.find(text, side.written(text)) == {n for n, t in enumerate(terms) if plain_match(text, *t)}
+        assert {n for n in side.written(text) if n % 2 == 0} == {n for n, t in enumerate(terms) if n % 2 == 0 and t[0] in text}
+
+
+def test_patterns_are_tried_where_their_letters_are():
+    known = {"(?P<x>Word)(?!\\w)": ("Word", True), "\\bab(c)d": ("abcd", True), "a?bc": ("bc", False), "ab|cd": ("", False), "(?i)ab": ("", False), "(?<=x)yz+": ("y", True), "(": ("", False), "a{2}bcd": ("bcd", False)}
+    assert {p: glossary.needed(p, True) for p in known} == known
+    terms = [{"source": p, "mode": "regex", "cased": False} for p in known if known[p][0]]
+    assert glossary.Side(terms, "source", range(len(terms))).patterns == []

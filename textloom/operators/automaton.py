@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_WORDS, BLOCK_BYTES, MOST_BYTES = 20_000, 1 << 20, 64 << 20
+BLOCK_WORDS, BLOCK_BYTES, MOST_BYTES, PIECE_BYTES = 20_000, 1 << 20, 64 << 20, 1 << 20
 
 
 class Automaton:
-    """Occurrences of words in a text; a word may stand for several numbers."""
+    """Which words occur in a text; a word may stand for several numbers."""
 
     def __init__(self, words: Iterable[tuple[str, int]]):
         owners: dict[str, list[int]] = {}
@@ -27,21 +27,25 @@ class Automaton:
             if word:
                 owners.setdefault(word, []).append(number)
         self.machine = None
+        self.numbers = list(owners.values())
         if owners:
             self.machine = ahocorasick.Automaton()
-            for word, numbers in owners.items():
-                self.machine.add_word(word, (len(word), numbers))
+            for i, word in enumerate(owners):
+                self.machine.add_word(word, i)
             self.machine.make_automaton()
 
-    def places(self, text: str) -> Iterator[tuple[int, int, list[int]]]:
-        """Start, end and numbers of every occurrence, overlapping ones too."""
-        if self.machine is not None:
-            for last, (size, numbers) in self.machine.iter(text):
-                yield last + 1 - size, last + 1, numbers
-
     def found(self, text: str) -> set[int]:
         """The numbers of the words that occur."""
-        return {n for numbers in {id(x): x for _, _, x in self.places(text)}.values() for n in numbers}
+        if self.machine is None:
+            return set()
+        return {n for i in {i for _, i in self.machine.iter(text)} for n in self.numbers[i]}
+
+
+def pieces(batch: pa.RecordBatch, most_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about so many bytes, so that what is made of a piece in Python doesn't grow with the batch."""
+    rows = max(1, most_bytes * batch.num_rows // max(batch.nbytes, 1))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def blocks_of(rows: list, size: Callable, most: int = BLOCK_WORDS, most_bytes: int = BLOCK_BYTES) -> list[list]:
@@ -79,7 +83,7 @@ def occurring(texts: DataFrame, text: str, words: DataFrame, most: int = BLOCK_W
     def one_pass(block: list[str]):
         def run(batches):
             machine = Automaton((w, i) for i, w in enumerate(block))
-            for batch in batches:
+            for batch in (p for b in batches for p in pieces(b)):
                 found = [sorted(machine.found(t)) if t else [] for t in batch.column(0).to_pylist()]
                 own = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
                 hits = pa.array([block[n] for f in found for n in f], pa.string())
