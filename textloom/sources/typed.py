@@ -22,9 +22,21 @@ def parsed(raw: Column) -> Column:
     itself, which only stands at its place if nothing but the one value came before. Objects that
     repeat a name, and NaN and Infinity, aren't JSON.
     """
-    mark = F.concat(F.lit("m"), F.hex(F.xxhash64(raw)))
-    both = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), mark, F.lit('"]')))
-    return F.when(F.try_variant_get(both, "$[1]", "string") == mark, F.try_variant_get(both, "$[0]", "variant"))
+    return settled(attempted(raw), raw)
+
+
+def mark_of(raw: Column) -> Column:
+    return F.concat(F.lit("m"), F.hex(F.xxhash64(raw)))
+
+
+def attempted(raw: Column) -> Column:
+    """The first half of parsed(): the array with its mark. As a column of its own it is parsed once."""
+    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), mark_of(raw), F.lit('"]')))
+
+
+def settled(both: Column, raw: Column) -> Column:
+    """The second half of parsed()."""
+    return F.when(F.try_variant_get(both, "$[1]", "string") == mark_of(raw), F.try_variant_get(both, "$[0]", "variant"))
 
 
 def member(value: Column, name: str) -> Column:
@@ -34,16 +46,28 @@ def member(value: Column, name: str) -> Column:
 
 def kind(value: Column) -> Column:
     """string, boolean, integer, number (with a fraction or exponent), array, object, null, or missing."""
-    form = F.schema_of_variant(value)
+    return kind_of(value, F.schema_of_variant(value), F.to_json(value))
+
+
+def kind_of(value: Column, form: Column, text: Column) -> Column:
+    """kind() of a value whose schema and JSON text are columns already, so that they are made once."""
     return (
         F.when(value.isNull(), "missing").when(form == "VOID", "null").when(form == "STRING", "string").when(form == "BOOLEAN", "boolean").when(form.startswith("ARRAY"), "array").when(form.startswith("OBJECT"), "object")
-        .when((form == "BIGINT") & F.to_json(value).rlike("^-?[0-9]+$"), "integer").otherwise("number")
+        .when((form == "BIGINT") & text.rlike("^-?[0-9]+$"), "integer").otherwise("number")
     )
 
 
+def is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
 def truth(value: Column) -> Column:
     """Whether a value counts as yes: any but null, false, 0, "", [] and {}."""
-    what, text = kind(value), F.to_json(value)
+    return truth_of(value, kind(value), F.to_json(value))
+
+
+def truth_of(value: Column, what: Column, text: Column) -> Column:
+    """truth() of a value whose kind and JSON text are columns already."""
     return F.when(what.isin("missing", "null"), False).when(what.isin("integer", "number"), F.try_variant_get(value, "$", "double") != 0).otherwise(~text.isin("false", '""', "[]", "{}"))
 
 
