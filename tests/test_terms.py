@@ -109,3 +109,16 @@ def test_patterns_are_tried_where_their_letters_are():
     assert {p: glossary.needed(p, True) for p in known} == known
     terms = [{"source": p, "mode": "regex", "cased": False} for p in known if known[p][0]]
     assert glossary.Side(terms, "source", range(len(terms))).patterns == []
+
+
+def test_frequent_words_of_jobs_stay_where_the_jobs_are(spark):
+    """No task gets all jobs that have a word: neither terms nor examples meet scenes by an exchange on the word."""
+    scenes = spark.createDataFrame([(f"j{i}", "the end", ["p"]) for i in range(30)], "job_id string, scene_text string, speakers array<string>")
+    names = spark.createDataFrame([("the", "p"), ("end", "")], "source string, target string")
+    examples = spark.createDataFrame([(i, "the end", "p") for i in range(9)], "ord long, source string, speaker string")
+    terms = context.select_terms(scenes, names)
+    got = context.select_calibration(scenes, terms, examples, limit=3)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((f"j{i}", n) for i in range(30) for n in range(3))
+    for df in (terms, got):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(word" not in plan and "hashpartitioning(target" not in plan and "SortMergeJoin" not in plan

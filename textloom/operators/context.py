@@ -52,12 +52,13 @@ def scene_of(entries: DataFrame) -> DataFrame:
 def applying(scenes: DataFrame, items: DataFrame, key: str, names: Column) -> DataFrame:
     """job_id, key: items of which a name is a speaker or stands in the scene's text.
 
-    Names are looked for in each text by one automaton, and among speakers by a join.
+    Names are looked for in each text by one automaton, and among speakers by a join. As they go along with
+    tasks for the first, they do for the second, and rows of a frequent name stay where they are.
     """
     called = items.select(F.col(key).alias("key"), F.explode(names).alias("word")).filter(F.coalesce("word", F.lit("")) != "").distinct()
     there = occurring(scenes.select("job_id", "scene_text"), "scene_text", called)
     speaking = scenes.select("job_id", F.explode("speakers").alias("word"))
-    return there.unionAll(speaking).distinct().join(called, "word").select("job_id", F.col("key").alias(key)).distinct()
+    return there.unionAll(speaking).join(F.broadcast(called), "word").select("job_id", F.col("key").alias(key)).distinct()
 
 
 def select_characters(scenes: DataFrame, characters: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def select_terms(scenes: DataFrame, glossary: DataFrame) -> DataFrame:
     """job_id, source of each glossary row whose source or target is a speaker or whose source is in the text."""
     by_text = applying(scenes, glossary.filter("trim(source) <> ''"), "source", F.array("source"))
     speakers = scenes.select("job_id", F.explode("speakers").alias("target"))
-    return by_text.unionAll(speakers.join(glossary.filter("trim(source) <> ''").select("source", "target"), "target").select("job_id", "source")).distinct()
+    return by_text.unionAll(speakers.join(F.broadcast(glossary.filter("trim(source) <> ''").select("source", "target")), "target").select("job_id", "source")).distinct()
 
 
 def select_voices(scenes: DataFrame, chosen: DataFrame, characters: DataFrame, voices: DataFrame) -> DataFrame:
@@ -90,13 +91,15 @@ def select_route(scenes: DataFrame, routes: DataFrame) -> DataFrame:
 def select_calibration(scenes: DataFrame, terms: DataFrame, examples: DataFrame, limit: int = 50) -> DataFrame:
     """job_id, ord: the first `limit` examples in file order with a speaker or term of the job.
 
-    Of a speaker's or term's examples the first `limit` are all that a job can get from it, so no more
-    of them meet the jobs.
+    Of a speaker's or term's examples the first `limit` are all that a job can get from it. These lists go
+    along with tasks, and a job's words meet them where the job's rows are, so that no task gets all jobs
+    that have a frequent word.
     """
     rows = examples.select("ord", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("speaker", F.lit("")).alias("speaker"))
-    first = lambda found: found.withColumn("n", F.row_number().over(Window.partitionBy("word").orderBy("ord"))).filter(F.col("n") <= limit).drop("n")
-    by_speaker = scenes.select("job_id", F.explode("speakers").alias("word")).distinct().join(first(rows.select("ord", F.col("speaker").alias("word"))), "word")
-    own = terms.select("job_id", F.col("source").alias("word")).distinct()
-    by_term = own.join(first(occurring(rows.select("ord", "source"), "source", own)), "word")
-    met = by_speaker.unionByName(by_term).select("job_id", "ord").distinct()
+    own = terms.select("job_id", F.col("source").alias("word"))
+    by = lambda what, found: found.withColumn("by", F.lit(what))
+    words = by("term", own).unionByName(by("speaker", scenes.select("job_id", F.explode("speakers").alias("word")))).repartition("job_id")
+    found = by("term", occurring(rows.select("ord", "source"), "source", own)).unionByName(by("speaker", rows.select("ord", F.col("speaker").alias("word"))))
+    first = found.withColumn("n", F.row_number().over(Window.partitionBy("by", "word").orderBy("ord"))).filter(F.col("n") <= limit).groupBy("by", "word").agg(F.collect_list("ord").alias("ords"))
+    met = words.join(F.broadcast(first), ["by", "word"]).select("job_id", F.explode("ords").alias("ord")).distinct()
     return met.withColumn("n", F.row_number().over(Window.partitionBy("job_id").orderBy("ord"))).filter(F.col("n") <= limit).drop("n")
