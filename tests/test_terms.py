@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from textloom.operators import automaton, context, glossary
@@ -122,3 +123,14 @@ def test_frequent_words_of_jobs_stay_where_the_jobs_are(spark):
     for df in (terms, got):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(word" not in plan and "hashpartitioning(target" not in plan and "SortMergeJoin" not in plan
+
+
+def test_large_batches_are_taken_in_pieces():
+    """What a worker makes of a batch doesn't grow with the batch: hits come out piece by piece."""
+    pairs = [(str(i), "word " * 200, "wort " * 200) for i in range(3000)]
+    columns = [pa.array(c) for c in zip(*pairs)] + [pa.nulls(3000, pa.string())] * 3
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "src", "out", "route", "scene_id", "speaker"])
+    terms = [{"source": "word", "target": "wort", "status": "locked", "scope": "", "mode": "substring", "cased": True}]
+    got = list(glossary.block_hits(terms, True)([batch]))
+    assert [k for b in got for k in b.column(0).to_pylist() if k] == [k for k, *_ in pairs for _ in range(2)]  # the hit, and the term as a rival
+    assert len(got) >= 5 and max(b.num_rows for b in got) <= 1200
