@@ -134,3 +134,23 @@ def test_large_batches_are_taken_in_pieces():
     got = list(glossary.block_hits(terms, True)([batch]))
     assert [k for b in got for k in b.column(0).to_pylist() if k] == [k for k, *_ in pairs for _ in range(2)]  # the hit, and the term as a rival
     assert len(got) >= 5 and max(b.num_rows for b in got) <= 1200
+
+
+def test_long_rows_that_stand_together_are_no_large_piece():
+    """Pieces are cut by their rows' own bytes: many short texts don't make a piece of the long ones large."""
+    texts = ["x"] * 9000 + ["word " * 40_000] * 50 + [None, "é" * (3 << 20)] + ["x"] * 900
+    columns = [pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.nulls(len(texts), pa.string()), pa.array([["a"]] * len(texts))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["n", "src", "out", "more"])
+    for whole in (batch, batch.slice(7000, 2500), batch.slice(0, 0), batch.select(["n"])):
+        got = list(automaton.pieces(whole))
+        assert [k for b in got for k in b.column(0).to_pylist()] == whole.column(0).to_pylist()
+        assert max((b.nbytes for b in got if b.num_rows > 1), default=0) <= 1.1 * (1 << 20)
+        assert len(got) <= 20 + whole.nbytes // (1 << 19)
+
+
+def test_long_words_are_forgotten():
+    """The words that a worker knows are bounded by their letters, too."""
+    side = glossary.Side([{"source": "end", "mode": "word", "cased": True}], "source", [0])
+    for n in range(100):
+        assert side.find(f"{n}{'x' * 300_000} end", set()) == {0}
+        assert sum(map(len, side.seen)) <= 5_000_000

@@ -7,11 +7,14 @@ automaton (Aho-Corasick) once and reads each text once, whatever the number of w
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +45,17 @@ class Automaton:
 
 
 def pieces(batch: pa.RecordBatch, most_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about so many bytes, so that what is made of a piece in Python doesn't grow with the batch."""
-    rows = max(1, most_bytes * batch.num_rows // max(batch.nbytes, 1))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+    """A batch in pieces of at most so many bytes (a larger row alone), so that what is made of a piece in Python doesn't
+    grow with the batch. Texts count as long as they are, whatever else a row has as much as in any other."""
+    texts = [pc.fill_null(pc.binary_length(c), 0).to_pylist() for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
+    lengths = list(map(sum, zip(*texts, strict=True))) or [0] * batch.num_rows
+    rest = max(batch.nbytes - sum(lengths), 0) // max(batch.num_rows, 1)
+    ends = list(accumulate((n + rest for n in lengths), initial=0))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, bisect_right(ends, ends[at] + most_bytes) - 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def blocks_of(rows: list, size: Callable, most: int = BLOCK_WORDS, most_bytes: int = BLOCK_BYTES) -> list[list]:

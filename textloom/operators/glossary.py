@@ -28,8 +28,8 @@ DOTS = "İı"
 #: What a whole word without gaps is among a text's letters. The one mark that isn't part of a word, but that a
 #: pattern without case takes for a letter (iota).
 RUN, IOTA = re.compile(r"\w+"), "\u0345"
-#: So many of a text's words are kept with the terms that they are; then they are forgotten.
-MOST_KNOWN = 100_000
+#: So many words of texts, and so many letters of them, are kept with the terms that they are; then they are forgotten.
+MOST_KNOWN, MOST_LETTERS = 100_000, 4_000_000
 HITS = "id string, source string, target string, status string, found boolean, translated boolean, shadowed boolean, rivals array<string>"
 
 
@@ -106,6 +106,7 @@ class Side:
             self.whole.setdefault(loosened(terms[n][name]), []).append(n)
         self.joined = [n for n in whole if not terms[n]["cased"]]
         self.seen: set[str] = set()
+        self.letters_seen = 0
         self.are: dict[str, list[int]] = {}
         # the rest is tested where its letters are; patterns without such letters are tried on each text
         rest = [(n, t["cased"], *(needed(w, t["cased"]) if t["mode"] == "regex" else (w, True))) for n, t, w in words if t["mode"] != "substring" and n not in whole]
@@ -139,14 +140,16 @@ class Side:
         """The numbers of the words without gaps that stand in a text as a whole."""
         runs = set(RUN.findall(text))
         if new := list(runs - self.seen):
-            if len(self.seen) > MOST_KNOWN:
+            if len(self.seen) > MOST_KNOWN or self.letters_seen > MOST_LETTERS:
                 self.seen.clear()
                 self.are.clear()
+                self.letters_seen = 0
                 new = list(runs)
             for run, low in zip(new, loosened("\n".join(new)).split("\n"), strict=True):
                 if low in self.whole and (numbers := [n for n in self.whole[low] if self.pattern(n).fullmatch(run)]):
                     self.are[run] = numbers
             self.seen.update(new)
+            self.letters_seen += sum(map(len, new))
         return {n for run in runs if run in self.are for n in self.are[run]}
 
     def written(self, text: str) -> set[int]:
