@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,16 +25,30 @@ def count_of(text: Column, token: Column) -> Column:
     return F.when(token == "", F.length(text) + 1).otherwise(F.floor((F.length(text) - F.length(F.replace(text, token, F.lit("")))) / F.length(token)))
 
 
+def closed(f: Callable[..., Column], *columns: Column) -> Column:
+    """f(*columns), where lambdas inside f find the columns in a lambda's variable and not outside.
+
+    When Spark infers filters it numbers a lambda's variables anew, from 0 on. A column with such a number,
+    as the first plans of a session have, is taken for one of them: the condition it stands in is put where
+    there is no such column, and fails.
+    """
+    row = F.struct(*(c.alias(f"_{i}") for i, c in enumerate(columns)))
+    return F.transform(F.array(row), lambda r: f(*(r[f"_{i}"] for i in range(len(columns)))))[0]
+
+
 def miscounted(text: Column, tokens: Column) -> Column:
     """The distinct tokens that text doesn't have as often as the array."""
-    return F.filter(F.array_distinct(tokens), lambda t: count_of(text, t) != F.size(F.filter(tokens, lambda u: u == t)))
+    return closed(lambda s, ts: F.filter(F.array_distinct(ts), lambda t: count_of(s, t) != F.size(F.filter(ts, lambda u: u == t))), text, tokens)
 
 
 def in_order(text: Column, tokens: Column) -> Column:
     """Whether all tokens occur one after another, each found from the end of the last."""
-    find = lambda at, t: F.when(t == "", at).otherwise(F.call_function("locate", t, text, at))
-    end = F.aggregate(tokens, F.lit(1), lambda at, t: F.when(at == 0, 0).otherwise(F.when(find(at, t) == 0, 0).otherwise(find(at, t) + F.length(t))))
-    return end > 0
+
+    def end(s, ts):
+        find = lambda at, t: F.when(t == "", at).otherwise(F.call_function("locate", t, s, at))
+        return F.aggregate(ts, F.lit(1), lambda at, t: F.when(at == 0, 0).otherwise(F.when(find(at, t) == 0, 0).otherwise(find(at, t) + F.length(t))))
+
+    return closed(end, text, tokens) > 0
 
 
 def without_all(text: Column, tokens: Column) -> Column:
